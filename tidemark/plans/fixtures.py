@@ -35,9 +35,8 @@ class Fixtures:
 
     @cached_property
     def languages(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            [(i, name, int(name == "de")) for i, name in LANGUAGES.items()], "ID int, ShortName string, IsDefault int"
-        )
+        rows = ", ".join(f"({i}, '{name}', {int(name == 'de')})" for i, name in LANGUAGES.items())
+        return self.spark.sql(f"SELECT * FROM VALUES {rows} AS t(ID, ShortName, IsDefault)")
 
     @cached_property
     def items(self) -> DataFrame:

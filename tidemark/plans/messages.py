@@ -1 +1,147 @@
+"""Queries over message texts, headers and operations."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.functions.maps import json_map
+from tidemark.operators.evolve import header_columns
+from tidemark.plans.fixtures import Fixtures, text
+from tidemark.plans.registry import query
+from tidemark.sources import changes as src
+from tidemark.sources.headers import fields_of_type, language_ids, read_headers, searchable_and_standard
+
+
+@query(
+    "msg_classify",
+    """
+SELECT event_id, CASE WHEN type <> 'Item' OR Action = 2 THEN 'Item' ELSE CASE event_id % 6 WHEN 0 THEN 'Record'
+ WHEN 1 THEN 'DebugMode' WHEN 2 THEN 'Reindex' WHEN 3 THEN 'Record' ELSE 'Item' END END AS kind FROM {fx_changes}""",
+)
+def msg_classify(fx: Fixtures) -> DataFrame:
+    event, ident = F.col("event_id"), text("ID")
+    message = (
+        F.when(event % 6 == 0, F.concat(F.lit('{"Record":[{"ID":"'), ident, F.lit('"}]}')))
+        .when(event % 6 == 1, F.lit('{"DebugMode":"DEBUG","Item":[]}'))
+        .when(event % 6 == 2, F.concat(F.lit('{"Reindex":{"AffectedItemIDs":["'), ident, F.lit('"]}}')))
+        .when(event % 6 == 3, F.lit('{"Reindex":{},"Record":null}'))
+        .when(event % 6 == 4, F.lit("no json"))
+        .otherwise(F.concat(F.lit('{"Item":[{"note":"Record"}],"Reference":['), F.lit("]}")))
+    )
+    return fx.changes.select("event_id", src.change_kind(message, "type", "Action").alias("kind"))
+
+
+@query("payload_decode", "SELECT doc_id, text AS message FROM documents")
+def payload_decode(fx: Fixtures) -> DataFrame:
+    packed = F.when(F.col("doc_id") % 10 == 0, F.col("text")).otherwise(src.encode_payload("text"))
+    log = fx.table("documents").select("doc_id", packed.alias("packed"))
+    return log.select("doc_id", src.decode_payload("packed").alias("message"))
+
+
+@query(
+    "json_props",
+    """
+SELECT event_id, 'k' AS name, json_extract_string(props, '$.k') AS value FROM events""",
+)
+def json_props(fx: Fixtures) -> DataFrame:
+    return fx.table("events").select("event_id", F.explode(json_map("props")).alias("name", "value"))
+
+
+@query(
+    "header_fields",
+    """
+SELECT CASE WHEN Type = 'item' THEN lower(ItemType) ELSE concat(lower(ItemType), '_configuration') END AS header_key,
+ concat_ws(',', CASE WHEN kind = 'html' THEN concat(k, ':Value') END, concat('n', n, ':Value')) AS html_fields,
+ array_to_string(list_sort(['Label', concat(k, ':Value'), 'ID', 'LastChange', 'Hits', 'Classes']), ',') AS reindexed,
+ concat('30,', n) AS reference_ids, '1,2,3' AS languages FROM {fx_headers}""",
+)
+def header_fields(fx: Fixtures) -> DataFrame:
+    header = F.col("header")
+    return read_headers(fx.headers).select(
+        "header_key",
+        F.array_join(F.sort_array(fields_of_type(header["CustomFields"], "html")), ",").alias("html_fields"),
+        F.array_join(F.sort_array(searchable_and_standard(header)), ",").alias("reindexed"),
+        F.array_join(header["SearchableReferences"], ",").alias("reference_ids"),
+        F.array_join(language_ids(header), ",").alias("languages"),
+    )
+
+
+@query(
+    "schema_from_header",
+    """
+WITH h AS (SELECT *, CASE WHEN Type = 'item' THEN lower(ItemType) ELSE concat(lower(ItemType), '_configuration') END
+ AS header_key FROM {fx_headers})
+SELECT header_key, f.field, f.column_type FROM h CROSS JOIN (SELECT * FROM (VALUES ('ID', 'bigint'),
+ ('Label', 'string'), ('LastChange', 'timestamp'), ('Hits', 'string'), ('Classes', 'array<int>'),
+ ('_LastWritten', 'timestamp'), ('_InsertTime', 'timestamp'), ('_IsCreated', 'int')) AS t(field, column_type)) f
+UNION ALL SELECT header_key, concat(k, ':Value'), 'string' FROM h
+UNION ALL SELECT header_key, concat('n', n, ':Value'), 'string' FROM h""",
+)
+def schema_from_header(fx: Fixtures) -> DataFrame:
+    return header_columns(read_headers(fx.headers))
+
+
+@query(
+    "op_message",
+    """
+SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'initialize' WHEN 1 THEN 'DebugMode' WHEN 2 THEN 'Reindex'
+  WHEN 3 THEN 'itemTypeAdded' ELSE 'itemTypeRemoved' END AS operation,
+ CASE event_id % 5 WHEN 1 THEN 'OFF' WHEN 2 THEN 'Mamfile' ELSE concat(item_type, ',User') END AS item_types,
+ CASE WHEN event_id % 5 = 2 THEN concat(CAST(ID AS VARCHAR), ',', CAST(event_id AS VARCHAR)) END AS affected_ids,
+ CASE WHEN event_id % 5 = 2 THEN concat('13,', CAST(ID % 50 AS VARCHAR)) END AS searchable_fields,
+ CASE WHEN event_id % 5 = 0 THEN 'ParentID,StateID' END AS lookup_fields
+FROM {fx_changes}""",
+)
+def op_message(fx: Fixtures) -> DataFrame:
+    event, ident = F.col("event_id"), text("ID")
+    types = F.concat(F.lit('{"Item":"'), F.col("item_type"), F.lit(', User"'))
+    message = (
+        F.when(event % 5 == 0, F.concat(types, F.lit(',"MVFields":{"user":["ParentID","StateID"]}}')))
+        .when(event % 5 == 1, F.lit('{"DebugMode":"OFF"}'))
+        .when(
+            event % 5 == 2,
+            F.concat(
+                F.lit('{"Reindex":{"ItemType":"Mamfile","AffectedItemIDs":["'), ident, F.lit('","'), text(event),
+                F.lit('"],"SearchableFields":[13,'), text(F.col("ID") % 50), F.lit("]}}"),
+            ),
+        )
+        .otherwise(F.concat(types, F.lit("}")))
+    )
+    action = F.when(event % 5 == 0, 4).when(event % 5 == 4, 2).otherwise(1)
+    read = fx.changes.select("event_id", src.read_operation(message, action).alias("m"))
+    return read.select(
+        "event_id",
+        "m.operation",
+        F.array_join("m.item_types", ",").alias("item_types"),
+        F.array_join("m.affected_ids", ",").alias("affected_ids"),
+        F.array_join("m.searchable_fields", ",").alias("searchable_fields"),
+        F.array_join(F.col("m.lookup_fields")["user"], ",").alias("lookup_fields"),
+    )
+
+
+@query(
+    "big_attr_map",
+    """
+SELECT event_id, l.language, CASE WHEN event_id % 3 = 1 THEN
+  CASE l.language WHEN '1' THEN concat('a', CAST(ID AS VARCHAR)) ELSE 'b,c' END
+ WHEN event_id % 3 = 2 THEN CASE l.language WHEN '1' THEN 'b' ELSE concat('c', CAST(ID AS VARCHAR)) END
+ ELSE CASE l.language WHEN '1' THEN concat('a', CAST(ID AS VARCHAR), ',b') WHEN '3' THEN
+   concat('a', CAST(ID AS VARCHAR), ',c') ELSE concat('a', CAST(ID AS VARCHAR)) END END AS attributes
+FROM {fx_changes} CROSS JOIN (SELECT * FROM (VALUES ('0'), ('1'), ('2'), ('3')) AS t(language)) l
+WHERE (event_id % 3 = 0) OR (event_id % 3 = 1 AND l.language IN ('1', '2')) OR
+ (event_id % 3 = 2 AND l.language IN ('1', '2'))""",
+)
+def big_attr_map(fx: Fixtures) -> DataFrame:
+    event, ident = F.col("event_id"), text("ID")
+    message = (
+        F.when(
+            event % 3 == 0,
+            F.concat(F.lit('{"_BigDataAttributes":[["a'), ident, F.lit('"],["b"],null,["c","a'), ident, F.lit('"]]}')),
+        )
+        .when(event % 3 == 1, F.concat(F.lit('{"_BigDataAttributes":{"1":["a'), ident, F.lit('"],"2":["b","c"]}}')))
+        .otherwise(F.concat(F.lit('{"_BigDataAttributes":[null,["b"],["c'), ident, F.lit('"]]}')))
+    )
+    return fx.changes.select("event_id", F.explode(src.big_attributes(message)).alias("language", "names")).select(
+        "event_id", "language", F.array_join(F.sort_array("names"), ",").alias("attributes")
+    )

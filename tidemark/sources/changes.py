@@ -8,6 +8,7 @@ import zlib
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tidemark import fixed
 from tidemark.functions.text import _col, comma_list
@@ -74,7 +75,7 @@ def change_kind(message: Column | str, kind: Column | str, action: Column | str)
     return F.when(inspected, message_kind(message)).otherwise(fixed.TYPE_ITEM)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _inflate(packed: pd.Series) -> pd.Series:
     # Spark has no zlib expression; one Arrow batch at a time.
     def one(data):
@@ -86,7 +87,7 @@ def _inflate(packed: pd.Series) -> pd.Series:
     return packed.map(one)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _deflate(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else base64.b64encode(zlib.compress(t.encode("utf-8"))).decode("ascii"))
 
