@@ -25,7 +25,7 @@ def has_token(c: Column | str, token: int | str) -> Column:
 
 def comma_list(c: Column | str) -> Column:
     """Comma-delimited text as trimmed, non-empty strings."""
-    return F.filter(F.transform(F.split(F.coalesce(_col(c), F.lit("")), ","), F.trim), lambda t: t != "")
+    return F.filter(F.transform(F.split(F.coalesce(_col(c), F.lit("")), ","), lambda t: F.trim(t)), lambda t: t != "")
 
 
 def base_type(c: Column | str) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import fixed
-from tidemark.functions.coerce import coerce, default_of
+from tidemark.functions.coerce import coerce, default_of, split_ids
 from tidemark.functions.text import comma_list
 from tidemark.operators.freshness import ARRIVAL
 
@@ -178,7 +178,7 @@ def apply_mapping(
     at = F.struct(*arrival)
     cut = changes.where(F.col("ID") == -1).agg(F.max(at).alias("cut"))
     pairs = changes.where(F.col("ID") != -1).select(
-        F.col("ID").alias("ClassID"), F.explode(comma_list("Message")).cast("bigint").alias("AttributeID"), at.alias("at")
+        F.col("ID").alias("ClassID"), F.explode(split_ids("Message")).alias("AttributeID"), at.alias("at")
     )
     # The cut is one row; as a scalar it needs no join.
     last_cut = cut.select("cut").scalar()

@@ -51,4 +51,5 @@ def drop_attributes(items: DataFrame, attributes: DataFrame, deleted: DataFrame)
         .agg(F.collect_set("ID").alias("ids"))
         .scalar()
     )
-    return items.withColumn("attrs", F.map_filter("attrs", lambda k, _: ~F.array_contains(gone, k)))
+    kept = F.map_filter("attrs", lambda k, _: ~F.array_contains(F.col("__gone"), k))
+    return items.withColumn("__gone", gone).withColumn("attrs", kept).drop("__gone")

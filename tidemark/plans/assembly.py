@@ -1 +1,295 @@
+"""References, nested tables, and changes to items and what hangs off them."""
 
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tidemark import fixed
+from tidemark.functions.text import comma_list
+from tidemark.operators import apply, assemble, cascade, catalog, language
+from tidemark.plans.fixtures import Fixtures, text
+from tidemark.plans.registry import query
+from tidemark.sources.changes import read_delete
+
+
+def listed(rows: Column, render) -> Column:
+    """Array of structs as text."""
+    return F.array_join(F.transform(rows, render), ",")
+
+
+@query(
+    "item_references",
+    """
+SELECT r.ItemID, r.AttributeID, r.ReferenceID, r.TargetID, i.Label FROM {fx_references} r
+JOIN {fx_order_items} i ON i.ID = r.ItemID AND i.LanguageID = r.LanguageID
+WHERE EXISTS (SELECT 1 FROM {fx_class_attributes} c WHERE c.ClassID = CAST(trim(i.ClassMapping) AS BIGINT)
+ AND c.AttributeID = r.AttributeID)""",
+)
+def item_references(fx: Fixtures) -> DataFrame:
+    assigned = catalog.assigned_of_kind(
+        fx.order_items, fx.class_attributes, fx.class_kinds, fixed.KIND_REFERENCE
+    )
+    rows = assemble.children_of_items(fx.order_items, fx.references, assigned)
+    labels = fx.order_items.select(F.col("ID").alias("ItemID"), "Label")
+    return rows.join(labels, "ItemID").select("ItemID", "AttributeID", "ReferenceID", "TargetID", "Label")
+
+
+@query(
+    "item_subtables",
+    """
+SELECT s.ItemID, s.AttributeID, s.ItemTableID, s.Value FROM {fx_subtables} s
+JOIN {fx_customer_items} i ON i.ID = s.ItemID AND i.LanguageID = s.LanguageID
+WHERE EXISTS (SELECT 1 FROM {fx_class_attributes} c WHERE c.ClassID = CAST(trim(i.ClassMapping) AS BIGINT)
+ AND c.AttributeID = s.AttributeID)""",
+)
+def item_subtables(fx: Fixtures) -> DataFrame:
+    assigned = catalog.assigned_of_kind(
+        fx.customer_items, fx.class_attributes, fx.class_kinds, fixed.KIND_SUBTABLE
+    )
+    rows = assemble.children_of_items(fx.customer_items, fx.subtables, assigned)
+    return rows.select("ItemID", "AttributeID", "ItemTableID", "Value")
+
+
+def nested_rows(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
+    """Nested-table rows and their references with message fields."""
+    rows = fx.subtables.withColumn("fields", F.create_map(F.lit("191:Value"), "Value"))
+    refs = fx.row_references.withColumn("fields", F.create_map(F.lit("TargetID"), text("TargetID")))
+    return rows, refs
+
+
+@query(
+    "item_subtables_nested",
+    """
+WITH n AS (SELECT ItemID, _SubitemID, string_agg(concat(ItemTableID, ':', Value), ',' ORDER BY SortOrder, ItemTableID)
+  AS nested FROM {fx_subtables} WHERE _SubitemID <> ItemID GROUP BY 1, 2),
+ r AS (SELECT ItemID, _SubitemID, string_agg(concat(ReferenceID, '>', TargetID), ',' ORDER BY SortOrder, ReferenceID)
+  FILTER (WHERE AttributeID = 31) AS refs, count(*) AS n_refs FROM {fx_row_references} GROUP BY 1, 2)
+SELECT s.ItemID, s.ItemTableID, 0 AS part, s.Value, coalesce(n.nested, '') AS nested, coalesce(r.refs, '') AS refs,
+ coalesce(r.n_refs, 0) AS n_refs FROM {fx_subtables} s
+LEFT JOIN n ON n.ItemID = s.ItemID AND n._SubitemID = s.ItemTableID
+LEFT JOIN r ON r.ItemID = s.ItemID AND r._SubitemID = s.ItemTableID WHERE s._SubitemID = s.ItemID""",
+)
+def item_subtables_nested(fx: Fixtures) -> DataFrame:
+    top = assemble.with_nested_rows(*nested_rows(fx))
+    nested = F.coalesce(F.col("Subtable")["192"], F.array())
+    refs = F.coalesce(F.col("Reference")["31"], F.array())
+    counts = F.transform(F.coalesce(F.map_values("Reference"), F.array()), lambda a: F.size(a))
+    return top.select(
+        "ItemID",
+        "ItemTableID",
+        "part",
+        F.col("fields")["191:Value"].alias("Value"),
+        listed(nested, lambda r: F.concat(text(r["ItemTableID"]), F.lit(":"), r["fields"]["191:Value"])).alias("nested"),
+        listed(refs, lambda r: F.concat(text(r["ReferenceID"]), F.lit(">"), r["fields"]["TargetID"])).alias("refs"),
+        F.aggregate(counts, F.lit(0).cast("bigint"), lambda acc, n: acc + n).alias("n_refs"),
+    )
+
+
+@query(
+    "view_extension",
+    """
+SELECT i.ID AS ItemID, s.ItemTableID, s.Value, 'view' AS origin FROM {fx_customer_items} i
+JOIN {fx_subtables} s ON s.ItemID = i.ID AND s.LanguageID = i.LanguageID WHERE s.AttributeID = 191
+UNION ALL SELECT i.ID, s.ItemTableID, s.Value, 'base' FROM {fx_customer_items} i
+JOIN {fx_subtables} s ON s.ItemID = i._ExtensionID AND s.LanguageID = i.LanguageID WHERE s.AttributeID = 191""",
+)
+def view_extension(fx: Fixtures) -> DataFrame:
+    rows = fx.subtables.where(F.col("AttributeID") == 191)
+    return assemble.with_base_rows(fx.customer_items, rows, rows).select("ItemID", "ItemTableID", "Value", "origin")
+
+
+@query(
+    "group_references",
+    """
+SELECT ItemID, LanguageID, AttributeID, 0 AS part, count(*) AS n,
+ string_agg(concat(SortOrder, ':', TargetID), ',' ORDER BY SortOrder, ReferenceID) AS refs
+FROM {fx_references} GROUP BY 1, 2, 3""",
+)
+def group_references(fx: Fixtures) -> DataFrame:
+    grouped = language.group_rows(
+        fx.references, F.struct("SortOrder", "ReferenceID", "TargetID"), ["ReferenceID"]
+    )
+    return grouped.select(
+        "ItemID", "LanguageID", "AttributeID", "part", F.size("rows").cast("bigint").alias("n"),
+        listed(F.col("rows"), lambda r: F.concat(text(r["SortOrder"]), F.lit(":"), text(r["TargetID"]))).alias("refs"),
+    )
+
+
+@query(
+    "group_subtables",
+    """
+SELECT ItemID, LanguageID, AttributeID, 0 AS part, count(*) AS n,
+ string_agg(concat(ItemTableID, ':', Value), ',' ORDER BY SortOrder, ItemTableID) AS table_rows
+FROM {fx_subtables} GROUP BY 1, 2, 3""",
+)
+def group_subtables(fx: Fixtures) -> DataFrame:
+    grouped = language.group_rows(fx.subtables, F.struct("SortOrder", "ItemTableID", "Value"), ["ItemTableID"])
+    return grouped.select(
+        "ItemID", "LanguageID", "AttributeID", "part", F.size("rows").cast("bigint").alias("n"),
+        listed(F.col("rows"), lambda r: F.concat(text(r["ItemTableID"]), F.lit(":"), r["Value"])).alias("table_rows"),
+    )
+
+
+@query(
+    "rows_by_attribute",
+    """
+SELECT ItemID, count(*) FILTER (WHERE AttributeID = 31) AS n_by_id,
+ coalesce(string_agg(CAST(TargetID AS VARCHAR), ',' ORDER BY SortOrder, ReferenceID)
+  FILTER (WHERE AttributeID = 31), '') AS by_id,
+ coalesce(string_agg(CAST(TargetID AS VARCHAR), ',' ORDER BY SortOrder, ReferenceID)
+  FILTER (WHERE SortOrder = 2), '') AS by_key,
+ coalesce(string_agg(CAST(TargetID AS VARCHAR), ',' ORDER BY SortOrder, ReferenceID)
+  FILTER (WHERE AttributeID = 32), '') AS by_attribute_key
+FROM {fx_references} GROUP BY 1""",
+)
+def rows_by_attribute(fx: Fixtures) -> DataFrame:
+    from tidemark.operators.gather import gather
+
+    keyed = fx.references.withColumn("ExternalKey", F.concat(F.lit("R"), text("SortOrder")))
+    item = F.struct("SortOrder", "ReferenceID", "AttributeID", "ExternalKey", "TargetID")
+    assembled = gather(keyed, ["ItemID"], item, ["ReferenceID"])
+    # The attribute's external key resolves to its id through the key table: N-2 is attribute 30 + 2.
+    named = fx.table("nation").select(
+        (30 + F.col("n_nationkey")).alias("ID"), F.concat(F.lit("N-"), text("n_nationkey")).alias("ExternalKey")
+    )
+    key_id = catalog.ids_by_external_key(named).where(F.col("ExternalKey") == "N-2").select("AttributeID").scalar()
+
+    def targets(rows: Column) -> Column:
+        return listed(rows, lambda r: text(r["TargetID"]))
+
+    by_id = assemble.rows_of_attribute(F.col("rows"), 31)
+    return assembled.withColumn("key_id", key_id).select(
+        "ItemID",
+        F.size(by_id).cast("bigint").alias("n_by_id"),
+        targets(by_id).alias("by_id"),
+        targets(assemble.rows_of_external_key(F.col("rows"), "R2")).alias("by_key"),
+        targets(assemble.rows_of_attribute(F.col("rows"), F.col("key_id"))).alias("by_attribute_key"),
+    )
+
+
+@query(
+    "replace_children",
+    """
+WITH changed AS (SELECT o_orderkey AS ItemID FROM orders WHERE o_orderstatus = 'P')
+SELECT ItemID, AttributeID, ReferenceID, TargetID FROM {fx_references}
+WHERE ItemID NOT IN (SELECT ItemID FROM changed)
+UNION ALL SELECT ItemID, AttributeID + 1, ReferenceID, TargetID + 1 FROM {fx_references}
+WHERE ItemID IN (SELECT ItemID FROM changed) AND SortOrder % 2 = 1""",
+)
+def replace_children(fx: Fixtures) -> DataFrame:
+    changed = fx.table("orders").where(F.col("o_orderstatus") == "P").select(F.col("o_orderkey").alias("ItemID"))
+    rows = fx.references.select("ItemID", "AttributeID", "ReferenceID", "TargetID")
+    new = fx.references.where(F.col("SortOrder") % 2 == 1).select(
+        "ItemID", (F.col("AttributeID") + 1).alias("AttributeID"), "ReferenceID", (F.col("TargetID") + 1).alias("TargetID")
+    )
+    return apply.replace_children(rows, changed, new)
+
+
+@query(
+    "apply_delete",
+    """
+WITH d AS (SELECT DISTINCT unnest(CASE WHEN event_id % 100 = 0 THEN [ID, ID + 7] ELSE [ID] END) AS ID
+ FROM {fx_changes} WHERE Action = 2)
+SELECT 'item' AS kind, ID, count(*) AS n FROM {fx_items} WHERE ID NOT IN (SELECT ID FROM d) GROUP BY 2
+UNION ALL SELECT 'reference', ItemID, count(*) FROM {fx_references} WHERE ItemID NOT IN (SELECT ID FROM d) GROUP BY 2
+UNION ALL SELECT 'subtable', ItemID, count(*) FROM {fx_subtables} WHERE ItemID NOT IN (SELECT ID FROM d) GROUP BY 2""",
+)
+def apply_delete(fx: Fixtures) -> DataFrame:
+    ident = F.col("ID")
+    message = F.when(F.col("event_id") % 100 == 0, F.format_string("%d, %d", ident, ident + 7)).otherwise(F.lit(""))
+    deleted = (
+        fx.changes.where(F.col("Action") == fixed.ACTION_DELETE)
+        .select(F.explode(read_delete("ID", message)["ids"]).alias("ID"))
+    )
+    items, references, subtables = apply.delete_items(fx.items, fx.references, fx.subtables, deleted)
+
+    def counted(df: DataFrame, kind: str, key: str) -> DataFrame:
+        return df.groupBy(F.col(key).alias("ID")).agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(kind).alias("kind"), "ID", "n"
+        )
+
+    return (
+        counted(items, "item", "ID")
+        .unionByName(counted(references, "reference", "ItemID"))
+        .unionByName(counted(subtables, "subtable", "ItemID"))
+    )
+
+
+@query(
+    "record_replace",
+    """
+WITH base AS (SELECT c_custkey AS ID, CAST(0 AS BIGINT) AS StateID, c_name AS Label FROM customer),
+ inc AS (SELECT DISTINCT o_custkey AS ID FROM orders WHERE o_orderstatus = 'P'),
+ states AS (SELECT DISTINCT o_custkey AS ID, o_orderkey % 8 + 1 AS StateID FROM orders WHERE o_orderstatus = 'P')
+SELECT * FROM base WHERE ID NOT IN (SELECT ID FROM inc)
+UNION ALL SELECT ID, 0, 'replaced' FROM inc
+UNION ALL SELECT ID, StateID, concat('s', CAST(StateID AS VARCHAR)) FROM states""",
+)
+def record_replace(fx: Fixtures) -> DataFrame:
+    records = fx.table("customer").select(
+        F.col("c_custkey").alias("ID"), F.lit(0).cast("bigint").alias("StateID"), F.col("c_name").alias("Label")
+    )
+    state = F.col("o_orderkey") % 8 + 1
+    # At most eight states per workflow, so the set is bounded.
+    incoming = (
+        fx.table("orders").where(F.col("o_orderstatus") == "P")
+        .groupBy(F.col("o_custkey").alias("ID"))
+        .agg(F.collect_set(F.struct(state.alias("StateID"), F.concat(F.lit("s"), text(state)).alias("Label"))).alias("states"))
+        .select("ID", F.lit(0).cast("bigint").alias("StateID"), F.lit("replaced").alias("Label"), "states")
+    )
+    return apply.replace_records(records, incoming)
+
+
+@query(
+    "cascade_workflow",
+    """
+WITH hit AS (SELECT ID, LanguageID, CASE WHEN WorkflowID IN (SELECT value FROM {fx_deleted} WHERE field = 'WorkflowID')
+  OR StateID IN (SELECT value FROM {fx_deleted} WHERE field = 'StateID') THEN 1 ELSE 0 END AS h FROM {fx_items})
+SELECT i.ID, i.LanguageID, CASE WHEN h = 1 THEN 0 ELSE WorkflowID END AS WorkflowID,
+ CASE WHEN h = 1 THEN 0 ELSE StateID END AS StateID,
+ CASE WHEN StateID IN (SELECT value FROM {fx_deleted} WHERE field = 'StateID') THEN 1 ELSE 0 END AS by_state
+FROM {fx_items} i JOIN hit ON hit.ID = i.ID AND hit.LanguageID = i.LanguageID""",
+)
+def cascade_workflow(fx: Fixtures) -> DataFrame:
+    items = fx.items.select("ID", "LanguageID", "WorkflowID", "StateID")
+    by_state = cascade.affected_items(items, fx.deleted, "StateID").select(
+        "ID", "LanguageID", F.lit(1).alias("by_state")
+    )
+    return cascade.clear_workflows(items, fx.deleted).join(by_state, ["ID", "LanguageID"], "left").select(
+        "ID", "LanguageID", "WorkflowID", "StateID", F.coalesce("by_state", F.lit(0)).alias("by_state")
+    )
+
+
+@query(
+    "cascade_language",
+    """
+SELECT ID, LanguageID, Label FROM {fx_items} WHERE LanguageID NOT IN (
+ SELECT 1 + ID % 2 * 2 FROM {fx_changes} WHERE Action = 2 AND ID % 2 = 1)""",
+)
+def cascade_language(fx: Fixtures) -> DataFrame:
+    gone = fx.changes.where((F.col("Action") == fixed.ACTION_DELETE) & (F.col("ID") % 2 == 1)).select(
+        (1 + F.col("ID") % 2 * 2).alias("LanguageID")
+    )
+    return cascade.drop_languages(fx.items, gone).select("ID", "LanguageID", "Label")
+
+
+@query(
+    "type_set_change",
+    """
+WITH removed AS (SELECT DISTINCT item_type FROM {fx_changes} WHERE Action = 2 AND ID % 4 = 1),
+ types AS (SELECT event_id AS ID, item_type FROM {fx_changes}
+  UNION ALL SELECT o_orderkey, 'Order' FROM orders)
+SELECT item_type, count(*) AS n, CAST(sum(ID) AS BIGINT) AS id_sum FROM types
+WHERE item_type NOT IN (SELECT item_type FROM removed) GROUP BY 1""",
+)
+def type_set_change(fx: Fixtures) -> DataFrame:
+    rows = fx.changes.select(F.col("event_id").alias("ID"), "item_type")
+    added = fx.table("orders").select(F.col("o_orderkey").alias("ID"), F.lit("Order").alias("item_type"))
+    message = F.concat(F.lit('{"Item":"'), F.col("item_type"), F.lit('"}'))
+    removed = fx.changes.where((F.col("Action") == fixed.ACTION_DELETE) & (F.col("ID") % 4 == 1)).select(
+        F.explode(comma_list(F.get_json_object(message, "$.Item"))).alias("item_type")
+    )
+    return cascade.change_types(rows, added, removed).groupBy("item_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("ID").alias("id_sum")
+    )

@@ -1 +1,220 @@
+"""Search documents: built, routed, split, re-projected and deleted."""
 
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tidemark import fixed
+from tidemark.functions.maps import keep_keys, keep_paths, without_attributes, without_nulls
+from tidemark.operators import documents as docs_ops
+from tidemark.operators import notices
+from tidemark.plans.assembly import nested_rows
+from tidemark.plans.fixtures import Fixtures, text
+from tidemark.plans.registry import query
+from tidemark.session import shared_dir
+from tidemark.sources.sinks import route_documents, write_documents
+
+# Long form of the message fields every item carries, for the SQL side.
+FIELDS_SQL = """
+SELECT ID, LanguageID, unnest(['ID', 'LanguageID', 'Label', 'ClassMapping', 'StateID', 'WorkflowID', 'ExternalKey',
+  '_Parents', 'CheckoutUser']) AS name,
+ unnest([CAST(ID AS VARCHAR), CAST(LanguageID AS VARCHAR), Label, ClassMapping, CAST(StateID AS VARCHAR),
+  CAST(WorkflowID AS VARCHAR), ExternalKey, _Parents, CASE WHEN CheckoutUser > 0 THEN CAST(CheckoutUser AS VARCHAR) END])
+  AS value FROM {fx_items}
+UNION ALL SELECT ID, LanguageID, concat(AttributeID, ':Value'), Value FROM {fx_item_values}
+UNION ALL SELECT ID, LanguageID, concat(AttributeID, ':FormattedValue'), FormattedValue FROM {fx_item_values}"""
+
+
+def long_form(df: DataFrame, column: str = "fields") -> DataFrame:
+    return df.select("ID", "LanguageID", F.explode(column).alias("name", "value"))
+
+
+@query(
+    "null_strip",
+    f"WITH f AS ({FIELDS_SQL}) SELECT ID, LanguageID, count(*) AS n_fields, count(*) FILTER (WHERE name = 'CheckoutUser') "
+    "AS checked_out FROM f WHERE value IS NOT NULL GROUP BY 1, 2",
+)
+def null_strip(fx: Fixtures) -> DataFrame:
+    kept = without_nulls("fields")
+    return fx.item_fields.select(
+        "ID", "LanguageID", F.size(kept).cast("bigint").alias("n_fields"),
+        F.map_contains_key(kept, F.lit("CheckoutUser")).cast("bigint").alias("checked_out"),
+    )
+
+
+@query(
+    "drop_dynamic_attrs",
+    f"WITH f AS ({FIELDS_SQL}) SELECT ID, LanguageID, name, value FROM f "
+    "WHERE split_part(name, ':', 1) NOT IN ('43', '44')",
+)
+def drop_dynamic_attrs(fx: Fixtures) -> DataFrame:
+    return long_form(fx.item_fields.withColumn("fields", without_attributes("fields", [43, 44])))
+
+
+@query(
+    "searchable_projection",
+    f"WITH f AS ({FIELDS_SQL}) SELECT ID, LanguageID, name, value FROM f "
+    "WHERE name IN ('Label', '13:Value', concat(CAST(42 + ID % 3 AS VARCHAR), ':Value'))",
+)
+def searchable_projection(fx: Fixtures) -> DataFrame:
+    searchable = F.array(F.lit("Label"), F.lit("13:Value"), F.concat(text(42 + F.col("ID") % 3), F.lit(":Value")))
+    return long_form(fx.item_fields.withColumn("fields", keep_keys("fields", searchable)))
+
+
+@query(
+    "notify_payload",
+    f"WITH f AS ({FIELDS_SQL}) SELECT ID, LanguageID, CASE WHEN regexp_matches(name, '^-?[0-9]+:(Formatted)?Value$') OR "
+    "name IN ('Label', 'WorkflowID', 'StateID') THEN 'language' ELSE 'root' END AS place, name, CASE name WHEN "
+    "'ClassMapping' THEN replace(trim(value), ' ', ',') ELSE value END AS value FROM f WHERE left(name, 1) <> '_' "
+    "AND (ID % 50) IN (SELECT ID % 50 FROM {fx_changes} WHERE Action = 2)",
+)
+def notify_payload(fx: Fixtures) -> DataFrame:
+    active = fx.changes.where(F.col("Action") == fixed.ACTION_DELETE).select((F.col("ID") % 50).alias("m")).distinct()
+    changed = fx.item_fields.join(active, F.col("ID") % 50 == F.col("m"), "left_semi").withColumn("Action", F.lit(1))
+    sent = notices.payloads(changed)
+    classes = F.create_map(F.lit("ClassMapping"), F.array_join("classes", ","))
+    return (
+        long_form(sent, "language_fields").withColumn("place", F.lit("language"))
+        .unionByName(long_form(sent, "root_fields").withColumn("place", F.lit("root")))
+        .unionByName(long_form(sent.withColumn("c", classes), "c").withColumn("place", F.lit("root")))
+    )
+
+
+def customer_documents(fx: Fixtures) -> DataFrame:
+    """Customers with their orders and order lines inside."""
+    items = fx.customer_items.select(
+        "ID", "LanguageID",
+        F.create_map(F.lit("Label"), "Label", F.lit("Note"), F.concat(F.lit("<b>"), "Segment", F.lit("</b> &amp; co"))
+                     , F.lit("None"), F.lit(None).cast("string")).alias("fields"),
+    )
+    rows, refs = nested_rows(fx)
+    own = refs.where(F.col("AttributeID") == 31).withColumn("_SubitemID", F.col("ItemID"))
+    return docs_ops.build_documents(items, refs.unionByName(own), rows, html_fields=["Note"])
+
+
+def size_of(m: Column) -> Column:
+    return F.coalesce(F.size(m), F.lit(0)).cast("bigint")
+
+
+@query(
+    "doc_build",
+    """
+WITH t AS (SELECT ItemID, count(*) AS n_rows, string_agg(concat(ItemTableID, ':', Value), ',' ORDER BY ItemTableID)
+  AS table_rows FROM {fx_subtables} WHERE AttributeID = 191 GROUP BY 1),
+ n AS (SELECT ItemID, count(*) AS n_nested FROM {fx_subtables} WHERE AttributeID = 192 GROUP BY 1),
+ r AS (SELECT ItemID, count(*) AS n_refs, string_agg(concat(ReferenceID, '>', TargetID), ','
+  ORDER BY SortOrder, ReferenceID) AS refs FROM {fx_row_references} WHERE AttributeID = 31 GROUP BY 1)
+SELECT i.ID, i.LanguageID, 0 AS part, i.Label, concat(i.Segment, ' & co') AS note, CAST(2 AS BIGINT) AS n_fields,
+ coalesce(t.n_rows, 0) AS n_rows, coalesce(t.table_rows, '') AS table_rows, coalesce(n.n_nested, 0) AS n_nested,
+ coalesce(r.n_refs, 0) AS n_refs, coalesce(r.refs, '') AS refs
+FROM {fx_customer_items} i LEFT JOIN t ON t.ItemID = i.ID LEFT JOIN n ON n.ItemID = i.ID LEFT JOIN r ON r.ItemID = i.ID""",
+)
+def doc_build(fx: Fixtures) -> DataFrame:
+    rows = F.coalesce(F.col("Subtable")["191"], F.array())
+    refs = F.coalesce(F.col("Reference")["31"], F.array())
+    nested = F.aggregate(rows, F.lit(0).cast("bigint"), lambda acc, r: acc + size_of(r["Subtable"]["192"]))
+    return customer_documents(fx).select(
+        "ID", "LanguageID", "part",
+        F.col("fields")["Label"].alias("Label"),
+        F.col("fields")["Note"].alias("note"),
+        F.size("fields").cast("bigint").alias("n_fields"),
+        F.size(rows).cast("bigint").alias("n_rows"),
+        F.array_join(
+            F.transform(rows, lambda r: F.concat(text(r["ItemTableID"]), F.lit(":"), r["fields"]["191:Value"])), ","
+        ).alias("table_rows"),
+        nested.alias("n_nested"),
+        F.size(refs).cast("bigint").alias("n_refs"),
+        F.array_join(
+            F.transform(refs, lambda r: F.concat(text(r["ReferenceID"]), F.lit(">"), r["fields"]["TargetID"])), ","
+        ).alias("refs"),
+    )
+
+
+@query(
+    "reindex_projection",
+    """
+WITH hit AS (SELECT DISTINCT ID FROM {fx_changes} WHERE event_type = 'view'),
+ t AS (SELECT ItemID, count(*) AS n_rows FROM {fx_subtables} WHERE AttributeID = 191 GROUP BY 1)
+SELECT i.ID, i.LanguageID, 'Label' AS fields, coalesce(t.n_rows, 0) AS n_rows, CAST(0 AS BIGINT) AS n_refs,
+ 'Label,Reference.31.x' AS paths
+FROM {fx_customer_items} i LEFT JOIN t ON t.ItemID = i.ID WHERE i.ID IN (SELECT ID FROM hit)""",
+)
+def reindex_projection(fx: Fixtures) -> DataFrame:
+    affected = fx.changes.where(F.col("event_type") == "view").select("ID")
+    fields, refs, tables = docs_ops.reindex_fields(None, [], ["191"], ["Label", "ID"])
+    found = docs_ops.reproject(customer_documents(fx), affected, fields, refs, tables, [2])
+    flat = F.create_map(
+        F.lit("Label"), F.lit("a"), F.lit("Reference.31.x"), F.lit("b"), F.lit("Reference.32.x"), F.lit("c")
+    )
+    return found.select(
+        "ID", "LanguageID", F.array_join(F.map_keys("fields"), ",").alias("fields"),
+        size_of(F.col("Subtable")["191"]).alias("n_rows"), size_of(F.col("Reference")["31"]).alias("n_refs"),
+        F.array_join(F.sort_array(F.map_keys(keep_paths(flat, ["Label", "Reference.31.*"]))), ",").alias("paths"),
+    )
+
+
+@query(
+    "doc_delete",
+    """
+SELECT i.ID, i.LanguageID FROM {fx_items} i WHERE i.ID NOT IN (
+ SELECT CASE WHEN event_id % 100 = 0 THEN ID + 100000000 ELSE ID END FROM {fx_changes} WHERE Action = 2)""",
+)
+def doc_delete(fx: Fixtures) -> DataFrame:
+    missing = F.when(F.col("event_id") % 100 == 0, F.col("ID") + 100000000).otherwise(F.col("ID"))
+    deleted = fx.changes.where(F.col("Action") == fixed.ACTION_DELETE).select(missing.alias("ID"))
+    return docs_ops.delete_documents(fx.items.select("ID", "LanguageID"), deleted)
+
+
+@query(
+    "doc_routing",
+    """
+WITH d AS (SELECT ID, LanguageID, CASE ID % 3 WHEN 0 THEN 'Pdmarticle' WHEN 1 THEN 'MamfileContent' ELSE 'User' END
+ AS item_type FROM {fx_items})
+SELECT ID, LanguageID, CASE WHEN item_type = 'MamfileContent' THEN 'export_mamfilecontent'
+ ELSE concat('export_', lower(item_type), '_', LanguageID) END AS document_set,
+ CASE WHEN item_type = 'MamfileContent' THEN '' ELSE concat('export_', lower(item_type), '_search_', LanguageID) END
+ AS search_set, CAST(ID AS VARCHAR) AS document_id, concat('export_', lower(item_type)) AS common_set,
+ concat(ID, '_', LanguageID) AS common_id FROM d""",
+)
+def doc_routing(fx: Fixtures) -> DataFrame:
+    key = F.col("ID") % 3
+    kind = F.when(key == 0, "Pdmarticle").when(key == 1, fixed.FILE_CONTENT_TYPE).otherwise("User")
+    docs = fx.items.select("ID", "LanguageID", kind.alias("item_type"))
+    search = route_documents(docs, searchable=True).withColumnsRenamed(
+        {"document_set": "search_set", "document_id": "search_id"}
+    )
+    common = route_documents(search, per_language=False).withColumnsRenamed(
+        {"document_set": "common_set", "document_id": "common_id"}
+    )
+    return route_documents(common).select(
+        "ID", "LanguageID", "document_set", "search_set", "document_id", "common_set", "common_id"
+    )
+
+
+@query(
+    "split_by_language",
+    """
+SELECT concat('export_pdmarticle_', LanguageID) AS document_set, CAST(ID AS VARCHAR) AS document_id, Label
+FROM {fx_items}
+UNION ALL SELECT concat('export_pdmarticle_search_', LanguageID), CAST(ID AS VARCHAR), Label FROM {fx_items}""",
+)
+def split_by_language(fx: Fixtures) -> DataFrame:
+    path = shared_dir(fx.spark, "documents")
+    docs = fx.items.select("ID", "LanguageID", "Label", F.lit("Pdmarticle").alias("item_type"))
+    write_documents(docs, path)
+    write_documents(docs, path, searchable=True)
+    return fx.spark.read.parquet(path).select("document_set", "document_id", "Label")
+
+
+@query(
+    "content_raw",
+    """
+SELECT doc_id, text AS content, CASE WHEN length(text) > 200 THEN concat(left(text, 100), ' ', right(text, 100))
+ ELSE text END AS raw FROM documents""",
+)
+def content_raw(fx: Fixtures) -> DataFrame:
+    docs = fx.table("documents").select("doc_id", F.col("text").alias("_Content"))
+    return docs_ops.with_excerpt(docs).select(
+        "doc_id", F.col("_Content").alias("content"), F.col("_ContentRaw").alias("raw")
+    )

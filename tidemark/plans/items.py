@@ -299,14 +299,14 @@ def field_classes(fx: Fixtures) -> DataFrame:
 @query(
     "value_by_external_key",
     """
-WITH k AS (SELECT concat('K-', p_brand) AS ExternalKey, max(CASE p_size % 3 WHEN 0 THEN 13 WHEN 1 THEN 43 ELSE 44 END)
+WITH k AS (SELECT concat('K-', CAST(p_size % 3 AS VARCHAR)) AS ExternalKey, max(CASE p_size % 3 WHEN 0 THEN 13 WHEN 1 THEN 43 ELSE 44 END)
  AS AttributeID FROM part GROUP BY 1)
 SELECT ID, LanguageID, ExternalKey, Value, FormattedValue FROM {fx_item_values} v JOIN k USING (AttributeID)""",
 )
 def value_by_external_key(fx: Fixtures) -> DataFrame:
     size = F.col("p_size") % 3
     named = fx.table("part").select(
-        F.concat(F.lit("K-"), F.col("p_brand")).alias("ExternalKey"),
+        F.concat(F.lit("K-"), text(size)).alias("ExternalKey"),
         F.when(size == 0, 13).when(size == 1, 43).otherwise(44).cast("bigint").alias("ID"),
     )
     return assemble.values_by_external_key(fx.items, catalog.ids_by_external_key(named))

@@ -1 +1,42 @@
+"""The change feed run as a stream, in several micro-batches with carried state."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.plans.fixtures import Fixtures
+from tidemark.plans.registry import query
+from tidemark.session import shared_dir
+from tidemark.sources.changes import stream_changes
+from tidemark.streaming.apply import FeedState, apply_batch, filter_batch, start
+
+SLICES = 3
+COLUMNS = ["seq", "event_id", "ID", "Action", "InsertTime", "Message"]
+
+
+def feed_in_slices(fx: Fixtures, step) -> FeedState:
+    """Let the log arrive in slices of its arrival order; each restart of the stream takes up the next one."""
+    root = shared_dir(fx.spark, "feed")
+    state = FeedState(fx.spark, f"{root}/state")
+    changes = fx.changes.select(*COLUMNS)
+    last = changes.agg(F.max("seq")).first()[0]
+    schema = changes.schema
+    for i in range(SLICES):
+        low, high = last * i // SLICES, last * (i + 1) // SLICES
+        arrived = changes.where((F.col("seq") > (low if i else -1)) & (F.col("seq") <= high))
+        arrived.write.mode("append").parquet(f"{root}/inbox")
+        stream = stream_changes(fx.spark, f"{root}/inbox", schema=schema)
+        start(stream, state, step).awaitTermination()
+    return state
+
+
+@query("stream_stale_filter", "SELECT event_id, verdict FROM {fx_judged}")
+def stream_stale_filter(fx: Fixtures) -> DataFrame:
+    state = feed_in_slices(fx, filter_batch)
+    return fx.spark.read.parquet(state.accepted).select("event_id", "verdict")
+
+
+@query("stream_apply", "SELECT * FROM {fx_state}")
+def stream_apply(fx: Fixtures) -> DataFrame:
+    return feed_in_slices(fx, apply_batch).items.read()
