@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.maps import field_value
-from tidemark.operators.gather import PART_LIMIT, gather_by_attribute
+from tidemark.operators.gather import PART_LIMIT, all_fit, gather_by_attribute
+from tidemark.session import cut_lineage
 
 OWNER = ["ItemID", "LanguageID"]
 
@@ -24,14 +25,23 @@ def children_of_items(items: DataFrame, rows: DataFrame, assigned: DataFrame | N
 
 
 def with_nested_rows(
-    rows: DataFrame, references: DataFrame | None = None, levels: int = 1, limit: int = PART_LIMIT
+    rows: DataFrame,
+    references: DataFrame | None = None,
+    levels: int = 1,
+    limit: int = PART_LIMIT,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Top rows of nested tables, each with the rows and references below it.
 
     ``rows``: ItemID, LanguageID, AttributeID, ItemTableID, _SubitemID, SortOrder, fields. A row hangs below the
     row whose ItemTableID is its _SubitemID, a top row below the item itself. Every level is one bottom-up pass.
     The result adds Reference and Subtable (attribute → rows), ``part`` and ``weight`` (rows held).
+
+    When some item is oversized, a pass reads its input twice (sizes, then rows), so with several levels each pass
+    is written out.
     """
+    if fits is None:
+        fits = all_fit(OWNER, limit, rows, *([] if references is None else [references]))
     current = rows.select(
         *OWNER, "AttributeID", "ItemTableID", "_SubitemID", "SortOrder", "fields", F.lit(0).alias("part"),
         F.lit(1).cast("bigint").alias("weight"),
@@ -43,11 +53,13 @@ def with_nested_rows(
         )
         grouped = gather_by_attribute(
             below, row_key, F.struct("SortOrder", "ReferenceID", "fields"), ["ReferenceID"],
-            ["SortOrder", "ReferenceID"], "Reference", limit,
+            ["SortOrder", "ReferenceID"], "Reference", limit, fits=fits,
         )
         current = _attach(current, grouped, row_key, "Reference")
+    if levels > 1 and not fits:
+        current = cut_lineage(current)
     base = current
-    for _ in range(levels):
+    for level in range(levels):
         held = [c for c in ("Reference", "Subtable") if c in current.columns]
         nested = current.where(F.col("_SubitemID") != F.col("ItemID"))
         grouped = gather_by_attribute(
@@ -59,8 +71,11 @@ def with_nested_rows(
             "Subtable",
             limit,
             F.col("weight"),
+            fits,
         )
         current = _attach(base, grouped, row_key, "Subtable")
+        if level + 1 < levels and not fits:
+            current = cut_lineage(current)
     return current.where(F.col("_SubitemID") == F.col("ItemID"))
 
 

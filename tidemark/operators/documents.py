@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.maps import keep_keys, without_nulls
 from tidemark.functions.text import big_value, content_excerpt, html_text
 from tidemark.operators.assemble import OWNER, with_nested_rows
-from tidemark.operators.gather import PART_LIMIT, gather_by_attribute
+from tidemark.operators.gather import PART_LIMIT, all_fit, gather_by_attribute
 
 
 def clean(fields: Column | str, html_fields: Sequence[str] = (), big_fields: Column | None = None) -> Column:
@@ -46,6 +46,7 @@ def build_documents(
     docs = items.select("ID", "LanguageID", clean("fields", html_fields, big).alias("fields"))
     refs = references.withColumn("fields", clean("fields", html_fields))
     rows = subtables.withColumn("fields", clean("fields", html_fields))
+    fits = all_fit(OWNER, limit, references, subtables)
     own_refs = gather_by_attribute(
         refs.where(F.col("_SubitemID") == F.col("ItemID")),
         OWNER,
@@ -54,8 +55,9 @@ def build_documents(
         ["SortOrder", "ReferenceID"],
         "Reference",
         limit,
+        fits=fits,
     ).drop("Reference_weight")
-    top = with_nested_rows(rows, refs, levels, limit)
+    top = with_nested_rows(rows, refs, levels, limit, fits)
     held = [c for c in ("Reference", "Subtable") if c in top.columns]
     own_rows = gather_by_attribute(
         top,
@@ -66,10 +68,13 @@ def build_documents(
         "Subtable",
         limit,
         F.col("weight"),
+        fits,
     ).drop("Subtable_weight")
     children = own_refs.join(own_rows, [*OWNER, "part"], "full").withColumnRenamed("ItemID", "ID")
     # Children of an item the store does not hold make no document.
     first = docs.withColumn("part", F.lit(0)).join(children, ["ID", "LanguageID", "part"], "left")
+    if fits:
+        return first
     further = (
         children.where(F.col("part") > 0)
         .join(docs, ["ID", "LanguageID"], "left_semi")

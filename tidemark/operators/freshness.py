@@ -52,7 +52,7 @@ def judge(
             *[F.col(k).alias(f"__s_{k}") for k in keys], F.col("newest").alias("__s_newest"),
             F.col("deleted").alias("__s_deleted"),
         )
-        seen = seen.join(before, [F.col(k).eqNullSafe(F.col(f"__s_{k}")) for k in keys], "left")
+        seen = seen.join(before, [F.col(k) == F.col(f"__s_{k}") for k in keys], "left")
         newest = F.greatest(newest, F.col("__s_newest"))
         deleted = F.greatest(deleted, F.coalesce(F.col("__s_deleted"), F.lit(0)))
     verdict = (

@@ -12,7 +12,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import cut_lineage
+
 PART_LIMIT = 50_000
+# Oversized owners up to this many are broadcast; more are joined by shuffle.
+BROADCAST_OWNERS = 100_000
+
+
+def all_fit(owner: Sequence[str], limit: int, *tables: DataFrame) -> bool:
+    """No owner has more than ``limit`` rows in the tables together, so nothing nested below it does either.
+
+    One narrow, map-side combined count answers for every level of nesting.
+    """
+    keys = [t.select(*owner) for t in tables]
+    return reduce(DataFrame.unionByName, keys).groupBy(*owner).count().where(F.col("count") > limit).isEmpty()
 
 
 def with_part(
@@ -21,23 +34,33 @@ def with_part(
     spread: Sequence[str],
     limit: int = PART_LIMIT,
     weight: Column | None = None,
-) -> DataFrame:
-    """Add ``part``: 0 for owners within ``limit``, else a hash of the ``spread`` columns.
+    fits: bool = False,
+) -> tuple[DataFrame, list[str]]:
+    """Rows and the columns to group them by: the owner, and with oversized owners also ``__part``.
 
-    ``weight`` counts the rows already nested inside a row (1 by default).
+    The part is a hash of the ``spread`` columns for owners above ``limit``, else 0. ``weight`` counts the rows
+    already nested inside a row (1 by default); ``fits`` says that no owner can be oversized.
     """
+    if fits:
+        return df, list(owner)
     size = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    oversized = (
+    columns = df.columns
+    # Measured first, so the usual case (nobody is oversized) costs no join and no second shuffle of the rows.
+    oversized = cut_lineage(
         df.groupBy(*owner)
         .agg(size.alias("__n"))
         .where(F.col("__n") > limit)
         .select(*[F.col(c).alias(f"__o_{c}") for c in owner], F.ceil(F.col("__n") / F.lit(limit)).alias("__parts"))
     )
+    owners = oversized.count()
+    if owners == 0:
+        return df.select(*columns), list(owner)
+    if owners <= BROADCAST_OWNERS:
+        oversized = F.broadcast(oversized)
     match = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__o_{c}")) for c in owner])
     part = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.col("__parts"))
-    return df.join(oversized, match, "left").select("*", F.coalesce(part, F.lit(0)).cast("int").alias("__part")).select(
-        *[c for c in df.columns if c != "part"], F.col("__part").alias("part")
-    )
+    parted = df.join(oversized, match, "left").select(*columns, F.coalesce(part, F.lit(0)).cast("int").alias("__part"))
+    return parted, [*owner, "__part"]
 
 
 def sorted_list(item: Column, by: Sequence[str] | None = None) -> Column:
@@ -53,6 +76,11 @@ def sorted_list(item: Column, by: Sequence[str] | None = None) -> Column:
     return F.array_sort(rows, compare)
 
 
+def part_column(group: Sequence[str]) -> Column:
+    """Part number of a grouped row."""
+    return (F.col("__part") if "__part" in group else F.lit(0)).alias("part")
+
+
 def gather(
     df: DataFrame,
     owner: Sequence[str],
@@ -62,7 +90,8 @@ def gather(
     limit: int = PART_LIMIT,
 ) -> DataFrame:
     """Rows of each owner as sorted arrays: (owner…, part, ``name``)."""
-    return with_part(df, owner, spread, limit).groupBy(*owner, "part").agg(sorted_list(item).alias(name))
+    rows, group = with_part(df, owner, spread, limit)
+    return rows.groupBy(*group).agg(sorted_list(item).alias(name)).select(*owner, part_column(group), name)
 
 
 def gather_by_attribute(
@@ -74,22 +103,23 @@ def gather_by_attribute(
     name: str,
     limit: int = PART_LIMIT,
     weight: Column | None = None,
+    fits: bool = False,
 ) -> DataFrame:
     """Rows of each owner as attribute → sorted array: (owner…, part, ``name``, ``name``_weight).
 
-    One shuffle on (owner, part) serves both groupings.
+    One shuffle on the owner serves both groupings, and the join of the result back to its owner.
     """
     weight = F.lit(1).cast("bigint") if weight is None else weight
-    parted = with_part(df, owner, spread, limit, weight).select(
-        *owner, "part", F.col("AttributeID").cast("string").alias("__attribute"), item.alias("__item"),
-        weight.alias("__weight")
+    rows, group = with_part(df, owner, spread, limit, weight, fits)
+    narrow = rows.select(
+        *group, F.col("AttributeID").cast("string").alias("__attribute"), item.alias("__item"), weight.alias("__weight")
     )
     lists = (
-        parted.repartition(*owner, "part")
-        .groupBy(*owner, "part", "__attribute")
+        narrow.repartition(*group)
+        .groupBy(*group, "__attribute")
         .agg(sorted_list(F.col("__item"), by).alias("__rows"), F.sum("__weight").alias("__w"))
     )
-    return lists.groupBy(*owner, "part").agg(
+    return lists.groupBy(*group).agg(
         F.map_from_entries(F.collect_list(F.struct("__attribute", "__rows"))).alias(name),
         F.sum("__w").alias(f"{name}_weight"),
-    )
+    ).select(*owner, part_column(group), name, f"{name}_weight")

@@ -54,7 +54,10 @@ def _combine(kind: str, carried: Column, local: Column) -> Column:
 def running(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], chunk: Column, *aggregates: Running
 ) -> DataFrame:
-    """Add the running ``aggregates`` of each key. ``chunk`` must never decrease along ``order``."""
+    """Add the running ``aggregates`` of each key. ``chunk`` must never decrease along ``order``.
+
+    Keys and chunk must not be NULL: plain equality lets the carry join reuse the window's partitioning and order.
+    """
     by_chunk = [*keys, "__chunk"]
     rows = df.withColumn("__chunk", chunk)
     up_to = Window.partitionBy(*by_chunk).orderBy(*order)
@@ -83,7 +86,7 @@ def running(
         )
         .where(reduce(lambda x, y: x | y, [F.col(f"__carry_{a.name}").isNotNull() for a in aggregates]))
     )
-    match = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in by_chunk])
+    match = reduce(lambda x, y: x & y, [F.col(c) == F.col(f"__k_{c}") for c in by_chunk])
     return local.join(carry, match, "left").select(
         *df.columns,
         *[

@@ -53,6 +53,7 @@ def item_subtables(fx: Fixtures) -> DataFrame:
 
 def nested_rows(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
     """Nested-table rows and their references with message fields."""
+    fx = fx.stored()
     rows = fx.subtables.withColumn("fields", F.create_map(F.lit("191:Value"), "Value"))
     refs = fx.row_references.withColumn("fields", F.create_map(F.lit("TargetID"), text("TargetID")))
     return rows, refs

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.labels import effective_priority
 from tidemark.operators.ordered import Running, running
+from tidemark.session import cut_lineage
 
 LANGUAGES = {1: "en", 2: "de", 3: "fr"}
 PARTKEYS_PER_CHUNK = 1 << 22
@@ -143,6 +144,14 @@ class Fixtures:
             self.table("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")
         )
 
+    def stored(self) -> Fixtures:
+        """The same views over order lines written out once, for queries that scan them several times."""
+        copy = Fixtures(self.spark, self.sf_dir)
+        copy.__dict__["order_lines"] = cut_lineage(
+            self.order_lines.select("o_orderkey", "o_custkey", "l_partkey", "l_linenumber", "l_returnflag", "line_id")
+        )
+        return copy
+
     @cached_property
     def row_references(self) -> DataFrame:
         """References held by the order rows nested in a customer."""
