@@ -10,6 +10,7 @@ from tidemark.operators.gather import PART_LIMIT, all_fit, gather_by_attribute
 from tidemark.session import cut_lineage
 
 OWNER = ["ItemID", "LanguageID"]
+HELD = ("Reference", "Subtable")
 
 
 def children_of_items(items: DataFrame, rows: DataFrame, assigned: DataFrame | None = None) -> DataFrame:
@@ -55,12 +56,12 @@ def with_nested_rows(
             below, row_key, F.struct("SortOrder", "ReferenceID", "fields"), ["ReferenceID"],
             ["SortOrder", "ReferenceID"], "Reference", limit, fits=fits,
         )
-        current = _attach(current, grouped, row_key, "Reference")
+        current = _attach(current, grouped, row_key, "Reference", fits)
     if levels > 1 and not fits:
         current = cut_lineage(current)
     base = current
     for level in range(levels):
-        held = [c for c in ("Reference", "Subtable") if c in current.columns]
+        held = [c for c in HELD if c in current.columns]
         nested = current.where(F.col("_SubitemID") != F.col("ItemID"))
         grouped = gather_by_attribute(
             nested.withColumns({"RowID": F.col("ItemTableID"), "ItemTableID": F.col("_SubitemID")}),
@@ -73,32 +74,46 @@ def with_nested_rows(
             F.col("weight"),
             fits,
         )
-        current = _attach(base, grouped, row_key, "Subtable")
+        current = _attach(base, grouped, row_key, "Subtable", fits)
         if level + 1 < levels and not fits:
             current = cut_lineage(current)
     return current.where(F.col("_SubitemID") == F.col("ItemID"))
 
 
-def _attach(rows: DataFrame, grouped: DataFrame, key: list[str], name: str) -> DataFrame:
-    """Join grouped children on; further parts of an oversized group repeat the row with their own share."""
+def _attach(rows: DataFrame, grouped: DataFrame, key: list[str], name: str, fits: bool) -> DataFrame:
+    """Join grouped children on. Further parts of an oversized group become further parts of their row, which hold
+    nothing but the row's own columns and their share of the children."""
     child = grouped.select(
         *[F.col(k).alias(f"__{k}") for k in key], F.col("part").alias("__part"), name, f"{name}_weight"
     )
     match = [F.col(k) == F.col(f"__{k}") for k in key]
-    # Children go with part 0 of their row only; their own parts open further parts of the row.
-    match.append(F.col("part") == 0)
-    part = F.when(F.coalesce(F.col("__part"), F.lit(0)) > 0, F.col("__part")).otherwise(F.col("part"))
-    return rows.join(child, match, "left").select(
+    # The grouped side is already partitioned by the key and holds whole subtrees: merge, never broadcast it.
+    joined = rows.join(child.hint("merge"), [*match, F.col("part") == 0, F.col("__part") == 0], "left").select(
         *[
-            (F.col("weight") + F.coalesce(F.col(f"{name}_weight"), F.lit(0))).alias("weight")
-            if c == "weight"
-            else part.cast("int").alias("part")
-            if c == "part"
-            else F.col(c)
+            (F.col("weight") + F.coalesce(F.col(f"{name}_weight"), F.lit(0))).alias("weight") if c == "weight" else c
             for c in rows.columns
         ],
         name,
     )
+    if fits:
+        return joined
+    further = child.where(F.col("__part") > 0).hint("merge")
+    first = rows.where(F.col("part") == 0).withColumns(
+        {c: F.lit(None).cast(rows.schema[c].dataType) for c in HELD if c in rows.columns}
+    )
+    return joined.unionByName(
+        first.join(further, match).select(
+            *[
+                (F.col(f"{name}_weight") + 1).alias("weight")
+                if c == "weight"
+                else F.col("__part").alias("part")
+                if c == "part"
+                else F.col(c)
+                for c in rows.columns
+            ],
+            name,
+        )
+    )
 
 
 def with_base_rows(view_items: DataFrame, view_rows: DataFrame, base_rows: DataFrame) -> DataFrame:
