@@ -21,7 +21,9 @@ def children_of_items(items: DataFrame, rows: DataFrame, assigned: DataFrame | N
     owners = items.select(F.col("ID").alias("ItemID"), "LanguageID", "ClassMapping")
     joined = rows.join(owners, OWNER)
     if assigned is not None:
-        joined = joined.join(assigned, ["ClassMapping", "AttributeID"], "left_semi")
+        given = assigned.select(F.col("ClassMapping").alias("__list"), F.col("AttributeID").alias("__attribute"))
+        same = F.col("ClassMapping").eqNullSafe(F.col("__list")) & (F.col("AttributeID") == F.col("__attribute"))
+        joined = joined.join(given, same, "left_semi")
     return joined.select(*rows.columns)
 
 

@@ -87,7 +87,9 @@ def effective_attributes(
     for i, column in enumerate(columns):
         found = class_lists_to_attributes(lists if i == 0 else lists.where(F.size(id_list(column)) > 0),
                                           class_attributes, column)
-        found = lists.join(found, column).select(*columns, "AttributeID")
+        if len(columns) > 1:
+            found = found.withColumnRenamed(column, "__list")
+            found = lists.join(found, F.col(column).eqNullSafe(F.col("__list"))).select(*columns, "AttributeID")
         assigned = found if assigned is None else assigned.union(found)
     if plugin_ids:
         plugins = lists.select(

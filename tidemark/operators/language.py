@@ -47,8 +47,7 @@ def fan_out(rows: DataFrame, item_languages: DataFrame, owner: str = "ItemID") -
 def bundle(items: DataFrame, payload: Column, keys: Sequence[str] = ("ID",)) -> DataFrame:
     """One row per item: language → payload. The number of languages bounds the map."""
     return items.groupBy(*keys).agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("LanguageID").alias("k"), payload.alias("v")))))
-        .alias("languages")
+        F.map_from_entries(F.collect_list(F.struct(F.col("LanguageID").alias("k"), payload.alias("v")))).alias("languages")
     )
 
 
