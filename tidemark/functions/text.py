@@ -79,17 +79,23 @@ HTML_DROPPED = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 HTML_TAG = r"<[^>]*>"
 
 
+def _visible(c: Column) -> Column:
+    """Html without tags and entities; text without markup skips the patterns."""
+    text = F.when(c.contains("<"), F.regexp_replace(F.regexp_replace(c, HTML_DROPPED, " "), HTML_TAG, " ")).otherwise(c)
+    decoded = text
+    for entity, char in ENTITIES.items():
+        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+    return F.when(c.contains("&"), decoded).otherwise(text)
+
+
 def html_text(c: Column | str) -> Column:
     """Visible text of an html value: tags become spaces, runs of white space one space."""
-    text = F.regexp_replace(F.regexp_replace(_col(c), HTML_DROPPED, " "), HTML_TAG, " ")
-    for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    return F.trim(F.regexp_replace(_visible(_col(c)), r"\s+", " "))
 
 
 def search_tokens(c: Column | str) -> Column:
     """Tokens of the primary analyzer: html stripped, split at white space, lower case."""
-    return F.filter(F.split(F.lower(html_text(c)), r"\s+"), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(_visible(_col(c))), r"\s+"), "")
 
 
 def head_tail(c: Column | str, length: int, separator: str = "") -> Column:

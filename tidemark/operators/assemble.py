@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.maps import field_value
 from tidemark.operators.gather import PART_LIMIT, all_fit, gather_by_attribute
+from tidemark.operators.sizes import measured
 from tidemark.session import cut_lineage
 
 OWNER = ["ItemID", "LanguageID"]
@@ -16,14 +17,14 @@ HELD = ("Reference", "Subtable")
 def children_of_items(items: DataFrame, rows: DataFrame, assigned: DataFrame | None = None) -> DataFrame:
     """Reference or nested-table rows of the items, limited to attributes the item's class list assigns.
 
-    ``assigned`` holds (ClassMapping, AttributeID); it is small and Catalyst broadcasts it when it fits.
+    ``assigned`` holds (ClassMapping, AttributeID): few class lists times few attributes.
     """
     owners = items.select(F.col("ID").alias("ItemID"), "LanguageID", "ClassMapping")
     joined = rows.join(owners, OWNER)
     if assigned is not None:
         given = assigned.select(F.col("ClassMapping").alias("__list"), F.col("AttributeID").alias("__attribute"))
         same = F.col("ClassMapping").eqNullSafe(F.col("__list")) & (F.col("AttributeID") == F.col("__attribute"))
-        joined = joined.join(given, same, "left_semi")
+        joined = joined.join(measured(given), same, "left_semi")
     return joined.select(*rows.columns)
 
 
@@ -173,7 +174,7 @@ def values_by_external_key(items: DataFrame, keys: DataFrame) -> DataFrame:
     """Attribute values under the attribute's external key: (ID, LanguageID, ExternalKey, Value, FormattedValue)."""
     return (
         items.select("ID", "LanguageID", F.explode("attrs").alias("AttributeID", "v"))
-        .join(keys, "AttributeID")
+        .join(measured(keys), "AttributeID")
         .select(
             "ID", "LanguageID", "ExternalKey", F.col("v.value").alias("Value"),
             F.col("v.formatted").alias("FormattedValue"),

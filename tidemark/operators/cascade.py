@@ -5,21 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.sizes import is_small, measured
+
 
 def affected_items(items: DataFrame, deleted: DataFrame, field: str) -> DataFrame:
     """Items carrying a deleted value of ``field``. ``deleted``: field, value."""
     gone = deleted.where(F.col("field") == field).select(F.col("value").alias(field)).distinct()
-    return items.join(gone, field, "left_semi").select(*items.columns)
+    return items.join(measured(gone), field, "left_semi").select(*items.columns)
 
 
 def clear_workflows(items: DataFrame, deleted: DataFrame) -> DataFrame:
     """Items in a deleted workflow or state lose both: WorkflowID = 0 and StateID = 0."""
-    rows = items
+    rows, small = items, is_small(deleted)
     for field in ("WorkflowID", "StateID"):
         gone = deleted.where(F.col("field") == field).select(
             F.col("value").alias(f"__{field}"), F.lit(True).alias(f"__hit_{field}")
         ).distinct()
-        rows = rows.join(gone, F.col(field) == F.col(f"__{field}"), "left")
+        rows = rows.join(F.broadcast(gone) if small else gone, F.col(field) == F.col(f"__{field}"), "left")
     hit = F.coalesce("__hit_WorkflowID", F.lit(False)) | F.coalesce("__hit_StateID", F.lit(False))
     return rows.select(
         *[
@@ -31,12 +33,12 @@ def clear_workflows(items: DataFrame, deleted: DataFrame) -> DataFrame:
 
 def drop_languages(items: DataFrame, deleted: DataFrame) -> DataFrame:
     """All rows of a deleted language go. ``deleted``: LanguageID."""
-    return items.join(deleted.select("LanguageID").distinct(), "LanguageID", "left_anti").select(*items.columns)
+    return items.join(measured(deleted.select("LanguageID").distinct()), "LanguageID", "left_anti").select(*items.columns)
 
 
 def change_types(rows: DataFrame, added: DataFrame, removed: DataFrame, column: str = "item_type") -> DataFrame:
     """Rows after an item-type operation: those of removed types go, those of added types come."""
-    gone = removed.select(column).distinct()
+    gone = measured(removed.select(column).distinct())
     return rows.unionByName(added).join(gone, column, "left_anti").select(*rows.columns)
 
 

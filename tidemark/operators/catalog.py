@@ -9,6 +9,7 @@ from tidemark import fixed
 from tidemark.functions.maps import json_map
 from tidemark.functions.text import id_list
 from tidemark.operators.gather import gather
+from tidemark.operators.sizes import measured
 
 SPECIAL_KINDS = [fixed.KIND_FOLDER, fixed.KIND_REFERENCE, fixed.KIND_SUBTABLE]
 # --- fixed values: numbered parameters of an attribute --------------------------------------------------
@@ -63,7 +64,7 @@ def class_lists_to_attributes(
     classes = F.when(F.size(ids) == 0, F.array(F.lit(0).cast("bigint"))).otherwise(F.array_distinct(ids))
     return (
         distinct.select(column, F.explode(classes).alias("ClassID"))
-        .join(class_attributes.select("ClassID", "AttributeID"), "ClassID")
+        .join(measured(class_attributes.select("ClassID", "AttributeID").distinct()), "ClassID")
         .select(column, "AttributeID")
         .distinct()
     )
@@ -102,6 +103,12 @@ def effective_attributes(
     return assigned.groupBy(*columns).agg(F.sort_array(F.collect_set("AttributeID")).alias("attribute_ids"))
 
 
+def with_effective_attributes(items: DataFrame, effective: DataFrame, column: str = "ClassMapping") -> DataFrame:
+    """Items with ``attribute_ids`` of their class list; class lists are few, so the items stay where they are."""
+    lists = measured(effective.select(F.col(column).alias("__list"), "attribute_ids"))
+    return items.join(lists, F.col(column).eqNullSafe(F.col("__list")), "left").drop("__list")
+
+
 def assigned_of_kind(items: DataFrame, class_attributes: DataFrame, attributes: DataFrame, kind: int) -> DataFrame:
     """(ClassMapping, AttributeID): attributes of one kind that a class list assigns."""
     wanted = attributes_of_kind(attributes, kind).select(F.col("ID").alias("AttributeID"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.functions.labels import effective_priority, export_type, is_taken
 from tidemark.operators.ordered import CHUNK_WIDTH, Running, running
+from tidemark.operators.sizes import measured
 
 POLLED_ACTIONS = [fixed.ACTION_UPDATE, fixed.ACTION_DELETE, fixed.ACTION_CREATE, fixed.ACTION_INITIAL]
 
@@ -74,7 +75,7 @@ def mark_taken(changes: DataFrame, taken: DataFrame, consumer: int) -> DataFrame
     sent = taken.groupBy(F.col("ID").alias("__id")).agg(F.max("high_water").alias("__high"))
     hit = (F.col("InsertTime") <= F.col("__high")) & ~is_taken("ProducerStatus", consumer)
     status = F.when(hit, F.col("ProducerStatus") + F.lit(consumer)).otherwise(F.col("ProducerStatus"))
-    return changes.join(sent, F.col("ID") == F.col("__id"), "left").select(
+    return changes.join(measured(sent), F.col("ID") == F.col("__id"), "left").select(
         *[status.cast("int").alias(c) if c == "ProducerStatus" else c for c in changes.columns]
     )
 
@@ -95,7 +96,7 @@ def reinitialise(changes: DataFrame) -> DataFrame:
         .agg(F.max("InsertTime").alias("__cut"))
     )
     return (
-        changes.join(cut, F.col("item_type") == F.col("__type"), "left")
+        changes.join(measured(cut), F.col("item_type") == F.col("__type"), "left")
         .where((F.col("InsertTime") >= F.col("__cut")) | F.col("__cut").isNull())
         .select(*changes.columns)
     )

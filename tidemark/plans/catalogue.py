@@ -25,7 +25,7 @@ def effective_attributes(fx: Fixtures) -> DataFrame:
     classes = F.when(F.col("ID") % 9 == 0, F.lit("")).otherwise(F.col("ClassMapping"))
     items = fx.items.withColumn("ClassMapping", classes)
     effective = catalog.effective_attributes(items, fx.class_attributes, fx.class_kinds, plugin_ids=[-5])
-    return items.join(effective, "ClassMapping").select(
+    return catalog.with_effective_attributes(items, effective).select(
         "ID", "LanguageID", F.array_join("attribute_ids", ",").alias("attribute_ids")
     )
 
