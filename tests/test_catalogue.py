@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import Catalogue, Criteria
-from tidemark.operators import apply, cascade, catalog, feed, language, subscriptions, tree
+from tidemark.operators import apply, cascade, catalog, documents, evolve, feed, language, subscriptions, tree
 
 ITEMS = (
     "ID bigint, LanguageID bigint, LanguageShortName string, Label string, ParentID bigint, StateID bigint, "
@@ -158,12 +158,33 @@ def test_cascades(spark):
     assert ids(cascade.drop_languages(items, spark.createDataFrame([(1,)], "LanguageID bigint"))) == [3]
 
 
+def test_reindex_fields():
+    rule = documents.reindex_fields
+    assert rule(None, ["30"], ["191"], ["Label", "ID"]) == (["ID", "Label"], ["30"], ["191"])
+    assert rule(["13", "30", "99"], ["30", "31"], ["191"], ["Label"]) == (
+        ["13:Value", "13:FormattedValue", "99:Value", "99:FormattedValue"], ["30"], [],
+    )
+
+
+def test_stores_grow_and_shrink(spark):
+    old = spark.createDataFrame([(1, "a", "x")], "ID bigint, Label string, Gone string")
+    new = spark.createDataFrame([(2, "b", 5)], "ID bigint, Label string, Size int")
+    both = evolve.evolve(old, new, ("Gone",))
+    assert evolve.columns_of(both) == {"ID": "bigint", "Label": "string", "Size": "int"}
+    assert sorted(tuple(r) for r in both.collect()) == [(1, "a", None), (2, "b", 5)]
+    columns = spark.createDataFrame([("ID", "bigint"), ("Classes", "array<int>")], "field string, column_type string")
+    assert evolve.struct_type(columns).simpleString() == "struct<Classes:array<int>,ID:bigint>"
+    assert evolve.lookup_table(old.withColumn("StateID", F.lit(1)), "StateID", "User") is None
+
+
 def test_subscriptions(spark):
     subs = spark.createDataFrame(
         [("a", "User", 2), ("b", "User", 4), ("c", "User", 2)], "SubscriberName string, ItemType string, ProducerID int"
     )
     assert subscriptions.consumer_mask(subs, "User").first()["mask"] == 6
     assert subscriptions.consumer_mask(subs, "Language").first()["mask"] == -1
+    log = spark.createDataFrame([(1, "User"), (2, "Mamfile")], "ID bigint, item_type string")
+    assert ids(subscriptions.unheard(log, subs)) == [2]
     again = spark.createDataFrame([("a", "User", 8), ("d", "User", 8)], subs.schema)
     assert {(r[0], r[2]) for r in subscriptions.upsert(subs, again).collect()} == {("a", 2), ("b", 4), ("c", 2), ("d", 8)}
 

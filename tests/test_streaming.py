@@ -1,20 +1,21 @@
 """Streams: state over restarts, redelivery, user code per kind, coalesced notices."""
 
+import glob
 import random
 import time
-import uuid
 
 from pyspark.sql import functions as F
 
 from test_ordered import SCHEMA, expected_verdicts, feed
 from tidemark.operators.apply import latest, upsert_items
+from tidemark.operators.criteria import Criteria
 from tidemark.operators.freshness import fresh
 from tidemark.sources.changes import stream_changes
 from tidemark.sources.sinks import json_writer, write_documents
 from tidemark.sources.store import SnapshotStore
-from tidemark.streaming.apply import FeedState, apply_batch, start
+from tidemark.streaming.apply import FeedState, apply_batch, rebuild, start
 from tidemark.streaming.consumers import Consumer
-from tidemark.streaming.notices import coalesce_stream, session_notices
+from tidemark.streaming.notices import coalesce_stream, session_notices, write_notices
 
 
 def test_feed_over_restarts_and_redelivery(spark, tmp_path):
@@ -29,11 +30,25 @@ def test_feed_over_restarts_and_redelivery(spark, tmp_path):
     assert {tuple(r) for r in state.items.read().collect()} == want
     # The last batch once more: same version, same rows.
     version = state.items.version()
-    apply_batch(state, spark.createDataFrame(rows[91:], SCHEMA), version)
+    apply_batch(state, spark.createDataFrame(rows[91:], SCHEMA), version - 1)
     assert state.items.version() == version
     assert {tuple(r) for r in state.items.read().collect()} == want
 
 
+def test_rebuild_starts_a_new_store(spark, tmp_path):
+    log = [(i, i, i % 5, 1, i, f"m{i}", "User") for i in range(40)] + [(40, 40, 9, 4, 20, "start", "User")]
+    schema = SCHEMA + ", item_type string"
+    state = rebuild(spark, str(tmp_path / "new"), spark.createDataFrame(log, schema))
+    assert {r["ID"]: r["Message"] for r in state.items.read().collect()} == {
+        0: "m35", 1: "m36", 2: "m37", 3: "m38", 4: "m39", 9: "start",
+    }
+    later = [(50, 50, 1, 1, 99, "newer", "User"), (51, 51, 2, 1, 3, "stale", "User")]
+    spark.createDataFrame(later, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    start(stream_changes(spark, str(tmp_path / "in"), schema=schema), state).awaitTermination()
+    got = {r["ID"]: r["Message"] for r in state.items.read().collect()}
+    assert (got[1], got[2], got[9]) == ("newer", "m37", "start")
+
+
 def test_snapshots(spark, tmp_path):
     store = SnapshotStore(spark, str(tmp_path / "s"))
     assert store.version() == -1 and store.read() is None
@@ -42,6 +57,17 @@ def test_snapshots(spark, tmp_path):
     assert store.read().count() == 2 and store.read(0).count() == 3
 
 
+def test_language_filters_prune_the_store(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path / "items"))
+    rows = spark.range(60).selectExpr("id AS ID", "id % 3 AS LanguageID", "concat('l', id) AS Label", "id AS StateID")
+    store.write(rows, 0, partition_by=("LanguageID",))
+    found = Criteria().label("l8").apply(store.read(), 2)
+    plan = found.select("ID")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(LanguageID" in plan and "PushedFilters: [IsNotNull(Label), EqualTo(Label,l8)]" in plan
+    assert "StateID" not in plan.split("ReadSchema")[1]
+    assert [r["ID"] for r in found.collect()] == [8]
+
+
 def test_consumer_runs_its_own_code(spark, tmp_path):
     rows = [
         (1, "User", "Item", "Item", 1, "ExportPrimary", 4, {"43:Value": "x", "L": "a"}),
@@ -92,19 +118,23 @@ def test_live_coalescing_flushes_at_a_hundred_and_when_quiet(spark, tmp_path):
     path = str(tmp_path / "in")
     schema = "notice_key string, at_ms bigint, event_id bigint, Action int"
     spark.createDataFrame(rows, schema).coalesce(1).write.parquet(path)
-    name = "n" + uuid.uuid4().hex
     stream = spark.readStream.schema(schema).parquet(path)
-    query = (
-        coalesce_stream(stream, "notice_key", quiet_ms=1000).writeStream.format("memory").queryName(name)
-        .outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).start()
-    )
+    out = str(tmp_path / "out")
+    query = write_notices(coalesce_stream(stream, "notice_key", quiet_ms=1000), out, str(tmp_path / "cp"))
+
+    def sent():
+        if not glob.glob(f"{out}/batch=*/notice_key=*"):
+            return []
+        read = spark.read.option("recursiveFileLookup", "false").parquet(out)
+        return sorted((r["notice_key"], r["notice_type"], r["pending"]) for r in read.collect())
+
     try:
         end = time.time() + 60
-        while time.time() < end and spark.table(name).count() < 5:
+        while time.time() < end and len(sent()) < 5:
             time.sleep(1)
     finally:
         query.stop()
-    got = sorted((r["notice_key"], r["notice_type"], r["pending"]) for r in spark.table(name).collect())
+    got = sent()
     assert got == [("cold", 1, 1), ("cold", 3, 1), ("hot", -1, 60), ("hot", -1, 100), ("hot", -1, 100)]
 
 

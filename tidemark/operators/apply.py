@@ -17,14 +17,17 @@ from tidemark.operators.freshness import ARRIVAL
 
 
 def latest(
-    changes: DataFrame, keys: Sequence[str] = ("ID",), arrival: Sequence[str] = ARRIVAL
+    changes: DataFrame,
+    keys: Sequence[str] = ("ID",),
+    arrival: Sequence[str] = ARRIVAL,
+    payload: Sequence[str] = ("Message",),
 ) -> DataFrame:
     """The last change of every key, with the time of its last create (if no delete followed it).
 
     Aggregates combine on the map side, so a hot key reaches the shuffle as one row per task.
     """
     at = F.struct(*arrival)
-    carried = [c for c in changes.columns if c not in keys and c not in arrival]
+    carried = ["Action", "InsertTime", *payload]
     created = F.max(F.when(F.col("Action") == fixed.ACTION_CREATE, F.struct(*arrival, "InsertTime")))
     deleted = F.max(F.when(F.col("Action") == fixed.ACTION_DELETE, at))
     merged = changes.groupBy(*keys).agg(

@@ -86,12 +86,17 @@ def build_documents(
 def searchable_documents(
     docs: DataFrame, fields: Column, reference_ids: Column, subtable_ids: Column
 ) -> DataFrame:
-    """Searchable copy of the documents: only searchable fields, references and nested tables."""
+    """Searchable copy of the documents: only searchable fields, references and nested tables; nothing empty."""
+
+    def kept(name: str, ids: Column) -> Column:
+        found = keep_keys(name, ids)
+        return F.when(F.size(found) > 0, found)
+
     return docs.withColumns(
         {
             "fields": keep_keys("fields", fields),
-            "Reference": keep_keys("Reference", reference_ids),
-            "Subtable": keep_keys("Subtable", subtable_ids),
+            "Reference": kept("Reference", reference_ids),
+            "Subtable": kept("Subtable", subtable_ids),
         }
     )
 

@@ -53,3 +53,8 @@ def wide(items: DataFrame, attribute_ids: list[int]) -> DataFrame:
         *[F.col("attrs")[i]["value"].alias(f"{i}:Value") for i in attribute_ids],
         *[F.col("attrs")[i]["formatted"].alias(f"{i}:FormattedValue") for i in attribute_ids],
     )
+
+
+def columns_of(df: DataFrame) -> dict[str, str]:
+    """Column names and types of a store."""
+    return {f.name: f.dataType.simpleString() for f in df.schema.fields}

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.sizes import measured
+
 KEY = ["SubscriberName", "ItemType"]
 
 
@@ -39,3 +41,9 @@ def upsert(subscriptions: DataFrame, incoming: DataFrame) -> DataFrame:
 def remove(subscriptions: DataFrame, leaving: DataFrame) -> DataFrame:
     """Delete pairs."""
     return subscriptions.join(leaving, leaving.columns, "left_anti")
+
+
+def unheard(rows: DataFrame, subscriptions: DataFrame, column: str = "item_type") -> DataFrame:
+    """Rows of item types nobody listens to; their logs can go."""
+    heard = measured(subscriptions.select(F.col("ItemType").alias(column)).distinct())
+    return rows.join(heard, column, "left_anti").select(*rows.columns)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.apply import latest, upsert_items
+from tidemark.operators.feed import reinitialise
 from tidemark.operators.freshness import fold_state, judge
 from tidemark.sources.store import SnapshotStore
 
@@ -43,8 +44,13 @@ class FeedState:
         return f"{self.root}/checkpoint"
 
 
+# Version 0 is an initial load (if there was one); micro-batch n writes version n + 1.
+def _version(batch_id: int) -> int:
+    return batch_id + 1
+
+
 def _before(store: SnapshotStore, batch_id: int) -> DataFrame | None:
-    return store.read(min(store.version(), batch_id - 1))
+    return store.read(min(store.version(), _version(batch_id) - 1))
 
 
 def filter_batch(state: FeedState, batch: DataFrame, batch_id: int) -> DataFrame:
@@ -53,14 +59,29 @@ def filter_batch(state: FeedState, batch: DataFrame, batch_id: int) -> DataFrame
     judged = judge(batch, state=known)
     path = f"{state.accepted}/batch={batch_id}"
     judged.write.mode("overwrite").parquet(path)
-    state.freshness.write(fold_state(batch, known), batch_id)
+    state.freshness.write(fold_state(batch, known), _version(batch_id))
     return state.spark.read.parquet(path)
 
 
 def apply_batch(state: FeedState, batch: DataFrame, batch_id: int) -> None:
     """Filter one micro-batch and write the item store of this version."""
     accepted = filter_batch(state, batch, batch_id).where("verdict = 'valid'").drop("verdict")
-    state.items.write(upsert_items(_before(state.items, batch_id), latest(accepted)), batch_id)
+    state.items.write(upsert_items(_before(state.items, batch_id), latest(accepted)), _version(batch_id))
+
+
+def rebuild(spark: SparkSession, root: str, changes: DataFrame) -> FeedState:
+    """Start over in a new folder: forget what lies before each type's newest initial action, load the rest.
+
+    The old folder stays as it is until readers have moved; a stream started on the result goes on from here.
+    """
+    state = FeedState(spark, root)
+    kept = reinitialise(changes)
+    path = f"{state.accepted}/batch=initial"
+    judge(kept).write.mode("overwrite").parquet(path)
+    accepted = spark.read.parquet(path).where("verdict = 'valid'").drop("verdict")
+    state.freshness.write(fold_state(kept), 0)
+    state.items.write(upsert_items(None, latest(accepted)), 0)
+    return state
 
 
 def start(

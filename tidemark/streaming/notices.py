@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tidemark import fixed
 
@@ -105,3 +105,12 @@ def coalesce_stream(notices: DataFrame, key: str, quiet_ms: int = fixed.NOTICE_Q
         outputMode="Append",
         timeMode="ProcessingTime",
     )
+
+
+def write_notices(notices: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append the notices of a stream to a folder per item type; a redelivered batch overwrites its own files."""
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").partitionBy("notice_key").parquet(f"{path}/batch={batch_id}")
+
+    return notices.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).start()
