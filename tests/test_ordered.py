@@ -46,8 +46,8 @@ def expected_verdicts(rows, strict=True):
     return out
 
 
-@pytest.mark.parametrize("width", [1, 7, 50, 10_000])
-def test_running_is_independent_of_chunks(spark, width):
+@pytest.mark.parametrize("width, hot", [(1, 0), (7, 0), (50, 40), (10_000, 0), (50, 10_000)])
+def test_running_is_independent_of_chunks(spark, width, hot):
     rows = feed(300, 3)
     df = spark.createDataFrame(rows, SCHEMA)
     out = running(
@@ -55,6 +55,7 @@ def test_running_is_independent_of_chunks(spark, width):
         Running("top", "max", F.col("InsertTime")), Running("low", "min", F.col("InsertTime")),
         Running("total", "sum", F.col("seq")), Running("n", "count"),
         Running("before", "max", F.col("InsertTime"), before=True),
+        limit=hot,
     ).collect()
     seen = {}
     got = {r["seq"]: r for r in out}
@@ -73,7 +74,7 @@ def test_running_is_independent_of_chunks(spark, width):
 def test_verdicts_match_the_rule(spark, strict, width):
     rows = feed(400, 11)
     df = spark.createDataFrame(rows, SCHEMA)
-    out = judge(df, chunk=chunk_of(F.col("seq"), width), strict=strict)
+    out = judge(df, chunk=chunk_of(F.col("seq"), width), strict=strict, hot_rows=30)
     got = {r["event_id"]: r["verdict"] for r in out.select("event_id", "verdict").collect()}
     assert got == expected_verdicts(rows, strict)
 
@@ -83,7 +84,7 @@ def test_state_carries_over_batches(spark):
     got, state = {}, None
     for part in (rows[:100], rows[100:180], rows[180:]):
         df = spark.createDataFrame(part, SCHEMA)
-        got |= {r["event_id"]: r["verdict"] for r in judge(df, state=state).collect()}
+        got |= {r["event_id"]: r["verdict"] for r in judge(df, state=state, hot_rows=20, chunk=chunk_of(F.col("seq"), 9)).collect()}
         state = fold_state(df, state)
     assert got == expected_verdicts(rows)
     assert state.count() == len({r[2] for r in rows})
@@ -116,7 +117,7 @@ def test_notices_match_a_sequential_run(spark, width):
         rows.append(("a" if rng.random() < 0.8 else "b", at, i, 1))
     df = spark.createDataFrame(rows, "item_type string, at_ms bigint, event_id bigint, Action int")
     chunk = F.floor(F.col("at_ms") / width)
-    got = coalesced(df, ["item_type"], "at_ms", ["event_id"], chunk, quiet_ms=20).collect()
+    got = coalesced(df, ["item_type"], "at_ms", ["event_id"], chunk, quiet_ms=20, hot_rows=100).collect()
     want = []
     for key in ("a", "b"):
         lot = []

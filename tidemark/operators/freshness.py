@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import fixed
-from tidemark.operators.ordered import Running, chunk_of, running
+from tidemark.operators.ordered import HOT_ROWS, Running, chunk_of, running
 
 ARRIVAL = ("seq", "event_id")
 
@@ -20,6 +20,7 @@ def judge(
     chunk: Column | None = None,
     strict: bool = True,
     state: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``verdict`` (valid, stale or tombstoned) to every change, in arrival order per key.
 
@@ -36,7 +37,7 @@ def judge(
     rows = changes
     if not strict:
         created = F.when(F.col("Action") == fixed.ACTION_CREATE, 1).otherwise(0)
-        rows = running(rows, scope, order, chunk, Running("__life", "sum", created))
+        rows = running(rows, scope, order, chunk, Running("__life", "sum", created), limit=hot_rows)
         scope.append("__life")
     seen = running(
         rows,
@@ -45,6 +46,7 @@ def judge(
         chunk,
         Running("__newest", "max", F.when(~is_delete, F.col("InsertTime"))),
         Running("__deleted", "max", F.when(is_delete, 1).otherwise(0), before=True),
+        limit=hot_rows,
     )
     newest, deleted = F.col("__newest"), F.coalesce(F.col("__deleted"), F.lit(0))
     if state is not None:

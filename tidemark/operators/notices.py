@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.functions.maps import notice_language_part, notice_root_part
 from tidemark.functions.text import id_list
-from tidemark.operators.ordered import Running, running
+from tidemark.operators.ordered import HOT_ROWS, Running, hot_keys, running
 
 
 def payloads(changes: DataFrame) -> DataFrame:
@@ -37,6 +37,7 @@ def coalesced(
     chunk: Column,
     quiet_ms: int = fixed.NOTICE_QUIET_MS,
     flush: int = fixed.NOTICE_FLUSH,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Notices as sent, per key: a flush after ``quiet_ms`` without news or at ``flush`` pending ones; a flush of
     more than three is one mass notice (type -1) with the number it stands for.
@@ -44,16 +45,19 @@ def coalesced(
     Keys are few and hot, so the gaps and counts run in chunks of the time line (``chunk``).
     """
     order = [F.col(at_ms), *[F.col(c) for c in tie]]
+    hot = hot_keys(notices, keys, hot_rows)
     numbered = running(
         notices, keys, order, chunk,
         Running("__previous", "max", F.col(at_ms), before=True),
         Running("__position", "count"),
+        hot=hot,
     )
     opens = F.col("__previous").isNull() | (F.col(at_ms) - F.col("__previous") > quiet_ms)
     sessions = running(
         numbered, keys, order, chunk,
         Running("__session", "max", F.when(opens, F.col(at_ms))),
         Running("__first", "max", F.when(opens, F.col("__position"))),
+        hot=hot,
     )
     flushed = sessions.withColumn("flush", F.floor((F.col("__position") - F.col("__first")) / flush))
     group = [*keys, "__session", "flush"]

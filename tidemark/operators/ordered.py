@@ -1,9 +1,9 @@
 """Running aggregates over ordered keys of any size.
 
-A plain window puts every row of one key into one task. Here the order is cut into chunks: rows are windowed
-inside (key, chunk), each chunk is summarised by a map-side combined aggregate, the summaries (one row per
-chunk) are windowed per key, and the carried value is joined back. No task ever holds more than one chunk of a
-key, and keys that fit one chunk receive no carry row at all.
+A plain window puts every row of one key into one task. Keys are counted first (one narrow, map-side combined pass);
+only those above ``HOT_ROWS`` are cut into chunks of their order: rows are windowed inside (key, chunk), each chunk is
+summarised by a map-side combined aggregate, the summaries (one row per chunk) are windowed per key, and the carried
+value is joined back. No task ever holds more than one chunk of a hot key, and all other keys pay for a plain window.
 """
 
 from __future__ import annotations
@@ -15,8 +15,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.sizes import measured
+from tidemark.session import cut_lineage
+
 # Arrival positions per chunk. The widest (key, chunk) group is one chunk long whatever the key's share is.
 CHUNK_WIDTH = 1 << 21
+# Keys up to this many rows are windowed whole.
+HOT_ROWS = 1 << 21
 
 
 @dataclass(frozen=True)
@@ -51,29 +56,63 @@ def _combine(kind: str, carried: Column, local: Column) -> Column:
     return F.coalesce(carried, F.lit(0)) + F.coalesce(local, F.lit(0))
 
 
+def _windowed(rows: DataFrame, by: Sequence[str], order: Sequence[Column], aggregates, prefix: str) -> DataFrame:
+    window = Window.partitionBy(*by).orderBy(*order)
+    included = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    excluded = window.rowsBetween(Window.unboundedPreceding, -1)
+    return rows.select(
+        "*",
+        *[
+            _aggregate(a.kind, a.value).over(excluded if a.before else included).alias(f"{prefix}{a.name}")
+            for a in aggregates
+        ],
+    )
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``limit`` rows, written out once."""
+    return cut_lineage(
+        df.groupBy(*keys).count().where(F.col("count") > limit).select(*[F.col(k).alias(f"__h_{k}") for k in keys])
+    )
+
+
+def _hot_chunks(df: DataFrame, keys: Sequence[str], chunk: Column, hot: DataFrame | None) -> DataFrame | None:
+    """Rows with ``__chunk``, which is NULL for keys that are not hot; None when no key is."""
+    if not keys:
+        return df.withColumn("__chunk", chunk)
+    if hot.isEmpty():
+        return None
+    match = reduce(lambda x, y: x & y, [F.col(k) == F.col(f"__h_{k}") for k in keys])
+    flagged = df.join(measured(hot), match, "left")
+    return flagged.select(*df.columns, F.when(F.col(f"__h_{keys[0]}").isNotNull(), chunk).alias("__chunk"))
+
+
 def running(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], chunk: Column, *aggregates: Running
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    chunk: Column,
+    *aggregates: Running,
+    limit: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add the running ``aggregates`` of each key. ``chunk`` must never decrease along ``order``.
 
-    Keys and chunk must not be NULL: plain equality lets the carry join reuse the window's partitioning and order.
+    Keys and chunk must not be NULL. Without keys the order is global and always runs in chunks. ``hot`` passes the
+    result of ``hot_keys`` when several calls share their keys.
     """
+    if keys and hot is None:
+        hot = hot_keys(df, keys, limit)
+    rows = _hot_chunks(df, keys, chunk, hot)
+    if rows is None:
+        return _windowed(df, keys, order, aggregates, "")
     by_chunk = [*keys, "__chunk"]
-    rows = df.withColumn("__chunk", chunk)
-    up_to = Window.partitionBy(*by_chunk).orderBy(*order)
-    included = up_to.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    excluded = up_to.rowsBetween(Window.unboundedPreceding, -1)
-    local = rows.select(
-        "*",
-        *[
-            _aggregate(a.kind, a.value).over(excluded if a.before else included).alias(f"__local_{a.name}")
-            for a in aggregates
-        ],
-    )
+    local = _windowed(rows, by_chunk, order, aggregates, "__local_")
     # A key-less order still summarises to one row per chunk, so its single window stays small.
     earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        rows.groupBy(*by_chunk)
+        rows.where(F.col("__chunk").isNotNull())
+        .groupBy(*by_chunk)
         .agg(*[_aggregate(a.kind, a.value).alias(f"__sum_{a.name}") for a in aggregates])
         .select(
             *[F.col(c).alias(f"__k_{c}") for c in by_chunk],
@@ -86,6 +125,7 @@ def running(
         )
         .where(reduce(lambda x, y: x | y, [F.col(f"__carry_{a.name}").isNotNull() for a in aggregates]))
     )
+    # Plain equality: the join reuses the window's partitioning and order, and unchunked rows match nothing.
     match = reduce(lambda x, y: x & y, [F.col(c) == F.col(f"__k_{c}") for c in by_chunk])
     return local.join(carry, match, "left").select(
         *df.columns,
