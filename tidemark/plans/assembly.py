@@ -91,13 +91,12 @@ def item_subtables_nested(fx: Fixtures) -> DataFrame:
     "view_extension",
     """
 SELECT i.ID AS ItemID, s.ItemTableID, s.Value, 'view' AS origin FROM {fx_customer_items} i
-JOIN {fx_subtables} s ON s.ItemID = i.ID AND s.LanguageID = i.LanguageID WHERE s.AttributeID = 191
+JOIN {fx_subtables} s ON s.ItemID = i.ID AND s.LanguageID = i.LanguageID
 UNION ALL SELECT i.ID, s.ItemTableID, s.Value, 'base' FROM {fx_customer_items} i
-JOIN {fx_subtables} s ON s.ItemID = i._ExtensionID AND s.LanguageID = i.LanguageID WHERE s.AttributeID = 191""",
+JOIN {fx_subtables} s ON s.ItemID = i._ExtensionID AND s.LanguageID = i.LanguageID""",
 )
 def view_extension(fx: Fixtures) -> DataFrame:
-    rows = fx.subtables.where(F.col("AttributeID") == 191)
-    return assemble.with_base_rows(fx.customer_items, rows, rows).select("ItemID", "ItemTableID", "Value", "origin")
+    return assemble.with_base_rows(fx.customer_items, fx.subtables, fx.subtables).select("ItemID", "ItemTableID", "Value", "origin")
 
 
 @query(

@@ -76,13 +76,14 @@ def attr_children(fx: Fixtures) -> DataFrame:
     """
 WITH RECURSIVE t AS (SELECT ID AS root, ID, 0 AS level FROM {fx_attributes} WHERE ParentID = 0 AND IsLink = 0
  UNION ALL SELECT t.root, a.ID, t.level + 1 FROM t JOIN {fx_attributes} a ON a.ParentID = t.ID AND a.IsLink = 0),
- two AS (SELECT ID AS root, ID, 0 AS level FROM {fx_attributes} WHERE ID BETWEEN 100 AND 104
- UNION ALL SELECT ParentID, ID, 1 FROM {fx_attributes} WHERE ParentID BETWEEN 100 AND 104 AND IsLink = 0)
+ two AS (SELECT ID AS root, ID, 0 AS level FROM {fx_attributes} WHERE IsFolder = 1
+ UNION ALL SELECT a.ParentID, a.ID, 1 FROM {fx_attributes} a JOIN {fx_attributes} f ON f.ID = a.ParentID
+ WHERE f.IsFolder = 1 AND a.IsLink = 0)
 SELECT 'all' AS asked, root, ID, level FROM t UNION ALL SELECT 'one level', root, ID, level FROM two""",
 )
 def attribute_tree(fx: Fixtures) -> DataFrame:
     whole = tree.subtree(fx.attributes)
-    roots = fx.attributes.where(F.col("ID").between(100, 104)).select("ID")
+    roots = fx.attributes.where(F.col("IsFolder") == 1).select("ID")
     some = tree.subtree(fx.attributes, roots, depth=1)
     return whole.select(F.lit("all").alias("asked"), "root", "ID", "level").unionByName(
         some.select(F.lit("one level").alias("asked"), "root", "ID", "level")

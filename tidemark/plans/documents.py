@@ -66,13 +66,10 @@ def searchable_projection(fx: Fixtures) -> DataFrame:
     "notify_payload",
     f"WITH f AS ({FIELDS_SQL}) SELECT ID, LanguageID, CASE WHEN regexp_matches(name, '^-?[0-9]+:(Formatted)?Value$') OR "
     "name IN ('Label', 'WorkflowID', 'StateID') THEN 'language' ELSE 'root' END AS place, name, CASE name WHEN "
-    "'ClassMapping' THEN replace(trim(value), ' ', ',') ELSE value END AS value FROM f WHERE left(name, 1) <> '_' "
-    "AND (ID % 50) IN (SELECT ID % 50 FROM {fx_changes} WHERE Action = 2)",
+    "'ClassMapping' THEN replace(trim(value), ' ', ',') ELSE value END AS value FROM f WHERE left(name, 1) <> '_'",
 )
 def notify_payload(fx: Fixtures) -> DataFrame:
-    active = fx.changes.where(F.col("Action") == fixed.ACTION_DELETE).select((F.col("ID") % 50).alias("m")).distinct()
-    changed = fx.item_fields.join(active, F.col("ID") % 50 == F.col("m"), "left_semi").withColumn("Action", F.lit(1))
-    sent = notices.payloads(changed)
+    sent = notices.payloads(fx.item_fields.withColumn("Action", F.lit(fixed.ACTION_UPDATE)))
     classes = F.create_map(F.lit("ClassMapping"), F.array_join("classes", ","))
     return (
         long_form(sent, "language_fields").withColumn("place", F.lit("language"))
@@ -89,7 +86,7 @@ def customer_documents(fx: Fixtures) -> DataFrame:
                      , F.lit("None"), F.lit(None).cast("string")).alias("fields"),
     )
     rows, refs = nested_rows(fx)
-    own = refs.where(F.col("AttributeID") == 31).withColumn("_SubitemID", F.col("ItemID"))
+    own = refs.withColumn("_SubitemID", F.col("ItemID"))
     return docs_ops.build_documents(items, refs.unionByName(own), rows, html_fields=["Note"])
 
 
