@@ -10,6 +10,7 @@ from tidemark.functions.text import comma_list
 from tidemark.operators import apply, assemble, cascade, catalog, language
 from tidemark.plans.fixtures import Fixtures, text
 from tidemark.plans.registry import query
+from tidemark.session import cut_lineage
 from tidemark.sources.changes import read_delete
 
 
@@ -253,10 +254,11 @@ FROM {fx_items} i JOIN hit ON hit.ID = i.ID AND hit.LanguageID = i.LanguageID"""
 )
 def cascade_workflow(fx: Fixtures) -> DataFrame:
     items = fx.items.select("ID", "LanguageID", "WorkflowID", "StateID")
-    by_state = cascade.affected_items(items, fx.deleted, "StateID").select(
+    deleted = cut_lineage(fx.deleted)
+    by_state = cascade.affected_items(items, deleted, "StateID").select(
         "ID", "LanguageID", F.lit(1).alias("by_state")
     )
-    return cascade.clear_workflows(items, fx.deleted).join(by_state, ["ID", "LanguageID"], "left").select(
+    return cascade.clear_workflows(items, deleted).join(by_state, ["ID", "LanguageID"], "left").select(
         "ID", "LanguageID", "WorkflowID", "StateID", F.coalesce("by_state", F.lit(0)).alias("by_state")
     )
 

@@ -75,21 +75,31 @@ def change_kind(message: Column | str, kind: Column | str, action: Column | str)
     return F.when(inspected, message_kind(message)).otherwise(fixed.TYPE_ITEM)
 
 
-@F.pandas_udf(StringType())
-def _inflate(packed: pd.Series) -> pd.Series:
-    # Spark has no zlib expression; one Arrow batch at a time.
+# Spark has no zlib expression, so these two run in Python, one Arrow batch at a time. They are made inside functions
+# to travel with the plan instead of being imported by the workers.
+def _inflate(packed: Column) -> Column:
     def one(data):
         try:
             return None if data is None else zlib.decompress(data).decode("utf-8")
         except (zlib.error, UnicodeDecodeError):
             return None
 
-    return packed.map(one)
+    @F.pandas_udf(StringType())
+    def inflate(values: pd.Series) -> pd.Series:
+        return values.map(one)
 
+    return inflate(packed)
 
-@F.pandas_udf(StringType())
-def _deflate(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: None if t is None else base64.b64encode(zlib.compress(t.encode("utf-8"))).decode("ascii"))
+
+def _deflate(text: Column) -> Column:
+    def one(value):
+        return None if value is None else base64.b64encode(zlib.compress(value.encode("utf-8"))).decode("ascii")
+
+    @F.pandas_udf(StringType())
+    def deflate(values: pd.Series) -> pd.Series:
+        return values.map(one)
+
+    return deflate(text)
 
 
 def decode_payload(message: Column | str) -> Column:
