@@ -1,8 +1,8 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
 Fitting takes a bounded sample of labelled rows (``MAX_EXAMPLES`` of each class, chosen by a hash of the id) as the
-examples. The vector space holds the words whose presence in the examples depends on the label (chi-squared), at most
-``MAX_TERMS``; their document frequencies are counted over *all* documents. Term weights are (1 + ln tf) * idf.
+examples. The vector space holds the words whose presence in the examples depends on the label (log-likelihood
+ratio), at most ``MAX_TERMS``; their document frequencies are counted over *all* documents. Term weights are (1 + ln tf) * idf.
 
 Every document is a query on an inverted index of the examples. Examples are cut into blocks; for each word the index
 keeps the largest weight in each block, so the query's bound on every block is one small product. Blocks are scored in
@@ -20,6 +20,7 @@ rows are scored one by one; without any labelled row every score is 0; other col
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -36,8 +37,8 @@ from tidemark.session import cut_lineage
 # Labelled rows of each class that may become examples.
 MAX_EXAMPLES = 2000
 MAX_TERMS = 2048
-# Chi-squared with one degree of freedom; 12 is a chance of 1 in 2000 for a word that tells nothing.
-MIN_CHI2 = 12.0
+# By how much a word's log-likelihood ratio must pass the logarithm of the number of words tried.
+MARGIN = 1.0
 NEIGHBOURS = 15
 # Examples of one block of the index.
 BLOCK_ROWS = 64
@@ -137,13 +138,24 @@ def select_terms(examples: DataFrame, label: str, text: str) -> DataFrame:
         n1.alias("a"), (F.count(F.lit(1)) - F.sum(label)).cast("double").alias("b")
     )
     has, a, b = F.col("a") + F.col("b"), F.col("a"), F.col("b")
-    cross = a * (F.lit(n - pos) - b) - b * (F.lit(pos) - a)
-    chi2 = F.lit(n) * cross * cross / (F.lit(pos) * F.lit(n - pos) * has * (F.lit(n) - has))
+
+    def part(observed: Column, expected: Column) -> Column:
+        return F.when(observed > 0, observed * F.log(observed / expected)).otherwise(F.lit(0.0))
+
+    # The log-likelihood ratio (unlike chi-squared) holds for rare words too. A word without meaning passes the level
+    # with a chance of about exp(-level), so the level rises with the number of words tried.
+    ratio = (
+        part(a, has * pos / n)
+        + part(b, has * (n - pos) / n)
+        + part(F.lit(pos) - a, (F.lit(n) - has) * pos / n)
+        + part(F.lit(n - pos) - b, (F.lit(n) - has) * (n - pos) / n)
+    )
+    tried = seen.count()
     return (
         seen.where(has < n)
-        .select("term", chi2.alias("chi2"))
-        .where(F.col("chi2") >= MIN_CHI2)
-        .orderBy(F.desc("chi2"), "term")
+        .select("term", ratio.alias("ratio"))
+        .where(F.col("ratio") >= math.log(max(tried, 1)) + MARGIN)
+        .orderBy(F.desc("ratio"), "term")
         .limit(MAX_TERMS)
         .select("term")
     )
