@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact, mixing, packing, quality, simhash, toxicity
+from tidemark.llm import ann, exact, mixing, packing, quality, simhash, toxicity
 from tidemark.llm.common import remainder, table
 from tidemark.session import configure
 
@@ -35,6 +35,11 @@ def register(name: str, oracle: str | None = None):
     return add
 
 
+@register("op1_nearest")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @register("op5_best_fit_packing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())

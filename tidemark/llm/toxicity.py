@@ -43,13 +43,23 @@ NEIGHBOURS = 15
 # Examples of one block of the index.
 BLOCK_ROWS = 64
 
-TERM = r"[^\W\d_]+"
-_TERMS = re.compile(TERM).findall
+_WORDS = re.compile(r"[^\W\d_]+").findall
+
+
+class Terms:
+    """Term numbers of texts."""
+
+    def __init__(self, vocabulary: dict[str, int]):
+        self.vocabulary = vocabulary
+
+    def of(self, text: str) -> list[int]:
+        known = self.vocabulary
+        return [known[w] for w in _WORDS(text.lower()) if w in known]
 
 
 @dataclass
 class Model:
-    vocabulary: dict[str, int]
+    terms: Terms
     idf: np.ndarray
     # Postings by term: example numbers and weights, and the largest weight of each block.
     starts: np.ndarray
@@ -105,8 +115,7 @@ class Model:
         return float((near * self.labels[rows]).sum() / near.sum())
 
     def score(self, text: str) -> tuple[float, np.ndarray, np.ndarray]:
-        known = self.vocabulary
-        counts = Counter(known[w] for w in _TERMS(text.lower()) if w in known)
+        counts = Counter(self.terms.of(text))
         rows, cosines = self.nearest(*self.vector(counts)) if counts else (np.zeros(0, np.int64), np.zeros(0))
         if not len(rows):
             return self.empty_score, rows, cosines
@@ -166,10 +175,10 @@ def _term_counts(vocabulary: dict[str, int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(len(vocabulary) + 1, dtype=np.int64)
+        terms_of = Terms(vocabulary).of
         for batch in batches:
             for text in batch.column(0):
-                own = {vocabulary[w] for w in _TERMS(text.as_py().lower()) if w in vocabulary}
-                seen[list(own)] += 1
+                seen[list(set(terms_of(text.as_py())))] += 1
                 seen[-1] += 1
         terms = np.append(np.arange(len(vocabulary)), -1)
         yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int32()), pa.array(seen)], names=["term", "n"])
@@ -212,8 +221,9 @@ def fit(docs: DataFrame, labelled: DataFrame, id_column: str, text_column: str,
 
 def _example_counts(vocabulary: dict[str, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms_of = Terms(vocabulary).of
         for batch in batches:
-            counts = [Counter(vocabulary[w] for w in _TERMS(t.as_py().lower()) if w in vocabulary) for t in batch.column(3)]
+            counts = [Counter(terms_of(t.as_py())) for t in batch.column(3)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -230,7 +240,7 @@ def _example_counts(vocabulary: dict[str, int]):
 
 def build(vocabulary, idf, ids, labels, counts, shares) -> Model:
     """Index and calibration from the examples' term counts."""
-    model = Model(vocabulary, idf, *[np.zeros(0)] * 3, np.zeros((len(vocabulary), 1)), labels, ids, np.zeros(1), np.zeros(1), 0.0)
+    model = Model(Terms(vocabulary), idf, *[np.zeros(0)] * 3, np.zeros((len(vocabulary), 1)), labels, ids, np.zeros(1), np.zeros(1), 0.0)
     vectors = [model.vector(c) for c in counts]
     term = np.concatenate([t for t, _ in vectors] or [np.zeros(0, np.int64)]).astype(np.int64)
     row = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
