@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, exact, mixing, packing, quality, simhash, toxicity
+from tidemark.llm import ann, exact, html_text, mixing, packing, quality, secrets, simhash, toxicity
 from tidemark.llm.common import remainder, table
 from tidemark.session import configure
 
@@ -40,6 +40,22 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@register("op3_main_text")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return read.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+@register("op4_secrets")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    # The digest of a candidate, not the candidate: results are read more widely than texts.
+    return found.select(
+        "doc_id", "start", F.length("candidate").cast("bigint").alias("length"),
+        F.sha2("candidate", 256).alias("candidate_sha256"), "score", "secret",
+    )
+
+
 @register("op5_best_fit_packing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
