@@ -19,8 +19,6 @@ empty tables give empty results.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -42,7 +40,6 @@ VECTOR_BLOCK = 16_384
 STEP = 2048
 
 
-@lru_cache(maxsize=4)
 def rotation(dimension: int) -> np.ndarray:
     """A random rotation, the same in every task."""
     q, r = np.linalg.qr(np.random.default_rng(SEED).standard_normal((dimension, dimension)))

@@ -21,7 +21,6 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -332,7 +331,6 @@ def train(pages: list[str], passes: int = PASSES) -> Model:
     return Model(w, pair)
 
 
-@lru_cache(maxsize=1)
 def default_model() -> Model:
     return train(labelled_pages.pages(TRAINING_PAGES))
 

@@ -17,7 +17,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from math import isqrt
 
 import numpy as np
@@ -44,13 +43,6 @@ BATCH_CHARS = 2_000_000
 PIECES = "__row long, piece int, start long, length long, ids_crc32 long"
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
 class WordEncoder:
     """Ids of texts by way of their words.
 
@@ -59,7 +51,9 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
-        self.tokenizer = _tokenizer(path)
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, np.ndarray] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:

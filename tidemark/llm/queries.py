@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, exact, html_text, mixing, packing, quality, secrets, simhash, toxicity
+from tidemark.llm import ann, exact, html_text, mixing, packing, quality, repeats, secrets, simhash, toxicity
 from tidemark.llm.common import remainder, table
 from tidemark.session import configure
 
@@ -40,6 +40,18 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@register("op2_repeats")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @register("op3_main_text")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
