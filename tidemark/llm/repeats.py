@@ -231,7 +231,8 @@ def repeated_windows(pieces: list[bytes], keys: np.ndarray, starts: np.ndarray,
     who = owner[at]
     key, position = keys[who], starts[who] + at - offsets[who]
     order = np.lexsort((position, key, group))
-    later = np.concatenate(([False], group[order][1:] == group[order][:-1]))
+    later = np.zeros(len(order), dtype=bool)
+    later[1:] = group[order][1:] == group[order][:-1]
     return key[order][later], position[order][later]
 
 
