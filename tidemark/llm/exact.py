@@ -100,7 +100,7 @@ def drop_exact_copies(
     Rows of a verified winner leave map-side, all but those with the winning id; what remains meets by digest, limited
     to one row per digest and task before the shuffle.
     """
-    sha, order = free_name(docs, "__sha"), free_name(docs, "__order")
+    sha, order, hot, first = (free_name(docs, n) for n in ("__sha", "__order", "__hot", "__first"))
     keyed = docs.withColumn(sha, digest(text_column))
     digests = cut_lineage(keyed.select(F.col(sha).alias("__sha"), F.col(id_column).alias("__id")))
     winners = cut_lineage(
@@ -108,9 +108,9 @@ def drop_exact_copies(
         .groupBy("__sha")
         .agg(F.count(F.lit(1)).alias("__size"), F.min("__id").alias("__first"))
         .where(F.col("__size") >= hot_rows)
-        .select("__sha", "__first")
+        .select(F.col("__sha").alias(hot), F.col("__first").alias(first))
     )
-    marked = keyed.join(F.broadcast(winners), keyed[sha] == winners["__sha"], "left")
-    left = marked.where(F.col("__sha").isNull() | F.col(id_column).eqNullSafe(F.col("__first"))).select(*keyed.columns)
+    marked = keyed.join(F.broadcast(winners), F.col(sha) == F.col(hot), "left")
+    left = marked.where(F.col(hot).isNull() | F.col(id_column).eqNullSafe(F.col(first))).select(*keyed.columns)
     nth = Window.partitionBy(sha).orderBy(F.col(id_column).asc_nulls_last())
     return left.withColumn(order, F.row_number().over(nth)).where(F.col(order) == 1).select(*docs.columns)

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import CHUNK_ROWS, WORD, free_name, whole_text
+from tidemark.llm.common import CHUNK_ROWS, WORD, free_name, whole_text, with_row_key
 from tidemark.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)
@@ -125,3 +125,20 @@ def mix(
         (F.col("size") * F.coalesce("__times", F.lit(0))).cast("bigint").alias("taken"),
         F.coalesce("__times", F.lit(0)).cast("int").alias("times"),
     )
+
+
+def mixed(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+    weights: tuple[int, ...] = WEIGHTS,
+    rounds: int = ROUNDS,
+) -> DataFrame:
+    """The mix itself: rows of ``docs``, each as often as the mix takes it (rows of size 0 as often as their turn comes)."""
+    key, times = free_name(docs, "__key"), free_name(docs, "__times")
+    keyed = with_row_key(docs, id_column, key)
+    taken = mix(keyed, key, text_column, source_column, weights, rounds).where(F.col("times") > 0)
+    joined = keyed.join(taken.select(F.col(key), F.col("times").alias(times)), key)
+    repeated = joined.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
+    return repeated.select(*docs.columns)

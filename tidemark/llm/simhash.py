@@ -20,6 +20,7 @@ it has none); repeated ids and rows stay rows of their own; an empty table gives
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -283,3 +284,190 @@ def drop_near_copies(
     groups = near_groups(keyed, key, text_column, shingle_words, radius)
     gone = groups.where(F.col(key) != F.col("component_id")).select(key)
     return keyed.join(gone, key, "left_anti").select(*docs.columns)
+
+
+# --- Near copies by similarity: wide fingerprints ---------------------------------------------------------------------
+# A stage that drops near copies asks for a Jaccard similarity of five-word shingles, 0.8 or more. At 0.8 two
+# fingerprints differ in 15 % of their bits, too many for the pigeonhole rule, so fingerprints are WORDS64 words wide
+# (their distance then tells 0.8 from 0.7) and candidates share sampled bits: KEY bits per table, more of them the more
+# texts there are, and as many tables as leave a pair at the radius out with a chance below MISSED.
+
+WIDE_SHINGLE_WORDS = 5
+SIMILARITY = 0.8
+WORDS64 = 4
+# Standard deviations of the distance that the radius lies above what the similarity gives on average.
+SLACK = 1.0
+MISSED = 0.005
+# Runs below this are compared pair by pair: there is no word of lanes to fill.
+SLICED_FROM = 64
+
+
+def wide_radius(similarity: float = SIMILARITY, words64: int = WORDS64) -> int:
+    """Differing bits allowed between fingerprints of sets of one size with this Jaccard similarity."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    bits = 64 * words64
+    return round(bits * share + SLACK * math.sqrt(bits * share * (1 - share)))
+
+
+def wide_fingerprint(hashes: np.ndarray, words64: int = WORDS64) -> list[int]:
+    """``words64`` fingerprints of differently mixed hashes."""
+    out = []
+    for w in range(words64):
+        mixed = hashes ^ np.uint64((0x9E3779B97F4A7C15 * (w + 1)) & ((1 << 64) - 1))
+        mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        out.append(fingerprint(mixed ^ (mixed >> np.uint64(31))))
+    return out
+
+
+def _wide(shingle_words: int, words64: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [wide_fingerprint(shingle_hashes(t.as_py(), shingle_words), words64) for t in batch.column(1)]
+            words = np.array(found, dtype=np.uint64).reshape(-1, words64).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *[pa.array(words[:, w].copy()) for w in range(words64)]],
+                names=["key", *[f"f{w}" for w in range(words64)]],
+            )
+
+    return run
+
+
+def sampled_bits(tables: int, bits: int, words64: int) -> np.ndarray:
+    """The bit positions of each table's key."""
+    draw = np.random.default_rng(SEED)
+    return np.array([draw.permutation(64 * words64)[:bits] for _ in range(tables)])
+
+
+def _table_keys(chosen: np.ndarray):
+    """mapInArrow from (key, words) to a row for each table: its number with the sampled bits, key and words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [batch.column(i).to_numpy().view(np.uint64) for i in range(1, batch.num_columns)]
+            for t, positions in enumerate(chosen):
+                bucket = np.full(batch.num_rows, t, dtype=np.uint64)
+                for p in positions.tolist():
+                    bucket = bucket << _ONE | words[p >> 6] >> np.uint64(p & 63) & _ONE
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bucket.view(np.int64)), *batch.columns], names=["bucket", *batch.schema.names]
+                )
+
+    return run
+
+
+def _near_rows(words: np.ndarray, a: slice, b: slice, radius: int) -> np.ndarray:
+    """Boolean (rows of a, rows of b), bit-sliced over all words of the fingerprints."""
+    levels = radius.bit_length()
+    queries, block = words[a], words[b]
+    lanes = -(-len(block) // 64)
+    counters = np.zeros((levels, len(queries), lanes), dtype=np.uint64)
+    beyond = np.zeros((len(queries), lanes), dtype=np.uint64)
+    if len(block) % 64:
+        beyond[:, -1] = _ALL << np.uint64(len(block) % 64)
+    for w in range(words.shape[1]):
+        sliced = planes(block[:, w])
+        for i in range(64):
+            asked = np.where((queries[:, w] >> _BITS[i]) & _ONE, _ALL, np.uint64(0))
+            carry = sliced[i][None, :] ^ asked[:, None]
+            for level in range(levels):
+                counters[level], carry = counters[level] ^ carry, counters[level] & carry
+            beyond |= carry
+            if i % 16 == 15 and ((beyond | _exceeds(counters, radius)) == _ALL).all():
+                return np.zeros((len(queries), len(block)), dtype=bool)
+    near = ~(beyond | _exceeds(counters, radius))
+    return np.unpackbits(near.view(np.uint8), axis=1, bitorder="little")[:, : len(block)].astype(bool)
+
+
+def wide_roots(words: np.ndarray, cuts: np.ndarray, radius: int) -> np.ndarray:
+    """For each row the position of the first row of its run that it is connected to."""
+    root = np.arange(len(words))
+    sizes = np.diff(cuts)
+    short = sizes < SLICED_FROM
+    run = np.repeat(np.arange(len(sizes)), sizes)
+    in_short = np.repeat(short, sizes)
+    longest = int(sizes[short].max(initial=0))
+    for step in range(1, longest):
+        x = np.flatnonzero((run[:-step] == run[step:]) & in_short[:-step])
+        apart = np.bitwise_count(words[x] ^ words[x + step]).sum(axis=1, dtype=np.int64)
+        x = x[apart <= radius]
+        root = _close(root, x, x + step)
+    for first, last in zip(cuts[:-1][~short], cuts[1:][~short]):
+        for i in range(first, last, BLOCK):
+            for j in range(i, last, BLOCK):
+                a, b = slice(i, min(i + BLOCK, last)), slice(j, min(j + BLOCK, last))
+                x, y = np.nonzero(_near_rows(words, a, b, radius))
+                keep = x + i < y + j
+                root = _close(root, x[keep] + i, y[keep] + j)
+    return root
+
+
+def _compare_wide(radius: int):
+    """mapInArrow over (bucket, key, words) sorted by bucket: links of each bucket's keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[np.ndarray] = []
+        for batch in batches:
+            rows = np.stack([c.to_numpy() for c in batch.columns], axis=1)
+            rows = np.concatenate([*rest, rows])
+            # The last bucket may go on in the next batch.
+            last = int(np.searchsorted(rows[:, 0], rows[-1, 0]))
+            if last:
+                yield links(rows[:last])
+            rest = [rows[last:]]
+        if rest:
+            yield links(rest[0])
+
+    def links(rows: np.ndarray) -> pa.RecordBatch:
+        cuts = _runs([rows[:, 0]])
+        root = wide_roots(np.ascontiguousarray(rows[:, 2:]).view(np.uint64), cuts, radius)
+        moved = root != np.arange(len(rows))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows[moved, 1].copy()), pa.array(rows[root[moved], 1].copy())], names=["a", "b"]
+        )
+
+    return run
+
+
+def similar_groups(
+    docs: DataFrame,
+    key: str,
+    text_column: str = "text",
+    similarity: float = SIMILARITY,
+    shingle_words: int = WIDE_SHINGLE_WORDS,
+    words64: int = WORDS64,
+) -> DataFrame:
+    """``key`` and ``root`` (the group's least key) of every document in a group of more than one.
+
+    ``key`` must be a unique long. Documents of equal fingerprints are one group before anything is compared, so no
+    number of copies makes a bucket larger.
+    """
+    names = [f"f{w}" for w in range(words64)]
+    types = ", ".join(f"{n} long" for n in ["key", *names])
+    prints = cut_lineage(docs.select(F.col(key).alias("key"), whole_text(text_column).alias("t")).mapInArrow(_wide(shingle_words, words64), types))
+    equal = cut_lineage(prints.groupBy(*names).agg(F.min("key").alias("key")))
+    texts = max(2, equal.count())
+    radius = wide_radius(similarity, words64)
+    bits = max(12, round(math.log2(texts)) - 4)
+    share = (1 - radius / (64 * words64)) ** bits
+    tables = math.ceil(math.log(MISSED) / math.log(1 - share))
+    keyed = equal.select("key", *names).mapInArrow(_table_keys(sampled_bits(tables, bits, words64)), f"bucket long, {types}")
+    found = keyed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_compare_wide(radius), "a long, b long")
+    rooted = components(found)
+    same = prints.join(equal.withColumnRenamed("key", "first"), names).select("key", "first")
+    return (
+        same.join(rooted, same["first"] == rooted["node"], "left")
+        .select("key", F.coalesce("root", "first").alias("root"))
+        .where(F.col("key") != F.col("root"))
+        .unionByName(rooted.where(F.col("node") == F.col("root")).select(F.col("node").alias("key"), "root"))
+    )
+
+
+def drop_similar(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: float = SIMILARITY
+) -> DataFrame:
+    """The rows of ``docs`` that stay, whole: of each group of near copies the first by id (then by position)."""
+    key = free_name(docs, "__key")
+    keyed = with_row_key(docs, id_column, key)
+    gone = similar_groups(keyed, key, text_column, similarity).where(F.col("key") != F.col("root"))
+    return keyed.join(gone.select(F.col("key").alias(key)), key, "left_anti").select(*docs.columns)
