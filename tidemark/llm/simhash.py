@@ -27,7 +27,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import free_name, whole_text, with_row_key
@@ -288,25 +288,29 @@ def drop_near_copies(
 
 # --- Near copies by similarity: wide fingerprints ---------------------------------------------------------------------
 # A stage that drops near copies asks for a Jaccard similarity of five-word shingles, 0.8 or more. At 0.8 two
-# fingerprints differ in 15 % of their bits, too many for the pigeonhole rule, so fingerprints are WORDS64 words wide
-# (their distance then tells 0.8 from 0.7) and candidates share sampled bits: KEY bits per table, more of them the more
-# texts there are, and as many tables as leave a pair at the radius out with a chance below MISSED.
+# fingerprints differ in 15 % of their bits, too many for the pigeonhole rule, so fingerprints are WORDS64 words wide and
+# candidates share sampled bits: more bits per table the more texts there are, and as many tables as leave such a pair
+# out with a chance below MISSED. The fingerprints only choose whom to compare: candidates are verified on their shingle
+# sets. In a run of SLICED_FROM or more texts, where all pairs would be too many, each text is paired with its nearest
+# and with the one that most others are near to, anew in every table.
 
 WIDE_SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 WORDS64 = 4
 # Standard deviations of the distance that the radius lies above what the similarity gives on average.
-SLACK = 1.0
+SLACK = 2.5
 MISSED = 0.005
 # Runs below this are compared pair by pair: there is no word of lanes to fill.
 SLICED_FROM = 64
+# Candidates of a text that are verified first; the others only if that didn't join it to them.
+FIRST_TRIES = 4
 
 
-def wide_radius(similarity: float = SIMILARITY, words64: int = WORDS64) -> int:
-    """Differing bits allowed between fingerprints of sets of one size with this Jaccard similarity."""
+def _bits_apart(similarity: float, words64: int) -> tuple[float, float]:
+    """Mean and deviation of the distance between fingerprints of sets of one size with this Jaccard similarity."""
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
     bits = 64 * words64
-    return round(bits * share + SLACK * math.sqrt(bits * share * (1 - share)))
+    return bits * share, math.sqrt(bits * share * (1 - share))
 
 
 def wide_fingerprint(hashes: np.ndarray, words64: int = WORDS64) -> list[int]:
@@ -379,31 +383,50 @@ def _near_rows(words: np.ndarray, a: slice, b: slice, radius: int) -> np.ndarray
     return np.unpackbits(near.view(np.uint8), axis=1, bitorder="little")[:, : len(block)].astype(bool)
 
 
-def wide_roots(words: np.ndarray, cuts: np.ndarray, radius: int) -> np.ndarray:
-    """For each row the position of the first row of its run that it is connected to."""
-    root = np.arange(len(words))
-    sizes = np.diff(cuts)
-    short = sizes < SLICED_FROM
-    run = np.repeat(np.arange(len(sizes)), sizes)
-    in_short = np.repeat(short, sizes)
-    longest = int(sizes[short].max(initial=0))
-    for step in range(1, longest):
-        x = np.flatnonzero((run[:-step] == run[step:]) & in_short[:-step])
-        apart = np.bitwise_count(words[x] ^ words[x + step]).sum(axis=1, dtype=np.int64)
-        x = x[apart <= radius]
-        root = _close(root, x, x + step)
-    for first, last in zip(cuts[:-1][~short], cuts[1:][~short]):
-        for i in range(first, last, BLOCK):
-            for j in range(i, last, BLOCK):
-                a, b = slice(i, min(i + BLOCK, last)), slice(j, min(j + BLOCK, last))
-                x, y = np.nonzero(_near_rows(words, a, b, radius))
-                keep = x + i < y + j
-                root = _close(root, x[keep] + i, y[keep] + j)
-    return root
+def _apart(words: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(words[x] ^ words[y]).sum(axis=1, dtype=np.int64)
 
 
-def _compare_wide(radius: int):
-    """mapInArrow over (bucket, key, words) sorted by bucket: links of each bucket's keys."""
+def short_pairs(words: np.ndarray, cuts: np.ndarray, radius: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """All pairs within the radius of runs below ``SLICED_FROM``: positions and distance."""
+    sizes = np.diff(cuts)
+    short = np.repeat(sizes < SLICED_FROM, sizes)
+    run = np.repeat(np.arange(len(sizes)), sizes)
+    found = []
+    for step in range(1, int(sizes[sizes < SLICED_FROM].max(initial=0))):
+        x = np.flatnonzero((run[:-step] == run[step:]) & short[:-step])
+        apart = _apart(words, x, x + step)
+        near = apart <= radius
+        found.append((x[near], x[near] + step, apart[near]))
+    return found
+
+
+def long_pairs(words: np.ndarray, radius: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of one long run, each row with its nearest and with the row that most are near to, within the radius."""
+    n = len(words)
+    far = np.int64(1) << 62
+    best, degree = np.full(n, far), np.zeros(n, dtype=np.int64)
+    for i in range(0, n, BLOCK):
+        for j in range(i, n, BLOCK):
+            x, y = np.nonzero(_near_rows(words, slice(i, i + BLOCK), slice(j, j + BLOCK), radius))
+            keep = x + i < y + j
+            x, y = x[keep] + i, y[keep] + j
+            apart = _apart(words, x, y) << 32
+            np.minimum.at(best, x, apart | y)
+            np.minimum.at(best, y, apart | x)
+            degree += np.bincount(x, minlength=n) + np.bincount(y, minlength=n)
+    has = np.flatnonzero(best < far)
+    hub = np.full(n, degree.argmax())
+    to_hub = _apart(words, np.arange(n), hub)
+    near = (to_hub <= radius) & (np.arange(n) != hub)
+    return [
+        (has, best[has] & ((1 << 32) - 1), best[has] >> 32),
+        (np.flatnonzero(near), hub[near], to_hub[near]),
+    ]
+
+
+def _candidates(radius: int):
+    """mapInArrow over (bucket, key, words) sorted by bucket: pairs to verify with their distance, larger key first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[np.ndarray] = []
@@ -413,22 +436,46 @@ def _compare_wide(radius: int):
             # The last bucket may go on in the next batch.
             last = int(np.searchsorted(rows[:, 0], rows[-1, 0]))
             if last:
-                yield links(rows[:last])
+                yield pairs(rows[:last])
             rest = [rows[last:]]
         if rest:
-            yield links(rest[0])
+            yield pairs(rest[0])
 
-    def links(rows: np.ndarray) -> pa.RecordBatch:
+    def pairs(rows: np.ndarray) -> pa.RecordBatch:
         cuts = _runs([rows[:, 0]])
-        root = wide_roots(np.ascontiguousarray(rows[:, 2:]).view(np.uint64), cuts, radius)
-        moved = root != np.arange(len(rows))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(rows[moved, 1].copy()), pa.array(rows[root[moved], 1].copy())], names=["a", "b"]
-        )
+        words, key = np.ascontiguousarray(rows[:, 2:]).view(np.uint64), rows[:, 1]
+        found = short_pairs(words, cuts, radius)
+        for first, last in zip(cuts[:-1], cuts[1:]):
+            if last - first >= SLICED_FROM:
+                found += [(x + first, y + first, d) for x, y, d in long_pairs(words[first:last], radius)]
+        x, y, d = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in range(3))
+        a, b = np.maximum(key[x], key[y]), np.minimum(key[x], key[y])
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in (a, b, d)], names=["a", "b", "d"])
+
+    return run
+
+
+def _shingle_sets(shingle_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t.as_py(), shingle_words)).view(np.int64) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["key", "s"])
 
     return run
 
 
+def verified(pairs: DataFrame, texts: DataFrame, similarity: float, shingle_words: int) -> DataFrame:
+    """The pairs (a, b) whose shingle sets are that similar; texts without words are alike."""
+    asked = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    sets = cut_lineage(texts.join(asked, "key").select("key", "t").mapInArrow(_shingle_sets(shingle_words), "key long, s array<bigint>"))
+    both = pairs.join(sets.select(F.col("key").alias("a"), F.col("s").alias("sa")), "a").join(
+        sets.select(F.col("key").alias("b"), F.col("s").alias("sb")), "b"
+    )
+    shared = F.size(F.array_intersect("sa", "sb"))
+    either = F.size("sa") + F.size("sb") - shared
+    return both.where((shared >= similarity * either) | (either == 0)).select("a", "b")
+
+
 def similar_groups(
     docs: DataFrame,
     key: str,
@@ -439,28 +486,44 @@ def similar_groups(
 ) -> DataFrame:
     """``key`` and ``root`` (the group's least key) of every document in a group of more than one.
 
-    ``key`` must be a unique long. Documents of equal fingerprints are one group before anything is compared, so no
-    number of copies makes a bucket larger.
+    ``key`` must be a unique long. Documents of equal fingerprints stand for one another in the tables, so no number of
+    copies makes a bucket larger.
     """
     names = [f"f{w}" for w in range(words64)]
     types = ", ".join(f"{n} long" for n in ["key", *names])
-    prints = cut_lineage(docs.select(F.col(key).alias("key"), whole_text(text_column).alias("t")).mapInArrow(_wide(shingle_words, words64), types))
-    equal = cut_lineage(prints.groupBy(*names).agg(F.min("key").alias("key")))
-    texts = max(2, equal.count())
-    radius = wide_radius(similarity, words64)
-    bits = max(12, round(math.log2(texts)) - 4)
-    share = (1 - radius / (64 * words64)) ** bits
+    texts = docs.select(F.col(key).alias("key"), whole_text(text_column).alias("t"))
+    prints = cut_lineage(texts.mapInArrow(_wide(shingle_words, words64), types))
+    equal = cut_lineage(prints.groupBy(*names).agg(F.min("key").alias("first")))
+    mean, deviation = _bits_apart(similarity, words64)
+    bits = max(12, round(math.log2(max(2, equal.count()))) - 4)
+    share = (1 - (mean + deviation) / (64 * words64)) ** bits
     tables = math.ceil(math.log(MISSED) / math.log(1 - share))
-    keyed = equal.select("key", *names).mapInArrow(_table_keys(sampled_bits(tables, bits, words64)), f"bucket long, {types}")
-    found = keyed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_compare_wide(radius), "a long, b long")
-    rooted = components(found)
-    same = prints.join(equal.withColumnRenamed("key", "first"), names).select("key", "first")
-    return (
-        same.join(rooted, same["first"] == rooted["node"], "left")
-        .select("key", F.coalesce("root", "first").alias("root"))
-        .where(F.col("key") != F.col("root"))
-        .unionByName(rooted.where(F.col("node") == F.col("root")).select(F.col("node").alias("key"), "root"))
+    keyed = equal.select(F.col("first").alias("key"), *names).mapInArrow(
+        _table_keys(sampled_bits(tables, bits, words64)), f"bucket long, {types}"
+    )
+    radius = round(mean + SLACK * deviation)
+    near = keyed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_candidates(radius), "a long, b long, d long")
+    same = prints.join(equal, names).where(F.col("key") != F.col("first"))
+    pairs = cut_lineage(
+        near.unionByName(same.select(F.col("key").alias("a"), F.col("first").alias("b"), F.lit(0).cast("bigint").alias("d")))
+        .groupBy("a", "b")
+        .agg(F.min("d").alias("d"))
+        .withColumn("nth", F.row_number().over(Window.partitionBy("a").orderBy("d", "b")))
+    )
+    links = cut_lineage(verified(pairs.where(F.col("nth") <= FIRST_TRIES).select("a", "b"), texts, similarity, shingle_words))
+    joined = cut_lineage(components(links))
+    root_of = {n: joined.select(F.col("node").alias(n), F.col("root").alias(f"root_{n}")) for n in ("a", "b")}
+    apart = (
+        pairs.where(F.col("nth") > FIRST_TRIES)
+        .join(root_of["a"], "a", "left")
+        .join(root_of["b"], "b", "left")
+        .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
+        .select("a", "b")
     )
+    more = cut_lineage(verified(cut_lineage(apart), texts, similarity, shingle_words))
+    if more.isEmpty():
+        return joined.select(F.col("node").alias("key"), "root")
+    return components(links.unionByName(more)).select(F.col("node").alias("key"), "root")
 
 
 def drop_similar(
