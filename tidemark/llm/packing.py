@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 from math import isqrt
 
 import numpy as np
@@ -35,54 +36,127 @@ END_ID = 1
 GROUP_PIECES = 16_384
 # Weights of tokens, pieces and attention cost in the score.
 WEIGHTS = (1.0, 0.05, 0.25)
-# Words a worker remembers the ids of.
-REMEMBERED = 200_000
+# Words a task remembers before it starts anew, at about 250 bytes each.
+REMEMBERED = 400_000
 # Characters of documents that are encoded together.
 BATCH_CHARS = 2_000_000
 
 PIECES = "__row long, piece int, start long, length long, ids_crc32 long"
 
 
+class Numbering(dict):
+    """Numbers what is looked up, in the order of first sight."""
+
+    def __missing__(self, key):
+        self[key] = number = len(self)
+        return number
+
+
+def byte_of_sign() -> dict[str, int]:
+    """The byte each sign of a byte-level vocabulary stands for: printable ones for themselves, others from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+class PlainEncoder:
+    """The tokenizer's merges for plain words, as ranks for a faster encoder.
+
+    The mark for a word's end becomes a byte that plain words don't have, after each word; its ranks come first, as
+    the tokenizer starts from letters that carry the mark already.
+    """
+
+    END = "\x01"
+
+    def __init__(self, tokenizer):
+        import tiktoken
+
+        signs, mark = byte_of_sign(), "</w>"
+        ranks = {}
+        for token, number in tokenizer.get_vocab(with_added_tokens=False).items():
+            body = token.removesuffix(mark)
+            if all(c in signs for c in body):
+                ranks[bytes(signs[c] for c in body) + (self.END.encode() if body != token else b"")] = number
+        self.encoding = tiktoken.Encoding(
+            "plain", pat_str=f"[^{self.END}]+{self.END}", mergeable_ranks=ranks, special_tokens={}
+        )
+        self.ends = np.zeros(max(ranks.values()) + 1, dtype=bool)
+        self.ends[[n for t, n in ranks.items() if t.endswith(self.END.encode())]] = True
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in turn, and how many each word has."""
+        ids = np.array(self.encoding.encode_ordinary("".join(w + self.END for w in words)), dtype=np.uint32)
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        return ids, np.diff(stops, prepend=0)
+
+
 class WordEncoder:
     """Ids of texts by way of their words.
 
-    The tokenizer never joins what ASCII white space separates, so a text's ids are its words' ids in turn. Words
-    recur, so each is encoded once and remembered, up to a fixed number of words.
+    The tokenizer never joins what ASCII white space separates, nor letters with the signs that follow them, and it
+    ignores case. So a text's ids are its words' ids in turn, a plain word's those of its lower-case letters and of its
+    trailing signs. Words recur, so each is encoded once and remembered, up to a fixed number.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
+        self.plain = PlainEncoder(self.tokenizer)
+        self._forget()
+
+    def _forget(self) -> None:
+        # Words by number, each of two parts; parts by number, part 0 being the empty one.
+        self.words, self.parts = Numbering(), Numbering({"": 0})
+        self.halves = np.zeros((0, 2), np.int64)
+        self.flat, self.size = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.begin = self.size
+
+    def _learn(self) -> None:
+        """Take in the words and parts numbered since the last time."""
+        halves = []
+        for word in islice(self.words, len(self.halves), None):
+            plain = _PLAIN(word)
+            # What is not plain is a part as it stands, told apart by a sign before it that no word has.
+            halves.append((self.parts[plain[1].lower()], self.parts[plain[2]]) if plain else (self.parts[" " + word], 0))
+        self.halves = np.concatenate([self.halves, np.array(halves, dtype=np.int64).reshape(-1, 2)])
+        fresh = list(islice(self.parts, len(self.size), None))
+        odd = [i for i, p in enumerate(fresh) if p[0] == " "]
+        easy = [i for i, p in enumerate(fresh) if p[0] != " "]
+        rest = [e.ids for e in self.tokenizer.encode_batch([fresh[i][1:] for i in odd], add_special_tokens=False)]
+        ids, counts = self.plain.encode([fresh[i] for i in easy])
+        size, begin = np.zeros(len(fresh), np.int64), np.zeros(len(fresh), np.int64)
+        size[easy], size[odd] = counts, [len(r) for r in rest]
+        begin[easy] = np.cumsum(counts) - counts
+        begin[odd] = len(ids) + np.cumsum(size[odd]) - size[odd]
+        self.begin = np.concatenate([self.begin, begin + len(self.flat)])
+        self.size = np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, ids, np.array([i for r in rest for i in r], dtype=np.uint32)])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        words, counts = [], []
+        if len(self.words) > REMEMBERED:
+            self._forget()
+        number, codes, counts = self.words, [], [0]
         for text in texts:
             # str.split would also split at separators that the tokenizer must see itself.
-            own = _WORDS(text)
-            words.extend(own)
+            own = [number[w] for w in _WORDS(text)]
+            codes.extend(own)
             counts.append(len(own))
-        codes, unique = pd.factorize(np.array(words, dtype=object))
-        fresh = [w for w in unique if w not in self.known]
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
-            fresh = list(unique)
-        for word, encoded in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False)):
-            self.known[word] = np.array(encoded.ids, dtype=np.uint32)
-        parts = [self.known[w] for w in unique]
-        sizes = np.array([len(p) for p in parts], dtype=np.int64)
-        flat = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-        begin = np.cumsum(sizes) - sizes
-        each = sizes[codes]
-        ends = np.cumsum(each)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat(begin[codes] - (ends - each), each) + np.arange(total)]
-        cuts = np.concatenate(([0], ends))[np.cumsum([0, *counts])]
+        if len(self.words) > len(self.halves):
+            self._learn()
+        parts = self.halves[codes]
+        each = self.size[parts]
+        ends = np.cumsum(each.sum(axis=1))
+        parts, each = parts.ravel(), each.ravel()
+        total = int(each.sum())
+        ids = self.flat[np.repeat(self.begin[parts] - (np.cumsum(each) - each), each) + np.arange(total)]
+        cuts = np.concatenate(([0], ends))[np.cumsum(counts)]
         return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 _WORDS = re.compile(WORD).findall
+# Letters of Latin-1, which have one form and one lower case, and signs the tokenizer takes for a run of their own.
+_PLAIN = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]*)([.,:;!?#$%&*|()]*)").fullmatch
 
 
 def _cut(ids: np.ndarray, row: int, limit: int):
