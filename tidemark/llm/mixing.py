@@ -91,14 +91,18 @@ def mix(
     weights: tuple[int, ...] = WEIGHTS,
     rounds: int = ROUNDS,
     chunk_rows: int = CHUNK_ROWS,
+    shuffle_column: str | None = None,
 ) -> DataFrame:
-    """One row per document: id, ``size``, ``source_size``, ``target``, ``taken`` and ``times`` (rounds it is in)."""
+    """One row per document: id, ``size``, ``source_size``, ``target``, ``taken`` and ``times`` (rounds it is in).
+
+    The queue's order is a hash of ``shuffle_column``, by default the id.
+    """
     sized = cut_lineage(
         docs.select(
             F.col(id_column).alias("__id"),
             F.col(source_column).cast("string").alias("source"),
             words(text_column).alias("size"),
-            shuffle_key(id_column).alias("__key"),
+            shuffle_key(shuffle_column or id_column).alias("__key"),
             F.monotonically_increasing_id().alias("__row"),
         )
     )
@@ -138,7 +142,7 @@ def mixed(
     """The mix itself: rows of ``docs``, each as often as the mix takes it (rows of size 0 as often as their turn comes)."""
     key, times = free_name(docs, "__key"), free_name(docs, "__times")
     keyed = with_row_key(docs, id_column, key)
-    taken = mix(keyed, key, text_column, source_column, weights, rounds).where(F.col("times") > 0)
+    taken = mix(keyed, key, text_column, source_column, weights, rounds, shuffle_column=id_column).where(F.col("times") > 0)
     joined = keyed.join(taken.select(F.col(key), F.col("times").alias(times)), key)
     repeated = joined.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
     return repeated.select(*docs.columns)
