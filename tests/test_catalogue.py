@@ -123,12 +123,12 @@ def test_overlay_and_fan_out(spark):
 def test_upsert_keeps_the_create_time(spark):
     schema = "seq bigint, event_id bigint, ID bigint, Action int, InsertTime bigint, Message string"
     first = spark.createDataFrame([(1, 1, 1, 3, 10, "a"), (2, 2, 2, 3, 11, "b"), (3, 3, 3, 1, 12, "c")], schema)
-    store = apply.upsert_items(None, apply.latest(first))
+    store = apply.upsert_items(None, apply.latest(first, ("ID",)), ("ID",))
     second = spark.createDataFrame(
         [(4, 4, 1, 1, 20, "a2"), (5, 5, 2, 2, 21, ""), (6, 6, 4, 3, 22, "d"), (7, 7, 5, 3, 23, "e"), (8, 8, 5, 2, 24, "")],
         schema,
     )
-    got = {r["ID"]: tuple(r)[1:] for r in apply.upsert_items(store, apply.latest(second)).collect()}
+    got = {r["ID"]: tuple(r)[1:] for r in apply.upsert_items(store, apply.latest(second, ("ID",)), ("ID",)).collect()}
     assert got == {1: ("a2", 20, 10, 0), 3: ("c", 12, None, 0), 4: ("d", 22, 22, 1)}
 
 

@@ -74,7 +74,7 @@ def test_running_is_independent_of_chunks(spark, width, hot):
 def test_verdicts_match_the_rule(spark, strict, width):
     rows = feed(400, 11)
     df = spark.createDataFrame(rows, SCHEMA)
-    out = judge(df, chunk=chunk_of(F.col("seq"), width), strict=strict, hot_rows=30)
+    out = judge(df, keys=("ID",), chunk=chunk_of(F.col("seq"), width), strict=strict, hot_rows=30)
     got = {r["event_id"]: r["verdict"] for r in out.select("event_id", "verdict").collect()}
     assert got == expected_verdicts(rows, strict)
 
@@ -84,8 +84,8 @@ def test_state_carries_over_batches(spark):
     got, state = {}, None
     for part in (rows[:100], rows[100:180], rows[180:]):
         df = spark.createDataFrame(part, SCHEMA)
-        got |= {r["event_id"]: r["verdict"] for r in judge(df, state=state, hot_rows=20, chunk=chunk_of(F.col("seq"), 9)).collect()}
-        state = fold_state(df, state)
+        got |= {r["event_id"]: r["verdict"] for r in judge(df, ("ID",), state=state, hot_rows=20, chunk=chunk_of(F.col("seq"), 9)).collect()}
+        state = fold_state(df, state, ("ID",))
     assert got == expected_verdicts(rows)
     assert state.count() == len({r[2] for r in rows})
 
@@ -93,7 +93,7 @@ def test_state_carries_over_batches(spark):
 def test_state_needs_the_strict_rule(spark):
     df = spark.createDataFrame(feed(5, 1), SCHEMA)
     with pytest.raises(ValueError):
-        judge(df, strict=False, state=fold_state(df))
+        judge(df, ("ID",), strict=False, state=fold_state(df, keys=("ID",)))
 
 
 @pytest.mark.parametrize("width", [3, 1000])

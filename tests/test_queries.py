@@ -26,4 +26,6 @@ def test_every_query_has_sql():
 
 
 def test_entry_has_stable_columns(spark):
-    assert entry_module.entry(spark).columns == ["ID", "Message", "_LastWritten", "_InsertTime", "_IsCreated"]
+    assert entry_module.entry(spark).columns == [
+        "item_type", "type", "ID", "Message", "_LastWritten", "_InsertTime", "_IsCreated",
+    ]

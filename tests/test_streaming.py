@@ -20,13 +20,13 @@ from tidemark.streaming.notices import coalesce_stream, session_notices, write_n
 
 def test_feed_over_restarts_and_redelivery(spark, tmp_path):
     rows = feed(240, 9)
-    state = FeedState(spark, str(tmp_path / "state"))
+    state = FeedState(spark, str(tmp_path / "state"), ("ID",))
     for part in (rows[:90], rows[90:91], rows[91:]):
         spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         start(stream_changes(spark, str(tmp_path / "in"), schema=SCHEMA), state).awaitTermination()
     verdicts = {r["event_id"]: r["verdict"] for r in spark.read.parquet(state.accepted).collect()}
     assert verdicts == expected_verdicts(rows)
-    want = {tuple(r) for r in upsert_items(None, latest(fresh(spark.createDataFrame(rows, SCHEMA)))).collect()}
+    want = {tuple(r) for r in upsert_items(None, latest(fresh(spark.createDataFrame(rows, SCHEMA), keys=("ID",)), ("ID",)), ("ID",)).collect()}
     assert {tuple(r) for r in state.items.read().collect()} == want
     # The last batch once more: same version, same rows.
     version = state.items.version()
@@ -38,7 +38,7 @@ def test_feed_over_restarts_and_redelivery(spark, tmp_path):
 def test_rebuild_starts_a_new_store(spark, tmp_path):
     log = [(i, i, i % 5, 1, i, f"m{i}", "User") for i in range(40)] + [(40, 40, 9, 4, 20, "start", "User")]
     schema = SCHEMA + ", item_type string"
-    state = rebuild(spark, str(tmp_path / "new"), spark.createDataFrame(log, schema))
+    state = rebuild(spark, str(tmp_path / "new"), spark.createDataFrame(log, schema), ("ID",))
     assert {r["ID"]: r["Message"] for r in state.items.read().collect()} == {
         0: "m35", 1: "m36", 2: "m37", 3: "m38", 4: "m39", 9: "start",
     }

@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.functions.coerce import coerce, default_of, split_ids
 from tidemark.functions.text import comma_list
-from tidemark.operators.freshness import ARRIVAL
+from tidemark.operators.freshness import ARRIVAL, ITEM_KEY
 
 
 def latest(
     changes: DataFrame,
-    keys: Sequence[str] = ("ID",),
+    keys: Sequence[str] = ITEM_KEY,
     arrival: Sequence[str] = ARRIVAL,
     payload: Sequence[str] = ("Message",),
 ) -> DataFrame:
@@ -43,7 +43,7 @@ def latest(
 
 
 def upsert_items(
-    store: DataFrame | None, changes: DataFrame, keys: Sequence[str] = ("ID",), payload: Sequence[str] = ("Message",)
+    store: DataFrame | None, changes: DataFrame, keys: Sequence[str] = ITEM_KEY, payload: Sequence[str] = ("Message",)
 ) -> DataFrame:
     """New item state: payload, ``_LastWritten``, ``_InsertTime`` (of the create) and ``_IsCreated``.
 
@@ -90,9 +90,10 @@ def typed_columns(rows: DataFrame, fields: str, types: dict[str, str], now: Colu
 
 
 def replace_children(
-    children: DataFrame, changed_items: DataFrame, new_rows: DataFrame, key: Sequence[str] = ("ItemID",)
+    children: DataFrame, changed_items: DataFrame, new_rows: DataFrame, key: Sequence[str] = ("SourceType", "ItemID")
 ) -> DataFrame:
-    """Replace all rows of the changed items; an item without new rows loses its rows."""
+    """Replace all rows of the changed items; an item without new rows loses its rows. ``key`` names the owner: its
+    type (SourceType of references, ItemType of nested rows) and id."""
     owners = changed_items.select(*key).distinct()
     return children.join(owners, list(key), "left_anti").unionByName(new_rows.join(owners, list(key), "left_semi"))
 
@@ -100,31 +101,41 @@ def replace_children(
 def delete_items(
     items: DataFrame, references: DataFrame, subtables: DataFrame, deleted: DataFrame
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Remove items in all languages with their references and nested rows. ``deleted`` has a column ID."""
-    ids = deleted.select("ID").distinct()
-    owners = ids.select(F.col("ID").alias("ItemID"))
-    return (
-        items.join(ids, "ID", "left_anti"),
-        references.join(owners, "ItemID", "left_anti"),
-        subtables.join(owners, "ItemID", "left_anti"),
-    )
+    """Remove items in all languages with their references and nested rows.
+
+    ``deleted`` and ``items`` have item_type and ID; references name their owner's type SourceType, nested rows ItemType.
+    """
+    gone = deleted.select("item_type", "ID").distinct()
+
+    def without(rows: DataFrame, kind: str, ident: str) -> DataFrame:
+        owners = gone.select(F.col("item_type").alias(kind), F.col("ID").alias(ident))
+        return rows.join(owners, [kind, ident], "left_anti").select(*rows.columns)
+
+    return without(items, "item_type", "ID"), without(references, "SourceType", "ItemID"), without(subtables, "ItemType", "ItemID")
 
 
 def replace_records(records: DataFrame, incoming: DataFrame, key: str = "ID") -> DataFrame:
-    """Records are deleted by id and inserted again; the array ``states`` becomes rows of its own.
+    """Records are deleted by id and inserted again with all their columns; each of their states becomes a row of its
+    own that carries the record's other columns along.
 
-    ``incoming``: key, StateID, Label, states array<struct<StateID, Label>>.
+    ``incoming``: the records' columns and ``states``, an array of structs whose fields replace the columns of that name.
     """
-    own = incoming.select(key, "StateID", "Label")
-    states = incoming.select(key, F.inline("states"))
-    return records.join(incoming.select(key).distinct(), key, "left_anti").unionByName(own.unionByName(states))
+    state = F.col("__state")
+    element = incoming.schema["states"].dataType.elementType
+    own = incoming.drop("states")
+    states = incoming.withColumn("__state", F.explode("states")).select(
+        *[state[c].alias(c) if c in element.fieldNames() else F.col(c) for c in own.columns]
+    )
+    kept = records.join(incoming.select(key).distinct(), key, "left_anti").select(*records.columns)
+    return kept.unionByName(own.unionByName(states), allowMissingColumns=True)
 
 
 def apply_configuration(attributes: DataFrame, changes: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFrame:
-    """Attribute rows after configuration changes: ID, Label, ParentID, IsFolder, IsLink, _TypeID.
+    """Attribute rows after configuration changes, in all their columns.
 
-    ``changes``: ID, Action, envelope_key (Item, Reference, Subtable), fields, arrival. The kind follows the
-    envelope: folder 0 or standard 1 for items, 2 for references, 3 for nested tables.
+    ``changes``: ID, Action, envelope_key (Item, Reference, Subtable), fields, arrival. A message replaces the whole row:
+    a column it leaves out gets its type's default. Untouched rows stay as they are. The kind follows the envelope:
+    folder 0 or standard 1 for items, 2 for references, 3 for nested tables.
     """
     carried = F.struct("Action", "envelope_key", "fields")
     last = changes.groupBy("ID").agg(F.max_by(carried, F.struct(*arrival)).alias("last"))
@@ -135,25 +146,29 @@ def apply_configuration(attributes: DataFrame, changes: DataFrame, arrival: Sequ
         .when(fields["IsFolder"] == "1", fixed.KIND_FOLDER)
         .otherwise(fixed.KIND_STANDARD)
     )
+
+    def value(name: str) -> Column:
+        if name == "_TypeID":
+            return kind
+        own = attributes.schema[name].dataType.simpleString()
+        own = "text" if own == "string" else own
+        return F.when(F.map_contains_key(fields, F.lit(name)), coerce(fields[name], own)).otherwise(default_of(own))
+
+    columns = [c for c in attributes.columns if c != "ID"]
     new = last.select(
-        F.col("ID").alias("__id"),
-        F.col("last.Action").alias("__action"),
-        fields["Label"].alias("__Label"),
-        coerce(fields["ParentID"], "bigint").alias("__ParentID"),
-        coerce(fields["IsFolder"], "int").alias("__IsFolder"),
-        coerce(fields["IsLink"], "int").alias("__IsLink"),
-        kind.alias("___TypeID"),
+        F.col("ID").alias("__id"), F.col("last.Action").alias("__action"), *[value(c).alias(f"__new_{c}") for c in columns]
     )
     touched = F.col("__id").isNotNull()
     return (
         attributes.join(new, F.col("ID") == F.col("__id"), "full")
         .where(~touched | (F.col("__action") != fixed.ACTION_DELETE))
         .select(
-            F.coalesce("__id", "ID").alias("ID"),
             *[
-                F.when(touched, F.col(f"__{c}")).otherwise(F.col(c)).alias(c)
-                for c in ("Label", "ParentID", "IsFolder", "IsLink", "_TypeID")
-            ],
+                F.coalesce("__id", "ID").alias("ID")
+                if c == "ID"
+                else F.when(touched, F.col(f"__new_{c}")).otherwise(F.col(c)).cast(attributes.schema[c].dataType).alias(c)
+                for c in attributes.columns
+            ]
         )
     )
 

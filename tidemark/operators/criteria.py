@@ -12,14 +12,28 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import has_token
 
+
+
+def _listed(column: Column, values) -> Column:
+    """Member of a list, given as values or as text separated by commas (with or without parentheses)."""
+    if isinstance(values, str):
+        values = [v.strip().strip("'") for v in values.strip().removeprefix("(").removesuffix(")").split(",")]
+    return column.isin([F.lit(v) for v in values])
+
+
 # --- fixed values: comparison words of the filters ------------------------------------------------------
 COMPARISONS: dict[str, Callable] = {
     "=": operator.eq,
     "<": operator.lt,
     ">": operator.gt,
+    "<=": operator.le,
+    ">=": operator.ge,
+    "LIKE": lambda column, pattern: column.cast("string").like(str(pattern)),
+    "CONTAINS": lambda column, part: column.cast("string").contains(F.lit(part).cast("string")),
+    "IN": _listed,
 }
 
-# Ids up to this many become an IN list in the scan; more are semi joined.
+# Ids up to this many are looked for in the scan by ``apply``; more are semi joined.
 IN_LIST_LIMIT = 1000
 
 
@@ -37,10 +51,14 @@ class Criteria:
     def _and(self, name: str, predicate: Column) -> Criteria:
         return replace(self, predicates=(*self.predicates, predicate), _names=(*self._names, name))
 
-    def _compare(self, column: str, value, comparison: str) -> Criteria:
-        if comparison.strip() not in COMPARISONS:
+    def _compare(self, column: str, value, comparison: str, kind: str | None = None) -> Criteria:
+        """``comparison`` in any case and spacing; ``kind`` is the type a value is read as for ordering."""
+        word = comparison.strip().upper()
+        if word not in COMPARISONS:
             raise ValueError(f"comparison {comparison!r} is none of {sorted(COMPARISONS)}")
-        return self._and(column, COMPARISONS[comparison.strip()](F.col(column), F.lit(value)))
+        if kind and word not in ("LIKE", "CONTAINS", "IN"):
+            value = F.lit(value).cast(kind)
+        return self._and(column, COMPARISONS[word](F.col(column), value))
 
     def item_ids(self, ids: Iterable[int] | DataFrame) -> Criteria:
         """Accumulates: ids given in several calls are united. A DataFrame needs a column ID."""
@@ -65,12 +83,10 @@ class Criteria:
         return self._compare("ParentID", value, comparison)
 
     def last_change(self, value: str, comparison: str = "=") -> Criteria:
-        return self._and("LastChange", COMPARISONS[comparison.strip()](F.col("LastChange"), F.lit(value).cast("timestamp")))
+        return self._compare("LastChange", value, comparison, "timestamp")
 
     def creation_date(self, value: str, comparison: str = "=") -> Criteria:
-        return self._and(
-            "CreationDate", COMPARISONS[comparison.strip()](F.col("CreationDate"), F.lit(value).cast("timestamp"))
-        )
+        return self._compare("CreationDate", value, comparison, "timestamp")
 
     def language_short_name(self, value: str) -> Criteria:
         return replace(self._and("LanguageShortName", F.col("LanguageShortName") == value), language=value)
@@ -78,14 +94,14 @@ class Criteria:
     def language_by_id(self, value: int) -> Criteria:
         return replace(self, language_id=value)
 
-    def label(self, value: str) -> Criteria:
-        return self._compare("Label", value, "=")
+    def label(self, value: str, comparison: str = "=") -> Criteria:
+        return self._compare("Label", value, comparison)
 
     def is_folder(self, value: int) -> Criteria:
         return self._compare("IsFolder", value, "=")
 
-    def external_key(self, value: str) -> Criteria:
-        return self._compare("ExternalKey", value, "=")
+    def external_key(self, value: str, comparison: str = "=") -> Criteria:
+        return self._compare("ExternalKey", value, comparison)
 
     def copy_of(self, value: int) -> Criteria:
         return self._compare("CopyOf", value, "=")
@@ -106,17 +122,16 @@ class Criteria:
         """Any further predicate, as Spark SQL text."""
         return self._and("user", F.expr(predicate))
 
-    def _id_predicate(self) -> Column | None:
-        if self.ids is not None and len(self.ids) <= IN_LIST_LIMIT:
-            return F.col("ID").isin(sorted(self.ids))
-        return None
-
     def to_column(self, default_language: int | None = None) -> Column:
-        """The conjunction. Without a language filter the default language applies (None for record types)."""
+        """The conjunction. Without a language filter the default language applies (None for record types).
+
+        Listed ids are part of it, however many; ids given as a DataFrame can't be and need ``apply``.
+        """
+        if self.id_frame is not None:
+            raise ValueError("ids given as a DataFrame are joined: use apply")
         parts = list(self.predicates)
-        ids = self._id_predicate()
-        if ids is not None:
-            parts.insert(0, ids)
+        if self.ids is not None:
+            parts.insert(0, F.col("ID").isin(sorted(self.ids)))
         if self.language_id is not None:
             parts.append(F.col("LanguageID") == self.language_id)
         elif default_language is not None and self.language is None:

@@ -11,11 +11,22 @@ from tidemark import fixed
 from tidemark.operators.ordered import HOT_ROWS, Running, chunk_of, running
 
 ARRIVAL = ("seq", "event_id")
+# What a change is about: types number their items each on their own, and an item's file content is kept apart.
+ITEM_KEY = ("item_type", "type", "ID")
+
+
+def of_items() -> Column:
+    """Rows that freshness judges: items and file contents of the core types."""
+    return F.col("item_type").isin(fixed.ITEM_TYPES) & F.col("type").isin(fixed.TYPE_ITEM, fixed.TYPE_FILE_CONTENT)
+
+
+def _judged(keys: Sequence[str]) -> Column:
+    return of_items() if {"item_type", "type"} <= set(keys) else F.lit(True)
 
 
 def judge(
     changes: DataFrame,
-    keys: Sequence[str] = ("ID",),
+    keys: Sequence[str] = ITEM_KEY,
     arrival: Sequence[str] = ARRIVAL,
     chunk: Column | None = None,
     strict: bool = True,
@@ -24,7 +35,7 @@ def judge(
 ) -> DataFrame:
     """Add ``verdict`` (valid, stale or tombstoned) to every change, in arrival order per key.
 
-    A create or delete always counts. An update counts if its InsertTime equals the newest seen so far and no
+    A create or delete always counts, and so does what is no item or file content of a core type. An update counts if its InsertTime equals the newest seen so far and no
     delete came before. ``strict`` keeps a key dead after its first delete; otherwise a create starts it afresh.
     ``state`` (see ``fold_state``, strict only) is what earlier batches of the feed have seen.
     """
@@ -58,7 +69,7 @@ def judge(
         newest = F.greatest(newest, F.col("__s_newest"))
         deleted = F.greatest(deleted, F.coalesce(F.col("__s_deleted"), F.lit(0)))
     verdict = (
-        F.when(F.col("Action").isin(fixed.ACTION_DELETE, fixed.ACTION_CREATE), "valid")
+        F.when(F.col("Action").isin(fixed.ACTION_DELETE, fixed.ACTION_CREATE) | ~_judged(keys), "valid")
         .when(deleted == 1, "tombstoned")
         .when(F.col("InsertTime") == newest, "valid")
         .otherwise("stale")
@@ -66,10 +77,10 @@ def judge(
     return seen.select(*changes.columns, verdict.alias("verdict"))
 
 
-def fold_state(changes: DataFrame, state: DataFrame | None = None, keys: Sequence[str] = ("ID",)) -> DataFrame:
+def fold_state(changes: DataFrame, state: DataFrame | None = None, keys: Sequence[str] = ITEM_KEY) -> DataFrame:
     """Freshness state after a batch: newest InsertTime and whether a delete was seen, one row per key."""
     is_delete = F.col("Action") == fixed.ACTION_DELETE
-    rows = changes.select(
+    rows = changes.where(_judged(keys)).select(
         *keys,
         F.when(~is_delete, F.col("InsertTime")).alias("newest"),
         F.when(is_delete, 1).otherwise(0).alias("deleted"),
@@ -79,6 +90,11 @@ def fold_state(changes: DataFrame, state: DataFrame | None = None, keys: Sequenc
     return rows.groupBy(*keys).agg(F.max("newest").alias("newest"), F.max("deleted").alias("deleted"))
 
 
+def forget_types(state: DataFrame, removed: DataFrame, column: str = "item_type") -> DataFrame:
+    """State without the keys of removed types."""
+    return state.join(removed.select(column).distinct(), column, "left_anti").select(*state.columns)
+
+
 def fresh(changes: DataFrame, **options) -> DataFrame:
     """Only the changes that count."""
     return judge(changes, **options).where(F.col("verdict") == "valid").drop("verdict")

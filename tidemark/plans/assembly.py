@@ -172,17 +172,24 @@ def rows_by_attribute(fx: Fixtures) -> DataFrame:
 @query(
     "replace_children",
     """
-WITH changed AS (SELECT o_orderkey AS ItemID FROM orders WHERE o_orderstatus = 'P')
-SELECT ItemID, AttributeID, ReferenceID, TargetID FROM {fx_references}
-WHERE ItemID NOT IN (SELECT ItemID FROM changed)
-UNION ALL SELECT ItemID, AttributeID + 1, ReferenceID, TargetID + 1 FROM {fx_references}
-WHERE ItemID IN (SELECT ItemID FROM changed) AND SortOrder % 2 = 1""",
+WITH changed AS (SELECT o_orderkey AS ItemID FROM orders WHERE o_orderstatus = 'P'),
+ children AS (SELECT CASE WHEN AttributeID = 31 THEN 'Quote' ELSE SourceType END AS SourceType, ItemID, AttributeID,
+  ReferenceID, TargetID, SortOrder FROM {fx_references})
+SELECT SourceType, ItemID, AttributeID, ReferenceID, TargetID FROM children
+WHERE SourceType <> 'Order' OR ItemID NOT IN (SELECT ItemID FROM changed)
+UNION ALL SELECT SourceType, ItemID, AttributeID + 1, ReferenceID, TargetID + 1 FROM children
+WHERE SourceType = 'Order' AND ItemID IN (SELECT ItemID FROM changed) AND SortOrder % 2 = 1""",
 )
 def replace_children(fx: Fixtures) -> DataFrame:
-    changed = fx.table("orders").where(F.col("o_orderstatus") == "P").select(F.col("o_orderkey").alias("ItemID"))
-    rows = fx.references.select("ItemID", "AttributeID", "ReferenceID", "TargetID")
-    new = fx.references.where(F.col("SortOrder") % 2 == 1).select(
-        "ItemID", (F.col("AttributeID") + 1).alias("AttributeID"), "ReferenceID", (F.col("TargetID") + 1).alias("TargetID")
+    changed = fx.table("orders").where(F.col("o_orderstatus") == "P").select(
+        F.lit("Order").alias("SourceType"), F.col("o_orderkey").alias("ItemID")
+    )
+    # Orders and quotes share their ids.
+    own = F.when(F.col("AttributeID") == 31, "Quote").otherwise(F.col("SourceType"))
+    children = fx.references.withColumn("SourceType", own)
+    rows = children.select("SourceType", "ItemID", "AttributeID", "ReferenceID", "TargetID")
+    new = children.where(F.col("SortOrder") % 2 == 1).select(
+        "SourceType", "ItemID", (F.col("AttributeID") + 1).alias("AttributeID"), "ReferenceID", (F.col("TargetID") + 1).alias("TargetID")
     )
     return apply.replace_children(rows, changed, new)
 
@@ -190,20 +197,27 @@ def replace_children(fx: Fixtures) -> DataFrame:
 @query(
     "apply_delete",
     """
-WITH d AS (SELECT DISTINCT unnest(CASE WHEN event_id % 100 = 0 THEN [ID, ID + 7] ELSE [ID] END) AS ID
- FROM {fx_changes} WHERE Action = 2)
-SELECT 'item' AS kind, ID, count(*) AS n FROM {fx_items} WHERE ID NOT IN (SELECT ID FROM d) GROUP BY 2
-UNION ALL SELECT 'reference', ItemID, count(*) FROM {fx_references} WHERE ItemID NOT IN (SELECT ID FROM d) GROUP BY 2
-UNION ALL SELECT 'subtable', ItemID, count(*) FROM {fx_subtables} WHERE ItemID NOT IN (SELECT ID FROM d) GROUP BY 2""",
+WITH d AS (SELECT DISTINCT CASE ID % 3 WHEN 0 THEN 'Part' WHEN 1 THEN 'Order' ELSE 'Customer' END AS item_type,
+  unnest(CASE WHEN event_id % 100 = 0 THEN [ID, ID + 7] ELSE [ID] END) AS ID FROM {fx_changes} WHERE Action = 2)
+SELECT 'item' AS kind, ID, count(*) AS n FROM {fx_items} i
+WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.item_type = 'Part' AND d.ID = i.ID) GROUP BY 2
+UNION ALL SELECT 'reference', ItemID, count(*) FROM {fx_references} r
+WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.item_type = r.SourceType AND d.ID = r.ItemID) GROUP BY 2
+UNION ALL SELECT 'subtable', ItemID, count(*) FROM {fx_subtables} s
+WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.item_type = s.ItemType AND d.ID = s.ItemID) GROUP BY 2""",
 )
 def apply_delete(fx: Fixtures) -> DataFrame:
     ident = F.col("ID")
     message = F.when(F.col("event_id") % 100 == 0, F.format_string("%d, %d", ident, ident + 7)).otherwise(F.lit(""))
     deleted = (
         fx.changes.where(F.col("Action") == fixed.ACTION_DELETE)
-        .select(F.explode(read_delete("ID", message)["ids"]).alias("ID"))
+        .select(
+            F.when(ident % 3 == 0, "Part").when(ident % 3 == 1, "Order").otherwise("Customer").alias("item_type"),
+            F.explode(read_delete("ID", message)["ids"]).alias("ID"),
+        )
     )
-    items, references, subtables = apply.delete_items(fx.items, fx.references, fx.subtables, deleted)
+    parts = fx.items.select(F.lit("Part").alias("item_type"), "ID")
+    items, references, subtables = apply.delete_items(parts, fx.references, fx.subtables, deleted)
 
     def counted(df: DataFrame, kind: str, key: str) -> DataFrame:
         return df.groupBy(F.col(key).alias("ID")).agg(F.count(F.lit(1)).alias("n")).select(

@@ -144,31 +144,33 @@ WITH c AS (SELECT *, ID + 950 AS aid, row_number() OVER (PARTITION BY ID ORDER B
   FROM {fx_changes}),
  last AS (SELECT * FROM c WHERE rn = 1),
  state AS (
- SELECT a.ID, a.Label, a.ParentID, a.IsFolder, a.IsLink, a._TypeID FROM {fx_attributes} a
+ SELECT a.ID, a.Label, a.ParentID, a.IsFolder, a.IsLink, a._TypeID, a.ExternalKey, a.PropertyValues, a.ParamA, a.ParamB
+  FROM {fx_attributes} a
   WHERE NOT EXISTS (SELECT 1 FROM last WHERE aid = a.ID)
  UNION ALL SELECT aid, concat('L', CAST(event_id AS VARCHAR)),
   CASE WHEN event_id % 3 = 0 THEN 0 ELSE 100 + event_id % 25 END, CASE WHEN event_id % 10 = 3 THEN 1 ELSE 0 END, 0,
-  CASE WHEN event_id % 4 = 0 THEN 2 WHEN event_id % 4 = 1 THEN 3 WHEN event_id % 10 = 3 THEN 0 ELSE 1 END
-  FROM last WHERE Action <> 2),
+  CASE WHEN event_id % 4 = 0 THEN 2 WHEN event_id % 4 = 1 THEN 3 WHEN event_id % 10 = 3 THEN 0 ELSE 1 END,
+  '', '', '', '' FROM last WHERE Action <> 2),
  cols AS (
  SELECT DISTINCT 'item' AS store, aid AS AttributeID FROM c WHERE event_id % 4 IN (2, 3) AND event_id % 10 <> 3
  UNION SELECT CASE event_id % 4 WHEN 0 THEN 'reference' ELSE 'subtable' END, event_id % 6 FROM c WHERE event_id % 4 < 2
  UNION SELECT CASE event_id % 4 WHEN 0 THEN 'reference' ELSE 'subtable' END, event_id % 5 FROM c WHERE event_id % 4 < 2)
 SELECT 'attribute' AS kind, CAST(ID AS BIGINT) AS ID, Label, CAST(ParentID AS BIGINT) AS ParentID,
- CAST(IsFolder AS INTEGER) AS IsFolder, CAST(_TypeID AS INTEGER) AS type_id FROM state
-UNION ALL SELECT store, AttributeID, NULL, NULL, NULL, NULL FROM cols""",
+ CAST(IsFolder AS INTEGER) AS IsFolder, CAST(_TypeID AS INTEGER) AS type_id, ExternalKey, PropertyValues, ParamA, ParamB
+ FROM state
+UNION ALL SELECT store, AttributeID, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM cols""",
 )
 def config_apply(fx: Fixtures) -> DataFrame:
     changes = configuration_changes(fx)
-    columns = [c for c in ("ID", "Label", "ParentID", "IsFolder", "IsLink", "_TypeID")]
-    state = apply.apply_configuration(fx.attributes.select(*columns), changes)
-    none = F.lit(None)
+    state = apply.apply_configuration(fx.attributes, changes)
+    none, further = F.lit(None), ["ExternalKey", "PropertyValues", "ParamA", "ParamB"]
     return state.select(
-        F.lit("attribute").alias("kind"), "ID", "Label", "ParentID", "IsFolder", F.col("_TypeID").alias("type_id")
+        F.lit("attribute").alias("kind"), "ID", "Label", "ParentID", "IsFolder", F.col("_TypeID").alias("type_id"), *further
     ).unionByName(
         apply.registered_columns(changes).select(
             F.col("store").alias("kind"), F.col("AttributeID").alias("ID"), none.cast("string").alias("Label"),
             none.cast("bigint").alias("ParentID"), none.cast("int").alias("IsFolder"), none.cast("int").alias("type_id"),
+            *[none.cast("string").alias(c) for c in further],
         )
     )
 

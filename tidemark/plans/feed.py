@@ -9,7 +9,7 @@ from tidemark import fixed
 from tidemark.functions.labels import byte_size, duration, is_taken, operation_label
 from tidemark.operators import feed, subscriptions
 from tidemark.operators.apply import latest, upsert_items
-from tidemark.operators.freshness import fresh, judge
+from tidemark.operators.freshness import fresh, judge, of_items
 from tidemark.operators.notices import coalesced
 from tidemark.plans.fixtures import Fixtures, text
 from tidemark.plans.registry import query
@@ -111,13 +111,15 @@ WITH polled AS (SELECT ID, InsertTime FROM {fx_changes} WHERE Action IN (1, 2, 3
  marked AS (SELECT event_id, ProducerStatus + CASE WHEN ID IN (SELECT ID FROM polled)
   AND InsertTime <= (SELECT h FROM high) AND (ProducerStatus & 2) = 0 THEN 2 ELSE 0 END AS ProducerStatus
   FROM {fx_changes})
-SELECT event_id, CAST(ProducerStatus AS INTEGER) AS ProducerStatus FROM marked WHERE ProducerStatus <> 6""",
+SELECT event_id, CAST(ProducerStatus AS INTEGER) AS ProducerStatus FROM marked WHERE ProducerStatus <> (
+ SELECT coalesce(sum(DISTINCT ProducerID), -1) FROM {fx_subscriptions} WHERE ItemType = 'Mamfile/Item')""",
 )
 def consumer_purge(fx: Fixtures) -> DataFrame:
     polled = feed.poll(fx.changes, 2, ARRIVAL)
     high = polled.agg(F.max("InsertTime").alias("high_water"))
     taken = polled.select("ID").withColumn("high_water", high.scalar())
-    return feed.purge(feed.mark_taken(fx.changes, taken, 2), 6).select("event_id", "ProducerStatus")
+    mask = subscriptions.consumer_mask(fx.subscriptions, "Mamfile/Item").scalar()
+    return feed.purge(feed.mark_taken(fx.changes, taken, 2), mask).select("event_id", "ProducerStatus")
 
 
 @query("stale_filter", "SELECT event_id, verdict FROM {fx_judged}")
@@ -127,7 +129,7 @@ def stale_filter(fx: Fixtures) -> DataFrame:
 
 @query("apply_upsert", "SELECT * FROM {fx_state}")
 def apply_upsert(fx: Fixtures) -> DataFrame:
-    return upsert_items(None, latest(fresh(fx.changes)))
+    return upsert_items(None, latest(fresh(fx.changes).where(of_items())))
 
 
 @query(

@@ -196,9 +196,10 @@ class Fixtures:
             ((event % 4) * 2).cast("int").alias("ProducerStatus"),
             F.col("props").alias("Message"),
             "event_type",
-            F.when(F.col("user_id") % 4 == 0, "Pdmarticle")
-            .when(F.col("user_id") % 4 == 1, "Pdmarticlestructure")
-            .when(F.col("user_id") % 4 == 2, "Mamfile")
+            # Types share ids.
+            F.when((F.col("user_id") + event % 2) % 4 == 0, "Pdmarticle")
+            .when((F.col("user_id") + event % 2) % 4 == 1, "Pdmarticlestructure")
+            .when((F.col("user_id") + event % 2) % 4 == 2, "Mamfile")
             .otherwise("User")
             .alias("item_type"),
             F.when(event % 7 == 0, "Configuration")

@@ -43,6 +43,13 @@ WITH d AS (SELECT * FROM {fx_items} WHERE LanguageID = 2),
  UNION ALL SELECT 'label', ID FROM d WHERE Label = 'blue ring [de]'
  UNION ALL SELECT 'key', ID FROM d WHERE ExternalKey = 'P-17'
  UNION ALL SELECT 'copy', ID FROM d WHERE CopyOf = 2 AND WorkflowID = 1
+ UNION ALL SELECT 'many ids', ID FROM d WHERE ID BETWEEN 10 AND 1509
+ UNION ALL SELECT 'at most', ID FROM d WHERE StateID <= 3
+ UNION ALL SELECT 'at least', ID FROM d WHERE CreationDate >= TIMESTAMP '1998-02-15 00:00:00'
+ UNION ALL SELECT 'like', ID FROM d WHERE Label LIKE 'b%e ring%'
+ UNION ALL SELECT 'contains', ID FROM d WHERE contains(ExternalKey, '-1')
+ UNION ALL SELECT 'in', ID FROM d WHERE WorkflowID IN (1, 3)
+ UNION ALL SELECT 'in text', ID FROM d WHERE StateID IN (5, 7)
  UNION ALL SELECT 'from states', ID FROM d WHERE IsFolder = 1 AND ID IN (SELECT ID FROM {fx_changes} WHERE Action = 2))
 SELECT case_name, ID, CAST(1 AS BIGINT) AS n FROM hits
 UNION ALL SELECT concat('count of ', case_name), NULL, count(*) FROM hits GROUP BY case_name""",
@@ -58,6 +65,13 @@ def items_by_filter(fx: Fixtures) -> DataFrame:
         "label": Criteria().label("blue ring [de]"),
         "key": Criteria().external_key("P-17"),
         "copy": Criteria().copy_of(2).workflow_id(1),
+        "many ids": Criteria().item_ids(range(10, 1510)),
+        "at most": Criteria().state_id(3, " <= "),
+        "at least": Criteria().creation_date("1998-02-15 00:00:00", ">="),
+        "like": Criteria().label("b%e ring%", " LIKE  "),
+        "contains": Criteria().external_key("-1", "contains"),
+        "in": Criteria().workflow_id([1, 3], "IN"),
+        "in text": Criteria().state_id("(5, 7)", " IN "),
     }
     ids = fx.changes.where(F.col("Action") == fixed.ACTION_DELETE).select("ID")
     listed = Criteria().is_folder(1).item_ids(ids).apply(fx.items, DEFAULT_LANGUAGE)

@@ -53,7 +53,7 @@ SELECT event_id + CASE WHEN event_id % 5 = 0 THEN 40 ELSE 0 END AS seq, event_id
  CASE WHEN event_type = 'error' AND event_id % 50 = 0 THEN 2 WHEN event_type = 'signup' THEN 3 ELSE 1 END AS Action,
  CASE event_type WHEN 'purchase' THEN 0 WHEN 'view' THEN 2 WHEN 'click' THEN 3 ELSE 4 END AS JMSPriority,
  (event_id % 4) * 2 AS ProducerStatus, props AS Message, event_type,
- CASE user_id % 4 WHEN 0 THEN 'Pdmarticle' WHEN 1 THEN 'Pdmarticlestructure' WHEN 2 THEN 'Mamfile' ELSE 'User' END
+ CASE (user_id + event_id % 2) % 4 WHEN 0 THEN 'Pdmarticle' WHEN 1 THEN 'Pdmarticlestructure' WHEN 2 THEN 'Mamfile' ELSE 'User' END
    AS item_type,
  CASE event_id % 7 WHEN 0 THEN 'Configuration' WHEN 1 THEN 'Mapping' WHEN 2 THEN 'FileContent' ELSE 'Item' END
    AS type
@@ -62,19 +62,19 @@ FROM events""",
 SELECT *, CASE WHEN JMSPriority = 0 THEN CASE type WHEN 'Configuration' THEN 8 WHEN 'Mapping' THEN 8
  WHEN 'FileContent' THEN 6 ELSE 7 END ELSE JMSPriority END AS sent_priority FROM {fx_changes}""",
     "fx_judged": """
-SELECT *, CASE WHEN Action IN (2, 3) THEN 'valid'
- WHEN coalesce(max(CASE WHEN Action = 2 THEN 1 ELSE 0 END) OVER (PARTITION BY ID ORDER BY seq, event_id
+SELECT *, CASE WHEN Action IN (2, 3) OR type IN ('Configuration', 'Mapping') THEN 'valid'
+ WHEN coalesce(max(CASE WHEN Action = 2 THEN 1 ELSE 0 END) OVER (PARTITION BY item_type, type, ID ORDER BY seq, event_id
    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 1 THEN 'tombstoned'
- WHEN InsertTime = max(CASE WHEN Action <> 2 THEN InsertTime END) OVER (PARTITION BY ID ORDER BY seq, event_id
+ WHEN InsertTime = max(CASE WHEN Action <> 2 THEN InsertTime END) OVER (PARTITION BY item_type, type, ID ORDER BY seq, event_id
    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) THEN 'valid' ELSE 'stale' END AS verdict FROM {fx_changes}""",
     "fx_state": """
-SELECT l.ID, l.Message, l.InsertTime AS _LastWritten, c.created AS _InsertTime,
+SELECT l.item_type, l.type, l.ID, l.Message, l.InsertTime AS _LastWritten, c.created AS _InsertTime,
  CASE WHEN l.Action = 3 THEN 1 ELSE 0 END AS _IsCreated
-FROM (SELECT *, row_number() OVER (PARTITION BY ID ORDER BY seq DESC, event_id DESC) AS rn
- FROM {fx_judged} WHERE verdict = 'valid') l
-LEFT JOIN (SELECT ID, InsertTime AS created FROM (SELECT j.*, row_number() OVER (PARTITION BY j.ID
- ORDER BY seq DESC, event_id DESC) AS rn FROM {fx_judged} j WHERE Action IN (2, 3)) WHERE rn = 1 AND Action = 3) c
- ON c.ID = l.ID
+FROM (SELECT *, row_number() OVER (PARTITION BY item_type, type, ID ORDER BY seq DESC, event_id DESC) AS rn
+ FROM {fx_judged} WHERE verdict = 'valid' AND type IN ('Item', 'FileContent')) l
+LEFT JOIN (SELECT item_type, type, ID, InsertTime AS created FROM (SELECT j.*, row_number() OVER (
+ PARTITION BY j.item_type, j.type, j.ID ORDER BY seq DESC, event_id DESC) AS rn FROM {fx_judged} j WHERE Action IN (2, 3)) WHERE rn = 1 AND Action = 3) c
+ ON c.ID = l.ID AND c.item_type = l.item_type AND c.type = l.type
 WHERE l.rn = 1 AND l.Action <> 2""",
     "fx_subscriptions": """
 SELECT concat('consumer-', CAST(ID AS VARCHAR)) AS SubscriberName, concat(item_type, '/', type) AS ItemType,

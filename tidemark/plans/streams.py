@@ -12,7 +12,7 @@ from tidemark.sources.changes import stream_changes
 from tidemark.streaming.apply import FeedState, apply_batch, filter_batch, start
 
 SLICES = 3
-COLUMNS = ["seq", "event_id", "ID", "Action", "InsertTime", "Message"]
+COLUMNS = ["seq", "event_id", "item_type", "type", "ID", "Action", "InsertTime", "Message"]
 
 
 def feed_in_slices(fx: Fixtures, step) -> FeedState:

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.apply import latest, upsert_items
 from tidemark.operators.feed import reinitialise
-from tidemark.operators.freshness import fold_state, judge
+from tidemark.operators.freshness import ITEM_KEY, fold_state, judge, of_items
 from tidemark.sources.store import SnapshotStore
 
 
@@ -26,6 +26,8 @@ class FeedState:
 
     spark: SparkSession
     root: str
+    # What identifies an item; with its type and kind among them, only items and file contents are stored.
+    keys: tuple[str, ...] = ITEM_KEY
 
     @property
     def freshness(self) -> SnapshotStore:
@@ -56,31 +58,38 @@ def _before(store: SnapshotStore, batch_id: int) -> DataFrame | None:
 def filter_batch(state: FeedState, batch: DataFrame, batch_id: int) -> DataFrame:
     """Judge one micro-batch against the carried state, then move the state on."""
     known = _before(state.freshness, batch_id)
-    judged = judge(batch, state=known)
+    judged = judge(batch, keys=state.keys, state=known)
     path = f"{state.accepted}/batch={batch_id}"
     judged.write.mode("overwrite").parquet(path)
-    state.freshness.write(fold_state(batch, known), _version(batch_id))
+    state.freshness.write(fold_state(batch, known, state.keys), _version(batch_id))
     return state.spark.read.parquet(path)
 
 
+def _stored(state: FeedState, judged: DataFrame) -> DataFrame:
+    """Accepted changes that make items."""
+    accepted = judged.where("verdict = 'valid'").drop("verdict")
+    return accepted.where(of_items()) if {"item_type", "type"} <= set(state.keys) else accepted
+
+
 def apply_batch(state: FeedState, batch: DataFrame, batch_id: int) -> None:
     """Filter one micro-batch and write the item store of this version."""
-    accepted = filter_batch(state, batch, batch_id).where("verdict = 'valid'").drop("verdict")
-    state.items.write(upsert_items(_before(state.items, batch_id), latest(accepted)), _version(batch_id))
+    accepted = _stored(state, filter_batch(state, batch, batch_id))
+    new = upsert_items(_before(state.items, batch_id), latest(accepted, state.keys), state.keys)
+    state.items.write(new, _version(batch_id))
 
 
-def rebuild(spark: SparkSession, root: str, changes: DataFrame) -> FeedState:
+def rebuild(spark: SparkSession, root: str, changes: DataFrame, keys: tuple[str, ...] = ITEM_KEY) -> FeedState:
     """Start over in a new folder: forget what lies before each type's newest initial action, load the rest.
 
     The old folder stays as it is until readers have moved; a stream started on the result goes on from here.
     """
-    state = FeedState(spark, root)
+    state = FeedState(spark, root, keys)
     kept = reinitialise(changes)
     path = f"{state.accepted}/batch=initial"
-    judge(kept).write.mode("overwrite").parquet(path)
-    accepted = spark.read.parquet(path).where("verdict = 'valid'").drop("verdict")
-    state.freshness.write(fold_state(kept), 0)
-    state.items.write(upsert_items(None, latest(accepted)), 0)
+    judge(kept, keys=keys).write.mode("overwrite").parquet(path)
+    accepted = _stored(state, spark.read.parquet(path))
+    state.freshness.write(fold_state(kept, keys=keys), 0)
+    state.items.write(upsert_items(None, latest(accepted, keys), keys), 0)
     return state
 
 
@@ -92,11 +101,7 @@ def start(
     every: str = "5 seconds",
 ) -> StreamingQuery:
     """Run ``step`` on every micro-batch of the streaming ``changes``."""
-    writer = changes.writeStream.foreachBatch(lambda batch, batch_id: _run(step, state, batch, batch_id))
+    writer = changes.writeStream.foreachBatch(lambda batch, batch_id: (step(state, batch, batch_id), None)[1])
     writer = writer.option("checkpointLocation", state.checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
     return writer.start()
-
-
-def _run(step: Callable[[FeedState, DataFrame, int], object], state: FeedState, batch: DataFrame, batch_id: int) -> None:
-    step(state, batch, batch_id)
