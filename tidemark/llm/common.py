@@ -74,3 +74,19 @@ def with_row_key(df: DataFrame, id_column: str, name: str) -> DataFrame:
     )
     placed = cut_lineage(ordered_position(tied, ["__null", id_column, "__hash"], name))
     return placed.drop("__null", "__hash")
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``cut_lineage`` wrote, once all that was built on them is written itself.
+
+    The shuffle files of the jobs before are garbage by then, but Spark only drops them when the driver's collector
+    comes round to their owners; it is asked to, so that a long job doesn't keep every shuffle it ever made.
+    """
+    for df in tables:
+        spark = df.sparkSession
+        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if tables:
+        tables[0].sparkSession._jvm.System.gc()

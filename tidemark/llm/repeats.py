@@ -4,9 +4,11 @@ A byte goes if some string of ``min_bytes`` bytes that covers it also starts ear
 smaller key, or in the same row further ahead. Strings never cross rows and are judged on the input.
 
 1. Whole copies of a text are settled first, by digest: each but the first goes entirely.
-2. Every window of ``min_bytes`` bytes is named by the least hash among its ``GRAM``-byte substrings. Equal windows have
-   equal names, whatever stands around them. Consecutive windows of one name are a region; only name, place and digest
-   of a region travel, and regions whose name occurs once are dropped after a map-side combined count.
+2. Every window of ``min_bytes`` bytes picks one longer substring of itself, at the place of the least hash among its
+   ``GRAM``-byte substrings modulo the number of places, and is named by that substring's hash. Equal windows have equal
+   names, whatever stands around them. Consecutive windows that pick the same place are a region; only name, place and
+   digest of a region travel, and regions whose name occurs once are dropped after a map-side combined count. Names are
+   substrings of half a window, so texts hardly share one unless they share a passage.
 3. Regions alike in every byte need no comparison: all but the first one go.
 4. The different regions of one name are put together with those of other names into strings of bounded size. Their
    suffixes are sorted and the Burrows-Wheeler transform taken. Breadth-first backward extension over its intervals
@@ -32,13 +34,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import free_name, whole_text, with_row_key
+from tidemark.llm.common import discard, free_name, whole_text, with_row_key
 from tidemark.session import cut_lineage
 
 MIN_BYTES = 100
-GRAM = 24
-# Windows of one region at most; longer runs of one name (periodic text) are cut.
-REGION_WINDOWS = 256
+GRAM = 8
 # Bytes of text hashed at a time, and of regions sorted at a time.
 TEXT_PIECE = 1 << 20
 SORT_BYTES = 1 << 17
@@ -83,47 +83,47 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def regions(data: bytes, min_bytes: int) -> tuple[np.ndarray, ...]:
-    """Name, first window, number of windows, digest of each region, and whether its name occurs in it twice."""
+    """Name, first window, number of windows and digest of each region."""
     found: list[tuple[np.ndarray, ...]] = []
-    window = min_bytes - GRAM + 1
+    # The longest named substring that has a place to itself for every place of the least hash.
+    named = (min_bytes + GRAM) // 2
+    places = min_bytes - named + 1
     view, total = memoryview(data), len(data) - min_bytes + 1
-    for at in range(0, max(total, 0), TEXT_PIECE):
-        piece = np.frombuffer(view[at : min(at + TEXT_PIECE, total) + min_bytes - 1], dtype=np.uint8)
-        hashes = gram_hashes(piece, GRAM) & ~np.uint64(127)
-        place = np.arange(len(hashes), dtype=np.uint64) & np.uint64(127)
-        # The low bits hold the place, from the left and from the right: they disagree if the least hash is there twice.
-        left = sliding_least(hashes | place, window)
-        right = sliding_least(hashes | (np.uint64(127) - place), window)
-        twice = (left & np.uint64(127)) + (right & np.uint64(127)) != 127
-        name = left >> np.uint64(7)
-        starts = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
-        counts = np.diff(np.append(starts, len(name)))
-        if (counts > REGION_WINDOWS).any():
-            cuts = -(-counts // REGION_WINDOWS)
-            nth = np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)
-            ends = np.repeat(starts + counts, cuts)
-            starts = np.repeat(starts, cuts) + nth * REGION_WINDOWS
-            counts = np.minimum(ends - starts, REGION_WINDOWS)
-        repeated = np.logical_or.reduceat(twice, starts)
+    for begin in range(0, max(total, 0), TEXT_PIECE):
+        piece = np.frombuffer(view[begin : min(begin + TEXT_PIECE, total) + min_bytes - 1], dtype=np.uint8)
+        hashes = gram_hashes(piece, GRAM) & ~np.uint64(255)
+        place = np.arange(len(hashes), dtype=np.uint64)
+        width = min_bytes - GRAM + 1
+        # The low bits hold the place modulo 256, so that the least hash tells where it stands, and the first one if it
+        # recurs. A window's places must not wrap round for that: a second count, half way off, serves those that do.
+        near = sliding_least(hashes | place & np.uint64(255), width)
+        off = sliding_least(hashes | place + np.uint64(128) & np.uint64(255), width)
+        window = np.arange(len(near))
+        wraps = window & 128 != 0
+        least = (np.where(wraps, off, near) & np.uint64(255)).astype(np.int64)
+        picked = window + (least - (window & 127)) % places
+        starts = np.flatnonzero(np.concatenate(([True], picked[1:] != picked[:-1])))
+        counts = np.diff(np.append(starts, len(picked)))
+        names = gram_hashes(piece, named)[picked[starts]] >> np.uint64(1)
         digest = xxhash.xxh3_64_intdigest
         stops = starts + counts + (min_bytes - 1)
-        digests = [digest(view[at + a : at + b]) for a, b in zip(starts.tolist(), stops.tolist())]
-        found.append((name[starts], starts + at, counts, np.array(digests, dtype=np.uint64), repeated | (counts > window)))
+        digests = [digest(view[begin + a : begin + b]) for a, b in zip(starts.tolist(), stops.tolist())]
+        found.append((names, starts + begin, counts, np.array(digests, dtype=np.uint64)))
     if not found:
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _find_regions(min_bytes: int):
-    """mapInArrow from (key, text) to regions; place packs the first window, the windows' number and the flag."""
+    """mapInArrow from (key, text) to regions; place packs the first window and the number of windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list[np.ndarray]] = [[], [], [], []]
             size = 0
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                name, start, count, digest, twice = regions(text.as_py().encode(), min_bytes)
-                packed = start.astype(np.int64) * 1024 + count.astype(np.int64) * 2 + twice.astype(np.int64)
+                name, start, count, digest = regions(text.as_py().encode(), min_bytes)
+                packed = start.astype(np.int64) * 128 + count.astype(np.int64)
                 values = (name.astype(np.int64), np.full(len(name), key), packed, digest.astype(np.uint64).view(np.int64))
                 for column, value in zip(out, values):
                     column.append(value)
@@ -316,23 +316,17 @@ def repeated_spans(texts: DataFrame, min_bytes: int = MIN_BYTES, hot_regions: in
     """``key``, ``low``, ``high`` of byte spans that go (they may overlap), of distinct texts (``key``, ``text``)."""
     long_enough = texts.where(F.octet_length("text") >= min_bytes)
     found = cut_lineage(long_enough.mapInArrow(_find_regions(min_bytes), "name long, key long, place long, digest long"))
-    names = (
-        found.groupBy("name")
-        .agg(F.count(F.lit(1)).alias("n"), F.max(F.col("place") % 2).alias("twice"))
-        .where((F.col("n") > 1) | (F.col("twice") == 1))
-        .select("name")
-    )
-    start, count = F.floor(F.col("place") / 1024).cast("bigint"), (F.floor(F.col("place") / 2) % 512).cast("bigint")
+    names = found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("name")
+    start, count = F.shiftright("place", 7), F.col("place").bitwiseAND(127)
     shared = cut_lineage(
-        found.join(names, "name", "left_semi").select(
-            "name", "digest", "key", start.alias("start"), count.alias("count"), (F.col("place") % 2).alias("twice")
-        )
+        found.join(names, "name", "left_semi").select("name", "digest", "key", start.alias("start"), count.alias("count"))
     )
+    discard(found)
     first = F.min(F.struct("key", "start"))
     distinct = cut_lineage(
         shared.groupBy("name", "digest", "count")
-        .agg(F.count(F.lit(1)).alias("n"), first.alias("first"), F.max("twice").alias("twice"))
-        .select("name", "digest", "count", "n", "twice", F.col("first.key").alias("key"), F.col("first.start").alias("start"))
+        .agg(F.count(F.lit(1)).alias("n"), first.alias("first"))
+        .select("name", "digest", "count", "n", F.col("first.key").alias("key"), F.col("first.start").alias("start"))
     )
     stop = F.col("start") + F.col("count") + F.lit(min_bytes - 1)
     copied = distinct.where(F.col("n") > 1).select(
@@ -343,8 +337,8 @@ def repeated_spans(texts: DataFrame, min_bytes: int = MIN_BYTES, hot_regions: in
         .where((F.col("key") != F.col("first_key")) | (F.col("start") != F.col("first_start")))
         .select("key", F.col("start").alias("low"), stop.alias("high"))
     )
-    per_name = distinct.groupBy("name").agg(F.count(F.lit(1)).alias("kinds"), F.max("twice").alias("any_twice"))
-    unlike = distinct.join(per_name.where((F.col("kinds") > 1) | (F.col("any_twice") == 1)), "name")
+    per_name = distinct.groupBy("name").agg(F.count(F.lit(1)).alias("kinds"))
+    unlike = cut_lineage(distinct.join(per_name.where(F.col("kinds") > 1), "name"))
     wanted = unlike.groupBy("key").agg(
         F.collect_list(F.struct("name", "start", stop.alias("stop"), (F.col("kinds") > hot_regions).alias("hot"))).alias("wanted")
     )
@@ -354,13 +348,16 @@ def repeated_spans(texts: DataFrame, min_bytes: int = MIN_BYTES, hot_regions: in
     schema = "name long, key long, start long, piece binary"
     pieces = cut.select("key", "text", few.alias("w")).where(F.size("w") > 0).mapInArrow(_cut_out, schema)
     compared = pieces.repartition("name").sortWithinPartitions("name").mapInArrow(_compare(min_bytes), "key long, low long, high long")
-    spans = later.unionByName(compared)
+    spans = cut_lineage(later.unionByName(compared))
     if not unlike.where(F.col("kinds") > hot_regions).isEmpty():
         hot = cut.select("key", "text", many.alias("w")).where(F.size("w") > 0).mapInArrow(_cut_out, schema)
         windows = cut_lineage(hot.mapInArrow(_windows(min_bytes), "digest binary, key long, at long"))
         firsts = windows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at")).alias("first"))
         again = windows.join(firsts.where(F.col("n") > 1), "digest").where(F.struct("key", "at") != F.col("first"))
-        spans = spans.unionByName(again.select("key", F.col("at").alias("low"), (F.col("at") + min_bytes).alias("high")))
+        more = again.select("key", F.col("at").alias("low"), (F.col("at") + min_bytes).alias("high"))
+        spans = cut_lineage(spans.unionByName(more))
+        discard(windows)
+    discard(shared, distinct, unlike)
     return spans
 
 
@@ -395,8 +392,8 @@ def remove_repeats(
     hot_regions: int = HOT_REGIONS,
 ) -> DataFrame:
     """One row per document: id, ``n_bytes``, ``kept`` (the bytes that stay) and ``spans`` (low, high) that went."""
-    if min_bytes < GRAM + 1 or min_bytes - GRAM + 1 > 127:
-        raise ValueError(f"min_bytes must lie between {GRAM + 1} and {GRAM + 126}")
+    if not GRAM + 2 <= min_bytes <= GRAM + 127:
+        raise ValueError(f"min_bytes must lie between {GRAM + 2} and {GRAM + 127}")
     key = free_name(docs, "__key")
     keyed = with_row_key(docs.select(F.col(id_column).alias("id"), whole_text(text_column).alias("text")), "id", key)
     keyed = keyed.select("id", F.col(key).alias("key"), "text")
