@@ -47,6 +47,12 @@ def test_html(spark):
     assert value(spark, text.html_text("v"), page) == "A&B c <d> e"
     assert value(spark, text.search_tokens("v"), "<b>Hello</b> WORLD ") == ["hello", "world"]
     assert value(spark, text.search_tokens("v"), "<p></p>") == []
+    assert value(spark, text.html_text("v"), "caf&eacute; &#8364;5 &#x1F600; &amp;lt; &bogus; &#0; &nbsp;x") == (
+        "caf\u00e9 \u20ac5 \U0001f600 &lt; &bogus; &#0; x"
+    )
+    assert value(spark, text.html_text("v"), "a < b and c > d <b>e</b>") == "a < b and c > d e"
+    assert value(spark, text.html_text("v"), "1<2 & 3>2") == "1<2 & 3>2"
+    assert value(spark, text.html_text("v"), None) is None
 
 
 def test_long_values(spark):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,30 +65,41 @@ def document_set(item_type: Column | str, language: Column | str, searchable: bo
     )
 
 
-# --- fixed values: character entities decoded in html text, ampersand last ------------------------------
-ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&apos;": "'",
-    "&#39;": "'",
-    "&nbsp;": " ",
-    "&copy;": "©",
-    "&reg;": "®",
-    "&middot;": "·",
-    "&amp;": "&",
-}
 HTML_DROPPED = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
-HTML_TAG = r"<[^>]*>"
+# A tag starts with a letter, a slash, an exclamation or a question mark right after the bracket; "a < b" is text.
+HTML_TAG = r"<[A-Za-z/!?][^>]*>"
+HTML_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def _named_references() -> Column:
+    """Names of the html standard's character references, with their characters."""
+    names = {name[:-1]: char for name, char in html5.items() if name.endswith(";")}
+    return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+
+
+def _decoded(reference: Column) -> Column:
+    """The character a reference stands for; one that stands for none stays as it is written."""
+    body = F.substring(reference, 2, F.length(reference) - 2)
+    digits = F.when(body.rlike("^#[xX]"), F.conv(F.substr(body, F.lit(3)), 16, 10)).otherwise(F.substr(body, F.lit(2)))
+    code = F.when(body.startswith("#"), digits.try_cast("bigint"))
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return F.coalesce(F.when(valid, character), F.element_at(_named_references(), body), reference)
+
+
+def decode_references(c: Column | str) -> Column:
+    """Text with its numeric and named character references decoded, each once and from left to right."""
+    c = _col(c)
+    between, found = F.split(c, HTML_REFERENCE, -1), F.regexp_extract_all(c, F.lit(HTML_REFERENCE), F.lit(0))
+    decoded = F.concat(F.transform(found, _decoded), F.array(F.lit("")))
+    joined = F.array_join(F.zip_with(between, decoded, lambda text, char: F.concat(text, char)), "")
+    return F.when(c.rlike(HTML_REFERENCE), joined).otherwise(c)
 
 
 def _visible(c: Column) -> Column:
-    """Html without tags and entities; text without markup skips the patterns."""
+    """Html without tags, its references decoded; text without markup skips the patterns."""
     text = F.when(c.contains("<"), F.regexp_replace(F.regexp_replace(c, HTML_DROPPED, " "), HTML_TAG, " ")).otherwise(c)
-    decoded = text
-    for entity, char in ENTITIES.items():
-        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
-    return F.when(c.contains("&"), decoded).otherwise(text)
+    return F.when(c.contains("&"), F.replace(decode_references(text), F.lit("\u00a0"), F.lit(" "))).otherwise(text)
 
 
 def html_text(c: Column | str) -> Column:

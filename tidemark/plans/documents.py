@@ -13,7 +13,7 @@ from tidemark.plans.assembly import nested_rows
 from tidemark.plans.fixtures import Fixtures, text
 from tidemark.plans.registry import query
 from tidemark.session import shared_dir
-from tidemark.sources.sinks import route_documents, write_documents
+from tidemark.sources.sinks import read_documents, route_documents, write_documents
 
 # Long form of the message fields every item carries, for the SQL side.
 FIELDS_SQL = """
@@ -192,16 +192,20 @@ def doc_routing(fx: Fixtures) -> DataFrame:
 @query(
     "split_by_language",
     """
-SELECT concat('export_pdmarticle_', LanguageID) AS document_set, CAST(ID AS VARCHAR) AS document_id, Label
-FROM {fx_items}
+WITH d AS (SELECT ID, LanguageID, CASE WHEN StateID > 40 THEN upper(Label) ELSE Label END AS Label FROM {fx_items}
+  WHERE NOT (StateID BETWEEN 10 AND 12))
+SELECT concat('export_pdmarticle_', LanguageID) AS document_set, CAST(ID AS VARCHAR) AS document_id, Label FROM d
 UNION ALL SELECT concat('export_pdmarticle_search_', LanguageID), CAST(ID AS VARCHAR), Label FROM {fx_items}""",
 )
 def split_by_language(fx: Fixtures) -> DataFrame:
     path = shared_dir(fx.spark, "documents")
-    docs = fx.items.select("ID", "LanguageID", "Label", F.lit("Pdmarticle").alias("item_type"))
+    docs = fx.items.select("ID", "LanguageID", "Label", "StateID", F.lit("Pdmarticle").alias("item_type"))
     write_documents(docs, path)
     write_documents(docs, path, searchable=True)
-    return fx.spark.read.parquet(path).select("document_set", "document_id", "Label")
+    # Some documents come again with another label, some are taken out; the searchable sets keep theirs.
+    write_documents(docs.where("StateID > 40").withColumn("Label", F.upper("Label")), path)
+    write_documents(docs.where("StateID BETWEEN 10 AND 12"), path, deleted=True)
+    return read_documents(fx.spark, path).select("document_set", "document_id", "Label")
 
 
 @query(

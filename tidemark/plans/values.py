@@ -13,10 +13,14 @@ from tidemark.operators.apply import typed_columns
 from tidemark.plans.fixtures import Fixtures, micros, text
 from tidemark.plans.registry import query
 
+# Tags are taken out piece by piece here: what follows a "<" up to the next ">" goes if it starts like a tag.
 HTML_SQL = (
     "trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace("
-    "regexp_replace(regexp_replace({c}, '(?is)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->', ' ', 'g'), "
-    "'<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&apos;', ''''), '&#39;', ''''), "
+    "array_to_string(list_transform(string_split(regexp_replace({c}, "
+    "'(?is)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->', ' ', 'g'), '<'), lambda p, i: CASE "
+    "WHEN i = 1 THEN p WHEN contains(p, '>') AND (left(p, 1) IN ('/', '!', '?') OR lower(left(p, 1)) BETWEEN 'a' AND 'z') "
+    "THEN concat(' ', substr(p, instr(p, '>') + 1)) ELSE concat('<', p) END), ''), "
+    "'&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&apos;', ''''), '&#39;', ''''), "
     "'&nbsp;', ' '), '&copy;', '©'), '&reg;', '®'), '&middot;', '·'), '&amp;', '&'), '\\s+', ' ', 'g'))"
 )
 
