@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.maps import field_value
-from tidemark.operators.gather import PART_LIMIT, all_fit, gather_by_attribute
+from tidemark.operators.gather import PART_ROWS, gather_by_attribute
 from tidemark.operators.sizes import measured
 from tidemark.session import cut_lineage
 
@@ -28,94 +28,80 @@ def children_of_items(items: DataFrame, rows: DataFrame, assigned: DataFrame | N
     return joined.select(*rows.columns)
 
 
-def with_nested_rows(
-    rows: DataFrame,
-    references: DataFrame | None = None,
-    levels: int = 1,
-    limit: int = PART_LIMIT,
-    fits: bool | None = None,
-) -> DataFrame:
-    """Top rows of nested tables, each with the rows and references below it.
+def by_level(rows: DataFrame) -> list[DataFrame]:
+    """Nested-table rows level by level: top rows, the rows below them, and so on to the depth the data has.
 
-    ``rows``: ItemID, LanguageID, AttributeID, ItemTableID, _SubitemID, SortOrder, fields. A row hangs below the
-    row whose ItemTableID is its _SubitemID, a top row below the item itself. Every level is one bottom-up pass.
-    The result adds Reference and Subtable (attribute → rows), ``part`` and ``weight`` (rows held).
+    A row is taken when it is first reached, so rows that go round in a circle are taken once or, as they hang below no
+    top row, not at all. Every level is written, and so is what is left, each in one pass.
+    """
+    levels = [cut_lineage(rows.where(F.col("_SubitemID") == F.col("ItemID")))]
+    rest = rows.where(F.col("_SubitemID") != F.col("ItemID"))
+    while True:
+        parents = levels[-1].select(*OWNER, F.col("ItemTableID").alias("_SubitemID")).distinct()
+        marked = cut_lineage(rest.join(parents.withColumn("__hit", F.lit(True)), [*OWNER, "_SubitemID"], "left"))
+        hit = marked.where(F.col("__hit")).select(*rows.columns)
+        if hit.isEmpty():
+            return levels
+        levels.append(hit)
+        rest = marked.where(F.col("__hit").isNull()).select(*rows.columns)
+
+
+def with_nested_rows(rows: DataFrame, references: DataFrame | None = None, limit: int = PART_ROWS) -> DataFrame:
+    """Top rows of nested tables, each with all the rows and references below it, however deep.
 
-    When some item is oversized, a pass reads its input twice (sizes, then rows), so with several levels each pass
-    is written out.
+    ``rows``: ItemID, LanguageID, AttributeID, ItemTableID, _SubitemID, SortOrder, fields. A row hangs below the
+    row whose ItemTableID is its _SubitemID, a top row below the item itself. Levels are attached from the deepest up,
+    each row once. The result adds Reference and Subtable (attribute → rows), ``weight`` (rows held) and ``part``: a row
+    with more than ``limit`` rows and references below it comes in several parts, which repeat its own columns and hold
+    the rows below in turn.
     """
-    if fits is None:
-        fits = all_fit(OWNER, limit, rows, *([] if references is None else [references]))
-    current = rows.select(
-        *OWNER, "AttributeID", "ItemTableID", "_SubitemID", "SortOrder", "fields", F.lit(0).alias("part"),
-        F.lit(1).cast("bigint").alias("weight"),
-    )
     row_key = [*OWNER, "ItemTableID"]
+    base = rows.select(*OWNER, "AttributeID", "ItemTableID", "_SubitemID", "SortOrder", "fields")
+    below = None
     if references is not None:
-        below = references.where(F.col("_SubitemID") != F.col("ItemID")).select(
+        nested = references.where(F.col("_SubitemID") != F.col("ItemID")).select(
             *OWNER, F.col("_SubitemID").alias("ItemTableID"), "AttributeID", "ReferenceID", "SortOrder", "fields"
         )
-        grouped = gather_by_attribute(
-            below, row_key, F.struct("SortOrder", "ReferenceID", "fields"), ["ReferenceID"],
-            ["SortOrder", "ReferenceID"], "Reference", limit, fits=fits,
-        )
-        current = _attach(current, grouped, row_key, "Reference", fits)
-    if levels > 1 and not fits:
-        current = cut_lineage(current)
-    base = current
-    for level in range(levels):
-        held = [c for c in HELD if c in current.columns]
-        nested = current.where(F.col("_SubitemID") != F.col("ItemID"))
-        grouped = gather_by_attribute(
-            nested.withColumns({"RowID": F.col("ItemTableID"), "ItemTableID": F.col("_SubitemID")}),
-            row_key,
-            F.struct("SortOrder", F.col("RowID").alias("ItemTableID"), "part", "fields", *held),
-            ["RowID", "part"],
-            ["SortOrder", "ItemTableID", "part"],
-            "Subtable",
-            limit,
-            F.col("weight"),
-            fits,
-        )
-        current = _attach(base, grouped, row_key, "Subtable", fits)
-        if level + 1 < levels and not fits:
-            current = cut_lineage(current)
-    return current.where(F.col("_SubitemID") == F.col("ItemID"))
-
-
-def _attach(rows: DataFrame, grouped: DataFrame, key: list[str], name: str, fits: bool) -> DataFrame:
-    """Join grouped children on. Further parts of an oversized group become further parts of their row, which hold
-    nothing but the row's own columns and their share of the children."""
-    child = grouped.select(
-        *[F.col(k).alias(f"__{k}") for k in key], F.col("part").alias("__part"), name, f"{name}_weight"
-    )
-    match = [F.col(k) == F.col(f"__{k}") for k in key]
-    # The grouped side is already partitioned by the key and holds whole subtrees: merge, never broadcast it.
-    joined = rows.join(child.hint("merge"), [*match, F.col("part") == 0, F.col("__part") == 0], "left").select(
-        *[
-            (F.col("weight") + F.coalesce(F.col(f"{name}_weight"), F.lit(0))).alias("weight") if c == "weight" else c
-            for c in rows.columns
-        ],
-        name,
-    )
-    if fits:
-        return joined
-    further = child.where(F.col("__part") > 0).hint("merge")
-    first = rows.where(F.col("part") == 0).withColumns(
-        {c: F.lit(None).cast(rows.schema[c].dataType) for c in HELD if c in rows.columns}
-    )
-    return joined.unionByName(
-        first.join(further, match).select(
-            *[
-                (F.col(f"{name}_weight") + 1).alias("weight")
-                if c == "weight"
-                else F.col("__part").alias("part")
-                if c == "part"
-                else F.col(c)
-                for c in rows.columns
-            ],
-            name,
-        )
+        item = F.struct("SortOrder", "ReferenceID", "fields")
+        below = cut_lineage(gather_by_attribute(nested, row_key, item, ["SortOrder", "ReferenceID"], "Reference", limit))
+    held: DataFrame | None = None
+    for level in reversed(by_level(base)):
+        grouped = None
+        if held is not None:
+            inside = [c for c in HELD if c in held.columns]
+            grouped = gather_by_attribute(
+                held.withColumns({"RowID": F.col("ItemTableID"), "ItemTableID": F.col("_SubitemID")}),
+                row_key,
+                F.struct("SortOrder", F.col("RowID").alias("ItemTableID"), "part", "fields", *inside),
+                ["SortOrder", "RowID", "part"],
+                "Subtable",
+                limit,
+                F.col("weight"),
+                ["SortOrder", "ItemTableID", "part"],
+            )
+        held = cut_lineage(_attach(level, below, grouped, row_key))
+    if "Subtable" not in held.columns:
+        inside = [c for c in HELD if c in held.columns]
+        kind = held.select(F.struct("SortOrder", "ItemTableID", "part", "fields", *inside).alias("s")).schema["s"].dataType
+        none = F.lit(None).cast(f"map<string,array<{kind.simpleString()}>>")
+        held = held.withColumn("Subtable", none)
+    return held
+
+
+def _attach(rows: DataFrame, references: DataFrame | None, tables: DataFrame | None, key: list[str]) -> DataFrame:
+    """Rows with the references and rows grouped below them: one row for each part of either."""
+    found, weight = None, F.lit(1).cast("bigint")
+    for name, grouped in (("Reference", references), ("Subtable", tables)):
+        if grouped is None:
+            continue
+        weight = weight + F.coalesce(F.col(f"{name}_weight"), F.lit(0))
+        own = grouped.join(rows.select(*key).distinct(), key, "left_semi")
+        found = own if found is None else found.join(own, [*key, "part"], "full")
+    if found is None:
+        return rows.withColumns({"part": F.lit(0), "weight": weight})
+    names = [n for n in HELD if n in found.columns]
+    return rows.join(found, key, "left").select(
+        *rows.columns, F.coalesce("part", F.lit(0)).alias("part"), weight.alias("weight"), *names
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.maps import keep_keys, without_nulls
 from tidemark.functions.text import big_value, content_excerpt, html_text
 from tidemark.operators.assemble import OWNER, with_nested_rows
-from tidemark.operators.gather import PART_LIMIT, all_fit, gather_by_attribute
+from tidemark.operators.gather import PART_ROWS, gather_by_attribute
 
 
 def clean(fields: Column | str, html_fields: Sequence[str] = (), big_fields: Column | None = None) -> Column:
@@ -33,51 +33,50 @@ def build_documents(
     references: DataFrame,
     subtables: DataFrame,
     html_fields: Sequence[str] = (),
-    levels: int = 1,
-    limit: int = PART_LIMIT,
+    limit: int = PART_ROWS,
+    affected: DataFrame | None = None,
 ) -> DataFrame:
-    """Documents (ID, LanguageID, part, fields, Reference, Subtable).
+    """Documents (ID, LanguageID, part, fields, Reference, Subtable), of the ``affected`` ids only if these are given.
 
     ``items``: ID, LanguageID, fields (and big_fields); ``references``: ItemID, LanguageID, AttributeID,
-    ReferenceID, _SubitemID, SortOrder, fields; ``subtables`` as in ``with_nested_rows``. An item with more
-    children than fit one document continues in documents with part > 0 that hold the further children.
+    ReferenceID, _SubitemID, SortOrder, fields; ``subtables`` as in ``with_nested_rows``. An item with more than
+    ``limit`` children continues in documents with part > 0 that hold the further children in order. Children of an item
+    the store does not hold make no document.
     """
+    if affected is not None:
+        # Before anything is built: only what hangs below an affected id is read on.
+        ids = affected.select("ID").distinct()
+        owners = ids.select(F.col("ID").alias("ItemID"))
+        items = items.join(ids, "ID", "left_semi")
+        references = references.join(owners, "ItemID", "left_semi")
+        subtables = subtables.join(owners, "ItemID", "left_semi")
     big = F.col("big_fields") if "big_fields" in items.columns else None
     docs = items.select("ID", "LanguageID", clean("fields", html_fields, big).alias("fields"))
     refs = references.withColumn("fields", clean("fields", html_fields))
     rows = subtables.withColumn("fields", clean("fields", html_fields))
-    fits = all_fit(OWNER, limit, references, subtables)
     own_refs = gather_by_attribute(
         refs.where(F.col("_SubitemID") == F.col("ItemID")),
         OWNER,
         F.struct("SortOrder", "ReferenceID", "fields"),
-        ["ReferenceID"],
         ["SortOrder", "ReferenceID"],
         "Reference",
         limit,
-        fits=fits,
     ).drop("Reference_weight")
-    top = with_nested_rows(rows, refs, levels, limit, fits)
-    held = [c for c in ("Reference", "Subtable") if c in top.columns]
+    top = with_nested_rows(rows, refs, limit)
     own_rows = gather_by_attribute(
         top,
         OWNER,
-        F.struct("SortOrder", "ItemTableID", "part", "fields", *held),
-        ["ItemTableID", "part"],
+        F.struct("SortOrder", "ItemTableID", "part", "fields", "Reference", "Subtable"),
         ["SortOrder", "ItemTableID", "part"],
         "Subtable",
         limit,
         F.col("weight"),
-        fits,
     ).drop("Subtable_weight")
     children = own_refs.join(own_rows, [*OWNER, "part"], "full").withColumnRenamed("ItemID", "ID")
-    # Children of an item the store does not hold make no document.
     first = docs.withColumn("part", F.lit(0)).join(children, ["ID", "LanguageID", "part"], "left")
-    if fits:
-        return first
     further = (
         children.where(F.col("part") > 0)
-        .join(docs, ["ID", "LanguageID"], "left_semi")
+        .join(docs.select("ID", "LanguageID"), ["ID", "LanguageID"], "left_semi")
         .withColumn("fields", F.create_map().cast("map<string,string>"))
     )
     return first.unionByName(further)

@@ -1,66 +1,35 @@
 """Nest rows below their owner without ever building an unbounded array.
 
-Owners with at most ``limit`` rows become one row (part 0). A larger owner is hash-split into as many parts as
-it needs, so a hot owner spreads over many tasks and no row outgrows memory; every input row is kept.
+Every owner's rows are cut into parts by their position in sort order: rows 0 to ``limit`` - 1 are part 0, the next part 1,
+and so on, so reading the parts in turn gives the rows in order, whatever an owner's size. With weights (rows that hold
+rows of their own) a part begins where the weights before it pass a multiple of the limit. Positions come from a running
+sum that cuts hot owners into chunks; an owner's parts are groups of their own, and every input row is kept.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import cut_lineage
+from tidemark.operators.ordered import Running, chunk_of, running
 
-PART_LIMIT = 50_000
-# Oversized owners up to this many are broadcast; more are joined by shuffle.
-BROADCAST_OWNERS = 100_000
+# Rows (or the weight of rows) of one part.
+PART_ROWS = 10_000
+# Where nulls of the leading sort column stand: before everything.
+NULLS_FIRST = -(1 << 62)
 
 
-def all_fit(owner: Sequence[str], limit: int, *tables: DataFrame) -> bool:
-    """No owner has more than ``limit`` rows in the tables together, so nothing nested below it does either.
-
-    One narrow, map-side combined count answers for every level of nesting.
-    """
-    keys = [t.select(*owner) for t in tables]
-    return reduce(DataFrame.unionByName, keys).groupBy(*owner).count().where(F.col("count") > limit).isEmpty()
-
-
-def with_part(
-    df: DataFrame,
-    owner: Sequence[str],
-    spread: Sequence[str],
-    limit: int = PART_LIMIT,
-    weight: Column | None = None,
-    fits: bool = False,
-) -> tuple[DataFrame, list[str]]:
-    """Rows and the columns to group them by: the owner, and with oversized owners also ``__part``.
-
-    The part is a hash of the ``spread`` columns for owners above ``limit``, else 0. ``weight`` counts the rows
-    already nested inside a row (1 by default); ``fits`` says that no owner can be oversized.
-    """
-    if fits:
-        return df, list(owner)
-    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    columns = df.columns
-    # Measured first, so the usual case (nobody is oversized) costs no join and no second shuffle of the rows.
-    oversized = cut_lineage(
-        df.groupBy(*owner)
-        .agg(size.alias("__n"))
-        .where(F.col("__n") > limit)
-        .select(*[F.col(c).alias(f"__o_{c}") for c in owner], F.ceil(F.col("__n") / F.lit(limit)).alias("__parts"))
-    )
-    owners = oversized.count()
-    if owners == 0:
-        return df.select(*columns), list(owner)
-    if owners <= BROADCAST_OWNERS:
-        oversized = F.broadcast(oversized)
-    match = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__o_{c}")) for c in owner])
-    part = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.col("__parts"))
-    parted = df.join(oversized, match, "left").select(*columns, F.coalesce(part, F.lit(0)).cast("int").alias("__part"))
-    return parted, [*owner, "__part"]
+def in_parts(
+    df: DataFrame, owner: Sequence[str], order: Sequence[str], limit: int = PART_ROWS, weight: Column | None = None
+) -> DataFrame:
+    """Rows with ``__part``. ``order`` must be total within an owner and begin with a number."""
+    before = Running("__before", "sum", F.lit(1).cast("bigint") if weight is None else weight, before=True)
+    chunk = chunk_of(F.coalesce(F.col(order[0]), F.lit(NULLS_FIRST)))
+    placed = running(df, owner, [F.col(c) for c in order], chunk, before)
+    part = F.floor(F.coalesce("__before", F.lit(0)) / F.lit(limit)).cast("int")
+    return placed.withColumn("__part", part).drop("__before")
 
 
 def sorted_list(item: Column, by: Sequence[str] | None = None) -> Column:
@@ -76,50 +45,41 @@ def sorted_list(item: Column, by: Sequence[str] | None = None) -> Column:
     return F.array_sort(rows, compare)
 
 
-def part_column(group: Sequence[str]) -> Column:
-    """Part number of a grouped row."""
-    return (F.col("__part") if "__part" in group else F.lit(0)).alias("part")
-
-
 def gather(
-    df: DataFrame,
-    owner: Sequence[str],
-    item: Column,
-    spread: Sequence[str],
-    name: str = "rows",
-    limit: int = PART_LIMIT,
+    df: DataFrame, owner: Sequence[str], item: Column, order: Sequence[str], name: str = "rows", limit: int = PART_ROWS
 ) -> DataFrame:
-    """Rows of each owner as sorted arrays: (owner…, part, ``name``)."""
-    rows, group = with_part(df, owner, spread, limit)
-    return rows.groupBy(*group).agg(sorted_list(item).alias(name)).select(*owner, part_column(group), name)
+    """Rows of each owner as sorted arrays: (owner…, part, ``name``). ``item`` must sort like ``order``."""
+    rows = in_parts(df, owner, order, limit)
+    lists = rows.groupBy(*owner, "__part").agg(sorted_list(item).alias(name))
+    return lists.select(*owner, F.col("__part").alias("part"), name)
 
 
 def gather_by_attribute(
     df: DataFrame,
     owner: Sequence[str],
     item: Column,
-    spread: Sequence[str],
     by: Sequence[str],
     name: str,
-    limit: int = PART_LIMIT,
+    limit: int = PART_ROWS,
     weight: Column | None = None,
-    fits: bool = False,
+    fields: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows of each owner as attribute → sorted array: (owner…, part, ``name``, ``name``_weight).
 
-    One shuffle on the owner serves both groupings, and the join of the result back to its owner.
+    ``by`` orders the rows of an attribute; ``fields`` are the item's fields of that order, if named otherwise.
+    Parts run through all attributes of an owner in turn. The running sum's shuffle on the owner serves both groupings,
+    and the join of the result back to its owner.
     """
     weight = F.lit(1).cast("bigint") if weight is None else weight
-    rows, group = with_part(df, owner, spread, limit, weight, fits)
+    rows = in_parts(df, owner, ["AttributeID", *by], limit, weight)
     narrow = rows.select(
-        *group, F.col("AttributeID").cast("string").alias("__attribute"), item.alias("__item"), weight.alias("__weight")
+        *owner, "__part", F.col("AttributeID").cast("string").alias("__attribute"), item.alias("__item"),
+        weight.alias("__weight"),
     )
-    lists = (
-        narrow.repartition(*group)
-        .groupBy(*group, "__attribute")
-        .agg(sorted_list(F.col("__item"), by).alias("__rows"), F.sum("__weight").alias("__w"))
+    lists = narrow.groupBy(*owner, "__part", "__attribute").agg(
+        sorted_list(F.col("__item"), fields or by).alias("__rows"), F.sum("__weight").alias("__w")
     )
-    return lists.groupBy(*group).agg(
+    return lists.groupBy(*owner, "__part").agg(
         F.map_from_entries(F.collect_list(F.struct("__attribute", "__rows"))).alias(name),
         F.sum("__w").alias(f"{name}_weight"),
-    ).select(*owner, part_column(group), name, f"{name}_weight")
+    ).select(*owner, F.col("__part").alias("part"), name, f"{name}_weight")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.gather import gather
+from tidemark.operators.gather import PART_ROWS, gather
 
 INDEPENDENT = 0
 
@@ -68,11 +68,10 @@ def pivot_records(messages: DataFrame, keys: Sequence[str] = ("ID",)) -> DataFra
     return own.unionByName(states)
 
 
-def group_rows(rows: DataFrame, item: Column, spread: Sequence[str], owner: str = "ItemID",
-               limit: int | None = None) -> DataFrame:
-    """Rows of an item by language and attribute, as arrays of bounded size."""
-    options = {} if limit is None else {"limit": limit}
-    return gather(rows, [owner, "LanguageID", "AttributeID"], item, spread, **options)
+def group_rows(rows: DataFrame, item: Column, order: Sequence[str], owner: str = "ItemID",
+               limit: int = PART_ROWS) -> DataFrame:
+    """Rows of an item by language and attribute, in parts of at most ``limit`` rows."""
+    return gather(rows, [owner, "LanguageID", "AttributeID"], item, order, limit=limit)
 
 
 def resolve_language(languages: DataFrame, short_name: str | None = None) -> Column:

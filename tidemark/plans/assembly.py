@@ -60,34 +60,79 @@ def nested_rows(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
     return rows, refs
 
 
+# Children of a nested row are cut into parts of this weight here, small enough for parts above 0 to be compared.
+NESTED_LIMIT = 4
+
+
+def nested_text(rows: Column, kind, attributes: list[str]) -> Column:
+    """Rows of the first attribute as ``id:value``, each with those below it in brackets."""
+    below = [f.name for f in kind.elementType.fields]
+
+    def one(r: Column) -> Column:
+        own = F.concat(text(r["ItemTableID"]), F.lit(":"), r["fields"]["191:Value"])
+        if len(attributes) == 1 or "Subtable" not in below:
+            return own
+        inner = r["Subtable"][attributes[1]]
+        deeper = nested_text(inner, kind.elementType["Subtable"].dataType.valueType, attributes[1:])
+        return F.concat(own, F.when(inner.isNotNull(), F.concat(F.lit("["), deeper, F.lit("]"))).otherwise(F.lit("")))
+
+    return listed(rows, one)
+
+
 @query(
     "item_subtables_nested",
-    """
-WITH n AS (SELECT ItemID, _SubitemID, string_agg(concat(ItemTableID, ':', Value), ',' ORDER BY SortOrder, ItemTableID)
-  AS nested FROM {fx_subtables} WHERE _SubitemID <> ItemID GROUP BY 1, 2),
- r AS (SELECT ItemID, _SubitemID, string_agg(concat(ReferenceID, '>', TargetID), ',' ORDER BY SortOrder, ReferenceID)
-  FILTER (WHERE AttributeID = 31) AS refs, count(*) AS n_refs FROM {fx_row_references} GROUP BY 1, 2)
-SELECT s.ItemID, s.ItemTableID, 0 AS part, s.Value, coalesce(n.nested, '') AS nested, coalesce(r.refs, '') AS refs,
- coalesce(r.n_refs, 0) AS n_refs FROM {fx_subtables} s
-LEFT JOIN n ON n.ItemID = s.ItemID AND n._SubitemID = s.ItemTableID
-LEFT JOIN r ON r.ItemID = s.ItemID AND r._SubitemID = s.ItemTableID WHERE s._SubitemID = s.ItemID""",
+    f"""
+WITH deep AS (SELECT s2.ItemID, s2._SubitemID, s2.SortOrder, s2.ItemTableID,
+  1 + CASE WHEN s3.ItemID IS NULL THEN 0 ELSE 1 END + CASE WHEN s4.ItemID IS NULL THEN 0 ELSE 1 END AS w,
+  concat(s2.ItemTableID, ':', s2.Value, CASE WHEN s3.ItemID IS NULL THEN '' ELSE concat('[', s3.ItemTableID, ':', s3.Value,
+   CASE WHEN s4.ItemID IS NULL THEN '' ELSE concat('[', s4.ItemTableID, ':', s4.Value, ']') END, ']') END) AS txt
+  FROM {{fx_subtables}} s2
+  LEFT JOIN {{fx_subtables}} s3 ON s3._SubitemID = s2.ItemTableID AND s3.ItemID = s2.ItemID AND s3.AttributeID = 193
+  LEFT JOIN {{fx_subtables}} s4 ON s4._SubitemID = s3.ItemTableID AND s4.ItemID = s3.ItemID AND s4.AttributeID = 194
+  WHERE s2.AttributeID = 192),
+ np AS (SELECT *, coalesce(sum(w) OVER (PARTITION BY ItemID, _SubitemID ORDER BY SortOrder, ItemTableID
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // {NESTED_LIMIT} AS part FROM deep),
+ n AS (SELECT ItemID, _SubitemID, part, string_agg(txt, ',' ORDER BY SortOrder, ItemTableID) AS nested FROM np
+  GROUP BY 1, 2, 3),
+ rp AS (SELECT *, (row_number() OVER (PARTITION BY ItemID, _SubitemID ORDER BY AttributeID, SortOrder, ReferenceID) - 1)
+  // {NESTED_LIMIT} AS part FROM {{fx_row_references}}),
+ r AS (SELECT ItemID, _SubitemID, part, count(*) AS n_refs,
+  string_agg(concat(AttributeID, '/', ReferenceID, '>', TargetID), ',' ORDER BY AttributeID, SortOrder, ReferenceID) AS refs
+  FROM rp GROUP BY 1, 2, 3),
+ parts AS (SELECT ItemID, _SubitemID, part FROM n UNION SELECT ItemID, _SubitemID, part FROM r)
+SELECT s.ItemID, s.ItemTableID, CAST(coalesce(p.part, 0) AS INTEGER) AS part, s.Value, coalesce(n.nested, '') AS nested,
+ coalesce(r.refs, '') AS refs, coalesce(r.n_refs, 0) AS n_refs FROM {{fx_subtables}} s
+LEFT JOIN parts p ON p.ItemID = s.ItemID AND p._SubitemID = s.ItemTableID
+LEFT JOIN n ON n.ItemID = s.ItemID AND n._SubitemID = s.ItemTableID AND n.part = p.part
+LEFT JOIN r ON r.ItemID = s.ItemID AND r._SubitemID = s.ItemTableID AND r.part = p.part WHERE s._SubitemID = s.ItemID""",
 )
 def item_subtables_nested(fx: Fixtures) -> DataFrame:
-    top = assemble.with_nested_rows(*nested_rows(fx))
-    nested = F.coalesce(F.col("Subtable")["192"], F.array())
-    refs = F.coalesce(F.col("Reference")["31"], F.array())
-    counts = F.transform(F.coalesce(F.map_values("Reference"), F.array()), lambda a: F.size(a))
+    top = assemble.with_nested_rows(*nested_rows(fx), limit=NESTED_LIMIT)
+    nested = nested_text(F.col("Subtable")["192"], top.schema["Subtable"].dataType.valueType, ["192", "193", "194"])
     return top.select(
         "ItemID",
         "ItemTableID",
         "part",
         F.col("fields")["191:Value"].alias("Value"),
-        listed(nested, lambda r: F.concat(text(r["ItemTableID"]), F.lit(":"), r["fields"]["191:Value"])).alias("nested"),
-        listed(refs, lambda r: F.concat(text(r["ReferenceID"]), F.lit(">"), r["fields"]["TargetID"])).alias("refs"),
-        F.aggregate(counts, F.lit(0).cast("bigint"), lambda acc, n: acc + n).alias("n_refs"),
+        F.coalesce(nested, F.lit("")).alias("nested"),
+        all_references(F.col("Reference")).alias("refs"),
+        F.size(F.flatten(F.coalesce(F.map_values("Reference"), F.array()))).cast("bigint").alias("n_refs"),
     )
 
 
+def all_references(references: Column) -> Column:
+    """References of every attribute as ``attribute/id>target``, by attribute and in order."""
+    entries = F.array_sort(F.map_entries(references), lambda x, y: x["key"].cast("int") - y["key"].cast("int"))
+    texts = F.transform(
+        entries,
+        lambda e: listed(
+            e["value"],
+            lambda r: F.concat(e["key"], F.lit("/"), text(r["ReferenceID"]), F.lit(">"), r["fields"]["TargetID"]),
+        ),
+    )
+    return F.coalesce(F.array_join(texts, ","), F.lit(""))
+
+
 @query(
     "view_extension",
     """
@@ -103,13 +148,15 @@ def view_extension(fx: Fixtures) -> DataFrame:
 @query(
     "group_references",
     """
-SELECT ItemID, LanguageID, AttributeID, 0 AS part, count(*) AS n,
+WITH p AS (SELECT *, CAST((row_number() OVER (PARTITION BY ItemID, LanguageID, AttributeID
+  ORDER BY SortOrder, ReferenceID) - 1) // 2 AS INTEGER) AS part FROM {fx_references})
+SELECT ItemID, LanguageID, AttributeID, part, count(*) AS n,
  string_agg(concat(SortOrder, ':', TargetID), ',' ORDER BY SortOrder, ReferenceID) AS refs
-FROM {fx_references} GROUP BY 1, 2, 3""",
+FROM p GROUP BY 1, 2, 3, 4""",
 )
 def group_references(fx: Fixtures) -> DataFrame:
     grouped = language.group_rows(
-        fx.references, F.struct("SortOrder", "ReferenceID", "TargetID"), ["ReferenceID"]
+        fx.references, F.struct("SortOrder", "ReferenceID", "TargetID"), ["SortOrder", "ReferenceID"], limit=2
     )
     return grouped.select(
         "ItemID", "LanguageID", "AttributeID", "part", F.size("rows").cast("bigint").alias("n"),
@@ -120,12 +167,15 @@ def group_references(fx: Fixtures) -> DataFrame:
 @query(
     "group_subtables",
     """
-SELECT ItemID, LanguageID, AttributeID, 0 AS part, count(*) AS n,
+WITH p AS (SELECT *, CAST((row_number() OVER (PARTITION BY ItemID, LanguageID, AttributeID
+  ORDER BY SortOrder, ItemTableID) - 1) // 5 AS INTEGER) AS part FROM {fx_subtables})
+SELECT ItemID, LanguageID, AttributeID, part, count(*) AS n,
  string_agg(concat(ItemTableID, ':', Value), ',' ORDER BY SortOrder, ItemTableID) AS table_rows
-FROM {fx_subtables} GROUP BY 1, 2, 3""",
+FROM p GROUP BY 1, 2, 3, 4""",
 )
 def group_subtables(fx: Fixtures) -> DataFrame:
-    grouped = language.group_rows(fx.subtables, F.struct("SortOrder", "ItemTableID", "Value"), ["ItemTableID"])
+    item = F.struct("SortOrder", "ItemTableID", "Value")
+    grouped = language.group_rows(fx.subtables, item, ["SortOrder", "ItemTableID"], limit=5)
     return grouped.select(
         "ItemID", "LanguageID", "AttributeID", "part", F.size("rows").cast("bigint").alias("n"),
         listed(F.col("rows"), lambda r: F.concat(text(r["ItemTableID"]), F.lit(":"), r["Value"])).alias("table_rows"),
@@ -135,21 +185,23 @@ def group_subtables(fx: Fixtures) -> DataFrame:
 @query(
     "rows_by_attribute",
     """
-SELECT ItemID, count(*) FILTER (WHERE AttributeID = 31) AS n_by_id,
+WITH p AS (SELECT *, CAST((row_number() OVER (PARTITION BY ItemID ORDER BY SortOrder, ReferenceID) - 1) // 3
+  AS INTEGER) AS part FROM {fx_references})
+SELECT ItemID, part, count(*) FILTER (WHERE AttributeID = 31) AS n_by_id,
  coalesce(string_agg(CAST(TargetID AS VARCHAR), ',' ORDER BY SortOrder, ReferenceID)
   FILTER (WHERE AttributeID = 31), '') AS by_id,
  coalesce(string_agg(CAST(TargetID AS VARCHAR), ',' ORDER BY SortOrder, ReferenceID)
   FILTER (WHERE SortOrder = 2), '') AS by_key,
  coalesce(string_agg(CAST(TargetID AS VARCHAR), ',' ORDER BY SortOrder, ReferenceID)
   FILTER (WHERE AttributeID = 32), '') AS by_attribute_key
-FROM {fx_references} GROUP BY 1""",
+FROM p GROUP BY 1, 2""",
 )
 def rows_by_attribute(fx: Fixtures) -> DataFrame:
     from tidemark.operators.gather import gather
 
     keyed = fx.references.withColumn("ExternalKey", F.concat(F.lit("R"), text("SortOrder")))
     item = F.struct("SortOrder", "ReferenceID", "AttributeID", "ExternalKey", "TargetID")
-    assembled = gather(keyed, ["ItemID"], item, ["ReferenceID"])
+    assembled = gather(keyed, ["ItemID"], item, ["SortOrder", "ReferenceID"], limit=3)
     # The attribute's external key resolves to its id through the key table: N-2 is attribute 30 + 2.
     named = fx.table("nation").select(
         (30 + F.col("n_nationkey")).alias("ID"), F.concat(F.lit("N-"), text("n_nationkey")).alias("ExternalKey")
@@ -162,6 +214,7 @@ def rows_by_attribute(fx: Fixtures) -> DataFrame:
     by_id = assemble.rows_of_attribute(F.col("rows"), 31)
     return assembled.withColumn("key_id", key_id).select(
         "ItemID",
+        "part",
         F.size(by_id).cast("bigint").alias("n_by_id"),
         targets(by_id).alias("by_id"),
         targets(assemble.rows_of_external_key(F.col("rows"), "R2")).alias("by_key"),

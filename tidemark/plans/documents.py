@@ -9,7 +9,7 @@ from tidemark import fixed
 from tidemark.functions.maps import keep_keys, keep_paths, without_attributes, without_nulls
 from tidemark.operators import documents as docs_ops
 from tidemark.operators import notices
-from tidemark.plans.assembly import nested_rows
+from tidemark.plans.assembly import all_references, nested_rows, nested_text
 from tidemark.plans.fixtures import Fixtures, text
 from tidemark.plans.registry import query
 from tidemark.session import shared_dir
@@ -78,7 +78,7 @@ def notify_payload(fx: Fixtures) -> DataFrame:
     )
 
 
-def customer_documents(fx: Fixtures) -> DataFrame:
+def customer_documents(fx: Fixtures, affected: DataFrame | None = None) -> DataFrame:
     """Customers with their orders and order lines inside."""
     items = fx.customer_items.select(
         "ID", "LanguageID",
@@ -87,7 +87,7 @@ def customer_documents(fx: Fixtures) -> DataFrame:
     )
     rows, refs = nested_rows(fx)
     own = refs.withColumn("_SubitemID", F.col("ItemID"))
-    return docs_ops.build_documents(items, refs.unionByName(own), rows, html_fields=["Note"])
+    return docs_ops.build_documents(items, refs.unionByName(own), rows, html_fields=["Note"], affected=affected)
 
 
 def size_of(m: Column) -> Column:
@@ -97,34 +97,42 @@ def size_of(m: Column) -> Column:
 @query(
     "doc_build",
     """
-WITH t AS (SELECT ItemID, count(*) AS n_rows, string_agg(concat(ItemTableID, ':', Value), ',' ORDER BY ItemTableID)
-  AS table_rows FROM {fx_subtables} WHERE AttributeID = 191 GROUP BY 1),
+WITH deep AS (SELECT s2.ItemID, s2._SubitemID, s2.SortOrder, s2.ItemTableID,
+  concat(s2.ItemTableID, ':', s2.Value, CASE WHEN s3.ItemID IS NULL THEN '' ELSE concat('[', s3.ItemTableID, ':', s3.Value,
+   CASE WHEN s4.ItemID IS NULL THEN '' ELSE concat('[', s4.ItemTableID, ':', s4.Value, ']') END, ']') END) AS txt
+  FROM {fx_subtables} s2
+  LEFT JOIN {fx_subtables} s3 ON s3._SubitemID = s2.ItemTableID AND s3.ItemID = s2.ItemID AND s3.AttributeID = 193
+  LEFT JOIN {fx_subtables} s4 ON s4._SubitemID = s3.ItemTableID AND s4.ItemID = s3.ItemID AND s4.AttributeID = 194
+  WHERE s2.AttributeID = 192),
+ below AS (SELECT ItemID, _SubitemID, count(*) AS n, string_agg(txt, ',' ORDER BY SortOrder, ItemTableID) AS txt FROM deep
+  GROUP BY 1, 2),
+ t AS (SELECT s.ItemID, count(*) AS n_rows, string_agg(concat(s.ItemTableID, ':', s.Value,
+   CASE WHEN b.txt IS NULL THEN '' ELSE concat('[', b.txt, ']') END), ',' ORDER BY s.ItemTableID) AS table_rows
+  FROM {fx_subtables} s LEFT JOIN below b ON b.ItemID = s.ItemID AND b._SubitemID = s.ItemTableID
+  WHERE s.AttributeID = 191 GROUP BY 1),
  n AS (SELECT ItemID, count(*) AS n_nested FROM {fx_subtables} WHERE AttributeID = 192 GROUP BY 1),
- r AS (SELECT ItemID, count(*) AS n_refs, string_agg(concat(ReferenceID, '>', TargetID), ','
-  ORDER BY SortOrder, ReferenceID) AS refs FROM {fx_row_references} WHERE AttributeID = 31 GROUP BY 1)
+ r AS (SELECT ItemID, count(*) AS n_refs, string_agg(concat(AttributeID, '/', ReferenceID, '>', TargetID), ','
+  ORDER BY AttributeID, SortOrder, ReferenceID) AS refs FROM {fx_row_references} GROUP BY 1)
 SELECT i.ID, i.LanguageID, 0 AS part, i.Label, concat(i.Segment, ' & co') AS note, CAST(2 AS BIGINT) AS n_fields,
  coalesce(t.n_rows, 0) AS n_rows, coalesce(t.table_rows, '') AS table_rows, coalesce(n.n_nested, 0) AS n_nested,
  coalesce(r.n_refs, 0) AS n_refs, coalesce(r.refs, '') AS refs
 FROM {fx_customer_items} i LEFT JOIN t ON t.ItemID = i.ID LEFT JOIN n ON n.ItemID = i.ID LEFT JOIN r ON r.ItemID = i.ID""",
 )
 def doc_build(fx: Fixtures) -> DataFrame:
+    docs = customer_documents(fx)
     rows = F.coalesce(F.col("Subtable")["191"], F.array())
-    refs = F.coalesce(F.col("Reference")["31"], F.array())
+    kind = docs.schema["Subtable"].dataType.valueType
     nested = F.aggregate(rows, F.lit(0).cast("bigint"), lambda acc, r: acc + size_of(r["Subtable"]["192"]))
-    return customer_documents(fx).select(
+    return docs.select(
         "ID", "LanguageID", "part",
         F.col("fields")["Label"].alias("Label"),
         F.col("fields")["Note"].alias("note"),
         F.size("fields").cast("bigint").alias("n_fields"),
         F.size(rows).cast("bigint").alias("n_rows"),
-        F.array_join(
-            F.transform(rows, lambda r: F.concat(text(r["ItemTableID"]), F.lit(":"), r["fields"]["191:Value"])), ","
-        ).alias("table_rows"),
+        nested_text(rows, kind, ["191", "192", "193", "194"]).alias("table_rows"),
         nested.alias("n_nested"),
-        F.size(refs).cast("bigint").alias("n_refs"),
-        F.array_join(
-            F.transform(refs, lambda r: F.concat(text(r["ReferenceID"]), F.lit(">"), r["fields"]["TargetID"])), ","
-        ).alias("refs"),
+        F.size(F.flatten(F.coalesce(F.map_values("Reference"), F.array()))).cast("bigint").alias("n_refs"),
+        all_references(F.col("Reference")).alias("refs"),
     )
 
 
@@ -133,16 +141,24 @@ def doc_build(fx: Fixtures) -> DataFrame:
     """
 WITH hit AS (SELECT DISTINCT ID FROM {fx_changes} WHERE event_type = 'view'),
  t AS (SELECT ItemID, count(*) AS n_rows FROM {fx_subtables} WHERE AttributeID = 191 GROUP BY 1)
-SELECT i.ID, i.LanguageID, 'Label' AS fields, coalesce(t.n_rows, 0) AS n_rows, CAST(0 AS BIGINT) AS n_refs,
- 'Label,Reference.31.x' AS paths
-FROM {fx_customer_items} i LEFT JOIN t ON t.ItemID = i.ID WHERE i.ID IN (SELECT ID FROM hit)""",
+, r AS (SELECT ItemID, count(*) AS n_refs FROM {fx_row_references} WHERE AttributeID = 31 GROUP BY 1)
+SELECT i.ID, i.LanguageID, 'Label' AS fields, coalesce(t.n_rows, 0) AS n_rows, coalesce(r.n_refs, 0) AS n_refs,
+ CASE WHEN r.n_refs IS NULL THEN 'Label' ELSE 'Label,Reference.31.1' END AS paths
+FROM {fx_customer_items} i LEFT JOIN t ON t.ItemID = i.ID LEFT JOIN r ON r.ItemID = i.ID
+WHERE i.ID IN (SELECT ID FROM hit)""",
 )
 def reindex_projection(fx: Fixtures) -> DataFrame:
     affected = fx.changes.where(F.col("event_type") == "view").select("ID")
-    fields, refs, tables = docs_ops.reindex_fields(None, [], ["191"], ["Label", "ID"])
-    found = docs_ops.reproject(customer_documents(fx), affected, fields, refs, tables, [2])
-    flat = F.create_map(
-        F.lit("Label"), F.lit("a"), F.lit("Reference.31.x"), F.lit("b"), F.lit("Reference.32.x"), F.lit("c")
+    fields, refs, tables = docs_ops.reindex_fields(None, ["31"], ["191"], ["Label", "ID"])
+    docs = customer_documents(fx, affected)
+    found = docs_ops.reproject(docs, affected, fields, refs, tables, [2])
+    # The document's own paths: its fields, and the first reference of each attribute.
+    names = F.map_keys(F.coalesce("Reference", F.create_map().cast(docs.schema["Reference"].dataType)))
+    flat = F.map_from_entries(
+        F.concat(
+            F.transform(F.map_keys("fields"), lambda k: F.struct(k.alias("k"), F.lit("x").alias("v"))),
+            F.transform(names, lambda k: F.struct(F.concat(F.lit("Reference."), k, F.lit(".1")).alias("k"), F.lit("x").alias("v"))),
+        )
     )
     return found.select(
         "ID", "LanguageID", F.array_join(F.map_keys("fields"), ",").alias("fields"),

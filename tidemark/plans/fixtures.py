@@ -167,7 +167,7 @@ class Fixtures:
 
     @cached_property
     def subtables(self) -> DataFrame:
-        """Customer → order rows (191) → line rows (192)."""
+        """Customer → order rows (191) → line rows (192) → rows below some lines (193) → rows below these (194)."""
         shared = [F.lit("Customer").alias("ItemType"), F.lit(2).cast("bigint").alias("LanguageID")]
         top = self.table("orders").select(
             F.col("o_custkey").alias("ItemID"), *shared, F.lit(191).cast("bigint").alias("AttributeID"),
@@ -179,7 +179,20 @@ class Fixtures:
             (F.col("line_id") + 1000000000).alias("ItemTableID"), (F.col("o_orderkey") + 1000000).alias("_SubitemID"),
             F.col("l_linenumber").cast("bigint").alias("SortOrder"), F.col("l_returnflag").alias("Value"),
         )
-        return top.unionByName(nested)
+        # Further levels below some lines: 193 below every other one, 194 below every other of these.
+        number = F.col("l_linenumber")
+
+        def deeper(kind: int, base: int, below: int, step: int) -> DataFrame:
+            return self.order_lines.where(number % step == 1).select(
+                F.col("o_custkey").alias("ItemID"), *shared, F.lit(kind).cast("bigint").alias("AttributeID"),
+                (F.col("line_id") + F.lit(base)).alias("ItemTableID"),
+                (F.col("line_id") + F.lit(below)).alias("_SubitemID"), F.lit(0).cast("bigint").alias("SortOrder"),
+                F.concat("l_returnflag", F.lit(str(kind))).alias("Value"),
+            )
+
+        third = deeper(193, 10_000_000_000_000, 1_000_000_000, 2)
+        fourth = deeper(194, 20_000_000_000_000, 10_000_000_000_000, 4)
+        return top.unionByName(nested).unionByName(third).unionByName(fourth)
 
     @staticmethod
     def as_changes(events: DataFrame) -> DataFrame:

@@ -46,7 +46,12 @@ SELECT o_custkey AS ItemID, 'Customer' AS ItemType, CAST(2 AS BIGINT) AS Languag
  CAST(0 AS BIGINT) AS SortOrder, o_orderstatus AS Value FROM orders
 UNION ALL SELECT o.o_custkey, 'Customer', 2, 192, 1000000000 + l.line_id, o.o_orderkey + 1000000,
  CAST(l.l_linenumber AS BIGINT), l.l_returnflag
-FROM {fx_lines} l JOIN orders o ON o.o_orderkey = l.l_orderkey""",
+FROM {fx_lines} l JOIN orders o ON o.o_orderkey = l.l_orderkey
+UNION ALL SELECT o.o_custkey, 'Customer', 2, 193, 10000000000000 + l.line_id, 1000000000 + l.line_id, 0,
+ concat(l.l_returnflag, '193') FROM {fx_lines} l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE l.l_linenumber % 2 = 1
+UNION ALL SELECT o.o_custkey, 'Customer', 2, 194, 20000000000000 + l.line_id, 10000000000000 + l.line_id, 0,
+ concat(l.l_returnflag, '194') FROM {fx_lines} l JOIN orders o ON o.o_orderkey = l.l_orderkey
+ WHERE l.l_linenumber % 4 = 1""",
     "fx_changes": """
 SELECT event_id + CASE WHEN event_id % 5 = 0 THEN 40 ELSE 0 END AS seq, event_id, user_id AS ID,
  epoch_us(ts) AS InsertTime,
