@@ -77,7 +77,7 @@ def test_lookups(shop):
     assert shop.value("Label", ["Label"]).where("ID = 1 AND LanguageID = 1").first()["value"] == "Größe 1 en"
     assert {r["field"] for r in shop.values(["Label"]).collect()} == {"Label", "13", "-4"}
     assert {(r["name"], r["field_class"]) for r in shop.fields().collect()} >= {
-        ("13", "custom"), ("-4", "plugin"), ("Label", "standard"),
+        ("13", "custom"), ("-4", "custom"), ("-4", "plugin"), ("Label", "standard"),
     }
     bundle = {r["ID"]: r["languages"] for r in shop.iterate(Criteria().class_id(102), [1, 2])}
     assert set(bundle) == {1, 2} and bundle[1][2]["Label"] == "Größe 1 de"
@@ -95,7 +95,7 @@ def test_trees(shop, spark):
 
 def test_attributes(shop):
     lists = {r["ClassMapping"]: r["attribute_ids"] for r in shop.effective_attributes().collect()}
-    assert lists == {" 102 421 ": [13, 14], "102": [13], "": [14], None: [14]}
+    assert lists == {" 102 421 ": [-4, 13, 14], "102": [-4, 13], "": [-4, 14], None: [-4, 14]}
     keys = {r["ExternalKey"]: r["AttributeID"] for r in catalog.ids_by_external_key(shop.attributes).collect()}
     assert keys["brand"] == 14 and "" not in keys
     assert ids(shop.attribute_by_external_key("link")) == [30]

@@ -84,23 +84,43 @@ class Catalogue:
         return assemble.with_parent(self.items, *fields)
 
     # --- assembly ---------------------------------------------------------------------------------------
+    @property
+    def class_columns(self) -> tuple[str, ...]:
+        """Columns with class lists: a view item adds the classes of the item it extends."""
+        extended = self.item_type.endswith(fixed.VIEW_SUFFIX) and "_ExtensionClassMapping" in self.items.columns
+        return ("ClassMapping", "_ExtensionClassMapping") if extended else ("ClassMapping",)
+
+    @cached_property
+    def plugin_ids(self) -> list[int]:
+        """Plugin attributes (negative ids) of the store; they belong to every item. A column each, so a short list."""
+        if "attrs" not in self.items.columns:
+            return []
+        ids = self.items.select(F.explode(F.map_keys("attrs")).alias("id")).where(F.col("id") < 0).distinct()
+        return sorted(r["id"] for r in ids.collect())
+
     def effective_attributes(self) -> DataFrame:
-        columns = ["ClassMapping"]
-        if self.item_type.endswith(fixed.VIEW_SUFFIX) and "_ExtensionClassMapping" in self.items.columns:
-            columns.append("_ExtensionClassMapping")
         return catalog.effective_attributes(
-            self.items, self.class_attributes, self.attributes, columns=tuple(columns)
+            self.items, self.class_attributes, self.attributes, self.plugin_ids, self.class_columns
         )
 
-    def item_references(self) -> DataFrame:
+    def _children(self, rows: DataFrame, kind: int) -> DataFrame:
         assigned = catalog.assigned_of_kind(
-            self.items, self.class_attributes, self.attributes, fixed.KIND_REFERENCE
+            self.items, self.class_attributes, self.attributes, kind, self.plugin_ids, self.class_columns
         )
-        return assemble.children_of_items(self.items, self.references, assigned)
+        return assemble.children_of_items(self.items, rows, assigned, self.class_columns)
+
+    def item_references(self) -> DataFrame:
+        return self._children(self.references, fixed.KIND_REFERENCE)
 
     def item_subtables(self) -> DataFrame:
-        assigned = catalog.assigned_of_kind(self.items, self.class_attributes, self.attributes, fixed.KIND_SUBTABLE)
-        return assemble.children_of_items(self.items, self.subtables, assigned)
+        return self._children(self.subtables, fixed.KIND_SUBTABLE)
+
+    def assembled(self) -> DataFrame:
+        """Items with their assigned values, references and nested rows."""
+        return assemble.assembled_items(
+            self.items, self.class_attributes, self.attributes, self.references, self.subtables, self.plugin_ids,
+            self.class_columns,
+        )
 
     def values(self, standard: list[str]) -> DataFrame:
         return assemble.values_long(self.items, standard)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark import fixed
 from tidemark.functions.maps import field_value
+from tidemark.operators import catalog
 from tidemark.operators.gather import PART_ROWS, gather_by_attribute
 from tidemark.operators.sizes import measured
 from tidemark.session import cut_lineage
@@ -14,18 +16,94 @@ OWNER = ["ItemID", "LanguageID"]
 HELD = ("Reference", "Subtable")
 
 
-def children_of_items(items: DataFrame, rows: DataFrame, assigned: DataFrame | None = None) -> DataFrame:
-    """Reference or nested-table rows of the items, limited to attributes the item's class list assigns.
+def children_of_items(
+    items: DataFrame,
+    rows: DataFrame,
+    assigned: DataFrame | None = None,
+    columns: tuple[str, ...] = ("ClassMapping",),
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """Reference or nested-table rows that hang directly below the items, limited to attributes assigned to them.
 
-    ``assigned`` holds (ClassMapping, AttributeID): few class lists times few attributes.
+    Rows inside other rows (_SubitemID other than the item) are no children of the item. With an ``item_type`` in the
+    items, the owner's type in the rows (SourceType, ItemType) must be it. ``assigned`` holds (``columns``, AttributeID):
+    few class lists times few attributes. ``keep`` names item columns to carry along.
     """
-    owners = items.select(F.col("ID").alias("ItemID"), "LanguageID", "ClassMapping")
+    owners = items.select(
+        F.col("ID").alias("ItemID"), "LanguageID", *[F.col(c).alias(f"__i_{c}") for c in {*columns, *keep}],
+        *[F.col("item_type").alias("__type")] * ("item_type" in items.columns),
+    )
+    if "_SubitemID" in rows.columns:
+        rows = rows.where(F.col("_SubitemID") == F.col("ItemID"))
     joined = rows.join(owners, OWNER)
+    kind = next((c for c in ("SourceType", "ItemType") if c in rows.columns), None)
+    if kind and "item_type" in items.columns:
+        joined = joined.where(F.col(kind) == F.col("__type"))
     if assigned is not None:
-        given = assigned.select(F.col("ClassMapping").alias("__list"), F.col("AttributeID").alias("__attribute"))
-        same = F.col("ClassMapping").eqNullSafe(F.col("__list")) & (F.col("AttributeID") == F.col("__attribute"))
-        joined = joined.join(measured(given), same, "left_semi")
-    return joined.select(*rows.columns)
+        given = assigned.select(
+            *[F.col(c).alias(f"__l_{c}") for c in columns], F.col("AttributeID").alias("__attribute")
+        )
+        same = [F.col(f"__i_{c}").eqNullSafe(F.col(f"__l_{c}")) for c in columns]
+        joined = joined.join(measured(given), [*same, F.col("AttributeID") == F.col("__attribute")], "left_semi")
+    return joined.select(*rows.columns, *[F.col(f"__i_{c}").alias(c) for c in keep])
+
+
+def with_class_values(rows: DataFrame, by_class: DataFrame) -> DataFrame:
+    """Rows whose ``attrs`` hold the attributes of the row's own ClassID and no others; class 0 has none.
+
+    ``by_class``: ClassID, ``class_ids``, one row per class.
+    """
+    known = measured(by_class.where(F.col("ClassID") != 0).select(F.col("ClassID").alias("__class"), "class_ids"))
+    joined = rows.join(known, F.col("ClassID") == F.col("__class"), "left")
+    kept = F.map_filter("attrs", lambda k, _: F.coalesce(F.array_contains("class_ids", k), F.lit(False)))
+    return joined.withColumn("attrs", kept).select(*rows.columns)
+
+
+def assembled_items(
+    items: DataFrame,
+    class_attributes: DataFrame,
+    attributes: DataFrame,
+    references: DataFrame,
+    subtables: DataFrame,
+    plugin_ids: list[int] | None = None,
+    columns: tuple[str, ...] = ("ClassMapping",),
+    limit: int = PART_ROWS,
+) -> DataFrame:
+    """Items as a reader gets them: their assigned values, references and nested rows.
+
+    ``items``: ID, LanguageID, item_type, class list ``columns``, attrs; ``references`` and ``subtables``: owner, type,
+    ClassID, AttributeID, SortOrder, ExternalKey, attrs and their keys. Item values are those of plain attributes that
+    the class lists or plugins assign; values inside a reference or row are those of its own class. The result has
+    attribute_ids, attrs, ``part``, Reference and Subtable (attribute → rows); an item with more than ``limit`` children
+    comes in parts, of which the first has the values.
+    """
+    by_class = cut_lineage(catalog.assigned_by_class(class_attributes, attributes))
+    effective = catalog.effective_attributes(items, class_attributes, attributes, plugin_ids, columns)
+    lists = measured(cut_lineage(effective.select(*[F.col(c).alias(f"__l_{c}") for c in columns], "attribute_ids")))
+    same = [F.col(c).eqNullSafe(F.col(f"__l_{c}")) for c in columns]
+    own = items.join(lists, same, "left").select(
+        *items.columns, F.coalesce("attribute_ids", F.array().cast("array<bigint>")).alias("attribute_ids")
+    )
+    own = own.withColumn("attrs", F.map_filter("attrs", lambda k, _: F.array_contains("attribute_ids", k)))
+
+    def grouped(rows: DataFrame, kind: int, ident: str, name: str, fields: list[str]) -> DataFrame:
+        assigned = cut_lineage(catalog.assigned_of_kind(items, class_attributes, attributes, kind, plugin_ids, columns))
+        children = with_class_values(children_of_items(items, rows, assigned, columns), by_class)
+        item = F.struct("SortOrder", ident, "ExternalKey", "ClassID", *fields, "attrs")
+        return gather_by_attribute(children, OWNER, item, ["SortOrder", ident], name, limit).drop(f"{name}_weight")
+
+    refs = grouped(references, fixed.KIND_REFERENCE, "ReferenceID", "Reference", ["TargetID", "TargetType"])
+    rows = grouped(subtables, fixed.KIND_SUBTABLE, "ItemTableID", "Subtable", [])
+    children = refs.join(rows, [*OWNER, "part"], "full").withColumnRenamed("ItemID", "ID")
+    first = own.withColumn("part", F.lit(0)).join(children, ["ID", "LanguageID", "part"], "left")
+    none = own.withColumn("attrs", F.map_filter("attrs", lambda k, v: F.lit(False)))
+    further = none.join(children.where(F.col("part") > 0), ["ID", "LanguageID"])
+    return first.unionByName(further)
+
+
+def held_value(rows: Column, attribute_id: int | Column, part: str = "value") -> Column:
+    """The values of one attribute inside assembled references or rows, in their order (null where absent)."""
+    return F.transform(rows, lambda r: r["attrs"][attribute_id][part])
 
 
 def by_level(rows: DataFrame) -> list[DataFrame]:

@@ -10,6 +10,7 @@ from tidemark.functions.maps import json_map
 from tidemark.functions.text import id_list
 from tidemark.operators.gather import gather
 from tidemark.operators.sizes import measured
+from tidemark.session import cut_lineage
 
 SPECIAL_KINDS = [fixed.KIND_FOLDER, fixed.KIND_REFERENCE, fixed.KIND_SUBTABLE]
 # --- fixed values: numbered parameters of an attribute --------------------------------------------------
@@ -103,16 +104,35 @@ def effective_attributes(
     return assigned.groupBy(*columns).agg(F.sort_array(F.collect_set("AttributeID")).alias("attribute_ids"))
 
 
-def with_effective_attributes(items: DataFrame, effective: DataFrame, column: str = "ClassMapping") -> DataFrame:
-    """Items with ``attribute_ids`` of their class list; class lists are few, so the items stay where they are."""
-    lists = measured(effective.select(F.col(column).alias("__list"), "attribute_ids"))
-    return items.join(lists, F.col(column).eqNullSafe(F.col("__list")), "left").drop("__list")
+def with_effective_attributes(
+    items: DataFrame, effective: DataFrame, columns: str | tuple[str, ...] = ("ClassMapping",)
+) -> DataFrame:
+    """Items with ``attribute_ids`` of their class lists. Lists are few: they are written once, then counted and joined."""
+    columns = (columns,) if isinstance(columns, str) else columns
+    lists = cut_lineage(effective.select(*[F.col(c).alias(f"__l_{c}") for c in columns], "attribute_ids"))
+    same = [F.col(c).eqNullSafe(F.col(f"__l_{c}")) for c in columns]
+    return items.join(measured(lists), same, "left").select(*items.columns, "attribute_ids")
 
 
-def assigned_of_kind(items: DataFrame, class_attributes: DataFrame, attributes: DataFrame, kind: int) -> DataFrame:
-    """(ClassMapping, AttributeID): attributes of one kind that a class list assigns."""
+def assigned_of_kind(
+    items: DataFrame,
+    class_attributes: DataFrame,
+    attributes: DataFrame,
+    kind: int,
+    plugin_ids: list[int] | None = None,
+    columns: tuple[str, ...] = ("ClassMapping",),
+) -> DataFrame:
+    """(``columns``, AttributeID): attributes of one kind that the class lists (and plugins) assign."""
     wanted = attributes_of_kind(attributes, kind).select(F.col("ID").alias("AttributeID"))
-    return class_lists_to_attributes(items, class_attributes).join(wanted, "AttributeID", "left_semi")
+    lists = effective_attributes(items, class_attributes, None, plugin_ids, columns, keep_special=True)
+    return lists.select(*columns, F.explode("attribute_ids").alias("AttributeID")).join(wanted, "AttributeID", "left_semi")
+
+
+def assigned_by_class(class_attributes: DataFrame, attributes: DataFrame) -> DataFrame:
+    """(ClassID, ``class_ids``): the plain attributes of each class, sorted; one row per class."""
+    special = attributes.where(F.col("_TypeID").isin(SPECIAL_KINDS)).select(F.col("ID").alias("AttributeID"))
+    plain = class_attributes.select("ClassID", "AttributeID").join(special, "AttributeID", "left_anti")
+    return plain.groupBy("ClassID").agg(F.sort_array(F.collect_set("AttributeID")).alias("class_ids"))
 
 
 def workflow_states(records: DataFrame) -> DataFrame:
@@ -134,7 +154,8 @@ def language_names(languages: DataFrame) -> Column:
 
 
 def field_classes(fields: DataFrame, column: str = "field") -> DataFrame:
-    """Class of every field name: custom and plugin attributes once (by their value field), the rest standard.
+    """Classes of every field name: attributes are custom (once, by their value field), the rest standard; an attribute
+    with a negative id is custom and plugin.
 
     Malformed ids (with a comma) and formatted values give no field of their own.
     """
@@ -145,10 +166,11 @@ def field_classes(fields: DataFrame, column: str = "field") -> DataFrame:
         fields.where(~(is_value & ident.contains(",")) & ~field.contains(":FormattedValue"))
         .select(
             F.when(is_value, ident).otherwise(field).alias("name"),
-            F.when(is_value & field.contains("-"), "plugin")
-            .when(is_value, "custom")
-            .otherwise("standard")
-            .alias("field_class"),
+            F.explode(
+                F.when(is_value & field.contains("-"), F.array(F.lit("custom"), F.lit("plugin")))
+                .when(is_value, F.array(F.lit("custom")))
+                .otherwise(F.array(F.lit("standard")))
+            ).alias("field_class"),
         )
         .distinct()
     )

@@ -31,9 +31,8 @@ def item_references(fx: Fixtures) -> DataFrame:
     assigned = catalog.assigned_of_kind(
         fx.order_items, fx.class_attributes, fx.class_kinds, fixed.KIND_REFERENCE
     )
-    rows = assemble.children_of_items(fx.order_items, fx.references, assigned)
-    labels = fx.order_items.select(F.col("ID").alias("ItemID"), "Label")
-    return rows.join(labels, "ItemID").select("ItemID", "AttributeID", "ReferenceID", "TargetID", "Label")
+    rows = assemble.children_of_items(fx.order_items, fx.references, cut_lineage(assigned), keep=("Label",))
+    return rows.select("ItemID", "AttributeID", "ReferenceID", "TargetID", "Label")
 
 
 @query(
@@ -48,7 +47,7 @@ def item_subtables(fx: Fixtures) -> DataFrame:
     assigned = catalog.assigned_of_kind(
         fx.customer_items, fx.class_attributes, fx.class_kinds, fixed.KIND_SUBTABLE
     )
-    rows = assemble.children_of_items(fx.customer_items, fx.subtables, assigned)
+    rows = assemble.children_of_items(fx.customer_items, fx.subtables, cut_lineage(assigned))
     return rows.select("ItemID", "AttributeID", "ItemTableID", "Value")
 
 
@@ -133,6 +132,79 @@ def all_references(references: Column) -> Column:
     return F.coalesce(F.array_join(texts, ","), F.lit(""))
 
 
+@query(
+    "item_assembled",
+    """
+WITH i AS (SELECT ID, LanguageID, ID % 4 AS k, CAST(trim(ClassMapping) AS BIGINT) AS c1, 100 + ID % 6 AS c2
+  FROM {fx_order_items}),
+ special AS (SELECT ID FROM {fx_class_kinds} WHERE _TypeID IN (0, 2, 3)),
+ given AS (SELECT DISTINCT i.ID, m.AttributeID FROM i JOIN {fx_class_attributes} m ON m.ClassID IN (i.c1, i.c2)
+  UNION SELECT ID, -7 FROM i),
+ plain AS (SELECT * FROM given WHERE AttributeID NOT IN (SELECT ID FROM special)),
+ v AS (SELECT ID, string_agg(concat(AttributeID, '=v', ID % 10), ',' ORDER BY AttributeID) AS item_values FROM plain
+  WHERE AttributeID IN (-7, 11, 13, 15, 19, 23) GROUP BY 1),
+ r AS (SELECT r.ItemID, r.AttributeID, r.ReferenceID, r.SortOrder, r.TargetID, 100 + r.ReferenceID % 6 AS cls
+  FROM {fx_references} r JOIN given g ON g.ID = r.ItemID AND g.AttributeID = r.AttributeID),
+ rv AS (SELECT r.ItemID, r.AttributeID, r.ReferenceID, r.SortOrder, r.TargetID,
+  coalesce(string_agg(concat(m.AttributeID, '=t', r.TargetID), ';' ORDER BY m.AttributeID)
+   FILTER (WHERE m.AttributeID IS NOT NULL), '') AS vals
+  FROM r LEFT JOIN (SELECT * FROM {fx_class_attributes} WHERE AttributeID IN (11, 15, 23)
+   AND AttributeID NOT IN (SELECT ID FROM special)) m ON m.ClassID = r.cls GROUP BY 1, 2, 3, 4, 5),
+ rp AS (SELECT *, CAST((row_number() OVER (PARTITION BY ItemID ORDER BY AttributeID, SortOrder, ReferenceID) - 1) // 2
+  AS INTEGER) AS part FROM rv),
+ refs AS (SELECT ItemID, part, string_agg(concat(AttributeID, '/', ReferenceID, '>', TargetID, '{', vals, '}'), ','
+  ORDER BY AttributeID, SortOrder, ReferenceID) AS refs FROM rp GROUP BY 1, 2)
+SELECT i.ID, coalesce(p.part, 0) AS part, CASE WHEN coalesce(p.part, 0) = 0 THEN coalesce(v.item_values, '') ELSE '' END
+ AS item_values, coalesce(p.refs, '') AS refs FROM i LEFT JOIN v ON v.ID = i.ID LEFT JOIN refs p ON p.ItemID = i.ID""",
+)
+def item_assembled(fx: Fixtures) -> DataFrame:
+    ident = F.col("ID")
+
+    def values(ids: tuple[int, ...], value: Column) -> Column:
+        pair = F.struct(value.alias("value"), value.alias("formatted"))
+        return F.create_map(*[x for i in ids for x in (F.lit(i).cast("bigint"), pair)])
+
+    items = fx.order_items.select(
+        "ID", "LanguageID", F.lit("Order").alias("item_type"),
+        F.concat("ClassMapping", F.lit(" "), text(100 + ident % 6), F.lit(" ")).alias("ClassMapping"),
+        values((-7, 11, 13, 15, 19, 23, 77), F.concat(F.lit("v"), text(ident % 10))).alias("attrs"),
+    )
+    references = fx.references.withColumns(
+        {
+            "ClassID": 100 + F.col("ReferenceID") % 6,
+            "ExternalKey": F.concat(F.lit("R"), text("SortOrder")),
+            "attrs": values((11, 15, 23, 77), F.concat(F.lit("t"), text("TargetID"))),
+        }
+    )
+    tables = fx.subtables.withColumns(
+        {"ClassID": F.lit(0).cast("bigint"), "ExternalKey": F.lit(""), "attrs": values((11,), F.col("Value"))}
+    )
+    found = assemble.assembled_items(
+        items, fx.class_attributes, fx.class_kinds, references, tables, plugin_ids=[-7], limit=2
+    )
+
+    def by_number(m: Column) -> Column:
+        return F.array_sort(F.map_entries(m), lambda x, y: (x["key"].cast("bigint") - y["key"].cast("bigint")).cast("int"))
+
+    def pairs(m: Column, separator: str) -> Column:
+        shown = F.transform(by_number(m), lambda e: F.concat(text(e["key"]), F.lit("="), e["value"]["value"]))
+        return F.array_join(shown, separator)
+
+    refs = F.transform(
+        by_number(F.col("Reference")),
+        lambda e: listed(
+            e["value"],
+            lambda r: F.concat(
+                e["key"], F.lit("/"), text(r["ReferenceID"]), F.lit(">"), text(r["TargetID"]), F.lit("{"),
+                pairs(r["attrs"], ";"), F.lit("}"),
+            ),
+        ),
+    )
+    return found.select(
+        "ID", "part", pairs(F.col("attrs"), ",").alias("item_values"), F.coalesce(F.array_join(refs, ","), F.lit("")).alias("refs")
+    )
+
+
 @query(
     "view_extension",
     """

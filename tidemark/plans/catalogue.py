@@ -15,7 +15,8 @@ from tidemark.plans.registry import query
     "effective_attributes",
     """
 WITH tok AS (SELECT ID, LanguageID, CAST(unnest(string_split(trim(ClassMapping), ' ')) AS BIGINT) AS ClassID
-  FROM {fx_items} WHERE ID % 9 <> 0 UNION ALL SELECT ID, LanguageID, 0 FROM {fx_items} WHERE ID % 9 = 0),
+  FROM {fx_items} WHERE ID % 9 <> 0 UNION ALL SELECT ID, LanguageID, 0 FROM {fx_items} WHERE ID % 9 = 0
+  UNION ALL SELECT ID, LanguageID, 200 + ID % 7 FROM {fx_items} WHERE ID % 4 = 1),
  pairs AS (SELECT DISTINCT ID, LanguageID, AttributeID FROM tok JOIN {fx_class_attributes} USING (ClassID)
   UNION SELECT ID, LanguageID, -5 FROM {fx_items})
 SELECT ID, LanguageID, string_agg(CAST(AttributeID AS VARCHAR), ',' ORDER BY AttributeID) AS attribute_ids
@@ -23,9 +24,12 @@ FROM pairs WHERE AttributeID NOT IN (SELECT ID FROM {fx_class_kinds} WHERE _Type
 )
 def effective_attributes(fx: Fixtures) -> DataFrame:
     classes = F.when(F.col("ID") % 9 == 0, F.lit("")).otherwise(F.col("ClassMapping"))
-    items = fx.items.withColumn("ClassMapping", classes)
-    effective = catalog.effective_attributes(items, fx.class_attributes, fx.class_kinds, plugin_ids=[-5])
-    return catalog.with_effective_attributes(items, effective).select(
+    # Every fourth item extends another one and adds that one's class.
+    base = F.when(F.col("ID") % 4 == 1, F.format_string(" %d ", 200 + F.col("ID") % 7)).otherwise(F.lit(""))
+    items = fx.items.withColumns({"ClassMapping": classes, "_ExtensionClassMapping": base})
+    lists = ("ClassMapping", "_ExtensionClassMapping")
+    effective = catalog.effective_attributes(items, fx.class_attributes, fx.class_kinds, [-5], lists)
+    return catalog.with_effective_attributes(items, effective, lists).select(
         "ID", "LanguageID", F.array_join("attribute_ids", ",").alias("attribute_ids")
     )
 

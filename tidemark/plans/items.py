@@ -298,7 +298,8 @@ def standard_values(fx: Fixtures) -> DataFrame:
     """
 SELECT DISTINCT f.name, f.field_class FROM (
  SELECT CAST(s_suppkey AS VARCHAR) AS name, 'custom' AS field_class FROM supplier
- UNION ALL SELECT concat('-', CAST(s_suppkey AS VARCHAR)), 'plugin' FROM supplier WHERE s_suppkey % 5 = 0
+ UNION ALL SELECT concat('-', CAST(s_suppkey AS VARCHAR)), unnest(['custom', 'plugin']) FROM supplier
+  WHERE s_suppkey % 5 = 0
  UNION ALL SELECT s_name, 'standard' FROM supplier) f""",
 )
 def field_classes(fx: Fixtures) -> DataFrame:
