@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark import fixed
 from tidemark.functions.maps import json_map
 from tidemark.operators.evolve import header_columns
+from tidemark.operators.messages import Stores, apply_feed
 from tidemark.plans.fixtures import Fixtures, text
 from tidemark.plans.registry import query
+from tidemark.session import cut_lineage
 from tidemark.sources import changes as src
 from tidemark.sources.headers import fields_of_type, language_ids, read_headers, searchable_and_standard
 
@@ -145,3 +148,100 @@ def big_attr_map(fx: Fixtures) -> DataFrame:
     return fx.changes.select("event_id", F.explode(src.big_attributes(message)).alias("language", "names")).select(
         "event_id", "language", F.array_join(F.sort_array("names"), ",").alias("attributes")
     )
+
+
+FEED_TYPES = {"Label": "text", "StateID": "int", "Hits": "bigint"}
+FEED_BATCHES = 2
+
+
+def feed_messages(fx: Fixtures) -> DataFrame:
+    """The log with full messages: items in two languages with a language-independent row, children, configuration and
+    mapping; every other message is packed."""
+    event, ident = text("event_id"), text("ID")
+    number = F.col("event_id")
+
+    def quoted(*pairs: tuple[str, Column]) -> Column:
+        return F.to_json(F.map_from_arrays(F.array(*[F.lit(k) for k, _ in pairs]), F.array(*[v for _, v in pairs])))
+
+    language = lambda i: F.lit(str(i))
+    items = F.concat_ws(
+        ",",
+        quoted(("LanguageID", language(0)), ("Label", F.concat(F.lit("L"), event)), ("13:Value", F.concat(F.lit("b"), ident))),
+        quoted(("LanguageID", language(1)), ("Label", F.lit("hidden")), ("StateID", text(number % 7)), ("note", F.lit("n"))),
+        quoted(("LanguageID", language(2)), ("StateID", text(number % 5)), ("Hits", event)),
+    )
+    reference = quoted(
+        ("LanguageID", language(0)), ("AttributeID", F.lit("30")), ("CSReferenceID", event),
+        ("TargetID", text(F.col("ID") * 2)), ("SortOrder", F.lit("1")),
+    )
+    table = quoted(("LanguageID", language(1)), ("AttributeID", F.lit("191")), ("ItemTableID", event), ("191:Value", ident))
+    data = F.concat(
+        F.lit('{"Item":['), items, F.lit('],"Reference":['), F.when(number % 3 == 0, reference).otherwise(F.lit("")),
+        F.lit('],"Subtable":['), table, F.lit("]}"),
+    )
+    row = quoted(("Label", F.concat(F.lit("A"), event)), ("ParentID", text(number % 25)), ("IsFolder", text(number % 2)))
+    kind = F.when(number % 4 == 0, "Reference").when(number % 4 == 1, "Subtable").otherwise("Item")
+    setup = F.concat(F.lit('{"'), kind, F.lit('":['), row, F.lit("]}"))
+    pairs = F.concat(text(number % 30), F.lit(", "), text(number % 17))
+    message = F.when(F.col("type") == fixed.TYPE_CONFIGURATION, setup).when(F.col("type") == fixed.TYPE_MAPPING, pairs)
+    message = F.coalesce(message, data)
+    packed = (number % 2 == 0) & (F.col("type") != fixed.TYPE_MAPPING)
+    return fx.changes.withColumn("Message", F.when(packed, src.encode_payload(message)).otherwise(message))
+
+
+@query(
+    "feed_to_store",
+    """
+WITH l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY item_type, type, ID ORDER BY seq DESC, event_id DESC)
+   AS rn FROM {fx_judged} WHERE verdict = 'valid' AND type IN ('Item', 'FileContent')) WHERE rn = 1 AND Action <> 2),
+ s AS (SELECT l.*, f._InsertTime, f._IsCreated FROM l JOIN {fx_state} f ON f.item_type = l.item_type AND f.type = l.type
+  AND f.ID = l.ID),
+ conf AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ID ORDER BY seq DESC, event_id DESC) AS rn
+  FROM {fx_changes} WHERE type = 'Configuration') WHERE rn = 1)
+SELECT 'item' AS store, concat(item_type, '/', type) AS owner, ID, g.lang AS LanguageID,
+ concat('L', event_id, '|', CASE g.lang WHEN 1 THEN event_id % 7 ELSE event_id % 5 END, '|',
+  CASE g.lang WHEN 1 THEN 0 ELSE event_id END, '|b', ID, '|', CASE g.lang WHEN 1 THEN 'n' ELSE '' END, '|', InsertTime, '|',
+  coalesce(CAST(_InsertTime AS VARCHAR), ''), '|', _IsCreated) AS content
+ FROM s CROSS JOIN (SELECT unnest([1, 2]) AS lang) g
+UNION ALL SELECT 'reference', concat(item_type, '/', type), ID, g.lang, concat(30, '|', event_id, '|', ID * 2, '|', 1)
+ FROM s CROSS JOIN (SELECT unnest([1, 2]) AS lang) g WHERE event_id % 3 = 0
+UNION ALL SELECT 'subtable', concat(item_type, '/', type), ID, 1, concat(191, '|', event_id, '|', ID) FROM s
+UNION ALL SELECT 'attribute', '', ID, NULL, concat(Label, '|', ParentID, '|', IsFolder, '|', _TypeID) FROM {fx_attributes}
+ WHERE ID NOT IN (SELECT ID FROM conf)
+UNION ALL SELECT 'attribute', '', ID, NULL, concat('A', event_id, '|', event_id % 25, '|', event_id % 2, '|',
+ CASE WHEN event_id % 4 = 0 THEN 2 WHEN event_id % 4 = 1 THEN 3 WHEN event_id % 2 = 1 THEN 0 ELSE 1 END)
+ FROM conf WHERE Action <> 2
+UNION ALL SELECT DISTINCT 'mapping', '', ClassID, NULL, CAST(AttributeID AS VARCHAR) FROM (
+ SELECT ClassID, AttributeID FROM {fx_class_attributes}
+ UNION SELECT ID, unnest([event_id % 30, event_id % 17]) FROM {fx_changes} WHERE type = 'Mapping')""",
+)
+def feed_to_store(fx: Fixtures) -> DataFrame:
+    log = cut_lineage(feed_messages(fx))
+    stores = Stores(fx.attributes, fx.class_attributes)
+    last = log.agg(F.max("seq")).first()[0]
+    # The log arrives in slices of its order: what one batch has seen must hold for the next.
+    for i in range(FEED_BATCHES):
+        low, high = (last * i // FEED_BATCHES if i else -1), last * (i + 1) // FEED_BATCHES
+        stores = apply_feed(stores, log.where((F.col("seq") > low) & (F.col("seq") <= high)), FEED_TYPES)
+    owner = F.concat_ws("/", "item_type", "type")
+
+    def shown(df: DataFrame, store: str, owner: Column, ident: str, language: Column, *content: Column) -> DataFrame:
+        parts = [F.coalesce(text(c), F.lit("")) for c in content]
+        return df.select(
+            F.lit(store).alias("store"), owner.alias("owner"), F.col(ident).cast("bigint").alias("ID"),
+            language.cast("int").alias("LanguageID"), F.concat_ws("|", *parts).alias("content"),
+        )
+
+    attrs, none = F.col("attrs"), F.lit(None)
+    held = F.concat_ws("/", "SourceType", "type")
+    return (
+        shown(stores.items, "item", owner, "ID", F.col("LanguageID"), F.col("Label"), F.col("StateID"), F.col("Hits"),
+              attrs["13:Value"], attrs["note"], F.col("_LastWritten"), F.col("_InsertTime"), F.col("_IsCreated"))
+        .unionByName(shown(stores.references, "reference", held, "ItemID", F.col("LanguageID"), F.col("AttributeID"),
+                           F.col("ReferenceID"), F.col("fields")["TargetID"], F.col("SortOrder")))
+        .unionByName(shown(stores.subtables, "subtable", held, "ItemID", F.col("LanguageID"), F.col("AttributeID"),
+                           F.col("ItemTableID"), F.col("fields")["191:Value"]))
+        .unionByName(shown(stores.attributes, "attribute", F.lit(""), "ID", none, F.col("Label"), F.col("ParentID"),
+                           F.col("IsFolder"), F.col("_TypeID")))
+        .unionByName(shown(stores.class_attributes, "mapping", F.lit(""), "ClassID", none, F.col("AttributeID")))
+    )
