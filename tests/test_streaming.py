@@ -28,11 +28,30 @@ def test_feed_over_restarts_and_redelivery(spark, tmp_path):
     assert verdicts == expected_verdicts(rows)
     want = {tuple(r) for r in upsert_items(None, latest(fresh(spark.createDataFrame(rows, SCHEMA), keys=("ID",)), ("ID",)), ("ID",)).collect()}
     assert {tuple(r) for r in state.items.read().collect()} == want
-    # The last batch once more: same version, same rows.
-    version = state.items.version()
-    apply_batch(state, spark.createDataFrame(rows[91:], SCHEMA), version - 1)
-    assert state.items.version() == version
+    # The last batch once more: same rows, accepted and stored.
+    apply_batch(state, spark.createDataFrame(rows[91:], SCHEMA), 2)
     assert {tuple(r) for r in state.items.read().collect()} == want
+    again = {r["event_id"]: r["verdict"] for r in spark.read.parquet(state.accepted).collect()}
+    assert again == verdicts
+
+
+def test_a_batch_rewrites_only_its_buckets(spark, tmp_path):
+    state = FeedState(spark, str(tmp_path / "state"), ("ID",))
+    first = [(i, i, i, 3, i, f"m{i}") for i in range(300)]
+    apply_batch(state, spark.createDataFrame(first, SCHEMA), 0)
+
+    def files():
+        return {f for f in glob.glob(f"{state.root}/*/rows/bucket=*/*.parquet")}
+
+    before = files()
+    later = [(400, 400, 7, 1, 900, "newer"), (401, 401, 8, 2, 901, "")]
+    apply_batch(state, spark.createDataFrame(later, SCHEMA), 1)
+    gone = {f.split("/rows/")[1].split("/")[0] for f in before - files()}
+    assert len(before & files()) > 0.9 * len(before) and 0 < len(gone) <= 2
+    got = {r["ID"]: r["Message"] for r in state.items.read().collect()}
+    assert len(got) == 299 and got[7] == "newer" and 8 not in got
+    # Staged rows of earlier batches are gone.
+    assert [f.rsplit("/", 1)[1] for f in glob.glob(f"{state.root}/items/staged/*")] == ["batch=1"]
 
 
 def test_rebuild_starts_a_new_store(spark, tmp_path):

@@ -1,10 +1,10 @@
-"""Versioned snapshots: readers keep version n while version n+1 is written, then the pointer moves."""
+"""Stores on plain Parquet: versioned snapshots, and a bucketed store of which a batch rewrites what it touches."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -46,3 +46,69 @@ class SnapshotStore:
                 self._pointers()
             )
         return version
+
+
+BUCKETS = 64
+DELETED = "_Deleted"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def complete(spark: SparkSession, path: str) -> bool:
+    """A job has finished writing this folder."""
+    return exists(spark, f"{path}/_SUCCESS")
+
+
+@dataclass(frozen=True)
+class BucketStore:
+    """Rows in folders by a hash of their key. A batch reads and rewrites the buckets it touches, no others.
+
+    A batch's new rows are staged under its number and then put in place by dynamic partition overwrite. A batch that
+    comes again finds its staged rows complete and puts them in place once more, so it can't be applied twice; the staged
+    rows of the batch before are dropped. Deleted keys stay as marks of their bucket, which readers don't see.
+    """
+
+    spark: SparkSession
+    path: str
+    keys: tuple[str, ...]
+    buckets: int = BUCKETS
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
+
+    def touched(self, rows: DataFrame) -> list[int]:
+        """Buckets of the keys in ``rows``: at most ``buckets`` numbers."""
+        return sorted(r[0] for r in rows.select(self.bucket()).distinct().collect())
+
+    def read(self, touched: list[int] | None = None) -> DataFrame | None:
+        """All rows, or those of some buckets; None before the first write."""
+        if not exists(self.spark, f"{self.path}/rows"):
+            return None
+        rows = self.spark.read.parquet(f"{self.path}/rows")
+        if touched is not None:
+            rows = rows.where(F.col("bucket").isin(touched))
+        return rows.where(~F.col(DELETED)).drop("bucket", DELETED)
+
+    def replace(self, rows: DataFrame, number: int | str, deleted: DataFrame | None = None) -> None:
+        """Put in place the whole new content of the buckets that batch ``number`` touches."""
+        staged = f"{self.path}/staged/batch={number}"
+        if not complete(self.spark, staged):
+            marked = rows.withColumn(DELETED, F.lit(False))
+            if deleted is not None:
+                gone = deleted.select(*self.keys).withColumn(DELETED, F.lit(True))
+                marked = marked.unionByName(gone, allowMissingColumns=True)
+            marked.withColumn("bucket", self.bucket()).write.mode("overwrite").parquet(staged)
+        new = self.spark.read.parquet(staged)
+        writer = new.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("bucket").parquet(f"{self.path}/rows")
+        self._drop_staged(keep=number)
+
+    def _drop_staged(self, keep: int | str) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/staged")
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for status in files.listStatus(folder):
+            if status.getPath().getName() != f"batch={keep}":
+                files.delete(status.getPath(), True)

@@ -1,9 +1,9 @@
 """The change feed as a stream: drop stale changes, keep the item store, survive redelivery.
 
-Each micro-batch runs the batch operators on its rows and the state of the batch before it, and writes state, item
-store and accepted changes under the batch's own number. A redelivered batch rewrites the same version from the
-same predecessor, so at-least-once delivery gives exactly-once results. A hot key inside a batch is handled by the
-chunked operators; one stateful Python task per key would serialise it.
+Each micro-batch runs the batch operators on its rows and on those buckets of freshness state and item store that its keys
+fall into, and rewrites these buckets only. Accepted changes are written under the batch's number. A redelivered batch finds
+what it has finished and only puts it in place again: at-least-once delivery gives exactly-once results. A hot key inside a
+batch is handled by the chunked operators; one stateful Python task per key would serialise it.
 """
 
 from __future__ import annotations
@@ -12,12 +12,15 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark import fixed
 from tidemark.operators.apply import latest, upsert_items
 from tidemark.operators.feed import reinitialise
 from tidemark.operators.freshness import ITEM_KEY, fold_state, judge, of_items
-from tidemark.sources.store import SnapshotStore
+from tidemark.session import cut_lineage
+from tidemark.sources.store import BucketStore, complete
 
 
 @dataclass(frozen=True)
@@ -30,12 +33,12 @@ class FeedState:
     keys: tuple[str, ...] = ITEM_KEY
 
     @property
-    def freshness(self) -> SnapshotStore:
-        return SnapshotStore(self.spark, f"{self.root}/freshness")
+    def freshness(self) -> BucketStore:
+        return BucketStore(self.spark, f"{self.root}/freshness", self.keys)
 
     @property
-    def items(self) -> SnapshotStore:
-        return SnapshotStore(self.spark, f"{self.root}/items")
+    def items(self) -> BucketStore:
+        return BucketStore(self.spark, f"{self.root}/items", self.keys)
 
     @property
     def accepted(self) -> str:
@@ -46,22 +49,17 @@ class FeedState:
         return f"{self.root}/checkpoint"
 
 
-# Version 0 is an initial load (if there was one); micro-batch n writes version n + 1.
-def _version(batch_id: int) -> int:
-    return batch_id + 1
-
-
-def _before(store: SnapshotStore, batch_id: int) -> DataFrame | None:
-    return store.read(min(store.version(), _version(batch_id) - 1))
-
-
-def filter_batch(state: FeedState, batch: DataFrame, batch_id: int) -> DataFrame:
+def filter_batch(state: FeedState, batch: DataFrame, batch_id: int | str) -> DataFrame:
     """Judge one micro-batch against the carried state, then move the state on."""
-    known = _before(state.freshness, batch_id)
-    judged = judge(batch, keys=state.keys, state=known)
     path = f"{state.accepted}/batch={batch_id}"
-    judged.write.mode("overwrite").parquet(path)
-    state.freshness.write(fold_state(batch, known, state.keys), _version(batch_id))
+    if not complete(state.spark, path):
+        # Read once here; judging and folding go over the written rows.
+        rows = cut_lineage(batch)
+        known = state.freshness.read(state.freshness.touched(rows))
+        judge(rows, keys=state.keys, state=known).write.mode("overwrite").parquet(path)
+    judged = state.spark.read.parquet(path).drop("verdict")
+    touched = state.freshness.touched(judged)
+    state.freshness.replace(fold_state(judged, state.freshness.read(touched), state.keys), batch_id)
     return state.spark.read.parquet(path)
 
 
@@ -71,11 +69,13 @@ def _stored(state: FeedState, judged: DataFrame) -> DataFrame:
     return accepted.where(of_items()) if {"item_type", "type"} <= set(state.keys) else accepted
 
 
-def apply_batch(state: FeedState, batch: DataFrame, batch_id: int) -> None:
-    """Filter one micro-batch and write the item store of this version."""
-    accepted = _stored(state, filter_batch(state, batch, batch_id))
-    new = upsert_items(_before(state.items, batch_id), latest(accepted, state.keys), state.keys)
-    state.items.write(new, _version(batch_id))
+def apply_batch(state: FeedState, batch: DataFrame, batch_id: int | str) -> None:
+    """Filter one micro-batch and put its items into the store."""
+    last = cut_lineage(latest(_stored(state, filter_batch(state, batch, batch_id)), state.keys))
+    known = state.items.read(state.items.touched(last))
+    state.items.replace(
+        upsert_items(known, last, state.keys), batch_id, last.where(F.col("Action") == fixed.ACTION_DELETE)
+    )
 
 
 def rebuild(spark: SparkSession, root: str, changes: DataFrame, keys: tuple[str, ...] = ITEM_KEY) -> FeedState:
@@ -84,12 +84,7 @@ def rebuild(spark: SparkSession, root: str, changes: DataFrame, keys: tuple[str,
     The old folder stays as it is until readers have moved; a stream started on the result goes on from here.
     """
     state = FeedState(spark, root, keys)
-    kept = reinitialise(changes)
-    path = f"{state.accepted}/batch=initial"
-    judge(kept, keys=keys).write.mode("overwrite").parquet(path)
-    accepted = _stored(state, spark.read.parquet(path))
-    state.freshness.write(fold_state(kept, keys=keys), 0)
-    state.items.write(upsert_items(None, latest(accepted, keys), keys), 0)
+    apply_batch(state, reinitialise(changes), "initial")
     return state
 
 
