@@ -124,7 +124,7 @@ def test_consumer_runs_its_own_code(spark, tmp_path):
 def test_session_notices(spark, tmp_path):
     rows = [("a", f"2024-01-01 00:00:{s:02d}") for s in (1, 2, 3, 4, 30, 31)] + [("a", "2024-01-01 02:00:00")]
     df = spark.createDataFrame(rows, "k string, at string").withColumn("at", F.col("at").cast("timestamp"))
-    out = session_notices(df, ["k"], "at").orderBy("session_start").collect()
+    out = session_notices(df, ["k"], "at", "1 minute").orderBy("session_start").collect()
     assert [(r["pending"], r["mass_notices"], r["single_notices"]) for r in out] == [(4, 1, 0), (2, 0, 2), (1, 0, 1)]
 
 

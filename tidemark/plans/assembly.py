@@ -384,21 +384,32 @@ def record_replace(fx: Fixtures) -> DataFrame:
 @query(
     "cascade_workflow",
     """
-WITH hit AS (SELECT ID, LanguageID, CASE WHEN WorkflowID IN (SELECT value FROM {fx_deleted} WHERE field = 'WorkflowID')
-  OR StateID IN (SELECT value FROM {fx_deleted} WHERE field = 'StateID') THEN 1 ELSE 0 END AS h FROM {fx_items})
-SELECT i.ID, i.LanguageID, CASE WHEN h = 1 THEN 0 ELSE WorkflowID END AS WorkflowID,
- CASE WHEN h = 1 THEN 0 ELSE StateID END AS StateID,
- CASE WHEN StateID IN (SELECT value FROM {fx_deleted} WHERE field = 'StateID') THEN 1 ELSE 0 END AS by_state
-FROM {fx_items} i JOIN hit ON hit.ID = i.ID AND hit.LanguageID = i.LanguageID""",
+WITH t AS (SELECT ID, LanguageID, CASE WHEN ID % 5 = 0 THEN 'Mamfile' ELSE 'Pdmarticle' END AS item_type, WorkflowID, StateID
+  FROM {fx_items}),
+ hit AS (SELECT *, EXISTS (SELECT 1 FROM {fx_deleted} d WHERE d.item_type = t.item_type AND field = 'WorkflowID'
+   AND value = WorkflowID) AS w, EXISTS (SELECT 1 FROM {fx_deleted} d WHERE d.item_type = t.item_type AND field = 'StateID'
+   AND value = StateID) AS s FROM t)
+SELECT ID, LanguageID, item_type, CASE WHEN w OR s THEN 0 ELSE WorkflowID END AS WorkflowID,
+ CASE WHEN w OR s THEN 0 ELSE StateID END AS StateID, CASE WHEN s THEN 1 ELSE 0 END AS by_state,
+ CASE WHEN w OR s THEN '0/0/kept' ELSE concat(WorkflowID, '/', StateID, '/kept') END AS document FROM hit""",
 )
 def cascade_workflow(fx: Fixtures) -> DataFrame:
-    items = fx.items.select("ID", "LanguageID", "WorkflowID", "StateID")
-    deleted = cut_lineage(fx.deleted)
-    by_state = cascade.affected_items(items, deleted, "StateID").select(
-        "ID", "LanguageID", F.lit(1).alias("by_state")
+    kind = F.when(F.col("ID") % 5 == 0, "Mamfile").otherwise("Pdmarticle")
+    items = fx.items.select("ID", "LanguageID", kind.alias("item_type"), "WorkflowID", "StateID")
+    cleared = cascade.clear_workflows(items, fx.deleted, keep_flags=True)
+    documents = items.select(
+        "ID", "LanguageID", "item_type",
+        F.create_map(
+            F.lit("WorkflowID"), text("WorkflowID"), F.lit("StateID"), text("StateID"), F.lit("Label"), F.lit("kept")
+        ).alias("fields"),
     )
-    return cascade.clear_workflows(items, deleted).join(by_state, ["ID", "LanguageID"], "left").select(
-        "ID", "LanguageID", "WorkflowID", "StateID", F.coalesce("by_state", F.lit(0)).alias("by_state")
+    fields = F.col("fields")
+    shown = cascade.clear_document_workflows(documents, fx.deleted).select(
+        "ID", "LanguageID", F.concat_ws("/", fields["WorkflowID"], fields["StateID"], fields["Label"]).alias("document")
+    )
+    return cleared.join(shown, ["ID", "LanguageID"]).select(
+        "ID", "LanguageID", "item_type", "WorkflowID", "StateID", F.col("deleted_StateID").cast("int").alias("by_state"),
+        "document",
     )
 
 

@@ -330,11 +330,12 @@ class Fixtures:
         from tidemark.sources.changes import read_delete
 
         ident = F.col("ID")
+        kind = F.when(ident % 2 == 0, "Pdmarticle").otherwise("Mamfile")
         message = F.when(
-            ident % 9 == 0, F.format_string("%d, Pdmarticle, WorkflowID, %d", ident, ident % 4)
-        ).otherwise(F.format_string("%d, Pdmarticle, StateID, %d", ident, ident % 60))
+            ident % 9 == 0, F.format_string("%d, %s, WorkflowID, %d", ident, kind, ident % 4)
+        ).otherwise(F.format_string("%d, %s, StateID, %d", ident, kind, ident % 60))
         read = self.changes.where(F.col("Action") == 2).select(read_delete("ID", message).alias("d"))
-        return read.select("d.field", "d.value").distinct()
+        return read.select("d.item_type", "d.field", "d.value").distinct()
 
     @cached_property
     def headers(self) -> DataFrame:

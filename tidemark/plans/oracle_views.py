@@ -117,7 +117,8 @@ UNION SELECT 191, 3 FROM nation""",
 SELECT c_custkey AS ID, CAST(2 AS BIGINT) AS LanguageID, c_name AS Label, c_mktsegment AS Segment,
  concat(' ', CAST(400 + c_custkey % 3 AS VARCHAR), ' ') AS ClassMapping, c_custkey + 5 AS _ExtensionID FROM customer""",
     "fx_deleted": """
-SELECT DISTINCT CASE WHEN ID % 9 = 0 THEN 'WorkflowID' ELSE 'StateID' END AS field,
+SELECT DISTINCT CASE WHEN ID % 2 = 0 THEN 'Pdmarticle' ELSE 'Mamfile' END AS item_type,
+ CASE WHEN ID % 9 = 0 THEN 'WorkflowID' ELSE 'StateID' END AS field,
  CASE WHEN ID % 9 = 0 THEN ID % 4 ELSE ID % 60 END AS value FROM {fx_changes} WHERE Action = 2""",
     "fx_headers": """
 SELECT s_name AS ItemType, CASE WHEN s_suppkey % 4 = 3 THEN 'Configuration' ELSE 'item' END AS Type,

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark import fixed
 from tidemark.functions.maps import without_attributes
 from tidemark.operators.feed import route
+from tidemark.session import cut_lineage
 
 Hook = Callable[[DataFrame], DataFrame]
 
@@ -36,7 +37,6 @@ class Consumer:
     on_initialise: Callable[[], None] | None = None
     on_cleanup: Callable[[], None] | None = None
     handles_initial: bool = True
-    durable: bool = True
     dropped_attributes: list[int] = field(default_factory=list)
 
     def process(self, changes: DataFrame) -> dict[str, DataFrame]:
@@ -65,7 +65,8 @@ class Consumer:
         """Run on a stream; ``sink`` gets (kind, result, batch number) and must overwrite per batch number."""
 
         def step(batch: DataFrame, batch_id: int) -> None:
-            for kind, result in self.process(batch).items():
+            # Written once, so that the four kinds don't each compute the batch anew.
+            for kind, result in self.process(cut_lineage(batch)).items():
                 sink(kind, result, batch_id)
 
         if self.on_initialise:

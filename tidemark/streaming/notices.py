@@ -16,10 +16,13 @@ NOTICE_SCHEMA = "notice_key string, notice_type int, pending bigint, first_ms bi
 
 
 def session_notices(
-    notices: DataFrame, keys: list[str], at: str, quiet: str = "5 seconds", late: str = "1 minute"
+    notices: DataFrame, keys: list[str], at: str, late: str, quiet: str = "5 seconds"
 ) -> DataFrame:
     """Number of notices a quiet-time session gives, per key; combines on the map side.
 
+    ``late`` is how long a stream waits for changes of the past: a change that comes later than that is dropped, so it is
+    the caller's to choose. On a batch nothing is late.
+
     A session of n changes flushes n div 100 full lots as mass notices, and the rest as one mass notice or, up to
     three, one by one.
     """
