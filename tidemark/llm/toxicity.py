@@ -35,7 +35,7 @@ from tidemark.llm.common import free_name, whole_text
 from tidemark.session import cut_lineage
 
 # Labelled rows of each class that may become examples.
-MAX_EXAMPLES = 2000
+MAX_EXAMPLES = 6000
 MAX_TERMS = 2048
 # By how much a word's log-likelihood ratio must pass the logarithm of the number of words tried.
 MARGIN = 1.0
@@ -67,6 +67,7 @@ class Model:
     weights: np.ndarray
     peaks: np.ndarray
     labels: np.ndarray
+    mass: np.ndarray
     ids: list
     # Calibration: votes (ascending) and the score at each; score of a text without neighbours.
     votes: np.ndarray
@@ -111,7 +112,8 @@ class Model:
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> float:
         # Nearness is 1 / distance; the small constant keeps exact copies finite.
-        near = 1.0 / (1.0 - np.minimum(cosines, 1.0) + 0.05)
+        # Every example speaks for the labelled rows it was drawn from.
+        near = self.mass[rows] / (1.0 - np.minimum(cosines, 1.0) + 0.05)
         return float((near * self.labels[rows]).sum() / near.sum())
 
     def score(self, text: str) -> tuple[float, np.ndarray, np.ndarray]:
@@ -240,7 +242,12 @@ def _example_counts(vocabulary: dict[str, int]):
 
 def build(vocabulary, idf, ids, labels, counts, shares) -> Model:
     """Index and calibration from the examples' term counts."""
-    model = Model(Terms(vocabulary), idf, *[np.zeros(0)] * 3, np.zeros((len(vocabulary), 1)), labels, ids, np.zeros(1), np.zeros(1), 0.0)
+    drawn = {y: max(1, int((labels == y).sum())) for y in (0, 1)}
+    mass = np.array([shares.get(int(y), 0) / drawn[int(y)] for y in labels])
+    none = np.zeros(0)
+    model = Model(
+        Terms(vocabulary), idf, none, none, none, np.zeros((len(vocabulary), 1)), labels, mass, ids, np.zeros(1), np.zeros(1), 0.0
+    )
     vectors = [model.vector(c) for c in counts]
     term = np.concatenate([t for t, _ in vectors] or [np.zeros(0, np.int64)]).astype(np.int64)
     row = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
@@ -252,8 +259,6 @@ def build(vocabulary, idf, ids, labels, counts, shares) -> Model:
     model.peaks = np.zeros((len(vocabulary), blocks))
     np.maximum.at(model.peaks, (term, row // BLOCK_ROWS), weight)
     # Votes without the example itself: one neighbour more is asked for, and its own is left out.
-    drawn = {y: max(1, int((labels == y).sum())) for y in (0, 1)}
-    mass = np.array([shares.get(int(y), 0) / drawn[int(y)] for y in labels])
     votes, voted, silent = [], [], []
     for i, (terms, weights) in enumerate(vectors):
         rows, cosines = model.nearest(terms, weights, NEIGHBOURS + 1)
