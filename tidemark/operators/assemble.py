@@ -9,6 +9,7 @@ from tidemark import fixed
 from tidemark.functions.maps import field_value
 from tidemark.operators import catalog
 from tidemark.operators.gather import PART_ROWS, gather_by_attribute
+from tidemark.operators.ordered import hot_keys
 from tidemark.operators.sizes import measured
 from tidemark.session import cut_lineage
 
@@ -144,20 +145,25 @@ def with_nested_rows(rows: DataFrame, references: DataFrame | None = None, limit
         below = cut_lineage(gather_by_attribute(nested, row_key, item, ["SortOrder", "ReferenceID"], "Reference", limit))
     held: DataFrame | None = None
     for level in reversed(by_level(base)):
-        grouped = None
+        grouped = {} if below is None else {"Reference": below}
         if held is not None:
             inside = [c for c in HELD if c in held.columns]
-            grouped = gather_by_attribute(
-                held.withColumns({"RowID": F.col("ItemTableID"), "ItemTableID": F.col("_SubitemID")}),
-                row_key,
-                F.struct("SortOrder", F.col("RowID").alias("ItemTableID"), "part", "fields", *inside),
-                ["SortOrder", "RowID", "part"],
-                "Subtable",
-                limit,
-                F.col("weight"),
-                ["SortOrder", "ItemTableID", "part"],
+            # Owners are counted on the bare rows of the level below; the rows with all they hold are computed once.
+            hot = hot_keys(lower.select(*OWNER, F.col("_SubitemID").alias("ItemTableID")), row_key)
+            grouped["Subtable"] = cut_lineage(
+                gather_by_attribute(
+                    held.withColumns({"RowID": F.col("ItemTableID"), "ItemTableID": F.col("_SubitemID")}),
+                    row_key,
+                    F.struct("SortOrder", F.col("RowID").alias("ItemTableID"), "part", "fields", *inside),
+                    ["SortOrder", "RowID", "part"],
+                    "Subtable",
+                    limit,
+                    F.col("weight"),
+                    ["SortOrder", "ItemTableID", "part"],
+                    hot,
+                )
             )
-        held = cut_lineage(_attach(level, below, grouped, row_key))
+        held, lower = _attach(level, grouped, row_key), level
     if "Subtable" not in held.columns:
         inside = [c for c in HELD if c in held.columns]
         kind = held.select(F.struct("SortOrder", "ItemTableID", "part", "fields", *inside).alias("s")).schema["s"].dataType
@@ -166,21 +172,33 @@ def with_nested_rows(rows: DataFrame, references: DataFrame | None = None, limit
     return held
 
 
-def _attach(rows: DataFrame, references: DataFrame | None, tables: DataFrame | None, key: list[str]) -> DataFrame:
-    """Rows with the references and rows grouped below them: one row for each part of either."""
-    found, weight = None, F.lit(1).cast("bigint")
-    for name, grouped in (("Reference", references), ("Subtable", tables)):
-        if grouped is None:
-            continue
-        weight = weight + F.coalesce(F.col(f"{name}_weight"), F.lit(0))
-        own = grouped.join(rows.select(*key).distinct(), key, "left_semi")
-        found = own if found is None else found.join(own, [*key, "part"], "full")
-    if found is None:
-        return rows.withColumns({"part": F.lit(0), "weight": weight})
-    names = [n for n in HELD if n in found.columns]
-    return rows.join(found, key, "left").select(
-        *rows.columns, F.coalesce("part", F.lit(0)).alias("part"), weight.alias("weight"), *names
-    )
+def _attach(rows: DataFrame, grouped: dict[str, DataFrame], key: list[str]) -> DataFrame:
+    """Rows with what is grouped below them: one row for each part of either.
+
+    First parts are joined on the key alone. Further parts, where there are any, are matched with each other by number.
+    """
+    joined = rows.withColumns({"part": F.lit(0), "weight": F.lit(1).cast("bigint")})
+    further = None
+    for name, parts in grouped.items():
+        own = parts.select(*[F.col(k).alias(f"__{k}") for k in key], F.col("part").alias("__part"), name, f"{name}_weight")
+        match = [F.col(k) == F.col(f"__{k}") for k in key]
+        weight = (F.col("weight") + F.coalesce(F.col(f"{name}_weight"), F.lit(0))).alias("weight")
+        # The grouped side holds whole subtrees: merge, never broadcast it.
+        joined = joined.join(own.where(F.col("__part") == 0).drop("__part").hint("merge"), match, "left").select(
+            *[weight if c == "weight" else c for c in joined.columns], name
+        )
+        rest = parts.where(F.col("part") > 0)
+        if not rest.isEmpty():
+            further = rest if further is None else further.join(rest, [*key, "part"], "full")
+    if further is None:
+        return joined
+    weight = F.lit(1).cast("bigint")
+    for name in grouped:
+        if name in further.columns:
+            weight = weight + F.coalesce(F.col(f"{name}_weight"), F.lit(0))
+    names = [n for n in grouped if n in further.columns]
+    more = rows.join(further, key).select(*rows.columns, "part", weight.alias("weight"), *names)
+    return joined.unionByName(more, allowMissingColumns=True)
 
 
 def with_base_rows(view_items: DataFrame, view_rows: DataFrame, base_rows: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ from tidemark.functions.maps import keep_keys, without_nulls
 from tidemark.functions.text import big_value, content_excerpt, html_text
 from tidemark.operators.assemble import OWNER, with_nested_rows
 from tidemark.operators.gather import PART_ROWS, gather_by_attribute
+from tidemark.operators.ordered import hot_keys
+from tidemark.session import cut_lineage
 
 
 def clean(fields: Column | str, html_fields: Sequence[str] = (), big_fields: Column | None = None) -> Column:
@@ -71,9 +73,13 @@ def build_documents(
         "Subtable",
         limit,
         F.col("weight"),
+        hot=hot_keys(rows.where(F.col("_SubitemID") == F.col("ItemID")).select(*OWNER), OWNER),
     ).drop("Subtable_weight")
-    children = own_refs.join(own_rows, [*OWNER, "part"], "full").withColumnRenamed("ItemID", "ID")
+    # Used by the first documents and by the further ones.
+    children = cut_lineage(own_refs.join(own_rows, [*OWNER, "part"], "full").withColumnRenamed("ItemID", "ID"))
     first = docs.withColumn("part", F.lit(0)).join(children, ["ID", "LanguageID", "part"], "left")
+    if children.where(F.col("part") > 0).isEmpty():
+        return first
     further = (
         children.where(F.col("part") > 0)
         .join(docs.select("ID", "LanguageID"), ["ID", "LanguageID"], "left_semi")

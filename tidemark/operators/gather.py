@@ -22,12 +22,18 @@ NULLS_FIRST = -(1 << 62)
 
 
 def in_parts(
-    df: DataFrame, owner: Sequence[str], order: Sequence[str], limit: int = PART_ROWS, weight: Column | None = None
+    df: DataFrame,
+    owner: Sequence[str],
+    order: Sequence[str],
+    limit: int = PART_ROWS,
+    weight: Column | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows with ``__part``. ``order`` must be total within an owner and begin with a number."""
+    """Rows with ``__part``. ``order`` must be total within an owner and begin with a number. ``hot`` are the owners to cut
+    into chunks, where the caller has counted them on a narrower table."""
     before = Running("__before", "sum", F.lit(1).cast("bigint") if weight is None else weight, before=True)
     chunk = chunk_of(F.coalesce(F.col(order[0]), F.lit(NULLS_FIRST)))
-    placed = running(df, owner, [F.col(c) for c in order], chunk, before)
+    placed = running(df, owner, [F.col(c) for c in order], chunk, before, hot=hot)
     part = F.floor(F.coalesce("__before", F.lit(0)) / F.lit(limit)).cast("int")
     return placed.withColumn("__part", part).drop("__before")
 
@@ -63,6 +69,7 @@ def gather_by_attribute(
     limit: int = PART_ROWS,
     weight: Column | None = None,
     fields: Sequence[str] | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of each owner as attribute → sorted array: (owner…, part, ``name``, ``name``_weight).
 
@@ -71,7 +78,7 @@ def gather_by_attribute(
     and the join of the result back to its owner.
     """
     weight = F.lit(1).cast("bigint") if weight is None else weight
-    rows = in_parts(df, owner, ["AttributeID", *by], limit, weight)
+    rows = in_parts(df, owner, ["AttributeID", *by], limit, weight, hot)
     narrow = rows.select(
         *owner, "__part", F.col("AttributeID").cast("string").alias("__attribute"), item.alias("__item"),
         weight.alias("__weight"),
