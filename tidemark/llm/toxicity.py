@@ -35,10 +35,12 @@ from tidemark.llm.common import free_name, whole_text
 from tidemark.session import cut_lineage
 
 # Labelled rows of each class that may become examples.
-MAX_EXAMPLES = 6000
+MAX_EXAMPLES = 4000
 MAX_TERMS = 2048
 # By how much a word's log-likelihood ratio must pass the logarithm of the number of words tried.
 MARGIN = 1.0
+# How many times as frequent a word must be in one class as in the other.
+MIN_LIFT = 3.0
 NEIGHBOURS = 15
 # Examples of one block of the index.
 BLOCK_ROWS = 64
@@ -87,27 +89,30 @@ class Model:
         bounds = weights @ self.peaks[terms]
         order = np.argsort(-bounds, kind="stable")
         best_rows, best = np.zeros(0, np.int64), np.zeros(0)
-        # Blocks are opened in waves that double, so that few numpy calls serve a query.
-        at, wave = 0, 4
+        slices = [slice(self.starts[t], self.starts[t + 1]) for t in terms]
+        rows = np.concatenate([self.rows[s] for s in slices]) if slices else np.zeros(0, np.int64)
+        parts = np.concatenate([self.weights[s] * w for s, w in zip(slices, weights)]) if slices else np.zeros(0)
+        block_of = rows // BLOCK_ROWS
+        # Blocks are opened in waves that grow, so that few numpy calls serve a query.
+        at, wave = 0, 8
         while at < blocks and bounds[order[at]] > 0:
             if len(best) >= k and bounds[order[at]] < best[-1] - 1e-12:
                 break
             opened = order[at : at + wave]
-            cosines = np.zeros(n)
-            slices = [slice(self.starts[t], self.starts[t + 1]) for t in terms]
-            if slices:
-                rows = np.concatenate([self.rows[s] for s in slices])
-                parts = np.concatenate([self.weights[s] * w for s, w in zip(slices, weights)])
-                chosen = np.zeros(blocks, dtype=bool)
-                chosen[opened] = True
-                keep = chosen[rows // BLOCK_ROWS]
-                cosines = np.bincount(rows[keep], weights=parts[keep], minlength=n)
+            chosen = np.zeros(blocks, dtype=bool)
+            chosen[opened] = True
+            keep = chosen[block_of]
+            cosines = np.bincount(rows[keep], weights=parts[keep], minlength=n)
             found = np.flatnonzero(cosines > 0)
-            rows = np.concatenate([best_rows, found])
+            all_rows = np.concatenate([best_rows, found])
             values = np.concatenate([best, cosines[found]])
-            top = np.lexsort((rows, -values))[:k]
-            best_rows, best = rows[top], values[top]
-            at, wave = at + wave, wave * 2
+            if len(values) > 8 * k:
+                # Only what reaches the k-th best value needs sorting, ties at it included.
+                least = np.partition(values, len(values) - k)[len(values) - k]
+                all_rows, values = all_rows[values >= least], values[values >= least]
+            top = np.lexsort((all_rows, -values))[:k]
+            best_rows, best = all_rows[top], values[top]
+            at, wave = at + wave, wave * 4
         return best_rows, best
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> float:
@@ -162,8 +167,11 @@ def select_terms(examples: DataFrame, label: str, text: str) -> DataFrame:
         + part(F.lit(n - pos) - b, (F.lit(n) - has) * (n - pos) / n)
     )
     tried = seen.count()
+    # With many examples slight differences of common words pass that level too. A telling word is also several times
+    # as frequent in one class as in the other.
+    lift = ((a + 0.5) / (pos + 1.0)) / ((b + 0.5) / (n - pos + 1.0))
     return (
-        seen.where(has < n)
+        seen.where((has < n) & ((lift >= MIN_LIFT) | (lift <= 1 / MIN_LIFT)))
         .select("term", ratio.alias("ratio"))
         .where(F.col("ratio") >= math.log(max(tried, 1)) + MARGIN)
         .orderBy(F.desc("ratio"), "term")
