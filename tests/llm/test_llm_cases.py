@@ -139,6 +139,30 @@ def test_similar_documents_and_no_others_go(make_docs):
     assert {r.doc_id for r in simhash.drop_similar(make_docs(rows)).collect()} == want
 
 
+def test_families_in_a_template_crowd_are_joined(make_docs, monkeypatch):
+    """Families of two tight halves, 0.82 apart, among thousands of texts that share a template (0.6)."""
+    monkeypatch.setattr(simhash, "BLOCK", 256)
+    rng = random.Random(21)
+    number = iter(range(1_000_000))
+
+    def words(n):
+        return [f"w{next(number)}" for _ in range(n)]
+
+    template = words(75)
+    rows = [template + words(24) for _ in range(3000)]
+    want = set(range(3000))
+    for _ in range(12):
+        tail = words(24)
+        other = tail[:-9] + words(9)
+        want.add(len(rows))
+        for half in (tail, other):
+            rows += [template + half[:-1] + words(1) for _ in range(3)]
+    at = list(range(len(rows)))
+    rng.shuffle(at)
+    docs = make_docs([(i, " ".join(rows[i])) for i in at])
+    assert {r.doc_id for r in simhash.drop_similar(docs).collect()} == want
+
+
 def test_repeats_of_odd_rows(odd, make_docs):
     rows = repeats.remove_repeats(odd).collect()
     assert len(rows) == odd.count()

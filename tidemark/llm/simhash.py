@@ -291,8 +291,10 @@ def drop_near_copies(
 # fingerprints differ in 15 % of their bits, too many for the pigeonhole rule, so fingerprints are WORDS64 words wide and
 # candidates share sampled bits: more bits per table the more texts there are, and as many tables as leave such a pair
 # out with a chance below MISSED. The fingerprints only choose whom to compare: candidates are verified on their shingle
-# sets. In a run of SLICED_FROM or more texts, where all pairs would be too many, each text is paired with its nearest
-# and with the one that most others are near to, anew in every table.
+# sets. In a run of SLICED_FROM or more texts, where all pairs would be too many, each text is first paired with its
+# nearest and with the one that most others are near to. Once those links are closed, runs with pairs left over are
+# compared again in cells, pairs of blocks dealt to tasks: there every pair within the radius that is not yet connected is
+# verified on the spot, and true links are closed as they are found, so a cell gives fewer links than it has rows.
 
 WIDE_SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -304,6 +306,8 @@ MISSED = 0.005
 SLICED_FROM = 64
 # Candidates of a text that are verified first; the others only if that didn't join it to them.
 FIRST_TRIES = 4
+# Shingles of one block of a cell, so that long texts make smaller blocks.
+BLOCK_SHINGLES = 1 << 21
 
 
 def _bits_apart(similarity: float, words64: int) -> tuple[float, float]:
@@ -327,11 +331,13 @@ def wide_fingerprint(hashes: np.ndarray, words64: int = WORDS64) -> list[int]:
 def _wide(shingle_words: int, words64: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [wide_fingerprint(shingle_hashes(t.as_py(), shingle_words), words64) for t in batch.column(1)]
+            shingles = [shingle_hashes(t.as_py(), shingle_words) for t in batch.column(1)]
+            found = [wide_fingerprint(s, words64) for s in shingles]
             words = np.array(found, dtype=np.uint64).reshape(-1, words64).view(np.int64)
+            sizes = pa.array([len(np.unique(s)) for s in shingles], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(words[:, w].copy()) for w in range(words64)]],
-                names=["key", *[f"f{w}" for w in range(words64)]],
+                [sizes, batch.column(0), *[pa.array(words[:, w].copy()) for w in range(words64)]],
+                names=["n", "key", *[f"f{w}" for w in range(words64)]],
             )
 
     return run
@@ -401,8 +407,9 @@ def short_pairs(words: np.ndarray, cuts: np.ndarray, radius: int) -> list[tuple[
     return found
 
 
-def long_pairs(words: np.ndarray, radius: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Of one long run, each row with its nearest and with the row that most are near to, within the radius."""
+def long_pairs(words: np.ndarray, radius: int) -> tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray]], bool]:
+    """Of one long run, each row with its nearest and with the row that most are near to, within the radius; and whether
+    other pairs lie within it as well."""
     n = len(words)
     far = np.int64(1) << 62
     best, degree = np.full(n, far), np.zeros(n, dtype=np.int64)
@@ -419,18 +426,27 @@ def long_pairs(words: np.ndarray, radius: int) -> list[tuple[np.ndarray, np.ndar
     hub = np.full(n, degree.argmax())
     to_hub = _apart(words, np.arange(n), hub)
     near = (to_hub <= radius) & (np.arange(n) != hub)
-    return [
+    found = [
         (has, best[has] & ((1 << 32) - 1), best[has] >> 32),
         (np.flatnonzero(near), hub[near], to_hub[near]),
     ]
+    x, y = (np.concatenate([f[i] for f in found]) for i in range(2))
+    taken = len(np.unique(np.minimum(x, y) * n + np.maximum(x, y)))
+    return found, bool(degree.sum() // 2 > taken)
 
 
 def _candidates(radius: int):
-    """mapInArrow over (bucket, key, words) sorted by bucket: pairs to verify with their distance, larger key first."""
+    """mapInArrow over (bucket, key, words) sorted by bucket: pairs to verify with their distance, larger key first.
+
+    A bucket with pairs left over gives a row of its own, with the bucket for ``a`` and a distance of -1. One of more
+    than ``KEY_ROWS`` rows is taken in parts and always gives such a row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[np.ndarray] = []
         for batch in batches:
+            if not batch.num_rows:
+                continue
             rows = np.stack([c.to_numpy() for c in batch.columns], axis=1)
             rows = np.concatenate([*rest, rows])
             # The last bucket may go on in the next batch.
@@ -438,18 +454,28 @@ def _candidates(radius: int):
             if last:
                 yield pairs(rows[:last])
             rest = [rows[last:]]
+            if len(rest[0]) > KEY_ROWS:
+                for at in range(0, len(rest[0]), KEY_ROWS):
+                    yield pairs(rest[0][at : at + KEY_ROWS], True)
+                rest = []
         if rest:
             yield pairs(rest[0])
 
-    def pairs(rows: np.ndarray) -> pa.RecordBatch:
+    def pairs(rows: np.ndarray, part: bool = False) -> pa.RecordBatch:
         cuts = _runs([rows[:, 0]])
         words, key = np.ascontiguousarray(rows[:, 2:]).view(np.uint64), rows[:, 1]
         found = short_pairs(words, cuts, radius)
+        left = [rows[0, 0]] if part else []
         for first, last in zip(cuts[:-1], cuts[1:]):
             if last - first >= SLICED_FROM:
-                found += [(x + first, y + first, d) for x, y, d in long_pairs(words[first:last], radius)]
+                chosen, more = long_pairs(words[first:last], radius)
+                found += [(x + first, y + first, d) for x, y, d in chosen]
+                if more:
+                    left.append(rows[first, 0])
         x, y, d = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in range(3))
-        a, b = np.maximum(key[x], key[y]), np.minimum(key[x], key[y])
+        left = np.array(left, dtype=np.int64)
+        a, b = np.concatenate([np.maximum(key[x], key[y]), left]), np.concatenate([np.minimum(key[x], key[y]), left])
+        d = np.concatenate([d, np.full(len(left), -1)])
         return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in (a, b, d)], names=["a", "b", "d"])
 
     return run
@@ -476,6 +502,122 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float, shingle_word
     return both.where((shared >= similarity * either) | (either == 0)).select("a", "b")
 
 
+def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each cell (the first three columns), from rows sorted by cell."""
+    held: list[pa.RecordBatch] = []
+    own = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [batch.column(i).to_numpy() for i in range(3)]
+        cuts = _runs(keys)
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            cell = tuple(k[a] for k in keys)
+            if held and cell != own:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            held.append(batch.slice(a, b - a))
+            own = cell
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _open_pairs(side, size, words, root, radius: int, similarity: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Row by row, the later rows within the radius that its root doesn't connect it to yet and that are of a size that
+    can be similar. Rows are sorted by side; with two sides only pairs across them count. ``root`` may change on the way."""
+    n = len(side)
+    split = int(np.searchsorted(side, side[-1]))
+    for a in range(0, split or n, BLOCK):
+        rows = slice(a, min(a + BLOCK, split or n))
+        for b in range(split or a, n, BLOCK):
+            near = _near_rows(words, rows, slice(b, b + BLOCK), radius)
+            for x in (a + np.flatnonzero(near.any(axis=1))).tolist():
+                y = np.flatnonzero(near[x - a]) + b
+                y = y[(y > x) & (root[y] != root[x])]
+                y = y[np.minimum(size[y], size[x]) >= similarity * np.maximum(size[y], size[x])]
+                if len(y):
+                    yield x, y
+
+
+def _cell_columns(cell: pa.Table, words64: int) -> tuple[np.ndarray, ...]:
+    side, root, size, key = (cell.column(c).to_numpy() for c in ("side", "root", "n", "key"))
+    order = np.argsort(side, kind="stable")
+    words = np.stack([cell.column(f"f{w}").to_numpy() for w in range(words64)], axis=1).view(np.uint64)
+    return order, side[order], root[order], size[order], key[order], np.ascontiguousarray(words[order])
+
+
+def _open_rows(radius: int, similarity: float, words64: int):
+    """mapInArrow over rows sorted by cell: the rows with a pair that is still open."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _by_cell(batches):
+            order, side, root, size, _, words = _cell_columns(cell, words64)
+            if (root == root[0]).all():
+                continue
+            still = np.zeros(len(order), dtype=bool)
+            for x, y in _open_pairs(side, size, words, root, radius, similarity):
+                still[x] = True
+                still[y] = True
+            yield from cell.take(pa.array(np.sort(order[still]))).to_batches()
+
+    return run
+
+
+def _cell_links(radius: int, similarity: float, words64: int):
+    """mapInArrow over rows with their shingle sets ``s``, sorted by cell: true links that connect what is similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _by_cell(batches):
+            order, side, root, size, key, words = _cell_columns(cell, words64)
+            sets = cell.column("s").combine_chunks().take(pa.array(order))
+            _, shingles = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+            starts = np.concatenate(([0], np.cumsum(size)))
+            own = np.zeros(int(shingles.max(initial=-1)) + 1, dtype=bool)
+            root = root.copy()
+            links: list[tuple[int, int]] = []
+            for x, y in _open_pairs(side, size, words, root, radius, similarity):
+                mine = shingles[starts[x] : starts[x + 1]]
+                own[mine] = True
+                before = np.cumsum(size[y]) - size[y]
+                at = np.repeat(starts[y] - before, size[y]) + np.arange(int(size[y].sum()))
+                shared = np.add.reduceat(own[shingles[at]].astype(np.int64), before)
+                own[mine] = False
+                y = y[shared >= similarity * (size[x] + size[y] - shared)]
+                roots, first = np.unique(root[y], return_index=True)
+                links += [(key[x], key[k]) for k in y[first]]
+                root[np.isin(root, roots)] = root[x]
+            a, b = (np.array([link[i] for link in links], dtype=np.int64) for i in range(2))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return run
+
+
+def left_over_links(
+    rows: DataFrame, joined: DataFrame, texts: DataFrame, radius: int, similarity: float, shingle_words: int, words64: int
+) -> DataFrame:
+    """True links between groups (``joined``: node, root) that share a bucket of ``rows`` (bucket, key, n, words)."""
+    roots = joined.select(F.col("node").alias("key"), "root")
+    named = cut_lineage(rows.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")))
+    buckets = named.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"), F.min("root").alias("low"), F.max("root").alias("high")
+    )
+    blocks = F.greatest(F.ceil(F.col("rows") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES), F.lit(1).cast("bigint"))
+    dealt = named.join(buckets.where("low < high").select("bucket", blocks.alias("blocks")), "bucket")
+    dealt = dealt.withColumn("side", F.pmod(F.xxhash64("key"), F.col("blocks"))).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+    )
+    names = ["bucket", "lo", "hi", "side", "root", "n", "key", *[f"f{w}" for w in range(words64)]]
+    cells = dealt.withColumn("lo", F.least("side", "other")).withColumn("hi", F.greatest("side", "other")).select(*names)
+    cell = names[:3]
+    sorted_cells = cells.repartition(*cell).sortWithinPartitions(*cell)
+    types = ", ".join(f"{n} long" for n in names)
+    still = cut_lineage(sorted_cells.mapInArrow(_open_rows(radius, similarity, words64), types))
+    asked = texts.join(still.select("key").distinct(), "key").select("key", "t")
+    sets = cut_lineage(asked.mapInArrow(_shingle_sets(shingle_words), "key long, s array<bigint>"))
+    held = still.join(sets, "key").select(*names, "s").repartition(*cell).sortWithinPartitions(*cell)
+    return cut_lineage(held.mapInArrow(_cell_links(radius, similarity, words64), "a long, b long"))
+
+
 def similar_groups(
     docs: DataFrame,
     key: str,
@@ -492,8 +634,8 @@ def similar_groups(
     names = [f"f{w}" for w in range(words64)]
     types = ", ".join(f"{n} long" for n in ["key", *names])
     texts = docs.select(F.col(key).alias("key"), whole_text(text_column).alias("t"))
-    prints = cut_lineage(texts.mapInArrow(_wide(shingle_words, words64), types))
-    equal = cut_lineage(prints.groupBy(*names).agg(F.min("key").alias("first")))
+    prints = cut_lineage(texts.mapInArrow(_wide(shingle_words, words64), f"n long, {types}"))
+    equal = cut_lineage(prints.groupBy(*names).agg(F.min("key").alias("first"), F.min_by("n", "key").alias("n")))
     mean, deviation = _bits_apart(similarity, words64)
     bits = max(12, round(math.log2(max(2, equal.count()))) - 4)
     share = (1 - (mean + deviation) / (64 * words64)) ** bits
@@ -503,13 +645,15 @@ def similar_groups(
     )
     radius = round(mean + SLACK * deviation)
     near = keyed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_candidates(radius), "a long, b long, d long")
-    same = prints.join(equal, names).where(F.col("key") != F.col("first"))
-    pairs = cut_lineage(
+    same = prints.join(equal.drop("n"), names).where(F.col("key") != F.col("first"))
+    found = cut_lineage(
         near.unionByName(same.select(F.col("key").alias("a"), F.col("first").alias("b"), F.lit(0).cast("bigint").alias("d")))
-        .groupBy("a", "b")
+        .groupBy("a", "b", (F.col("d") < 0).alias("left_over"))
         .agg(F.min("d").alias("d"))
-        .withColumn("nth", F.row_number().over(Window.partitionBy("a").orderBy("d", "b")))
+        .withColumn("nth", F.row_number().over(Window.partitionBy("left_over", "a").orderBy("d", "b")))
     )
+    pairs = found.where(~F.col("left_over"))
+    buckets = found.where("left_over").select(F.col("a").alias("bucket"))
     links = cut_lineage(verified(pairs.where(F.col("nth") <= FIRST_TRIES).select("a", "b"), texts, similarity, shingle_words))
     joined = cut_lineage(components(links))
     root_of = {n: joined.select(F.col("node").alias(n), F.col("root").alias(f"root_{n}")) for n in ("a", "b")}
@@ -521,9 +665,15 @@ def similar_groups(
         .select("a", "b")
     )
     more = cut_lineage(verified(cut_lineage(apart), texts, similarity, shingle_words))
-    if more.isEmpty():
-        return joined.select(F.col("node").alias("key"), "root")
-    return components(links.unionByName(more)).select(F.col("node").alias("key"), "root")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        joined = cut_lineage(components(links))
+    if not buckets.isEmpty():
+        rows = keyed.join(buckets, "bucket").join(equal.select(F.col("first").alias("key"), "n"), "key")
+        across = left_over_links(rows, joined, texts, radius, similarity, shingle_words, words64)
+        if not across.isEmpty():
+            joined = components(links.unionByName(across))
+    return joined.select(F.col("node").alias("key"), "root")
 
 
 def drop_similar(
