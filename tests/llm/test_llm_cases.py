@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -140,8 +141,9 @@ def test_similar_documents_and_no_others_go(make_docs):
 
 
 def test_families_in_a_template_crowd_are_joined(make_docs, monkeypatch):
-    """Families of two tight halves, 0.82 apart, among thousands of texts that share a template (0.6)."""
+    """Families of two tight halves, 0.82 apart, among thousands of texts that share a template (0.6), in one bucket."""
     monkeypatch.setattr(simhash, "BLOCK", 256)
+    monkeypatch.setattr(simhash, "sampled_bits", lambda tables, bits, words64: np.zeros((1, 0), dtype=np.int64))
     rng = random.Random(21)
     number = iter(range(1_000_000))
 
@@ -163,6 +165,29 @@ def test_families_in_a_template_crowd_are_joined(make_docs, monkeypatch):
     assert {r.doc_id for r in simhash.drop_similar(docs).collect()} == want
 
 
+def test_equal_fingerprints_of_other_sets_are_compared(make_docs, monkeypatch):
+    """All texts get one fingerprint; near copies among them are found all the same, and no others go."""
+    shared = simhash._wide
+
+    def fixed(shingle_words, words64):
+        run = shared(shingle_words, words64)
+
+        def same(batches):
+            for batch in run(batches):
+                at = batch.schema.names.index("f0")
+                rows = batch.num_rows
+                words = [pa.array(np.full(rows, 7)) for _ in range(words64)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:at], *words], names=batch.schema.names)
+
+        return same
+
+    monkeypatch.setattr(simhash, "_wide", fixed)
+    texts = [[f"d{i}x{k}" for k in range(120)] for i in range(100)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    rows += [(200 + i, " ".join([*texts[i][:-1], "end"])) for i in range(50, 60)]
+    assert {r.doc_id for r in simhash.drop_similar(make_docs(rows)).collect()} == set(range(100))
+
+
 def test_repeats_of_odd_rows(odd, make_docs):
     rows = repeats.remove_repeats(odd).collect()
     assert len(rows) == odd.count()

@@ -328,16 +328,23 @@ def wide_fingerprint(hashes: np.ndarray, words64: int = WORDS64) -> list[int]:
     return out
 
 
+def set_digest(distinct: np.ndarray) -> bytes:
+    """128 bits of the sorted distinct shingle hashes."""
+    return xxhash.xxh3_128_digest(distinct.astype("<u8").tobytes(), SEED)
+
+
 def _wide(shingle_words: int, words64: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shingles = [shingle_hashes(t.as_py(), shingle_words) for t in batch.column(1)]
             found = [wide_fingerprint(s, words64) for s in shingles]
+            sets = [np.unique(s) for s in shingles]
             words = np.array(found, dtype=np.uint64).reshape(-1, words64).view(np.int64)
-            sizes = pa.array([len(np.unique(s)) for s in shingles], pa.int64())
+            sizes = pa.array([len(s) for s in sets], pa.int64())
+            digests = pa.array([set_digest(s) for s in sets], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [sizes, batch.column(0), *[pa.array(words[:, w].copy()) for w in range(words64)]],
-                names=["n", "key", *[f"f{w}" for w in range(words64)]],
+                [digests, sizes, batch.column(0), *[pa.array(words[:, w].copy()) for w in range(words64)]],
+                names=["digest", "n", "key", *[f"f{w}" for w in range(words64)]],
             )
 
     return run
@@ -628,14 +635,16 @@ def similar_groups(
 ) -> DataFrame:
     """``key`` and ``root`` (the group's least key) of every document in a group of more than one.
 
-    ``key`` must be a unique long. Documents of equal fingerprints stand for one another in the tables, so no number of
-    copies makes a bucket larger.
+    ``key`` must be a unique long. Documents of equal shingle sets stand for one another in the tables, so no number of
+    copies makes a bucket larger; every other document enters them itself.
     """
     names = [f"f{w}" for w in range(words64)]
     types = ", ".join(f"{n} long" for n in ["key", *names])
     texts = docs.select(F.col(key).alias("key"), whole_text(text_column).alias("t"))
-    prints = cut_lineage(texts.mapInArrow(_wide(shingle_words, words64), f"n long, {types}"))
-    equal = cut_lineage(prints.groupBy(*names).agg(F.min("key").alias("first"), F.min_by("n", "key").alias("n")))
+    prints = cut_lineage(texts.mapInArrow(_wide(shingle_words, words64), f"digest binary, n long, {types}"))
+    equal = cut_lineage(
+        prints.groupBy("digest").agg(F.min("key").alias("first"), *[F.min_by(n, "key").alias(n) for n in ["n", *names]])
+    )
     mean, deviation = _bits_apart(similarity, words64)
     bits = max(12, round(math.log2(max(2, equal.count()))) - 4)
     share = (1 - (mean + deviation) / (64 * words64)) ** bits
@@ -645,7 +654,7 @@ def similar_groups(
     )
     radius = round(mean + SLACK * deviation)
     near = keyed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_candidates(radius), "a long, b long, d long")
-    same = prints.join(equal.drop("n"), names).where(F.col("key") != F.col("first"))
+    same = prints.select("digest", "key").join(equal.select("digest", "first"), "digest").where(F.col("key") != F.col("first"))
     found = cut_lineage(
         near.unionByName(same.select(F.col("key").alias("a"), F.col("first").alias("b"), F.lit(0).cast("bigint").alias("d")))
         .groupBy("a", "b", (F.col("d") < 0).alias("left_over"))
