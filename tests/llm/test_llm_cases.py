@@ -188,6 +188,22 @@ def test_equal_fingerprints_of_other_sets_are_compared(make_docs, monkeypatch):
     assert {r.doc_id for r in simhash.drop_similar(make_docs(rows)).collect()} == set(range(100))
 
 
+def test_copies_with_other_repeats_go(make_docs):
+    """Separator columns and repeated lines don't count in the shingle sets, so they don't in the candidates."""
+    rng = random.Random(4)
+    rows, want = [], set()
+    for i in range(40):
+        words = [f"v{rng.randrange(10**6)}" for _ in range(80)]
+        line = " ".join(words[20:40])
+        want.add(2 * i)
+        rows.append((2 * i, " ".join(words) + (" |" * 400 if i % 2 else "")))
+        if i % 2:
+            rows.append((2 * i + 1, " ".join([*words[:-1], "end"]) + " |" * 300))
+        else:
+            rows.append((2 * i + 1, " ".join(words[:40]) + f" {line}" * 30 + " " + " ".join(words[40:])))
+    assert {r.doc_id for r in simhash.drop_similar(make_docs(rows)).collect()} == want
+
+
 def test_repeats_of_odd_rows(odd, make_docs):
     rows = repeats.remove_repeats(odd).collect()
     assert len(rows) == odd.count()

@@ -336,9 +336,9 @@ def set_digest(distinct: np.ndarray) -> bytes:
 def _wide(shingle_words: int, words64: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shingles = [shingle_hashes(t.as_py(), shingle_words) for t in batch.column(1)]
-            found = [wide_fingerprint(s, words64) for s in shingles]
-            sets = [np.unique(s) for s in shingles]
+            # Sets, as the decision is on sets: repeats would move the fingerprints of equal ones apart.
+            sets = [np.unique(shingle_hashes(t.as_py(), shingle_words)) for t in batch.column(1)]
+            found = [wide_fingerprint(s, words64) for s in sets]
             words = np.array(found, dtype=np.uint64).reshape(-1, words64).view(np.int64)
             sizes = pa.array([len(s) for s in sets], pa.int64())
             digests = pa.array([set_digest(s) for s in sets], pa.binary())
