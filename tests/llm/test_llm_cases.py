@@ -445,6 +445,27 @@ def test_pages_of_odd_rows(spark):
     assert html_text.extract(frame.limit(0), text_as="found").count() == 0
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<head><title>x</title><p>One two.</p><p>Three</p>",
+        "<html><head><meta charset=utf-8><noscript><p>One two.</p></noscript><p>Three</p>",
+        "<head><title>x</title>One two.<p>Three</p>",
+        "<body><svg/><p>One two.</p><p>Three</p>",
+        "<body><div><object data=a><p>One two.</p></div><p>Three</p>",
+        *[f"<body><{t}{slash}><p>One two.</p><p>Three</p>" for t in ("svg", "object", "iframe", "noscript", "math") for slash in ("", "/")],
+    ],
+)
+def test_unclosed_elements_hide_nothing(html):
+    text = " ".join("".join(pieces) for _, pieces in html_text.read(html).segments)
+    assert text.split() == ["One", "two.", "Three"]
+
+
+def test_closed_elements_stay_unseen():
+    page = html_text.read("<head><title>x</title><script>y</script></head><body><svg><title/><text>z</text></svg><p>One</p><noscript>n</noscript>")
+    assert [pieces for _, pieces in page.segments] == [["One"]]
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(1)
     parents = np.array([-1, 0, 0, 1, 1, 2])

@@ -43,6 +43,12 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 UNSEEN = frozenset("head script style noscript template iframe object svg math title textarea select option".split())
+# Elements that may stand in the head; any other start tag ends it.
+HEAD_ELEMENTS = frozenset("base basefont bgsound link meta noframes noscript script style template title head".split())
+FOREIGN = frozenset("svg math".split())
+# Unseen elements that need an end tag of their own; without one they are read as if they were empty. What follows an
+# open script or style is code all the same, and head and options end by what follows them.
+NEED_END = UNSEEN - frozenset("head script style option".split())
 CLOSES_P = BLOCKS - frozenset("body html tbody td tfoot th thead title tr li dd dt option caption legend summary button".split())
 # An opening element ends an open one of these names, looked for no further up than the fences.
 ENDS = {
@@ -109,8 +115,13 @@ class Node:
 class Page(HTMLParser):
     """Block elements of a page as a tree, and its text segments in page order as (node, pieces)."""
 
-    def __init__(self):
+    def __init__(self, unclosed: frozenset[int] = frozenset()):
         super().__init__(convert_charrefs=True)
+        # Start tags, by number, that are known to have no end tag; those found on this pass; the numbers of open ones.
+        self.known = unclosed
+        self.unclosed: set[int] = set()
+        self.number = 0
+        self.numbers: list[int] = []
         self.nodes = [Node("html", -1, {})]
         self.segments: list[tuple[int, list[str]]] = []
         # Open elements: (name, node it opened or -1); the nodes among them; unseen and link elements open now.
@@ -122,6 +133,7 @@ class Page(HTMLParser):
 
     def _push(self, name: str, node: int) -> None:
         self.open.append((name, node))
+        self.numbers.append(self.number)
         if node >= 0:
             self.at.append(node)
             self.fresh = True
@@ -130,6 +142,7 @@ class Page(HTMLParser):
 
     def _pop(self) -> None:
         name, node = self.open.pop()
+        self.numbers.pop()
         if node >= 0:
             self.at.pop()
             self.fresh = True
@@ -140,17 +153,45 @@ class Page(HTMLParser):
         """Close the innermost open element of ``names``, unless a fence stands before it."""
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] in names:
-                while len(self.open) > i:
+                while len(self.open) > i + 1:
+                    self._note_unclosed()
                     self._pop()
+                self._pop()
                 return
             if self.open[i][0] in fences:
                 return
 
+    def _note_unclosed(self) -> None:
+        if self.open[-1][0] in NEED_END:
+            self.unclosed.add(self.numbers[-1])
+
+    def _end_head(self) -> None:
+        """End a head that is the innermost open element, or the next one around a noscript."""
+        if self.open and self.open[-1][0] == "noscript" and len(self.open) > 1 and self.open[-2][0] == "head":
+            self._pop()
+        if self.open and self.open[-1][0] == "head":
+            self._pop()
+
+    def set_cdata_mode(self, elem, **more) -> None:
+        if self.number not in self.known:
+            super().set_cdata_mode(elem, **more)
+
+    def close(self) -> None:
+        super().close()
+        while self.open:
+            self._note_unclosed()
+            self._pop()
+
     def handle_starttag(self, tag: str, attrs) -> None:
+        self.number += 1
         if tag in ("html", "body"):
             if tag == "body":
                 self._end(("head",), ())
             return
+        if tag not in HEAD_ELEMENTS:
+            self._end_head()
+        if self.number in self.known:
+            return
         if tag in CLOSES_P:
             self._end(("p",), ("table", "td", "th", "button", "li", "div", "article", "section", "blockquote"))
         if tag in ENDS:
@@ -171,6 +212,9 @@ class Page(HTMLParser):
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self.handle_starttag(tag, attrs)
+        # Only foreign elements may close themselves.
+        if self.open and self.numbers[-1] == self.number and (self.unseen and any(n in FOREIGN for n, _ in self.open)):
+            self._pop()
 
     def handle_endtag(self, tag: str) -> None:
         if tag in ("html", "body"):
@@ -185,6 +229,8 @@ class Page(HTMLParser):
         self._text(data)
 
     def _text(self, data: str) -> None:
+        if self.unseen and self.open[-1][0] == "head" and not data.isspace():
+            self._end_head()
         if self.unseen or not data:
             return
         if self.fresh or self.segments[-1][0] != self.at[-1]:
@@ -202,10 +248,15 @@ class Page(HTMLParser):
 
 
 def read(html: str) -> Page:
-    page = Page()
-    page.feed(html)
-    page.close()
-    return page
+    """The page; read again with unseen elements that have no end tag taken for empty, so that they hide nothing."""
+    known: frozenset[int] = frozenset()
+    while True:
+        page = Page(known)
+        page.feed(html)
+        page.close()
+        if page.unclosed <= known:
+            return page
+        known |= page.unclosed
 
 
 def describe(page: Page) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
