@@ -388,6 +388,25 @@ def test_secrets_of_odd_rows(odd, spark):
     assert secrets.scan(odd.select("doc_id", "text"), model, path_column=None).where("doc_id = 1").count() == 0
 
 
+def test_secrets_assigned_to_a_name(spark, make_docs):
+    key = "ghp_a8Kd73kQpZx92LmNvB4tYwRs61Uc"
+    lines = [
+        (f"export\nAPI_KEY={key}\nDEBUG=1", key),
+        ('password = "Tr0ub4dor&3"', "Tr0ub4dor&3"),
+        ('secret = "QWERTyuiopASDFghjklZXCV"', "QWERTyuiopASDFghjklZXCV"),
+        ('{"auth_token": "x9$kQz!p"}', "x9$kQz!p"),
+        ("DB_PASSWORD=hV7#qLm2\n", "hV7#qLm2"),
+        ("see /login?token=a1B2c3D4e5F6g7H8&next=home", "a1B2c3D4e5F6g7H8"),
+        ("data a1B2c3D4e5F6g7H8i9== end", "a1B2c3D4e5F6g7H8i9=="),
+    ]
+    found = {}
+    for r in secrets.scan(make_docs([(i, t, "deploy/.env") for i, (t, _) in enumerate(lines)])).collect():
+        found.setdefault(r.doc_id, []).append(r)
+    for i, (text, value) in enumerate(lines):
+        assert [(r.candidate, r.start) for r in found[i]] == [(value, text.index(value))]
+    assert all(found[i][0].secret for i in range(5))
+
+
 def test_secrets_held_out_accuracy(spark):
     findings = secrets.made_findings(spark, 3000).withColumn("fold", F.pmod(F.xxhash64("candidate"), F.lit(4)))
     model = secrets.train(findings.where("fold > 0"))

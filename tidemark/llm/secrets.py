@@ -1,7 +1,9 @@
 """Secret scanning with a random forest against false positives, in DataFrame functions only.
 
 Candidates are runs that look like keys: sixteen or more characters of an identifier or base64 alphabet with at least one
-digit, taken from the whole text with what stands before and after. Each becomes a row of numbers: length, character
+digit, ``=`` only as padding at the end; and whatever of six or more signs is assigned to a name that speaks of a secret,
+to the closing quote or, without quotes, to the next space. They are taken from the whole text with what stands before
+and after. Each becomes a row of numbers: length, character
 transitions, coverage by a dictionary of words that code and prose are made of, hints in the path, and hints in the
 neighbouring words. A random forest trained on labelled findings scores them; what stays below the limit is a false
 positive.
@@ -25,7 +27,18 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import whole_text
 from tidemark.session import cut_lineage
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_=\-])(?=[A-Za-z+/_=\-]*[0-9])[A-Za-z0-9+/_=\-]{16,}"
+_RUN = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{16,}+(?:={1,2}(?![A-Za-z0-9+/_=\-\"'`]))?"
+# Values of a secret-like name. The short tests come first, as they are made at every place of a text.
+_NAMED = (
+    r"(?i:secret|token|passw|pwd|passphrase|api.?key|access.?key|private.?key|auth|bearer|credential|signing)"
+    r"[A-Za-z0-9_\-]{0,24}[\"'`]?[ \t]{0,4}(?:=>|:=|=|:)[ \t]{0,4}"
+)
+_QUOTED = rf"(?<=[\"'`])(?<=[=:> \t][\"'`])(?<={_NAMED}[\"'`])[^\"'`\r\n]{{6,}}(?=[\"'`])"
+_BARE = (
+    r"(?<=[=:> \t])(?![=>\s\"'`])(?<=[=:>][ \t]{0,4})"
+    rf"(?<={_NAMED})(?:[^\s\"'`,;<>&]|&(?![A-Za-z_]+=)){{6,}}"
+)
+CANDIDATE = f"{_QUOTED}|{_BARE}|{_RUN}"
 # Characters of context on either side.
 LEFT, RIGHT = 48, 24
 LIMIT = 0.5
@@ -134,6 +147,10 @@ def made_findings(spark: SparkSession, rows: int = TRAINING_ROWS) -> DataFrame:
         (1, F.concat(pick("pre", "ghp_", "sk-", "xoxb-", "AIza", "eyJ"), F.substring(base64, 1, 34), F.lit("4")), plain, F.lit(" ")),
         (1, F.substr(hexa, F.lit(1), between("l2", 24, 64)), F.concat(lead, F.lit("Authorization: Bearer ")), F.lit("\n")),
         (1, F.concat(F.substring(base64, 1, 20), F.lit("9")), told, quote),
+        (1, F.concat(F.substring(base64, 1, 6), pick("si", "&", "!", "#", "$", "@"), F.substr(digits, F.lit(1), between("l4", 1, 4))), told, quote),
+        (1, F.substr(F.regexp_replace(base64, "[0-9]", "Q"), F.lit(1), between("l5", 16, 32)), told, quote),
+        (0, pick("code", "getToken(request)", "os.environ", "response.data.token", "self.password", "required", "undefined", "config.secret", "function(data)", "process.env.TOKEN"), told, F.lit("\n")),
+        (0, F.concat(parts[0], pick("cs", "_", ".", ""), parts[1], pick("ce", "", "()", "(name)")), told, quote),
         (0, F.substring(hexa, 1, 40), F.concat(plain, pick("cm", "commit ", "revision ", "sha1: ", "merge commit ")), F.lit(" ")),
         (0, F.substring(digest("h"), 1, 32), F.concat(plain, pick("md", "md5 ", "checksum: ", "digest=", "hash ")), F.lit("\n")),
         (0, F.concat_ws("-", *[F.substring(digest("h"), a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]),
