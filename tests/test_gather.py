@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.assemble import with_nested_rows
 from tidemark.operators.documents import build_documents
-from tidemark.operators.gather import gather
+from tidemark.operators.gather import gather, in_parts
 
 ROWS = "ItemID bigint, LanguageID bigint, AttributeID bigint, ItemTableID bigint, _SubitemID bigint, SortOrder bigint, fields map<string,string>"
 REFS = "ItemID bigint, LanguageID bigint, AttributeID bigint, ReferenceID bigint, _SubitemID bigint, SortOrder bigint, fields map<string,string>"
@@ -101,3 +101,18 @@ def test_any_depth_is_followed_and_circles_end(spark):
         row = next(iter(below.values()))[0] if below else None
     assert seen[:7] == [100 + i for i in range(7)]
     assert with_nested_rows(rows.limit(0)).collect() == []
+
+
+def test_hot_owner_with_small_sort_values_is_many_tasks(spark):
+    df = spark.range(30_000).select(
+        F.lit(7).cast("bigint").alias("k"), (F.col("id") % 3).alias("AttributeID"), (F.col("id") % 4).alias("SortOrder"), "id"
+    )
+    placed = in_parts(df, ["k"], ["AttributeID", "SortOrder", "id"], limit=500, hot_rows=3_000)
+    per_task = placed.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert max(r["count"] for r in per_task) <= 3_000
+    out = gather(
+        df, ["k"], F.struct("AttributeID", "SortOrder", "id"), ["AttributeID", "SortOrder", "id"], limit=500, hot_rows=3_000
+    ).orderBy("part").collect()
+    assert [len(r["rows"]) for r in out] == [500] * 60
+    held = [(x["AttributeID"], x["SortOrder"], x["id"]) for r in out for x in r["rows"]]
+    assert held == sorted((i % 3, i % 4, i) for i in range(30_000))

@@ -135,3 +135,34 @@ def test_notices_match_a_sequential_run(spark, width):
             lot.append(t)
         flush()
     assert sorted(tuple(r) for r in got) == sorted(want)
+
+
+@pytest.mark.parametrize("limit", [60, 500, 10_000])
+def test_running_by_position_needs_no_arrival_number(spark, limit):
+    rows = [(None if i % 11 == 0 else f"k{i % 3}", f"{(i * 7919) % 501:05d}", i) for i in range(501)]
+    rows += [("all", f"{(i * 104729) % 2003:05d}", i) for i in range(2003)]
+    df = spark.createDataFrame(rows, "k string, at string, v bigint")
+    out = running(
+        df, ["k"], [F.col("at")], None, Running("total", "sum", F.col("v")), Running("n", "count"),
+        Running("before", "max", F.col("v"), before=True), limit=limit,
+    ).collect()
+    by_key = {}
+    for k, at, v in sorted(rows, key=lambda r: (str(r[0]), r[1])):
+        by_key.setdefault(k, []).append((at, v))
+    want = {}
+    for k, found in by_key.items():
+        total, top = 0, None
+        for n, (at, v) in enumerate(found, 1):
+            total += v
+            want[(k, at)] = (total, n, top)
+            top = v if top is None else max(top, v)
+    assert {(r["k"], r["at"]): (r["total"], r["n"], r["before"]) for r in out} == want
+
+
+def test_one_key_with_all_rows_is_many_tasks(spark):
+    """The order column has few, small values: chunks follow positions, so no task holds more than one."""
+    df = spark.range(40_000).select(F.lit(1).alias("k"), (F.col("id") % 5).alias("sort"), "id")
+    out = running(df, ["k"], [F.col("sort"), F.col("id")], None, Running("n", "count"), limit=2_000)
+    per_task = out.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert max(r["count"] for r in per_task) <= 2_000 and sum(r["count"] for r in per_task) == 40_000
+    assert out.where("n <> sort * 8000 + floor(id / 5) + 1").count() == 0

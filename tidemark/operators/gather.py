@@ -13,12 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import Running, chunk_of, running
+from tidemark.operators.ordered import HOT_ROWS, Running, running
 
 # Rows (or the weight of rows) of one part.
 PART_ROWS = 10_000
-# Where nulls of the leading sort column stand: before everything.
-NULLS_FIRST = -(1 << 62)
 
 
 def in_parts(
@@ -28,12 +26,12 @@ def in_parts(
     limit: int = PART_ROWS,
     weight: Column | None = None,
     hot: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Rows with ``__part``. ``order`` must be total within an owner and begin with a number. ``hot`` are the owners to cut
-    into chunks, where the caller has counted them on a narrower table."""
+    """Rows with ``__part``. ``order`` must be total within an owner. ``hot`` are the owners to cut into chunks of
+    ``hot_rows``, where the caller has counted them on a narrower table."""
     before = Running("__before", "sum", F.lit(1).cast("bigint") if weight is None else weight, before=True)
-    chunk = chunk_of(F.coalesce(F.col(order[0]), F.lit(NULLS_FIRST)))
-    placed = running(df, owner, [F.col(c) for c in order], chunk, before, hot=hot)
+    placed = running(df, owner, [F.col(c) for c in order], None, before, hot=hot, limit=hot_rows)
     part = F.floor(F.coalesce("__before", F.lit(0)) / F.lit(limit)).cast("int")
     return placed.withColumn("__part", part).drop("__before")
 
@@ -52,10 +50,16 @@ def sorted_list(item: Column, by: Sequence[str] | None = None) -> Column:
 
 
 def gather(
-    df: DataFrame, owner: Sequence[str], item: Column, order: Sequence[str], name: str = "rows", limit: int = PART_ROWS
+    df: DataFrame,
+    owner: Sequence[str],
+    item: Column,
+    order: Sequence[str],
+    name: str = "rows",
+    limit: int = PART_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows of each owner as sorted arrays: (owner…, part, ``name``). ``item`` must sort like ``order``."""
-    rows = in_parts(df, owner, order, limit)
+    rows = in_parts(df, owner, order, limit, hot_rows=hot_rows)
     lists = rows.groupBy(*owner, "__part").agg(sorted_list(item).alias(name))
     return lists.select(*owner, F.col("__part").alias("part"), name)
 
@@ -70,6 +74,7 @@ def gather_by_attribute(
     weight: Column | None = None,
     fields: Sequence[str] | None = None,
     hot: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows of each owner as attribute → sorted array: (owner…, part, ``name``, ``name``_weight).
 
@@ -78,7 +83,7 @@ def gather_by_attribute(
     and the join of the result back to its owner.
     """
     weight = F.lit(1).cast("bigint") if weight is None else weight
-    rows = in_parts(df, owner, ["AttributeID", *by], limit, weight, hot)
+    rows = in_parts(df, owner, ["AttributeID", *by], limit, weight, hot, hot_rows)
     narrow = rows.select(
         *owner, "__part", F.col("AttributeID").cast("string").alias("__attribute"), item.alias("__item"),
         weight.alias("__weight"),

@@ -4,6 +4,9 @@ A plain window puts every row of one key into one task. Keys are counted first (
 only those above ``HOT_ROWS`` are cut into chunks of their order: rows are windowed inside (key, chunk), each chunk is
 summarised by a map-side combined aggregate, the summaries (one row per chunk) are windowed per key, and the carried
 value is joined back. No task ever holds more than one chunk of a hot key, and all other keys pay for a plain window.
+
+Where the order is an arrival number a chunk is a span of that number. Any other order is cut by position: rows of hot
+keys are range-partitioned along (key, order), whatever the values are, and a chunk is a range.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ from tidemark.session import cut_lineage
 CHUNK_WIDTH = 1 << 21
 # Keys up to this many rows are windowed whole.
 HOT_ROWS = 1 << 21
+# Ranges are cut from samples: as many more of them are made, so that the longest still is within the limit.
+RANGES = 2
 
 
 @dataclass(frozen=True)
@@ -87,50 +92,76 @@ def _hot_chunks(df: DataFrame, keys: Sequence[str], chunk: Column, hot: DataFram
     return flagged.select(*df.columns, F.when(F.col(f"__h_{keys[0]}").isNotNull(), chunk).alias("__chunk"))
 
 
+def _carried(rows: DataFrame, keys: Sequence[str], aggregates: Sequence[Running]) -> DataFrame:
+    """What the chunks before each chunk of a key add up to: one row per (key, chunk) that has any before it."""
+    by_chunk = [*keys, "__chunk"]
+    # A key-less order still summarises to one row per chunk, so its single window stays small.
+    earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(*by_chunk).agg(*[_aggregate(a.kind, a.value).alias(f"__sum_{a.name}") for a in aggregates])
+    return sums.select(
+        *[F.col(c).alias(f"__k_{c}") for c in by_chunk],
+        *[
+            _aggregate("sum" if a.kind == "count" else a.kind, F.col(f"__sum_{a.name}")).over(earlier).alias(f"__carry_{a.name}")
+            for a in aggregates
+        ],
+    ).where(reduce(lambda x, y: x | y, [F.col(f"__carry_{a.name}").isNotNull() for a in aggregates]))
+
+
+def _with_carried(columns: Sequence[str], joined: DataFrame, aggregates: Sequence[Running]) -> DataFrame:
+    return joined.select(
+        *columns,
+        *[_combine(a.kind, F.col(f"__carry_{a.name}"), F.col(f"__local_{a.name}")).alias(a.name) for a in aggregates],
+    )
+
+
+def _by_position(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], aggregates: Sequence[Running], limit: int, hot: DataFrame
+) -> DataFrame:
+    """Hot keys in chunks of at most ``limit`` rows, each a task of its own; the rest by a plain window."""
+    if hot.isEmpty():
+        return _windowed(df, keys, order, aggregates, "")
+    few = measured(hot)
+    match = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__h_{k}")) for k in keys])
+    cold = _windowed(df.join(few, match, "left_anti"), keys, order, aggregates, "")
+    many = cut_lineage(df.join(few, match, "left_semi"))
+    parts = max(1, -(-RANGES * many.count() // max(1, limit)))
+    ranged = many.repartitionByRange(parts, *[F.col(k) for k in keys], *order)
+    # The number of a range is written down: a task that runs again must find its rows under the same number.
+    chunked = cut_lineage(ranged.withColumn("__chunk", F.spark_partition_id()))
+    by_chunk = [*keys, "__chunk"]
+    local = _windowed(chunked.repartitionById(parts, F.col("__chunk")), by_chunk, order, aggregates, "__local_")
+    carry = measured(_carried(chunked, keys, aggregates))
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in by_chunk])
+    done = _with_carried(df.columns, local.join(carry, same, "left"), aggregates)
+    return cold.select(*df.columns, *[a.name for a in aggregates]).unionByName(done)
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    chunk: Column,
+    chunk: Column | None,
     *aggregates: Running,
     limit: int = HOT_ROWS,
     hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the running ``aggregates`` of each key. ``chunk`` must never decrease along ``order``.
+    """Add the running ``aggregates`` of each key. ``order`` must be total within a key.
 
-    Keys and chunk must not be NULL. Without keys the order is global and always runs in chunks. ``hot`` passes the
-    result of ``hot_keys`` when several calls share their keys.
+    ``chunk`` is the span of an arrival number a row lies in: it must never decrease along ``order``, and keys and chunk
+    must not be NULL. Without keys the order is global and always runs in chunks. ``chunk=None`` cuts hot keys by
+    position instead, about ``limit`` rows a chunk; keys may be NULL then. ``hot`` passes the result of ``hot_keys``
+    when several calls share their keys.
     """
     if keys and hot is None:
         hot = hot_keys(df, keys, limit)
+    if chunk is None:
+        return _by_position(df, keys, order, aggregates, limit, hot)
     rows = _hot_chunks(df, keys, chunk, hot)
     if rows is None:
         return _windowed(df, keys, order, aggregates, "")
     by_chunk = [*keys, "__chunk"]
     local = _windowed(rows, by_chunk, order, aggregates, "__local_")
-    # A key-less order still summarises to one row per chunk, so its single window stays small.
-    earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        rows.where(F.col("__chunk").isNotNull())
-        .groupBy(*by_chunk)
-        .agg(*[_aggregate(a.kind, a.value).alias(f"__sum_{a.name}") for a in aggregates])
-        .select(
-            *[F.col(c).alias(f"__k_{c}") for c in by_chunk],
-            *[
-                _aggregate("sum" if a.kind == "count" else a.kind, F.col(f"__sum_{a.name}"))
-                .over(earlier)
-                .alias(f"__carry_{a.name}")
-                for a in aggregates
-            ],
-        )
-        .where(reduce(lambda x, y: x | y, [F.col(f"__carry_{a.name}").isNotNull() for a in aggregates]))
-    )
+    carry = _carried(rows.where(F.col("__chunk").isNotNull()), keys, aggregates)
     # Plain equality: the join reuses the window's partitioning and order, and unchunked rows match nothing.
     match = reduce(lambda x, y: x & y, [F.col(c) == F.col(f"__k_{c}") for c in by_chunk])
-    return local.join(carry, match, "left").select(
-        *df.columns,
-        *[
-            _combine(a.kind, F.col(f"__carry_{a.name}"), F.col(f"__local_{a.name}")).alias(a.name)
-            for a in aggregates
-        ],
-    )
+    return _with_carried(df.columns, local.join(carry, match, "left"), aggregates)
