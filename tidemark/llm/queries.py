@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, exact, html_text, mixing, packing, quality, repeats, secrets, simhash, toxicity
+from tidemark.llm import ann, exact, html_text, language_id, mixing, packing, prefix_trie, quality, repeats, secrets
+from tidemark.llm import simhash, toxicity
 from tidemark.llm.common import remainder, table
 from tidemark.session import configure
 
@@ -151,3 +152,61 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, table(spark, sf_dir, "labels").where(~held_out), "doc_id", "text", "quality")
     scored = quality.score(docs, model)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@register(
+    "op11_prefix_trie",
+    r"""
+    WITH ordered AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+            PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+            md5(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))) AS place
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), listed AS (
+        SELECT conv_id, list({'role': role, 'text': text} ORDER BY place) AS turns,
+               -- crc32 of the id's decimal digits, bit by bit, from the reversed polynomial 0xEDB88320.
+               xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+                   string_split(CAST(conv_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)), lambda a, b: list_reduce(
+                       [xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))),
+                   4294967295) % 9 AS h
+        FROM ordered GROUP BY conv_id
+    ), rebuilt AS (
+        SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+        FROM listed c LEFT JOIN listed b ON b.conv_id = c.conv_id - c.conv_id % 5
+    ), prefixes AS (
+        SELECT conv_id, d AS depth, len(turns) = d AS last, strlen(turns[d].text) AS bytes,
+               sha256(CAST(to_json(turns[1:d]) AS VARCHAR)) AS k, sha256(CAST(to_json(turns[1:d - 1]) AS VARCHAR)) AS parent_k
+        FROM rebuilt, unnest(range(0, len(turns) + 1)) t(d)
+    ), nodes AS (
+        SELECT k, depth, any_value(parent_k) AS parent_k, min(conv_id) AS conv_id, count(*) AS n_convs,
+               coalesce(any_value(bytes), 0) * (count(*) - 1) AS saved,
+               sha256(coalesce(string_agg(CASE WHEN last THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), ''))
+                 AS ends_sha256
+        FROM prefixes GROUP BY k, depth
+    ), children AS (
+        SELECT parent_k AS k, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+    ), counted AS (
+        SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN children c USING (k, depth)
+    ), above AS (
+        -- A node's smallest member passes through all its ancestors.
+        SELECT a.k, a.depth, sum(CASE WHEN n.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(n.saved) AS saved_tokens
+        FROM counted n JOIN prefixes a ON a.conv_id = n.conv_id AND a.depth <= n.depth GROUP BY a.k, a.depth
+    )
+    SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+           CAST(a.n_leaves AS BIGINT) AS n_leaves, CAST(a.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+    FROM counted n JOIN above a USING (k, depth) LEFT JOIN nodes p ON p.k = n.parent_k AND p.depth = n.depth - 1
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.numbered(table(spark, sf_dir, "conversations"))
+    conv = F.col("conv_id")
+    return prefix_trie.trie(*prefix_trie.grafted(turns, remainder(conv, 9), conv - conv % 5, most=8))
+
+
+@register("op13_language")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    model = language_id.fit(docs.where(~held_out))
+    found = language_id.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
