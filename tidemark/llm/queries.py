@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import ann, exact, html_text, language_id, mixing, packing, prefix_trie, quality, repeats, secrets
-from tidemark.llm import simhash, toxicity
+from tidemark.llm import simhash, toxicity, turn_repair
 from tidemark.llm.common import remainder, table
 from tidemark.session import configure
 
@@ -203,6 +203,23 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(*prefix_trie.grafted(turns, remainder(conv, 9), conv - conv % 5, most=8))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Turns with faults put in by a hash of conversation and turn: some lost, emptied, cut, repeated or misnamed."""
+    space = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn"))) % 20
+    text = F.when(fault == 1, F.lit("")).when(fault == 2, F.regexp_replace(space("text"), "[.!?]", "")).otherwise(space("text"))
+    return conversations.where(fault != 0).select(
+        "conv_id", "turn", F.when(fault == 4, F.lit("user")).otherwise(space("role")).alias("role"), text.alias("text"),
+        F.explode(F.array_repeat(F.lit(1), F.when(fault == 3, 2).otherwise(1))).alias("copy"),
+    ).drop("copy")
+
+
+@register("op12_turn_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return turn_repair.report(damaged(conversations), conversations.select("conv_id"))
+
+
 @register("op13_language")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
