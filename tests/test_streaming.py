@@ -12,7 +12,6 @@ from tidemark.operators.criteria import Criteria
 from tidemark.operators.freshness import fresh
 from tidemark.sources.changes import stream_changes
 from tidemark.sources.sinks import json_writer, write_documents
-from tidemark.sources.store import SnapshotStore
 from tidemark.streaming.apply import FeedState, apply_batch, rebuild, start
 from tidemark.streaming.consumers import Consumer
 from tidemark.streaming.notices import coalesce_stream, session_notices, write_notices
@@ -68,19 +67,10 @@ def test_rebuild_starts_a_new_store(spark, tmp_path):
     assert (got[1], got[2], got[9]) == ("newer", "m37", "start")
 
 
-def test_snapshots(spark, tmp_path):
-    store = SnapshotStore(spark, str(tmp_path / "s"))
-    assert store.version() == -1 and store.read() is None
-    store.write(spark.range(3), 0)
-    store.write(store.read().where("id > 0"), 1)
-    assert store.read().count() == 2 and store.read(0).count() == 3
-
-
 def test_language_filters_prune_the_store(spark, tmp_path):
-    store = SnapshotStore(spark, str(tmp_path / "items"))
     rows = spark.range(60).selectExpr("id AS ID", "id % 3 AS LanguageID", "concat('l', id) AS Label", "id AS StateID")
-    store.write(rows, 0, partition_by=("LanguageID",))
-    found = Criteria().label("l8").apply(store.read(), 2)
+    rows.write.partitionBy("LanguageID").parquet(str(tmp_path / "items"))
+    found = Criteria().label("l8").apply(spark.read.parquet(str(tmp_path / "items")), 2)
     plan = found.select("ID")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(LanguageID" in plan and "PushedFilters: [IsNotNull(Label), EqualTo(Label,l8)]" in plan
     assert "StateID" not in plan.split("ReadSchema")[1]

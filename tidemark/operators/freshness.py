@@ -95,6 +95,13 @@ def forget_types(state: DataFrame, removed: DataFrame, column: str = "item_type"
     return state.join(removed.select(column).distinct(), column, "left_anti").select(*state.columns)
 
 
+def without_old_tombstones(state: DataFrame, changes: DataFrame, age: int) -> DataFrame:
+    """State without deleted keys whose newest change lies ``age`` or more before the newest of a batch: what comes that
+    late is taken for new."""
+    now = changes.agg(F.max("InsertTime")).scalar()
+    return state.where((F.col("deleted") == 0) | F.col("newest").isNull() | (F.col("newest") > now - F.lit(age)) | now.isNull())
+
+
 def fresh(changes: DataFrame, **options) -> DataFrame:
     """Only the changes that count."""
     return judge(changes, **options).where(F.col("verdict") == "valid").drop("verdict")

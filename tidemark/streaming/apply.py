@@ -12,10 +12,8 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark import fixed
 from tidemark.operators.apply import latest, upsert_items
 from tidemark.operators.feed import reinitialise
 from tidemark.operators.freshness import ITEM_KEY, fold_state, judge, of_items
@@ -59,7 +57,7 @@ def filter_batch(state: FeedState, batch: DataFrame, batch_id: int | str) -> Dat
         judge(rows, keys=state.keys, state=known).write.mode("overwrite").parquet(path)
     judged = state.spark.read.parquet(path).drop("verdict")
     touched = state.freshness.touched(judged)
-    state.freshness.replace(fold_state(judged, state.freshness.read(touched), state.keys), batch_id)
+    state.freshness.replace(fold_state(judged, state.freshness.read(touched), state.keys), batch_id, touched)
     return state.spark.read.parquet(path)
 
 
@@ -72,10 +70,8 @@ def _stored(state: FeedState, judged: DataFrame) -> DataFrame:
 def apply_batch(state: FeedState, batch: DataFrame, batch_id: int | str) -> None:
     """Filter one micro-batch and put its items into the store."""
     last = cut_lineage(latest(_stored(state, filter_batch(state, batch, batch_id)), state.keys))
-    known = state.items.read(state.items.touched(last))
-    state.items.replace(
-        upsert_items(known, last, state.keys), batch_id, last.where(F.col("Action") == fixed.ACTION_DELETE)
-    )
+    touched = state.items.touched(last)
+    state.items.replace(upsert_items(state.items.read(touched), last, state.keys), batch_id, touched)
 
 
 def rebuild(spark: SparkSession, root: str, changes: DataFrame, keys: tuple[str, ...] = ITEM_KEY) -> FeedState:
