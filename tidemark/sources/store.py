@@ -114,7 +114,7 @@ class BucketStore:
     def put(self, number: int | str) -> None:
         """Put a staged batch in place; doing so again changes nothing."""
         new = self.spark.read.parquet(self._staged(number))
-        self._write(new, self.layout()[1])
+        self._write(new, self.layout()[1], "dynamic")
         for name in listed(self.spark, f"{self.path}/staged"):
             if name != f"batch={number}":
                 dropped(self.spark, f"{self.path}/staged/{name}")
@@ -123,9 +123,9 @@ class BucketStore:
             if older < number_now and path != folder:
                 dropped(self.spark, path)
 
-    def _write(self, rows: DataFrame, folder: str) -> None:
+    def _write(self, rows: DataFrame, folder: str, mode: str) -> None:
         part = F.pmod(F.xxhash64(F.lit("file"), *[F.col(k) for k in self.keys]), F.lit(FILES))
-        writer = rows.repartition(F.col("bucket"), part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = rows.repartition(F.col("bucket"), part).write.mode("overwrite").option("partitionOverwriteMode", mode)
         writer.partitionBy("bucket").parquet(folder)
 
     def replace(self, rows: DataFrame, number: int | str, touched: list[int]) -> None:
@@ -147,4 +147,5 @@ class BucketStore:
             wanted *= 2
         if wanted > number:
             rows = self.spark.read.parquet(folder).where(~F.col(EMPTIED)).drop("bucket")
-            self._write(rows.withColumn("bucket", self.bucket(wanted)), f"{self.path}/{ROWS}-{wanted}")
+            # Written whole, so that the folder is marked complete.
+            self._write(rows.withColumn("bucket", self.bucket(wanted)), f"{self.path}/{ROWS}-{wanted}", "static")
