@@ -407,6 +407,30 @@ def test_secrets_assigned_to_a_name(spark, make_docs):
     assert all(found[i][0].secret for i in range(5))
 
 
+@pytest.mark.parametrize("length", [10, 1_500, 1_000_000])
+def test_secrets_of_any_length(make_docs, length):
+    plain, mixed = ("a1B2c3D4e5" * (length // 10))[:length], ("a1B2&c3D4x" * (length // 10))[:length]
+    cases = [
+        (f'see token = "{plain}" there', plain), (f'see token = "{mixed}" there', mixed),
+        (f"see password={plain} there", plain), (f"see password={mixed} there", mixed),
+        (f"u?password={mixed}&name=x there", mixed), (f"see {plain} there", plain if length >= 16 else None),
+    ]
+    found = {}
+    for r in secrets.candidates(make_docs([(i, t) for i, (t, _) in enumerate(cases)])).collect():
+        found.setdefault(r.doc_id, []).append((r.start, r.candidate, r.left, r.right))
+    for i, (text, value) in enumerate(cases):
+        want = [] if value is None else [(text.index(value), value)]
+        assert [f[:2] for f in found.get(i, [])] == want
+        for start, candidate, left, right in found.get(i, []):
+            assert text[:start].endswith(left) and text[start + len(candidate) :].startswith(right)
+
+
+def test_secrets_after_the_next_name_are_found(make_docs):
+    text = "u?password=abc123x&token=zzz999y&amp&q=1&api_key=k&k&k&k7"
+    got = [(r.start, r.candidate) for r in secrets.candidates(make_docs([(1, text)])).orderBy("start").collect()]
+    assert got == [(text.index(v), v) for v in ("abc123x", "zzz999y&amp", "k&k&k&k7")]
+
+
 def test_secrets_held_out_accuracy(spark):
     findings = secrets.made_findings(spark, 3000).withColumn("fold", F.pmod(F.xxhash64("candidate"), F.lit(4)))
     model = secrets.train(findings.where("fold > 0"))

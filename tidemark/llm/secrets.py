@@ -34,9 +34,14 @@ _NAMED = (
     r"[A-Za-z0-9_\-]{0,24}[\"'`]?[ \t]{0,4}(?:=>|:=|=|:)[ \t]{0,4}"
 )
 _QUOTED = rf"(?<=[\"'`])(?<=[=:> \t][\"'`])(?<={_NAMED}[\"'`])[^\"'`\r\n]{{6,}}(?=[\"'`])"
+# A value without quotes also ends before the next ``&name=``. Such an & is marked first, by a code point that Unicode keeps
+# out of texts, so that a value is a run of one class of characters: groups that repeat are matched by recursion, and a
+# long value would end the stack.
+_NEXT_NAME = "&(?=[A-Za-z_]+=)"
+_MARK = "\ufdd0"
 _BARE = (
     r"(?<=[=:> \t])(?![=>\s\"'`])(?<=[=:>][ \t]{0,4})"
-    rf"(?<={_NAMED})(?:[^\s\"'`,;<>&]|&(?![A-Za-z_]+=)){{6,}}"
+    rf"(?<={_NAMED})[^\s\"'`,;<>{_MARK}]{{6,}}+"
 )
 CANDIDATE = f"{_QUOTED}|{_BARE}|{_RUN}"
 # Characters of context on either side.
@@ -187,11 +192,12 @@ def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     """One row per candidate: id, ``start`` (characters before it), ``candidate``, ``left``, ``right``, ``path``."""
     text = whole_text(text_column)
     path = F.col(path_column).cast("string") if path_column else F.lit(None).cast("string")
+    marked = F.regexp_replace(text, _NEXT_NAME, _MARK)
     taken = docs.select(
         F.col(id_column).alias("__id"),
         path.alias("path"),
-        F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("__found"),
-        F.split(text, CANDIDATE, -1).alias("__between"),
+        F.regexp_extract_all(marked, F.lit(CANDIDATE), F.lit(0)).alias("__found"),
+        F.split(marked, CANDIDATE, -1).alias("__between"),
         F.monotonically_increasing_id().alias("__row"),
     ).where(F.size("__found") > 0)
     pairs = F.transform(
@@ -206,7 +212,8 @@ def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     rows = taken.select("__id", "__row", "path", F.posexplode(pairs).alias("__at", "__x")).select("__id", "__row", "path", "__at", "__x.*")
     before = Window.partitionBy("__row").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum(F.col("gap") + F.length("candidate")).over(before), F.lit(0)) + F.col("gap")
-    return rows.select(F.col("__id").alias(id_column), start.cast("bigint").alias("start"), "candidate", "left", "right", "path")
+    plain = [F.replace(c, F.lit(_MARK), F.lit("&")).alias(c) for c in ("candidate", "left", "right")]
+    return rows.select(F.col("__id").alias(id_column), start.cast("bigint").alias("start"), *plain, "path")
 
 
 def scan(
