@@ -60,10 +60,10 @@ def test_near_groups_of_odd_rows(odd, spark):
         by_print.setdefault(r.fingerprint, set()).add(r.component_id)
     assert all(len(c) == 1 for c in by_print.values())
     assert by_print["0" * 16] == {3}
-    kept = simhash.drop_similar(odd)
+    kept = simhash.drop_near_copies(odd)
     assert kept.columns == odd.columns
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 6, 8, 9]
-    assert simhash.near_groups(odd.limit(0)).count() == 0 and simhash.drop_similar(odd.limit(0)).count() == 0
+    assert simhash.near_groups(odd.limit(0)).count() == 0 and simhash.drop_near_copies(odd.limit(0)).count() == 0
 
 
 def test_bit_sliced_distances():
@@ -75,10 +75,6 @@ def test_bit_sliced_distances():
         assert (simhash.within(values, values, radius) == (apart <= radius)).all()
     far = rng.integers(0, 1 << 63, 100, dtype=np.uint64)
     assert not simhash.within(far[:1], far[1:], 2).any()
-    wide = rng.integers(0, 1 << 63, (70, 4), dtype=np.uint64)
-    wide[1:40] = wide[0] ^ rng.integers(0, 4096, (39, 4), dtype=np.uint64)
-    apart = np.bitwise_count(wide[:, None] ^ wide[None]).sum(axis=2)
-    assert (simhash._near_rows(wide, slice(0, 70), slice(0, 70), 21) == (apart <= 21)).all()
 
 
 def test_hot_keys_lose_no_link(spark):
@@ -107,103 +103,6 @@ def test_hot_keys_lose_no_link(spark):
         assert {v: got.get(v, v) for v in values} == {v: find(v) for v in values}
 
 
-def test_similar_documents_and_no_others_go(make_docs):
-    rng = random.Random(4)
-    vocabulary = [f"w{i}" for i in range(3000)]
-    base = [rng.choice(vocabulary) for _ in range(300)]
-    rows, want = [(0, " ".join(base))], set()
-    for i in range(1, 120):
-        words = list(base)
-        for _ in range(rng.choice((1, 2, 3, 12, 20))):
-            words[rng.randrange(len(words))] = f"new{i}"
-        rows.append((i, " ".join(words)))
-    rows += [(1000 + i, " ".join(rng.choice(vocabulary) for _ in range(200))) for i in range(80)]
-
-    def shingles(text):
-        w = text.split()
-        return {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
-
-    sets = {i: shingles(t) for i, t in rows}
-    root = {i: i for i in sets}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for a in sets:
-        for b in sets:
-            if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
-                x, y = find(a), find(b)
-                root[max(x, y)] = min(x, y)
-    want = {i for i in sets if find(i) == i}
-    assert {r.doc_id for r in simhash.drop_similar(make_docs(rows)).collect()} == want
-
-
-def test_families_in_a_template_crowd_are_joined(make_docs, monkeypatch):
-    """Families of two tight halves, 0.82 apart, among thousands of texts that share a template (0.6), in one bucket."""
-    monkeypatch.setattr(simhash, "BLOCK", 256)
-    monkeypatch.setattr(simhash, "sampled_bits", lambda tables, bits, words64: np.zeros((1, 0), dtype=np.int64))
-    rng = random.Random(21)
-    number = iter(range(1_000_000))
-
-    def words(n):
-        return [f"w{next(number)}" for _ in range(n)]
-
-    template = words(75)
-    rows = [template + words(24) for _ in range(3000)]
-    want = set(range(3000))
-    for _ in range(12):
-        tail = words(24)
-        other = tail[:-9] + words(9)
-        want.add(len(rows))
-        for half in (tail, other):
-            rows += [template + half[:-1] + words(1) for _ in range(3)]
-    at = list(range(len(rows)))
-    rng.shuffle(at)
-    docs = make_docs([(i, " ".join(rows[i])) for i in at])
-    assert {r.doc_id for r in simhash.drop_similar(docs).collect()} == want
-
-
-def test_equal_fingerprints_of_other_sets_are_compared(make_docs, monkeypatch):
-    """All texts get one fingerprint; near copies among them are found all the same, and no others go."""
-    shared = simhash._wide
-
-    def fixed(shingle_words, words64):
-        run = shared(shingle_words, words64)
-
-        def same(batches):
-            for batch in run(batches):
-                at = batch.schema.names.index("f0")
-                rows = batch.num_rows
-                words = [pa.array(np.full(rows, 7)) for _ in range(words64)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:at], *words], names=batch.schema.names)
-
-        return same
-
-    monkeypatch.setattr(simhash, "_wide", fixed)
-    texts = [[f"d{i}x{k}" for k in range(120)] for i in range(100)]
-    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
-    rows += [(200 + i, " ".join([*texts[i][:-1], "end"])) for i in range(50, 60)]
-    assert {r.doc_id for r in simhash.drop_similar(make_docs(rows)).collect()} == set(range(100))
-
-
-def test_copies_with_other_repeats_go(make_docs):
-    """Separator columns and repeated lines don't count in the shingle sets, so they don't in the candidates."""
-    rng = random.Random(4)
-    rows, want = [], set()
-    for i in range(40):
-        words = [f"v{rng.randrange(10**6)}" for _ in range(80)]
-        line = " ".join(words[20:40])
-        want.add(2 * i)
-        rows.append((2 * i, " ".join(words) + (" |" * 400 if i % 2 else "")))
-        if i % 2:
-            rows.append((2 * i + 1, " ".join([*words[:-1], "end"]) + " |" * 300))
-        else:
-            rows.append((2 * i + 1, " ".join(words[:40]) + f" {line}" * 30 + " " + " ".join(words[40:])))
-    assert {r.doc_id for r in simhash.drop_similar(make_docs(rows)).collect()} == want
-
-
 def test_repeats_of_odd_rows(odd, make_docs):
     rows = repeats.remove_repeats(odd).collect()
     assert len(rows) == odd.count()

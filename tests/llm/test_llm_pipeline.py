@@ -7,6 +7,7 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -54,23 +55,26 @@ def test_exact_copies_go(stages):
 
 
 def test_near_copies_go(stages):
-    def shingles(text):
+    """Fingerprints and links worked out document by document, without the operator's own functions."""
+
+    def fingerprint(text):
         words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-        n = min(5, len(words))
-        return {tuple(words[k : k + n]) for k in range(len(words) - n + 1)} if words else set()
+        n = min(3, len(words))
+        hashes = [xxhash.xxh64_intdigest(" ".join(words[k : k + n]).encode(), 42) for k in range(len(words) - n + 1)] if words else []
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
-    sets = {i: shingles(r.text) for i, r in rows(stages["exact_dedup"]).items()}
-    root = {i: i for i in sets}
+    prints = {i: fingerprint(r.text) for i, r in rows(stages["exact_dedup"]).items()}
+    root = {i: i for i in prints}
 
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
 
-    order = sorted(sets)
+    order = sorted(prints)
     for k, a in enumerate(order):
         for b in order[k + 1 :]:
-            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            if (prints[a] ^ prints[b]).bit_count() <= 2:
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     assert set(rows(stages["near_dedup"])) == {i for i in order if find(i) == i}
