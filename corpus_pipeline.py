@@ -28,8 +28,8 @@ def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts whose five-word shingles are alike to 0.8 or more, the row with the least id stays."""
-    return simhash.drop_similar(docs)
+    """Of texts whose fingerprints of three-word shingles are linked by two bits or fewer, the row with the least id stays."""
+    return simhash.drop_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
