@@ -116,3 +116,18 @@ def test_hot_owner_with_small_sort_values_is_many_tasks(spark):
     assert [len(r["rows"]) for r in out] == [500] * 60
     held = [(x["AttributeID"], x["SortOrder"], x["id"]) for r in out for x in r["rows"]]
     assert held == sorted((i % 3, i % 4, i) for i in range(30_000))
+
+
+def test_hot_owners_of_nested_rows_give_the_same(spark):
+    """Item 1 counts as hot: it goes level by level, in chunks, beside item 2, which is built in one go."""
+    rows, refs = tables(spark)
+    plain = {r["ItemTableID"]: r for r in with_nested_rows(rows, refs, limit=50_000).collect()}
+    split = {r["ItemTableID"]: r for r in with_nested_rows(rows, refs, limit=50_000, hot_rows=40).collect()}
+    assert split == plain
+
+
+def test_nesting_brings_rows_to_their_owner_once(spark):
+    rows, refs = tables(spark)
+    plan = with_nested_rows(rows, refs)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchanges and all("hashpartitioning(ItemID" in line and "REPARTITION" in line for line in exchanges)

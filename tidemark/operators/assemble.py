@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from tidemark import fixed
 from tidemark.functions.maps import field_value
 from tidemark.operators import catalog
 from tidemark.operators.gather import PART_ROWS, gather_by_attribute
-from tidemark.operators.ordered import hot_keys
+from tidemark.operators.ordered import HOT_ROWS, hot_keys
 from tidemark.operators.sizes import measured
 from tidemark.session import cut_lineage
 
@@ -70,13 +72,14 @@ def assembled_items(
     columns: tuple[str, ...] = ("ClassMapping",),
     limit: int = PART_ROWS,
 ) -> DataFrame:
-    """Items as a reader gets them: their assigned values, references and nested rows.
+    """Items as a reader gets them: their assigned values, references and nested rows, with all that hangs below these.
 
     ``items``: ID, LanguageID, item_type, class list ``columns``, attrs; ``references`` and ``subtables``: owner, type,
-    ClassID, AttributeID, SortOrder, ExternalKey, attrs and their keys. Item values are those of plain attributes that
-    the class lists or plugins assign; values inside a reference or row are those of its own class. The result has
-    attribute_ids, attrs, ``part``, Reference and Subtable (attribute → rows); an item with more than ``limit`` children
-    comes in parts, of which the first has the values.
+    ClassID, AttributeID, SortOrder, ExternalKey, _SubitemID, attrs and their keys. Item values are those of plain
+    attributes that the class lists or plugins assign; values inside a reference or row, at any depth, are those of its
+    own class. The result has attribute_ids, attrs, ``part``, Reference and Subtable (attribute → rows, which hold
+    Reference and Subtable of their own); an item with more than ``limit`` rows below it comes in parts, of which the
+    first has the values.
     """
     by_class = cut_lineage(catalog.assigned_by_class(class_attributes, attributes))
     effective = catalog.effective_attributes(items, class_attributes, attributes, plugin_ids, columns)
@@ -87,19 +90,36 @@ def assembled_items(
     )
     own = own.withColumn("attrs", F.map_filter("attrs", lambda k, _: F.array_contains("attribute_ids", k)))
 
-    def grouped(rows: DataFrame, kind: int, ident: str, name: str, fields: list[str]) -> DataFrame:
-        assigned = cut_lineage(catalog.assigned_of_kind(items, class_attributes, attributes, kind, plugin_ids, columns))
-        children = with_class_values(children_of_items(items, rows, assigned, columns), by_class)
-        item = F.struct("SortOrder", ident, "ExternalKey", "ClassID", *fields, "attrs")
-        return gather_by_attribute(children, OWNER, item, ["SortOrder", ident], name, limit).drop(f"{name}_weight")
-
-    refs = grouped(references, fixed.KIND_REFERENCE, "ReferenceID", "Reference", ["TargetID", "TargetType"])
-    rows = grouped(subtables, fixed.KIND_SUBTABLE, "ItemTableID", "Subtable", [])
-    children = refs.join(rows, [*OWNER, "part"], "full").withColumnRenamed("ItemID", "ID")
-    first = own.withColumn("part", F.lit(0)).join(children, ["ID", "LanguageID", "part"], "left")
-    none = own.withColumn("attrs", F.map_filter("attrs", lambda k, v: F.lit(False)))
-    further = none.join(children.where(F.col("part") > 0), ["ID", "LanguageID"])
-    return first.unionByName(further)
+    def of_kind(kind: int) -> DataFrame:
+        return cut_lineage(catalog.assigned_of_kind(items, class_attributes, attributes, kind, plugin_ids, columns))
+
+    def below(rows: DataFrame) -> DataFrame:
+        """Rows of these items' type, at any depth, with the values of their own class."""
+        kind = next((c for c in ("SourceType", "ItemType") if c in rows.columns), None)
+        if kind and "item_type" in items.columns:
+            owners = items.select(F.col("ID").alias("ItemID"), "LanguageID", F.col("item_type").alias(kind))
+            rows = rows.join(owners, [*OWNER, kind], "left_semi")
+        return with_class_values(rows, by_class)
+
+    told = ["ExternalKey", "ClassID"]
+    refs, rows = below(references), below(subtables)
+    targets = [*told, "TargetID", "TargetType", "attrs"]
+    top = with_nested_rows(rows, refs, limit, (*told, "attrs"), targets)
+    own_refs = gather_by_attribute(
+        children_of_items(items, refs, of_kind(fixed.KIND_REFERENCE), columns), OWNER,
+        F.struct("SortOrder", "ReferenceID", *targets), ["SortOrder", "ReferenceID"], "Reference", limit,
+    ).drop("Reference_weight")
+    own_rows = gather_by_attribute(
+        children_of_items(items, top, of_kind(fixed.KIND_SUBTABLE), columns), OWNER,
+        F.struct("SortOrder", "ItemTableID", "part", *told, "attrs", *HELD), ["SortOrder", "ItemTableID", "part"], "Subtable",
+        limit, F.col("weight"), hot=hot_keys(subtables.where(F.col("_SubitemID") == F.col("ItemID")).select(*OWNER), OWNER),
+    ).drop("Subtable_weight")
+    children = own_refs.join(own_rows, [*OWNER, "part"], "full").withColumnRenamed("ItemID", "ID")
+    whole = own.join(children, ["ID", "LanguageID"], "left").withColumn("part", F.coalesce("part", F.lit(0)))
+    nothing = F.map_filter("attrs", lambda k, v: F.lit(False))
+    return whole.withColumn("attrs", F.when(F.col("part") == 0, F.col("attrs")).otherwise(nothing)).select(
+        *own.columns, "part", *HELD
+    )
 
 
 def held_value(rows: Column, attribute_id: int | Column, part: str = "value") -> Column:
@@ -107,98 +127,132 @@ def held_value(rows: Column, attribute_id: int | Column, part: str = "value") ->
     return F.transform(rows, lambda r: r["attrs"][attribute_id][part])
 
 
+def held_value_by_key(rows: Column, external_key: str, keys: Column, part: str = "value") -> Column:
+    """The same by the attribute's external key; ``keys`` maps external keys to ids."""
+    return held_value(rows, keys[external_key], part)
+
+
 def by_level(rows: DataFrame) -> list[DataFrame]:
-    """Nested-table rows level by level: top rows, the rows below them, and so on to the depth the data has.
+    """Places of nested-table rows (``OWNER``, ItemTableID, _SubitemID) level by level: top rows, the rows below them, and
+    so on to the depth the data has.
 
-    A row is taken when it is first reached, so rows that go round in a circle are taken once or, as they hang below no
-    top row, not at all. Every level is written, and so is what is left, each in one pass.
+    A place is taken when it is first reached, so rows that go round in a circle are taken once or, as they hang below no
+    top row, not at all. Only the ids are looked at; what is taken and what is left is written in one pass a level.
     """
-    levels = [cut_lineage(rows.where(F.col("_SubitemID") == F.col("ItemID")))]
-    rest = rows.where(F.col("_SubitemID") != F.col("ItemID"))
+    places = [*OWNER, "ItemTableID", "_SubitemID"]
+    edges = rows.select(*places).distinct()
+    top = F.col("_SubitemID") == F.col("ItemID")
+    marked = cut_lineage(edges.where(top.isNotNull()).withColumn("__hit", top))
+    levels = []
     while True:
-        parents = levels[-1].select(*OWNER, F.col("ItemTableID").alias("_SubitemID")).distinct()
-        marked = cut_lineage(rest.join(parents.withColumn("__hit", F.lit(True)), [*OWNER, "_SubitemID"], "left"))
-        hit = marked.where(F.col("__hit")).select(*rows.columns)
-        if hit.isEmpty():
+        hit = marked.where(F.col("__hit")).select(*places)
+        if levels and hit.isEmpty():
             return levels
         levels.append(hit)
-        rest = marked.where(F.col("__hit").isNull()).select(*rows.columns)
+        parents = hit.select(*OWNER, F.col("ItemTableID").alias("_SubitemID")).distinct().withColumn("__now", F.lit(True))
+        rest = marked.where(~F.col("__hit")).select(*places)
+        joined = rest.join(parents, [*OWNER, "_SubitemID"], "left")
+        marked = cut_lineage(joined.select(*places, F.coalesce("__now", F.lit(False)).alias("__hit")))
 
 
-def with_nested_rows(rows: DataFrame, references: DataFrame | None = None, limit: int = PART_ROWS) -> DataFrame:
+def with_nested_rows(
+    rows: DataFrame,
+    references: DataFrame | None = None,
+    limit: int = PART_ROWS,
+    payload: Sequence[str] = ("fields",),
+    reference_payload: Sequence[str] = ("fields",),
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
     """Top rows of nested tables, each with all the rows and references below it, however deep.
 
-    ``rows``: ItemID, LanguageID, AttributeID, ItemTableID, _SubitemID, SortOrder, fields. A row hangs below the
-    row whose ItemTableID is its _SubitemID, a top row below the item itself. Levels are attached from the deepest up,
-    each row once. The result adds Reference and Subtable (attribute → rows), ``weight`` (rows held) and ``part``: a row
-    with more than ``limit`` rows and references below it comes in several parts, which repeat its own columns and hold
-    the rows below in turn.
+    ``rows``: ItemID, LanguageID, AttributeID, ItemTableID, _SubitemID, SortOrder and the ``payload``. A row hangs below
+    the row whose ItemTableID is its _SubitemID, a top row below the item itself. The result adds Reference and Subtable
+    (attribute → rows), ``weight`` (rows held) and ``part``: a row with more than ``limit`` rows and references below it
+    comes in several parts, which repeat its own columns and hold the rows below in turn.
+
+    Depths are found on the bare ids. Then every row travels once, to its owner, and levels are attached there from the
+    deepest up, by joins and groupings on the owner and more. Owners of more than ``hot_rows`` rows are taken apart from
+    the others, level by level, so that none of them is gathered in one task.
     """
-    row_key = [*OWNER, "ItemTableID"]
-    base = rows.select(*OWNER, "AttributeID", "ItemTableID", "_SubitemID", "SortOrder", "fields")
-    below = None
+    base = rows.select(*OWNER, "AttributeID", "ItemTableID", "_SubitemID", "SortOrder", *payload)
+    nested, owners = None, base.select(*OWNER)
     if references is not None:
         nested = references.where(F.col("_SubitemID") != F.col("ItemID")).select(
-            *OWNER, F.col("_SubitemID").alias("ItemTableID"), "AttributeID", "ReferenceID", "SortOrder", "fields"
+            *OWNER, F.col("_SubitemID").alias("ItemTableID"), "AttributeID", "ReferenceID", "SortOrder", *reference_payload
         )
-        item = F.struct("SortOrder", "ReferenceID", "fields")
-        below = cut_lineage(gather_by_attribute(nested, row_key, item, ["SortOrder", "ReferenceID"], "Reference", limit))
-    held: DataFrame | None = None
-    for level in reversed(by_level(base)):
-        grouped = {} if below is None else {"Reference": below}
+        owners = owners.unionByName(nested.select(*OWNER))
+    depth = None
+    for i, level in enumerate(by_level(base)):
+        numbered = level.withColumn("depth", F.lit(i))
+        depth, deepest = numbered if depth is None else depth.unionByName(numbered), i
+    base = base.join(depth, [*OWNER, "ItemTableID", "_SubitemID"])
+    if nested is not None:
+        nested = nested.join(depth.select(*OWNER, "ItemTableID", "depth").distinct(), [*OWNER, "ItemTableID"])
+    names = (tuple(payload), tuple(reference_payload))
+    hot = hot_keys(owners, OWNER, hot_rows)
+    if hot.isEmpty():
+        return _built(base, nested, deepest, limit, *names, hot_rows, False)
+    few = measured(hot)
+    same = [F.col(k).eqNullSafe(F.col(f"__h_{k}")) for k in OWNER]
+    part = lambda df, how: None if df is None else df.join(few, same, how)
+    return _built(part(base, "left_anti"), part(nested, "left_anti"), deepest, limit, *names, hot_rows, False).unionByName(
+        _built(part(base, "left_semi"), part(nested, "left_semi"), deepest, limit, *names, hot_rows, None)
+    )
+
+
+def _built(base, nested, deepest: int, limit: int, payload, reference_payload, hot_rows: int, hot: bool | None) -> DataFrame:
+    """Levels attached from the deepest up. ``hot`` False: all of an owner's rows fit a task, so rows are brought to their
+    owner once and nothing is written on the way. None: hot keys are looked for at each level, and each level is written."""
+    key = [*OWNER, "ItemTableID"]
+    at_owner = (lambda df: df.repartition(*OWNER)) if hot is False else (lambda df: df)
+    base = cut_lineage(base)
+    if nested is not None:
+        nested = cut_lineage(nested)
+    item = F.struct("SortOrder", "ReferenceID", *reference_payload)
+    held = None
+    for i in range(deepest, -1, -1):
+        level = at_owner(base.where(F.col("depth") == i).drop("depth"))
+        grouped = []
+        if nested is not None:
+            own = at_owner(nested.where(F.col("depth") == i).drop("depth"))
+            grouped.append(gather_by_attribute(own, key, item, ["SortOrder", "ReferenceID"], "Reference", limit,
+                                               hot=hot, hot_rows=hot_rows))
         if held is not None:
             inside = [c for c in HELD if c in held.columns]
-            # Owners are counted on the bare rows of the level below; the rows with all they hold are computed once.
-            hot = hot_keys(lower.select(*OWNER, F.col("_SubitemID").alias("ItemTableID")), row_key)
-            grouped["Subtable"] = cut_lineage(
-                gather_by_attribute(
-                    held.withColumns({"RowID": F.col("ItemTableID"), "ItemTableID": F.col("_SubitemID")}),
-                    row_key,
-                    F.struct("SortOrder", F.col("RowID").alias("ItemTableID"), "part", "fields", *inside),
-                    ["SortOrder", "RowID", "part"],
-                    "Subtable",
-                    limit,
-                    F.col("weight"),
-                    ["SortOrder", "ItemTableID", "part"],
-                    hot,
-                )
-            )
-        held, lower = _attach(level, grouped, row_key), level
+            below = held.withColumns({"RowID": F.col("ItemTableID"), "ItemTableID": F.col("_SubitemID")})
+            row = F.struct("SortOrder", F.col("RowID").alias("ItemTableID"), "part", *payload, *inside)
+            grouped.append(
+                gather_by_attribute(below, key, row, ["SortOrder", "RowID", "part"], "Subtable", limit, F.col("weight"),
+                                    ["SortOrder", "ItemTableID", "part"], hot, hot_rows)
+            )
+        held = _attach(level, grouped, key)
+        if hot is None:
+            held = cut_lineage(held)
     if "Subtable" not in held.columns:
         inside = [c for c in HELD if c in held.columns]
-        kind = held.select(F.struct("SortOrder", "ItemTableID", "part", "fields", *inside).alias("s")).schema["s"].dataType
-        none = F.lit(None).cast(f"map<string,array<{kind.simpleString()}>>")
-        held = held.withColumn("Subtable", none)
+        kind = held.select(F.struct("SortOrder", "ItemTableID", "part", *payload, *inside).alias("s")).schema["s"].dataType
+        held = held.withColumn("Subtable", F.lit(None).cast(f"map<string,array<{kind.simpleString()}>>"))
     return held
 
 
-def _attach(rows: DataFrame, grouped: dict[str, DataFrame], key: list[str]) -> DataFrame:
-    """Rows with what is grouped below them: one row for each part of either.
-
-    First parts are joined on the key alone. Further parts, where there are any, are matched with each other by number.
-    """
-    joined = rows.withColumns({"part": F.lit(0), "weight": F.lit(1).cast("bigint")})
-    further = None
-    for name, parts in grouped.items():
-        own = parts.select(*[F.col(k).alias(f"__{k}") for k in key], F.col("part").alias("__part"), name, f"{name}_weight")
-        match = [F.col(k) == F.col(f"__{k}") for k in key]
-        weight = (F.col("weight") + F.coalesce(F.col(f"{name}_weight"), F.lit(0))).alias("weight")
-        # The grouped side holds whole subtrees: merge, never broadcast it.
-        joined = joined.join(own.where(F.col("__part") == 0).drop("__part").hint("merge"), match, "left").select(
-            *[weight if c == "weight" else c for c in joined.columns], name
-        )
-        rest = parts.where(F.col("part") > 0)
-        if not rest.isEmpty():
-            further = rest if further is None else further.join(rest, [*key, "part"], "full")
-    if further is None:
-        return joined
+def _attach(rows: DataFrame, grouped: list[DataFrame], key: list[str]) -> DataFrame:
+    """Rows with what is grouped below them: one row for each part of either, and one for a row that holds nothing."""
+    if not grouped:
+        return rows.withColumns({"part": F.lit(0), "weight": F.lit(1).cast("bigint")})
+    # Parts of a number meet by a grouping, which leaves rows where they are, as a full join would not.
+    parts = grouped[0]
+    for further in grouped[1:]:
+        both = parts.unionByName(further, allowMissingColumns=True)
+        told = [c for c in both.columns if c not in (*key, "part")]
+        parts = both.groupBy(*key, "part").agg(*[F.first(c, ignorenulls=True).alias(c) for c in told])
+    weights = [c for c in parts.columns if c.endswith("_weight")]
+    # The grouped side holds whole subtrees: merge, never broadcast it.
+    joined = rows.join(parts.hint("merge"), key, "left")
     weight = F.lit(1).cast("bigint")
-    for name in grouped:
-        if name in further.columns:
-            weight = weight + F.coalesce(F.col(f"{name}_weight"), F.lit(0))
-    names = [n for n in grouped if n in further.columns]
-    more = rows.join(further, key).select(*rows.columns, "part", weight.alias("weight"), *names)
-    return joined.unionByName(more, allowMissingColumns=True)
+    for c in weights:
+        weight = weight + F.coalesce(c, F.lit(0))
+    held = [c for c in HELD if c in parts.columns]
+    return joined.select(*rows.columns, F.coalesce("part", F.lit(0)).alias("part"), weight.alias("weight"), *held)
 
 
 def with_base_rows(view_items: DataFrame, view_rows: DataFrame, base_rows: DataFrame) -> DataFrame:

@@ -12,7 +12,6 @@ from tidemark.functions.text import big_value, content_excerpt, html_text
 from tidemark.operators.assemble import OWNER, with_nested_rows
 from tidemark.operators.gather import PART_ROWS, gather_by_attribute
 from tidemark.operators.ordered import hot_keys
-from tidemark.session import cut_lineage
 
 
 def clean(fields: Column | str, html_fields: Sequence[str] = (), big_fields: Column | None = None) -> Column:
@@ -75,17 +74,11 @@ def build_documents(
         F.col("weight"),
         hot=hot_keys(rows.where(F.col("_SubitemID") == F.col("ItemID")).select(*OWNER), OWNER),
     ).drop("Subtable_weight")
-    # Used by the first documents and by the further ones.
-    children = cut_lineage(own_refs.join(own_rows, [*OWNER, "part"], "full").withColumnRenamed("ItemID", "ID"))
-    first = docs.withColumn("part", F.lit(0)).join(children, ["ID", "LanguageID", "part"], "left")
-    if children.where(F.col("part") > 0).isEmpty():
-        return first
-    further = (
-        children.where(F.col("part") > 0)
-        .join(docs.select("ID", "LanguageID"), ["ID", "LanguageID"], "left_semi")
-        .withColumn("fields", F.create_map().cast("map<string,string>"))
-    )
-    return first.unionByName(further)
+    children = own_refs.join(own_rows, [*OWNER, "part"], "full").withColumnRenamed("ItemID", "ID")
+    whole = docs.join(children, ["ID", "LanguageID"], "left").withColumn("part", F.coalesce("part", F.lit(0)))
+    # The first document of an item has its fields, further ones only the children that continue it.
+    fields = F.when(F.col("part") == 0, F.col("fields")).otherwise(F.create_map().cast("map<string,string>"))
+    return whole.select("ID", "LanguageID", fields.alias("fields"), "part", "Reference", "Subtable")
 
 
 def searchable_documents(

@@ -25,11 +25,11 @@ def in_parts(
     order: Sequence[str],
     limit: int = PART_ROWS,
     weight: Column | None = None,
-    hot: DataFrame | None = None,
+    hot: DataFrame | bool | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows with ``__part``. ``order`` must be total within an owner. ``hot`` are the owners to cut into chunks of
-    ``hot_rows``, where the caller has counted them on a narrower table."""
+    ``hot_rows``, where the caller has counted them on a narrower table; False if there are none."""
     before = Running("__before", "sum", F.lit(1).cast("bigint") if weight is None else weight, before=True)
     placed = running(df, owner, [F.col(c) for c in order], None, before, hot=hot, limit=hot_rows)
     part = F.floor(F.coalesce("__before", F.lit(0)) / F.lit(limit)).cast("int")
@@ -73,7 +73,7 @@ def gather_by_attribute(
     limit: int = PART_ROWS,
     weight: Column | None = None,
     fields: Sequence[str] | None = None,
-    hot: DataFrame | None = None,
+    hot: DataFrame | bool | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows of each owner as attribute → sorted array: (owner…, part, ``name``, ``name``_weight).

@@ -143,15 +143,17 @@ def running(
     chunk: Column | None,
     *aggregates: Running,
     limit: int = HOT_ROWS,
-    hot: DataFrame | None = None,
+    hot: DataFrame | bool | None = None,
 ) -> DataFrame:
     """Add the running ``aggregates`` of each key. ``order`` must be total within a key.
 
     ``chunk`` is the span of an arrival number a row lies in: it must never decrease along ``order``, and keys and chunk
     must not be NULL. Without keys the order is global and always runs in chunks. ``chunk=None`` cuts hot keys by
     position instead, about ``limit`` rows a chunk; keys may be NULL then. ``hot`` passes the result of ``hot_keys``
-    when several calls share their keys.
+    when several calls share their keys, or False where no key is hot.
     """
+    if hot is False:
+        return _windowed(df, keys, order, aggregates, "")
     if keys and hot is None:
         hot = hot_keys(df, keys, limit)
     if chunk is None:

@@ -205,6 +205,114 @@ def item_assembled(fx: Fixtures) -> DataFrame:
     )
 
 
+# Customers share a few class lists; the attributes these and the rows' own classes assign decide what is shown.
+NESTED_CLASSES = """customers AS (SELECT c_custkey AS ID, 100 + c_custkey % 5 AS c1, 200 + c_custkey % 7 AS c2 FROM customer),
+ mapping AS (SELECT ClassID, AttributeID FROM {fx_class_attributes} UNION SELECT 100, 191),
+ special AS (SELECT ID FROM {fx_class_kinds} WHERE _TypeID IN (0, 2, 3)),
+ owners AS (SELECT ID FROM customers WHERE c1 = 100),
+ own AS (SELECT ItemTableID, coalesce(string_agg(concat(m.AttributeID, '=', Value), ';' ORDER BY m.AttributeID)
+   FILTER (WHERE m.AttributeID IS NOT NULL), '') AS vals
+  FROM (SELECT *, 100 + ItemTableID % 6 AS cls FROM {fx_subtables}) s LEFT JOIN (SELECT * FROM mapping WHERE AttributeID IN
+   (11, 15, 23) AND AttributeID NOT IN (SELECT ID FROM special)) m ON m.ClassID = s.cls GROUP BY 1),
+ refs AS (SELECT _SubitemID, string_agg(concat(AttributeID, '/', ReferenceID, '>', TargetID, '{', vals, '}'), ','
+   ORDER BY AttributeID, SortOrder, ReferenceID) AS refs FROM (
+  SELECT r._SubitemID, r.AttributeID, r.ReferenceID, r.SortOrder, r.TargetID, coalesce(string_agg(concat(m.AttributeID, '=t',
+   r.TargetID), ';' ORDER BY m.AttributeID) FILTER (WHERE m.AttributeID IS NOT NULL), '') AS vals
+  FROM (SELECT *, 100 + ReferenceID % 6 AS cls FROM {fx_row_references}) r LEFT JOIN (SELECT * FROM mapping WHERE AttributeID IN
+   (11, 15, 23) AND AttributeID NOT IN (SELECT ID FROM special)) m ON m.ClassID = r.cls GROUP BY ALL) GROUP BY 1)"""
+
+
+def assembled_customers(fx: Fixtures) -> DataFrame:
+    """Customers assembled with their order rows, what hangs below these to four levels, and the references of rows."""
+    fx = fx.stored()
+    key = F.col("c_custkey")
+
+    def values(ids: tuple[int, ...], value: Column) -> Column:
+        pair = F.struct(value.alias("value"), value.alias("formatted"))
+        return F.create_map(*[x for i in ids for x in (F.lit(i).cast("bigint"), pair)])
+
+    items = fx.table("customer").select(
+        key.alias("ID"), F.lit(2).cast("bigint").alias("LanguageID"), F.lit("Customer").alias("item_type"),
+        F.format_string(" %d %d ", 100 + key % 5, 200 + key % 7).alias("ClassMapping"), values((11,), F.lit("v")).alias("attrs"),
+    )
+    rows = fx.subtables.withColumns(
+        {"ClassID": 100 + F.col("ItemTableID") % 6, "ExternalKey": F.concat(F.lit("K"), text(F.col("ItemTableID") % 3)),
+         "attrs": values((11, 15, 23, 77), F.col("Value"))}
+    )
+    references = fx.row_references.withColumns(
+        {"ClassID": 100 + F.col("ReferenceID") % 6, "ExternalKey": F.lit(""),
+         "attrs": values((11, 15, 23, 77), F.concat(F.lit("t"), text("TargetID")))}
+    )
+    order_rows = fx.spark.range(1).select(F.lit(100).cast("bigint").alias("ClassID"), F.lit(191).cast("bigint").alias("AttributeID"))
+    mapping = fx.class_attributes.select("ClassID", "AttributeID").unionByName(order_rows)
+    return assemble.assembled_items(items, mapping, fx.class_kinds, references, rows)
+
+
+@query(
+    "item_nested",
+    "WITH " + NESTED_CLASSES + """
+SELECT ItemID AS ID, AttributeID - 190 AS level, s.ItemTableID, s._SubitemID AS below, o.vals, coalesce(r.refs, '') AS refs
+FROM {fx_subtables} s JOIN own o ON o.ItemTableID = s.ItemTableID LEFT JOIN refs r ON r._SubitemID = s.ItemTableID
+WHERE ItemID IN (SELECT ID FROM owners)""",
+)
+def item_nested(fx: Fixtures) -> DataFrame:
+    found = assembled_customers(fx)
+
+    def by_number(m: Column) -> Column:
+        return F.array_sort(F.map_entries(m), lambda x, y: (x["key"].cast("bigint") - y["key"].cast("bigint")).cast("int"))
+
+    def pairs(m: Column) -> Column:
+        return F.array_join(F.transform(by_number(m), lambda e: F.concat(text(e["key"]), F.lit("="), e["value"]["value"])), ";")
+
+    def references(m: Column) -> Column:
+        def one(e: Column) -> Column:
+            return listed(e["value"], lambda r: F.concat(
+                e["key"], F.lit("/"), text(r["ReferenceID"]), F.lit(">"), text(r["TargetID"]), F.lit("{"), pairs(r["attrs"]), F.lit("}")
+            ))
+
+        return F.coalesce(F.array_join(F.transform(by_number(m), one), ","), F.lit(""))
+
+    # One level after the other is unfolded: every row with the id of what it hangs below.
+    out, level = None, found.select("ID", F.col("ID").alias("below"), F.explode("Subtable").alias("__a", "rows"))
+    for number in range(1, 5):
+        level = level.select("ID", "below", F.explode("rows").alias("r"))
+        shown = level.select(
+            "ID", F.lit(number).cast("bigint").alias("level"), "r.ItemTableID", "below", pairs(F.col("r.attrs")).alias("vals"),
+            references(F.col("r.Reference")).alias("refs"),
+        )
+        out = shown if out is None else out.unionByName(shown)
+        if "Subtable" not in level.schema["r"].dataType.fieldNames():
+            break
+        level = level.select("ID", F.col("r.ItemTableID").alias("below"), F.explode("r.Subtable").alias("__a", "rows"))
+    return out
+
+
+@query(
+    "held_values",
+    "WITH " + NESTED_CLASSES + """,
+ named AS (SELECT s.ItemID, s.ItemTableID, s.Value, s.SortOrder, 100 + s.ItemTableID % 6 AS cls, s.ItemTableID % 3 AS k
+  FROM {fx_subtables} s WHERE AttributeID = 191 AND ItemID IN (SELECT ID FROM owners)),
+ held AS (SELECT n.*, a.id AS a, CASE WHEN EXISTS (SELECT 1 FROM mapping m WHERE m.ClassID = n.cls AND m.AttributeID = a.id
+   AND m.AttributeID NOT IN (SELECT ID FROM special)) THEN Value ELSE '-' END AS v FROM named n, (SELECT unnest([11, 15]) AS id) a)
+SELECT ItemID AS ID, string_agg(v, ',' ORDER BY SortOrder, ItemTableID) FILTER (WHERE a = 11) AS by_id,
+ string_agg(v, ',' ORDER BY SortOrder, ItemTableID) FILTER (WHERE a = 15) AS by_attribute_key,
+ coalesce(string_agg(v, ',' ORDER BY SortOrder, ItemTableID) FILTER (WHERE a = 11 AND k = 1), '') AS of_row_key
+FROM held GROUP BY 1""",
+)
+def held_values(fx: Fixtures) -> DataFrame:
+    rows = F.col("Subtable")["191"]
+    keys = F.create_map(F.lit("N-1"), F.lit(11).cast("bigint"), F.lit("N-5"), F.lit(15).cast("bigint"))
+
+    def shown(values: Column) -> Column:
+        return F.array_join(values, ",", "-")
+
+    return assembled_customers(fx).where(rows.isNotNull()).select(
+        "ID", shown(assemble.held_value(rows, F.lit(11).cast("bigint"))).alias("by_id"),
+        shown(assemble.held_value_by_key(rows, "N-5", keys)).alias("by_attribute_key"),
+        shown(assemble.held_value(assemble.rows_of_external_key(rows, "K1"), F.lit(11).cast("bigint"))).alias("of_row_key"),
+    )
+
+
 @query(
     "view_extension",
     """

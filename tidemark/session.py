@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Rows brought together by owner stay there for joins on the owner and more.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
