@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,12 +59,14 @@ def keep_keys(m: Column | str, names: Column) -> Column:
     return F.map_filter(_col(m), lambda k, _: F.array_contains(names, k))
 
 
-def keep_paths(m: Column | str, paths: list[str]) -> Column:
-    """Source filtering: a plain path keeps one key, ``prefix.*`` every key below the prefix."""
+def keep_paths(m: Column | str, paths: Sequence[str], below: str = "") -> Column:
+    """Source filtering: a plain path keeps one key, ``prefix.*`` every key below the prefix. ``below`` is the path of the
+    map itself: its keys stand for all that they hold."""
     def wanted(key: Column) -> Column:
-        hit = key.isin([p for p in paths if not p.endswith(".*")])
+        path = F.concat(F.lit(f"{below}."), key, F.lit(".")) if below else key
+        hit = path.isin([p for p in paths if not p.endswith(".*")])
         for prefix in (p[:-1] for p in paths if p.endswith(".*")):
-            hit = hit | key.startswith(prefix)
+            hit = hit | path.startswith(prefix)
         return hit
 
     return F.map_filter(_col(m), lambda k, _: wanted(k))

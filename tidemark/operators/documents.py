@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.maps import keep_keys, without_nulls
+from tidemark.functions.maps import keep_keys, keep_paths, without_nulls
 from tidemark.functions.text import big_value, content_excerpt, html_text
 from tidemark.operators.assemble import OWNER, with_nested_rows
 from tidemark.operators.gather import PART_ROWS, gather_by_attribute
@@ -121,11 +121,17 @@ def reproject(
     docs: DataFrame, affected: DataFrame, fields: list[str], references: list[str], subtables: list[str],
     languages: list[int] | None = None,
 ) -> DataFrame:
-    """Searchable documents of the affected ids, as they replace the old ones."""
+    """Searchable documents of the affected ids, as they replace the old ones: of their source only the named fields, and
+    all below the named references and nested tables."""
     rows = docs if languages is None else docs.where(F.col("LanguageID").isin(languages))
     hit = rows.join(affected.select("ID").distinct(), "ID", "left_semi").select(*docs.columns)
-    as_array = lambda names: F.array(*[F.lit(n) for n in names]).cast("array<string>")
-    return searchable_documents(hit, as_array(fields), as_array(references), as_array(subtables))
+    paths = [*fields, *[f"Reference.{i}.*" for i in references], *[f"Subtable.{i}.*" for i in subtables]]
+
+    def held(name: str) -> Column:
+        found = keep_paths(name, paths, name)
+        return F.when(F.size(found) > 0, found)
+
+    return hit.withColumns({"fields": keep_paths("fields", paths), "Reference": held("Reference"), "Subtable": held("Subtable")})
 
 
 def delete_documents(docs: DataFrame, deleted: DataFrame) -> DataFrame:

@@ -318,3 +318,16 @@ def human_units(fx: Fixtures) -> DataFrame:
         .otherwise(ms)
     )
     return fx.table("orders").select("o_orderkey", byte_size(v).alias("size"), duration(ms).alias("took"))
+
+
+@query(
+    "unheard_logs",
+    """
+SELECT event_id FROM {fx_changes} WHERE concat(item_type, '/', type) NOT IN
+ (SELECT ItemType FROM {fx_subscriptions} WHERE SubscriberName IN ('consumer-1', 'consumer-2'))""",
+)
+def unheard_logs(fx: Fixtures) -> DataFrame:
+    """Log rows of types that none of two consumers listens to."""
+    heard = fx.subscriptions.where(F.col("SubscriberName").isin("consumer-1", "consumer-2"))
+    log = fx.changes.select("event_id", F.concat_ws("/", "item_type", "type").alias("item_type"))
+    return subscriptions.unheard(log, heard).select("event_id")

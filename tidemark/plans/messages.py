@@ -14,7 +14,7 @@ from tidemark.plans.registry import query
 from tidemark.session import cut_lineage, shared_dir
 from tidemark.sources import changes as src
 from tidemark.sources.headers import fields_of_type, language_ids, read_headers, searchable_and_standard
-from tidemark.streaming.feed import FeedStores, stream_feed
+from tidemark.streaming.feed import LOOKUPS, FeedStores, feed_batch, stream_feed
 
 
 @query(
@@ -398,3 +398,21 @@ def stream_feed_query(fx: Fixtures) -> DataFrame:
         stream = src.stream_changes(fx.spark, f"{root}/inbox", schema=log.schema)
         stream_feed(stream, state, f"{root}/checkpoint").awaitTermination()
     return shown_stores(state.read(), "WorkflowID")
+
+
+@query(
+    "lookup_feed",
+    """
+SELECT split_part(owner, '/', 1) AS item_type, split_part(owner, '/', 2) AS type, ID, CAST(LanguageID AS BIGINT) AS LanguageID,
+ f.field, split_part(content, '|', f.place) AS value FROM (""" + CONTROL_ORACLE + """) stores,
+ (VALUES ('StateID', 2), ('_LastWritten', 6), ('_InsertTime', 7), ('_IsCreated', 8), ('WorkflowID', 9)) AS f(field, place)
+WHERE store = 'item' AND split_part(content, '|', f.place) <> '' AND NOT (owner LIKE 'User/%' AND field IN ('StateID', 'WorkflowID'))
+UNION ALL SELECT split_part(owner, '/', 1), split_part(owner, '/', 2), ID, LanguageID, 'LanguageID', CAST(LanguageID AS VARCHAR)
+FROM (""" + CONTROL_ORACLE + """) stores WHERE store = 'item'""",
+)
+def lookup_feed(fx: Fixtures) -> DataFrame:
+    state = FeedStores(fx.spark, shared_dir(fx.spark, "lookups"), CONTROL_TYPES, buckets=8, with_lookups=True)
+    state.begin(fx.attributes, fx.class_attributes)
+    for number, part in enumerate(in_slices(fx, cut_lineage(control_messages(fx)), 2)):
+        feed_batch(state, part, number)
+    return state.store(LOOKUPS).read()

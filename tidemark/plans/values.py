@@ -95,6 +95,19 @@ def typed_shadow(fx: Fixtures) -> DataFrame:
     )
 
 
+@query(
+    "raw_keywords",
+    """
+SELECT doc_id, md5(CASE WHEN length(text) <= 10922 THEN lower(text) END) AS keyword FROM documents
+UNION ALL SELECT -o_orderkey, md5(lower(priority)) FROM (SELECT o_orderkey, o_orderpriority AS priority FROM orders)""",
+)
+def raw_keywords(fx: Fixtures) -> DataFrame:
+    """Texts long and short; a value above the keyword size has none."""
+    return fx.table("documents").select("doc_id", F.md5(raw_keyword("text")).alias("keyword")).unionByName(
+        fx.table("orders").select((-F.col("o_orderkey")).alias("doc_id"), F.md5(raw_keyword("o_orderpriority")).alias("keyword"))
+    )
+
+
 @query(
     "coerce_types",
     """

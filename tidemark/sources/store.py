@@ -111,6 +111,11 @@ class BucketStore:
         marked = rows.withColumn("bucket", self.bucket()).withColumn(EMPTIED, F.lit(False))
         marked.unionByName(marks, allowMissingColumns=True).write.mode("overwrite").parquet(self._staged(number))
 
+    def staged_rows(self, number: int | str) -> DataFrame:
+        """The rows a staged batch is about to put in place."""
+        rows = self.spark.read.parquet(self._staged(number))
+        return rows.where(~F.col(EMPTIED)).drop("bucket", EMPTIED)
+
     def put(self, number: int | str) -> None:
         """Put a staged batch in place; doing so again changes nothing."""
         new = self.spark.read.parquet(self._staged(number))

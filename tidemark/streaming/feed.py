@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import fixed
 from tidemark.operators.freshness import ARRIVAL, ITEM_KEY, of_items, without_old_tombstones
+from tidemark.operators.lookups import lookup_changes, moved
 from tidemark.operators.messages import OWNER_KEY, Stores, batch_rows, is_control, merged
 from tidemark.session import cut_lineage
 from tidemark.sources.store import BUCKET_BYTES, BUCKETS, BucketStore
@@ -31,6 +32,8 @@ KEYS = {
     "attributes": ("ID",),
     "class_attributes": ("ClassID",),
 }
+LOOKUPS = "lookups"
+LOOKUP_KEY = ("item_type", "field", "value")
 INITIAL = "initial"
 
 
@@ -47,9 +50,21 @@ class FeedStores:
     bucket_bytes: int = BUCKET_BYTES
     # Age, in InsertTime, from which a deleted key is forgotten when its bucket is rewritten; None keeps it for ever.
     forget_after: int | None = None
+    # Keep lookup tables of the items, by value, along with them.
+    with_lookups: bool = False
+
+    @property
+    def names(self) -> list[str]:
+        return [*KEYS, LOOKUPS] if self.with_lookups else [*KEYS]
 
     def store(self, name: str) -> BucketStore:
-        return BucketStore(self.spark, f"{self.root}/{name}", KEYS[name], self.buckets, self.bucket_bytes)
+        keys = KEYS.get(name, LOOKUP_KEY)
+        return BucketStore(self.spark, f"{self.root}/{name}", keys, self.buckets, self.bucket_bytes)
+
+    def lookup(self, item_type: str, field: str) -> DataFrame:
+        """(LanguageID, value, ID) of one type and field."""
+        rows = self.store(LOOKUPS).read()
+        return rows.where((F.col("item_type") == item_type) & (F.col("field") == field)).select("LanguageID", "value", "ID")
 
     def begin(self, attributes: DataFrame, class_attributes: DataFrame) -> None:
         """Start from given attributes and class mapping; beginning again changes nothing."""
@@ -82,20 +97,32 @@ def _touched(state: FeedStores, rows: DataFrame) -> dict[str, list[int]]:
 
 def feed_batch(state: FeedStores, batch: DataFrame, batch_id: int | str) -> None:
     """Apply one micro-batch to the stores."""
-    if not all(state.store(name).is_staged(batch_id) for name in KEYS):
-        for name in KEYS:
+    if not all(state.store(name).is_staged(batch_id) for name in state.names):
+        for name in state.names:
             state.store(name).grow()
         rows = cut_lineage(batch_rows(batch, state.arrival))
         touched = _touched(state, rows)
-        new = merged(state.read(touched), rows, state.types, state.arrival)
+        known = state.read(touched)
+        new = merged(known, rows, state.types, state.arrival)
         if state.forget_after is not None:
             new = replace(new, freshness=without_old_tombstones(new.freshness, rows, state.forget_after))
         for field in fields(new):
             state.store(field.name).stage(getattr(new, field.name), batch_id, touched[field.name])
-    for name in KEYS:
+        if state.with_lookups:
+            _stage_lookups(state, known.items, batch_id)
+    for name in state.names:
         state.store(name).put(batch_id)
 
 
+def _stage_lookups(state: FeedStores, before: DataFrame | None, batch_id: int | str) -> None:
+    """Retract what the touched items were found by, add what they are found by now: only buckets of these values change."""
+    retracted, added = lookup_changes(before, state.store("items").staged_rows(batch_id))
+    retracted, added = cut_lineage(retracted), cut_lineage(added)
+    store = state.store(LOOKUPS)
+    touched = store.touched(retracted.unionByName(added))
+    store.stage(moved(store.read(touched), retracted, added), batch_id, touched)
+
+
 def stream_feed(changes: DataFrame, state: FeedStores, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Run the streaming ``changes`` into the stores: all there is and then end, or a batch at each interval ``every``."""
     writer = changes.writeStream.foreachBatch(lambda batch, batch_id: feed_batch(state, batch, batch_id))
