@@ -14,7 +14,8 @@ from tidemark.sources.changes import stream_changes
 from tidemark.sources.sinks import json_writer, write_documents
 from tidemark.streaming.apply import FeedState, apply_batch, rebuild, start
 from tidemark.streaming.consumers import Consumer
-from tidemark.streaming.notices import coalesce_stream, session_notices, write_notices
+from tidemark.operators.notices import coalesced, in_lots
+from tidemark.streaming.notices import NoticeSink, coalesce_batch, coalesce_stream, read_notices, session_notices
 
 
 def test_feed_over_restarts_and_redelivery(spark, tmp_path):
@@ -128,23 +129,48 @@ def test_live_coalescing_flushes_at_a_hundred_and_when_quiet(spark, tmp_path):
     schema = "notice_key string, at_ms bigint, event_id bigint, Action int"
     spark.createDataFrame(rows, schema).coalesce(1).write.parquet(path)
     stream = spark.readStream.schema(schema).parquet(path)
-    out = str(tmp_path / "out")
-    query = write_notices(coalesce_stream(stream, "notice_key", quiet_ms=1000), out, str(tmp_path / "cp"))
+    sink = NoticeSink(spark, str(tmp_path / "out"), quiet_ms=1000)
+    query = coalesce_stream(stream, sink)
 
-    def sent():
-        if not glob.glob(f"{out}/batch=*/notice_key=*"):
+    def told():
+        if not glob.glob(f"{sink.notices}/batch=*/notice_key=*"):
             return []
-        read = spark.read.option("recursiveFileLookup", "false").parquet(out)
-        return sorted((r["notice_key"], r["notice_type"], r["pending"]) for r in read.collect())
+        return sorted((r["notice_key"], r["notice_type"], r["pending"]) for r in read_notices(sink).collect())
 
     try:
         end = time.time() + 60
-        while time.time() < end and len(sent()) < 5:
+        while time.time() < end and len(told()) < 5:
             time.sleep(1)
     finally:
         query.stop()
-    got = sent()
-    assert got == [("cold", 1, 1), ("cold", 3, 1), ("hot", -1, 60), ("hot", -1, 100), ("hot", -1, 100)]
+    assert told() == [("cold", 1, 1), ("cold", 3, 1), ("hot", -1, 60), ("hot", -1, 100), ("hot", -1, 100)]
+
+
+def test_live_coalescing_of_one_type_equals_the_batch_form_however_it_arrives(spark, tmp_path):
+    rng, at, rows = random.Random(2), 0, []
+    for i in range(1500):
+        at += rng.choice([1, 1, 2, 3, 30 if i % 50 == 0 else 4])
+        rows.append(("User", at, i, rng.choice([1, 2, 3])))
+    schema = "notice_key string, at_ms bigint, event_id bigint, Action int"
+    df = spark.createDataFrame(rows, schema)
+    want = sorted(tuple(r) for r in coalesced(df, ["notice_key"], "at_ms", ["event_id"], None, quiet_ms=20).collect())
+    sink = NoticeSink(spark, str(tmp_path / "out"), quiet_ms=20, hot_rows=200)
+    borders = [0, 260, 300, 1100, 1500]
+    for n, (low, high) in enumerate(zip(borders, borders[1:])):
+        part = df.where((F.col("event_id") >= low) & (F.col("event_id") < high))
+        coalesce_batch(sink, part, n)
+        if n == 2:
+            # The batch is delivered again.
+            coalesce_batch(sink, part, n)
+        left = sink.pending(n + 1)
+        assert left.count() <= 99
+    coalesce_batch(sink, df.limit(0), len(borders), close=True)
+    columns = ["notice_key", "notice_type", "pending", "first_ms", "last_ms"]
+    assert sorted(tuple(r) for r in read_notices(sink).select(*columns).collect()) == want
+    # One type has all changes, and no task more than a chunk of them.
+    lots = in_lots(df, ["notice_key"], "at_ms", ["event_id"], None, quiet_ms=20, hot_rows=200)
+    per_task = [r["count"] for r in lots.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert max(per_task) <= 200 and sum(per_task) == 1500
 
 
 def test_document_writer_can_be_replaced(spark, tmp_path):
