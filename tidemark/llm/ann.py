@@ -13,7 +13,7 @@ Vectors that share a key or are all the same are sliced like any others.
 
 Defined cases: vectors that are null, zero, or hold null, NaN or infinite components take no part, on either side, and
 neither do vectors of another length than the most frequent one; a query is not its own neighbour, and with repeated
-ids rows with the query's id are left out; fewer candidates than ``k`` give fewer rows; ties go to the smaller id;
+ids rows with the query's id are left out, and every different query of an id has a ranking of its own; fewer candidates than ``k`` give fewer rows; ties go to the smaller id;
 empty tables give empty results.
 """
 
@@ -38,6 +38,8 @@ QUERY_BLOCK = 512
 VECTOR_BLOCK = 16_384
 # Vectors that are estimated at a time within a block.
 STEP = 2048
+# Components below this (or above its inverse) have squares that a double can't hold.
+TINY = 1e-100
 
 
 def rotation(dimension: int) -> np.ndarray:
@@ -116,8 +118,9 @@ def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return dot / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1)))
 
 
-def search_block(query_ids, queries, ids, vectors, centre, k: int) -> pd.DataFrame:
-    """The k nearest of ``vectors`` to each query, by codes, bounds and reranking."""
+def search_block(query_ids, query_rows, queries, ids, vectors, centre, k: int) -> pd.DataFrame:
+    """The k nearest of ``vectors`` to each query, by codes, bounds and reranking. ``query_rows`` tells apart queries of one
+    id."""
     found = [(np.zeros(0, np.int64), np.zeros(0))] * len(query_ids)
     least = np.full(len(query_ids), -np.inf)
     asked, codes = Query(queries, centre), Codes(vectors, centre)
@@ -147,6 +150,7 @@ def search_block(query_ids, queries, ids, vectors, centre, k: int) -> pd.DataFra
     return pd.DataFrame(
         {
             "query_id": np.repeat(query_ids, counts),
+            "query_row": np.repeat(query_rows, counts),
             "vec_id": np.concatenate([f[0] for f in found]) if found else [],
             "score": np.concatenate([f[1] for f in found]) if found else [],
         }
@@ -160,6 +164,15 @@ def usable(column: str) -> Column:
     return v.isNotNull() & (F.size(v) > 0) & finite & F.exists(v, lambda x: x != 0)
 
 
+def scaled(v: Column) -> Column:
+    """Vectors of extreme length, by a power of two: the cosine stays to the bit, and squares neither vanish nor overflow."""
+    top = F.array_max(F.transform(v, lambda x: F.abs(x)))
+    extreme = (top < TINY) | (top > 1 / TINY)
+    # In two steps, as the whole power may lie beyond the range of a double.
+    half = F.pow(F.lit(2.0), F.floor(-F.log2(top) / 2))
+    return F.when(extreme, F.transform(v, lambda x: x * half * half)).otherwise(v)
+
+
 def _numbers(n: int) -> Column:
     return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
 
@@ -175,10 +188,10 @@ def search(
 ) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score`` of the k nearest rows to each row where ``is_query``."""
     rows = vectors.where(usable(vector_column) & F.col(id_column).isNotNull()).select(
-        F.col(id_column).cast("bigint").alias("id"), F.col(vector_column).cast("array<double>").alias("v"), is_query.alias("asks")
+        F.col(id_column).cast("bigint").alias("id"), scaled(F.col(vector_column).cast("array<double>")).alias("v"), is_query.alias("asks")
     )
     usual = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    schema = "query_id long, vec_id long, score double"
+    schema = "query_id long, query_row long, vec_id long, score double"
     if usual is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dimension = usual["d"]
@@ -190,8 +203,8 @@ def search(
     counts = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("asks").alias("q")).first()
     query_blocks, vector_blocks = max(1, -(-counts["q"] // query_block)), max(1, -(-counts["n"] // vector_block))
     own = F.xxhash64("id", "v")
-    asked = rows.where("asks").select(
-        "id", "v", F.pmod(own, F.lit(query_blocks)).alias("qb"), F.explode(_numbers(vector_blocks)).alias("vb")
+    asked = rows.where("asks").dropDuplicates(["id", "v"]).select(
+        "id", "v", own.alias("row"), F.pmod(own, F.lit(query_blocks)).alias("qb"), F.explode(_numbers(vector_blocks)).alias("vb")
     )
     held = rows.select(
         "id", "v", F.explode(_numbers(query_blocks)).alias("qb"), F.pmod(own, F.lit(vector_blocks)).alias("vb")
@@ -199,12 +212,12 @@ def search(
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({"query_id": [], "query_row": [], "vec_id": [], "score": []})
         return search_block(
-            left["id"].to_numpy(), np.stack(left["v"]), right["id"].to_numpy(), np.stack(right["v"]), centre, k
+            left["id"].to_numpy(), left["row"].to_numpy(), np.stack(left["v"]), right["id"].to_numpy(), np.stack(right["v"]), centre, k
         )
 
     pairs = asked.groupBy("qb", "vb").cogroup(held.groupBy("qb", "vb")).applyInPandas(meet, schema)
-    nth = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    nth = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id")
     ranked = cut_lineage(pairs).select("query_id", F.row_number().over(nth).alias("rank"), "vec_id", "score")
     return ranked.where(F.col("rank") <= k)
