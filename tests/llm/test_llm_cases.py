@@ -4,7 +4,6 @@ import hashlib
 import random
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -263,6 +262,8 @@ def test_quality_of_odd_rows(odd, spark):
     assert quality.fit(odd, labels.where("quality = 1"), "doc_id", "text", "quality") == 1.0
     assert quality.score(odd.limit(0), model, "text", "s").count() == 0
     assert quality.keep_good(odd, labels, F.lit(True)).columns == odd.columns
+    taken = odd.withColumn("__quality", F.lit("mine"))
+    assert quality.keep_good(taken, labels, F.lit(True)).columns == taken.columns
 
 
 def test_hinge_loss_reaches_its_optimum():
@@ -354,6 +355,23 @@ def test_nearest_of_odd_vectors(spark):
     assert ann.search(frame.where("vec_id = 0"), F.lit(True)).count() == 0
 
 
+def test_nearest_of_tiny_vectors_and_repeated_queries(spark):
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal((60, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(base)]
+    # The same directions at lengths whose squares vanish or overflow; query 0 stands there three times, two of them alike.
+    rows += [(100 + i, (v * s).tolist()) for i, (v, s) in enumerate(zip(base[:4], (1e-200, 1e-300, 1e200, 1e-160)))]
+    rows += [(0, base[0].tolist()), (0, base[7].tolist())]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in ann.search(frame, F.col("vec_id") == 0).orderBy("query_id", "score").collect():
+        got.setdefault(r["rank"], []).append((r["vec_id"], round(r["score"], 9)))
+    assert sorted(got) == [1, 2, 3, 4, 5] and all(len(v) == 2 for v in got.values())
+    assert {(100, 1.0), (7, 1.0)} == set(got[1])
+    other = {r["query_id"]: r for r in ann.search(frame, F.col("vec_id") >= 101).where("rank = 1").collect()}
+    assert {q: (r["vec_id"], round(r["score"], 9)) for q, r in other.items()} == {100 + i: (i, 1.0) for i in (1, 2, 3)}
+
+
 def test_nearest_over_many_blocks(spark):
     rng = np.random.default_rng(12)
     vectors = rng.standard_normal((900, 70))

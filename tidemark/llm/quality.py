@@ -6,8 +6,9 @@ good than in bad examples), each example to unit length, and a linear hinge-loss
 dual coordinate descent. Margins become probabilities by a logistic curve fitted to margins of held-out folds, weighted
 back to the class shares of all labelled rows.
 
-Fitting takes a bounded sample: ``MAX_EXAMPLES`` labelled rows of each class by a hash of the id, each as its set of at
-most ``2**BITS`` feature numbers. The model is one array of ``2**BITS`` weights, so it travels with the function.
+Fitting takes a bounded sample: of each class the first ``MAX_EXAMPLES`` labelled rows by a hash of the id, as far as they
+come to ``MAX_FEATURES`` feature numbers (the first row is always taken, and has ``2**BITS`` at most); numbers travel
+packed, four bytes each. The model is one array of ``2**BITS`` weights, so it travels with the function.
 
 Defined cases: null and empty texts have no features and get the score of margin 0 (the bias alone); texts of any length
 are read whole; repeated rows are scored one by one; without labelled rows every score is 0, with one class only it is
@@ -23,13 +24,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import whole_text
+from tidemark.llm.common import free_name, whole_text
 from tidemark.session import cut_lineage
 
 MAX_EXAMPLES = 2000
+MAX_FEATURES = 10_000_000
 BITS = 18
 SMOOTHING = 1.0
 COST = 1.0
@@ -156,8 +158,10 @@ def logistic(x: np.ndarray, y: np.ndarray, mass: np.ndarray) -> tuple[float, flo
 def _feature_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [features(t.as_py()) for t in batch.column(2)]
+        packed, number = [s.astype("<i4").tobytes() for s in sets], [len(s) for s in sets]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(sets, pa.list_(pa.int64()))], names=["ord", "label", "features"]
+            [batch.column(0), batch.column(1), pa.array(packed, pa.binary()), pa.array(number, pa.int64())],
+            names=["ord", "label", "features", "number"],
         )
 
 
@@ -178,13 +182,18 @@ def fit(docs: DataFrame, labelled: DataFrame, id_column: str, text_column: str,
     drawn = cut_lineage(drawn)
     texts = docs.select(F.col(id_column).alias("__id"), whole_text(text_column).alias("__text"))
     examples = texts.join(F.broadcast(drawn), "__id").dropDuplicates(["__id"]).select("__order", "__label", "__text")
-    rows = examples.mapInArrow(_feature_sets, "ord long, label int, features array<bigint>").orderBy("ord").collect()
+    sets = cut_lineage(examples.mapInArrow(_feature_sets, "ord long, label int, features binary, number bigint"))
+    # Windows over the drawn rows only: at most MAX_EXAMPLES numbers a class.
+    before = Window.partitionBy("label").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
+    sized = sets.select("ord", "label", F.coalesce(F.sum("number").over(before), F.lit(0)).alias("before"), "number")
+    fits = sized.where((F.col("before") == 0) | (F.col("before") + F.col("number") <= MAX_FEATURES))
+    rows = sets.join(F.broadcast(fits.select("ord", "label")), ["ord", "label"], "left_semi").orderBy("ord").collect()
     labels = np.array([r["label"] for r in rows])
     if len(set(labels.tolist())) < 2:
         return float(labels[0]) if len(labels) else 0.0
     drawn_of = {y: int((labels == y).sum()) for y in (0, 1)}
     mass = np.array([shares[y] / drawn_of[y] for y in labels.tolist()])
-    return fit_rows([np.array(r["features"], dtype=np.int64) for r in rows], labels, mass)
+    return fit_rows([np.frombuffer(r["features"], dtype="<i4").astype(np.int64) for r in rows], labels, mass)
 
 
 def _scorer(model: Model | float, text_at: int):
@@ -214,4 +223,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, training: Column, limit: float
               text_column: str = "text", label_column: str = "quality") -> DataFrame:
     """The rows of ``docs`` whose score reaches ``limit``."""
     model = fit(docs, labels.where(training), id_column, text_column, label_column)
-    return score(docs, model, text_column, "__quality").where(F.col("__quality") >= limit).select(*docs.columns)
+    name = free_name(docs, "__quality")
+    return score(docs, model, text_column, name).where(F.col(name) >= limit).select(*docs.columns)
