@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -241,8 +242,9 @@ def test_nearest_examples_equal_brute_force():
     model = toxicity.build(vocabulary, idf, list(range(400)), labels, counts, {0: 280, 1: 120})
     dense = np.zeros((400, 61))
     for i, c in enumerate(counts):
+        # Examples are indexed in another order; their ids say which is which.
         terms, weights = model.vector(c)
-        dense[i, terms] = weights
+        dense[model.ids.index(i), terms] = weights
     for c in counts[:80]:
         terms, weights = model.vector(c)
         rows, cosines = model.nearest(terms, weights, 15)
@@ -251,6 +253,47 @@ def test_nearest_examples_equal_brute_force():
         exact_cosines = dense @ query
         assert np.allclose(cosines, np.sort(exact_cosines)[::-1][: len(cosines)])
         assert np.allclose(exact_cosines[rows], cosines)
+        assert len(rows) == min(15, (exact_cosines > 0).sum())
+
+
+def test_toxicity_neighbours_of_whole_texts(spark):
+    """Every word of the examples counts: neighbours of whole documents against cosines worked out from the texts."""
+    import math
+    from collections import Counter
+
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    model = toxicity.fit(docs, labels.where(F.col("doc_id") % 3 != 0), "doc_id", "text", "toxic")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    label = {r.doc_id: r.toxic for r in labels.collect() if r.doc_id % 3 and r.toxic is not None and r.doc_id in texts}
+    words = {i: Counter(re.findall(r"[^\W\d_]+", t.lower())) for i, t in texts.items()}
+    frequency = Counter(w for c in words.values() for w in c)
+    has = Counter(w for i in label for w in words[i])
+    toxic = Counter(w for i in label if label[i] for w in words[i])
+    n, pos = len(label), sum(label.values())
+    assert set(model.terms.vocabulary) == set(has)
+
+    def weight(w):
+        cells = [(toxic[w], has[w] * pos), (has[w] - toxic[w], has[w] * (n - pos)),
+                 (pos - toxic[w], (n - has[w]) * pos), (n - pos - has[w] + toxic[w], (n - has[w]) * (n - pos))]
+        ratio = sum(o * math.log(o * n / e) for o, e in cells if o)
+        return (math.log((1 + len(texts)) / (1 + frequency[w])) + 1) * (max(ratio, 0) + toxicity.LEAST)
+
+    weights = {w: weight(w) for w in has}
+
+    def vector(counts):
+        v = {w: (1 + math.log(c)) * weights[w] for w, c in counts.items() if w in weights}
+        length = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / length for w, x in v.items()}
+
+    vectors = {i: vector(words[i]) for i in label}
+    for i in sorted(texts)[:60]:
+        query = vector(words[i])
+        cosines = {j: sum(x * query.get(w, 0.0) for w, x in v.items()) for j, v in vectors.items()}
+        _, rows, near = model.score(texts[i])
+        want = sorted((c for c in cosines.values() if c > 0), reverse=True)[: toxicity.NEIGHBOURS]
+        assert np.allclose(near, want) and np.allclose([cosines[model.ids[r]] for r in rows], near)
 
 
 def test_quality_of_odd_rows(odd, spark):

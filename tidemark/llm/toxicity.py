@@ -1,26 +1,30 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Fitting takes a bounded sample of labelled rows (``MAX_EXAMPLES`` of each class, chosen by a hash of the id) as the
-examples. The vector space holds the words whose presence in the examples depends on the label (log-likelihood
-ratio), at most ``MAX_TERMS``; their document frequencies are counted over *all* documents. Term weights are (1 + ln tf) * idf.
-
-Every document is a query on an inverted index of the examples. Examples are cut into blocks; for each word the index
-keeps the largest weight in each block, so the query's bound on every block is one small product. Blocks are scored in
-the order of their bounds until the next bound is below the k-th best cosine found: the result is the exact top k.
+Fitting takes a bounded sample of labelled rows as the examples: of each class, in the order of a hash of the id, up to
+``MAX_EXAMPLES`` rows and ``MAX_POSTINGS`` different words in them. Every word of an example is indexed. A word weighs
+(1 + ln tf) * idf * (dependence + ``LEAST``): document frequencies are counted over *all* documents, dependence is the
+log-likelihood ratio between the word's presence in the examples and their label. No word is left out; without the last
+factor the neighbours are those of the same subject, whatever their label. Words that no example holds can't match and
+take no part in a text's length.
+
+Every document is a query on an inverted index of the examples. Examples are cut into blocks of ``BLOCK_ROWS``, those
+with the same strongest word together; the index keeps each word's largest weight, over all and in each block. Words are
+read in the order of what they can add. Once an example not met so far can't be among the k best any more, the block maxima
+of the words left bound every block: blocks below the k-th best sum are not opened, and the few examples that can still
+be among the k best get their whole cosine from their own words. The result is the exact top k.
 Votes are weighted by nearness and turned into calibrated scores by isotonic regression on votes that leave each
 example's own label out, weighted back to the class shares of all labelled rows. The neighbours are the evidence.
 
-Index, vocabulary and calibration are bounded by ``2 * MAX_EXAMPLES`` rows and ``MAX_TERMS`` terms, so they travel to
-the tasks with the function.
+Index, vocabulary and calibration are bounded by the sample, so they travel to the tasks with the function.
 
-Defined cases: null and empty texts, and texts without any word of the vocabulary, have no neighbour and get the
-calibrated share of toxic rows among such examples; ties in cosine go to the earlier example (its hash order); repeated
-rows are scored one by one; without any labelled row every score is 0; other columns pass through.
+Defined cases: null and empty texts, and texts without any word of the examples, have no neighbour and get the
+calibrated share of toxic rows among such examples; ties in cosine go to the earlier example of the index (by strongest
+word, then hash order); repeated rows are scored one by one; without any labelled row every score is 0; other columns
+pass through.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -28,7 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import free_name, whole_text
@@ -36,14 +40,17 @@ from tidemark.session import cut_lineage
 
 # Labelled rows of each class that may become examples.
 MAX_EXAMPLES = 4000
-MAX_TERMS = 2048
-# By how much a word's log-likelihood ratio must pass the logarithm of the number of words tried.
-MARGIN = 1.0
-# How many times as frequent a word must be in one class as in the other.
-MIN_LIFT = 3.0
+# Different words of the examples of each class, added up over the examples.
+MAX_POSTINGS = 2_000_000
+# Added to a word's dependence on the label, so that words without any count as well.
+LEAST = 0.01
 NEIGHBOURS = 15
 # Examples of one block of the index.
 BLOCK_ROWS = 64
+# So many examples are finished from their own words; with more the next words are read.
+FINISHED = 128
+# Above what sums in another order can differ by.
+SLACK = 1e-9
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
 
@@ -59,15 +66,45 @@ class Terms:
         return [known[w] for w in _WORDS(text.lower()) if w in known]
 
 
+@dataclass
+class Lists:
+    """Numbered lists end to end: the numbers and weights of list i lie from starts[i] to starts[i + 1]."""
+
+    starts: np.ndarray
+    numbers: np.ndarray
+    weights: np.ndarray
+
+    @classmethod
+    def of(cls, count: int, lists: np.ndarray, numbers: np.ndarray, weights: np.ndarray) -> Lists:
+        order = np.lexsort((numbers, lists))
+        starts = np.searchsorted(lists[order], np.arange(count + 1))
+        return cls(starts, numbers[order].astype(np.int32), weights[order])
+
+    def sizes(self, chosen: np.ndarray) -> np.ndarray:
+        return self.starts[chosen + 1] - self.starts[chosen]
+
+    def places(self, chosen: np.ndarray) -> np.ndarray:
+        """Where the entries of the chosen lists lie, list after list."""
+        sizes = self.sizes(chosen)
+        ends = np.cumsum(sizes)
+        return np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[chosen] - ends + sizes, sizes)
+
+    def sums(self, chosen: np.ndarray, factors: np.ndarray, count: int) -> np.ndarray:
+        """By number: the weights in the chosen lists, each times its list's factor."""
+        at = self.places(chosen)
+        return np.bincount(self.numbers[at], self.weights[at] * np.repeat(factors, self.sizes(chosen)), count)
+
+
 @dataclass
 class Model:
     terms: Terms
-    idf: np.ndarray
-    # Postings by term: example numbers and weights, and the largest weight of each block.
-    starts: np.ndarray
-    rows: np.ndarray
+    # Weight of each term: idf times dependence.
     weights: np.ndarray
-    peaks: np.ndarray
+    # Examples by term; blocks by term with the largest weight in each; largest weight of all; terms by example.
+    postings: Lists
+    peaks: Lists
+    tops: np.ndarray
+    examples: Lists
     labels: np.ndarray
     mass: np.ndarray
     ids: list
@@ -77,43 +114,50 @@ class Model:
     empty_score: float
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        terms = np.fromiter(counts.keys(), dtype=np.int64, count=len(counts))
-        tf = np.fromiter(counts.values(), dtype=np.float64, count=len(counts))
-        weights = (1 + np.log(tf)) * self.idf[terms]
-        norm = np.sqrt((weights * weights).sum())
-        return (terms, weights / norm) if norm > 0 else (terms[:0], weights[:0])
+        return unit_vector(counts, self.weights)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest examples with a cosine above 0 and their cosines, nearest first."""
-        n, blocks = len(self.labels), self.peaks.shape[1]
-        bounds = weights @ self.peaks[terms]
-        order = np.argsort(-bounds, kind="stable")
-        best_rows, best = np.zeros(0, np.int64), np.zeros(0)
-        slices = [slice(self.starts[t], self.starts[t + 1]) for t in terms]
-        rows = np.concatenate([self.rows[s] for s in slices]) if slices else np.zeros(0, np.int64)
-        parts = np.concatenate([self.weights[s] * w for s, w in zip(slices, weights)]) if slices else np.zeros(0)
-        block_of = rows // BLOCK_ROWS
-        # Blocks are opened in waves that grow, so that few numpy calls serve a query.
-        at, wave = 0, 8
-        while at < blocks and bounds[order[at]] > 0:
-            if len(best) >= k and bounds[order[at]] < best[-1] - 1e-12:
-                break
-            opened = order[at : at + wave]
-            chosen = np.zeros(blocks, dtype=bool)
-            chosen[opened] = True
-            keep = chosen[block_of]
-            cosines = np.bincount(rows[keep], weights=parts[keep], minlength=n)
-            found = np.flatnonzero(cosines > 0)
-            all_rows = np.concatenate([best_rows, found])
-            values = np.concatenate([best, cosines[found]])
-            if len(values) > 8 * k:
-                # Only what reaches the k-th best value needs sorting, ties at it included.
-                least = np.partition(values, len(values) - k)[len(values) - k]
-                all_rows, values = all_rows[values >= least], values[values >= least]
-            top = np.lexsort((all_rows, -values))[:k]
-            best_rows, best = all_rows[top], values[top]
-            at, wave = at + wave, wave * 4
-        return best_rows, best
+        n = len(self.labels)
+        adds = weights * self.tops[terms]
+        order = np.argsort(-adds, kind="stable")
+        by_add, factors = terms[order], weights[order]
+        # What the words from each place on can add to an example at most.
+        left = np.append(np.cumsum(adds[order][::-1])[::-1], 0.0)
+        sums, least, done, step = np.zeros(n), 0.0, 0, 8
+        rows = None
+        while done < len(by_add) and rows is None:
+            some = slice(done, done + step)
+            sums += self.postings.sums(by_add[some], factors[some], n)
+            done, step = min(done + step, len(by_add)), step * 2
+            least = np.partition(sums, n - k)[n - k] if n > k else 0.0
+            if done < len(by_add) and least > left[done] + SLACK:
+                rows = self._open(sums, by_add[done:], factors[done:], least)
+        if rows is None:
+            rows = np.flatnonzero((sums > 0) & (sums >= least - SLACK))
+        return self._finish(rows, terms, weights, k)
+
+    def _open(self, sums: np.ndarray, terms: np.ndarray, factors: np.ndarray, least: float) -> np.ndarray | None:
+        """Examples that can reach ``least`` with the terms left; None if they are many."""
+        n, first = len(sums), np.arange(0, len(sums), BLOCK_ROWS)
+        bounds = self.peaks.sums(terms, factors, len(first))
+        blocks = np.flatnonzero(np.maximum.reduceat(sums, first) + bounds >= least - SLACK)
+        rows = (blocks[:, None] * BLOCK_ROWS + np.arange(BLOCK_ROWS)).ravel()
+        rows = rows[rows < n]
+        rows = rows[(sums[rows] > 0) & (sums[rows] + bounds[rows // BLOCK_ROWS] >= least - SLACK)]
+        return rows if len(rows) <= FINISHED else None
+
+    def _finish(self, rows: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Whole cosines of examples that share a word with the query; the k largest, ties to the earlier example."""
+        if not len(rows):
+            return rows, np.zeros(0)
+        query = np.zeros(len(self.weights))
+        query[terms] = weights
+        at = self.examples.places(rows)
+        begins = np.append(0, np.cumsum(self.examples.sizes(rows))[:-1])
+        cosines = np.add.reduceat(query[self.examples.numbers[at]] * self.examples.weights[at], begins)
+        top = np.lexsort((rows, -cosines))[:k]
+        return rows[top], cosines[top]
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> float:
         # Nearness is 1 / distance; the small constant keeps exact copies finite.
@@ -144,44 +188,30 @@ def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarr
     return points, np.repeat([p[0] for p in pools], [p[2] for p in pools])
 
 
-def select_terms(examples: DataFrame, label: str, text: str) -> DataFrame:
-    """``term`` of the words whose presence depends on the label, most dependent first, at most ``MAX_TERMS``."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"[\p{L}]+"), F.lit(0)))
-    n1 = F.sum(F.col(label)).cast("double")
-    totals = examples.agg(F.count(F.lit(1)).alias("n"), n1.alias("n1")).first()
-    n, pos = float(totals["n"]), float(totals["n1"] or 0.0)
-    seen = examples.select(label, F.explode(words).alias("term")).groupBy("term").agg(
-        n1.alias("a"), (F.count(F.lit(1)) - F.sum(label)).cast("double").alias("b")
-    )
-    has, a, b = F.col("a") + F.col("b"), F.col("a"), F.col("b")
-
-    def part(observed: Column, expected: Column) -> Column:
-        return F.when(observed > 0, observed * F.log(observed / expected)).otherwise(F.lit(0.0))
-
-    # The log-likelihood ratio (unlike chi-squared) holds for rare words too. A word without meaning passes the level
-    # with a chance of about exp(-level), so the level rises with the number of words tried.
-    ratio = (
-        part(a, has * pos / n)
-        + part(b, has * (n - pos) / n)
-        + part(F.lit(pos) - a, (F.lit(n) - has) * pos / n)
-        + part(F.lit(n - pos) - b, (F.lit(n) - has) * (n - pos) / n)
-    )
-    tried = seen.count()
-    # With many examples slight differences of common words pass that level too. A telling word is also several times
-    # as frequent in one class as in the other.
-    lift = ((a + 0.5) / (pos + 1.0)) / ((b + 0.5) / (n - pos + 1.0))
-    return (
-        seen.where((has < n) & ((lift >= MIN_LIFT) | (lift <= 1 / MIN_LIFT)))
-        .select("term", ratio.alias("ratio"))
-        .where(F.col("ratio") >= math.log(max(tried, 1)) + MARGIN)
-        .orderBy(F.desc("ratio"), "term")
-        .limit(MAX_TERMS)
-        .select("term")
-    )
+def unit_vector(counts: Counter, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    terms = np.fromiter(counts.keys(), dtype=np.int64, count=len(counts))
+    tf = np.fromiter(counts.values(), dtype=np.float64, count=len(counts))
+    values = (1 + np.log(tf)) * weights[terms]
+    length = np.sqrt((values * values).sum())
+    return (terms, values / length) if length > 0 else (terms[:0], values[:0])
+
+
+def dependence(toxic: np.ndarray, has: np.ndarray, positive: float, n: float) -> np.ndarray:
+    """Log-likelihood ratio between a word's presence and the label: ``has`` of n examples hold it, ``toxic`` of them
+    are among the ``positive``. Unlike chi-squared it holds for rare words too."""
+
+    def part(observed, share):
+        expected = share / n if n else share
+        return np.where(observed > 0, observed * np.log(np.maximum(observed, 1) / np.maximum(expected, 1e-300)), 0.0)
+
+    negative, lacks, clean = n - positive, n - has, has - toxic
+    ratio = part(toxic, has * positive) + part(clean, has * negative)
+    ratio += part(positive - toxic, lacks * positive) + part(negative - clean, lacks * negative)
+    return np.maximum(ratio, 0.0)
 
 
 def _term_counts(vocabulary: dict[str, int]):
-    """mapInArrow over texts: documents of the batch's task that hold each term, and their number under term -1."""
+    """mapInArrow over texts: documents of the task that hold each term, and their number under term -1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(len(vocabulary) + 1, dtype=np.int64)
@@ -190,12 +220,32 @@ def _term_counts(vocabulary: dict[str, int]):
             for text in batch.column(0):
                 seen[list(set(terms_of(text.as_py())))] += 1
                 seen[-1] += 1
-        terms = np.append(np.arange(len(vocabulary)), -1)
-        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int32()), pa.array(seen)], names=["term", "n"])
+        held = np.flatnonzero(seen)
+        terms = np.where(held == len(vocabulary), -1, held)
+        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int32()), pa.array(seen[held])], names=["term", "n"])
 
     return run
 
 
+def _example_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts = [Counter(_WORDS(t.as_py().lower())) for t in batch.column(3)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                *batch.columns[:3],
+                pa.array([list(c.keys()) for c in counts], pa.list_(pa.string())),
+                pa.array([list(c.values()) for c in counts], pa.list_(pa.int32())),
+                pa.array([len(c) for c in counts], pa.int64()),
+            ],
+            names=["id", "label", "ord", "words", "tf", "number"],
+        )
+
+
+def _entries(column: pa.ChunkedArray) -> pa.Array:
+    """The entries of a list column, end to end."""
+    return pa.concat_arrays([c.flatten() for c in column.chunks]) if column.num_chunks else pa.array([], column.type.value_type)
+
+
 def fit(docs: DataFrame, labelled: DataFrame, id_column: str, text_column: str, label_column: str) -> Model | None:
     """A model from ``labelled`` (id, label 0/1); texts and document frequencies come from ``docs``."""
     known = labelled.where(F.col(label_column).isin(0, 1) & F.col(id_column).isNotNull()).select(
@@ -213,59 +263,58 @@ def fit(docs: DataFrame, labelled: DataFrame, id_column: str, text_column: str,
     # At most 2 * MAX_EXAMPLES narrow rows.
     drawn = cut_lineage(drawn)
     texts = docs.select(F.col(id_column).alias("__id"), whole_text(text_column).alias("__text"))
-    examples = texts.join(F.broadcast(drawn), "__id").dropDuplicates(["__id"])
-    examples = cut_lineage(examples.select("__id", "__label", "__order", "__text"))
-    vocabulary = {r["term"]: i for i, r in enumerate(select_terms(examples, "__label", "__text").collect())}
-    counted = texts.select("__text").mapInArrow(_term_counts(vocabulary), "term int, n long")
-    frequency = {r["term"]: r["n"] for r in counted.groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    total = frequency.get(-1, 0)
-    df = np.array([frequency.get(i, 0) for i in range(len(vocabulary))], dtype=np.float64)
-    idf = np.log((1 + total) / (1 + df)) + 1
-    vectors = examples.mapInArrow(
-        _example_counts(vocabulary), f"id {examples.schema['__id'].dataType.simpleString()}, label int, ord long, terms array<int>, tf array<int>"
+    examples = texts.join(F.broadcast(drawn), "__id").dropDuplicates(["__id"]).select("__id", "__label", "__order", "__text")
+    id_type = examples.schema["__id"].dataType.simpleString()
+    worded = cut_lineage(
+        examples.mapInArrow(_example_words, f"id {id_type}, label int, ord long, words array<string>, tf array<int>, number long")
     )
-    rows = vectors.orderBy("ord", "id").collect()
-    return build(vocabulary, idf, [r["id"] for r in rows], np.array([r["label"] for r in rows], dtype=np.float64),
-                 [Counter(dict(zip(r["terms"], r["tf"]))) for r in rows], shares)
-
-
-def _example_counts(vocabulary: dict[str, int]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms_of = Terms(vocabulary).of
-        for batch in batches:
-            counts = [Counter(terms_of(t.as_py())) for t in batch.column(3)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    batch.column(2),
-                    pa.array([list(c.keys()) for c in counts], pa.list_(pa.int32())),
-                    pa.array([list(c.values()) for c in counts], pa.list_(pa.int32())),
-                ],
-                names=["id", "label", "ord", "terms", "tf"],
-            )
-
-    return run
-
-
-def build(vocabulary, idf, ids, labels, counts, shares) -> Model:
-    """Index and calibration from the examples' term counts."""
+    # Windows over the drawn rows only.
+    before = Window.partitionBy("label").orderBy("ord", "id").rowsBetween(Window.unboundedPreceding, -1)
+    sized = worded.select("id", "label", "number", F.coalesce(F.sum("number").over(before), F.lit(0)).alias("before"))
+    fits = sized.where((F.col("before") == 0) | (F.col("before") + F.col("number") <= MAX_POSTINGS)).select("id")
+    held = worded.join(F.broadcast(fits), "id", "left_semi").orderBy("ord", "id").toArrow()
+    coded = _entries(held["words"]).dictionary_encode()
+    vocabulary = {w: i for i, w in enumerate(coded.dictionary.to_pylist())}
+    terms, tf = coded.indices.to_numpy(zero_copy_only=False), _entries(held["tf"]).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(held["number"].to_numpy()) if held.num_rows else np.zeros(0, np.int64)
+    counts = [
+        Counter(dict(zip(terms[b:e].tolist(), tf[b:e].tolist()))) for b, e in zip(np.append(0, ends[:-1]).astype(int), ends)
+    ]
+    labels = held["label"].to_numpy().astype(np.float64)
+    counted = texts.select("__text").mapInArrow(_term_counts(vocabulary), "term int, n long")
+    counted = counted.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(len(vocabulary) + 1)
+    df[counted["term"].to_numpy()] = counted["n"].to_numpy()
+    idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
+    has = np.bincount(terms, minlength=len(vocabulary)).astype(np.float64)
+    toxic = np.bincount(terms, np.repeat(labels, held["number"].to_numpy()), len(vocabulary))
+    weights = idf * (dependence(toxic, has, labels.sum(), float(len(labels))) + LEAST)
+    return build(vocabulary, weights, held["id"].to_pylist(), labels, counts, shares)
+
+
+def build(vocabulary, weights, ids, labels, counts, shares) -> Model:
+    """Index and calibration from the examples' term counts and the terms' weights."""
     drawn = {y: max(1, int((labels == y).sum())) for y in (0, 1)}
+    vectors = [unit_vector(c, weights) for c in counts]
+    strongest = [int(t[np.argmax(w)]) if len(t) else -1 for t, w in vectors]
+    order = np.argsort(strongest, kind="stable")
+    vectors, labels = [vectors[i] for i in order], labels[order]
     mass = np.array([shares.get(int(y), 0) / drawn[int(y)] for y in labels])
-    none = np.zeros(0)
-    model = Model(
-        Terms(vocabulary), idf, none, none, none, np.zeros((len(vocabulary), 1)), labels, mass, ids, np.zeros(1), np.zeros(1), 0.0
-    )
-    vectors = [model.vector(c) for c in counts]
     term = np.concatenate([t for t, _ in vectors] or [np.zeros(0, np.int64)]).astype(np.int64)
     row = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
     weight = np.concatenate([w for _, w in vectors] or [np.zeros(0)])
-    order = np.lexsort((row, term))
-    model.rows, model.weights = row[order], weight[order]
-    model.starts = np.searchsorted(term[order], np.arange(len(vocabulary) + 1))
+    postings = Lists.of(len(vocabulary), term, row, weight)
+    # One entry for each block a term occurs in.
     blocks = max(1, -(-len(ids) // BLOCK_ROWS))
-    model.peaks = np.zeros((len(vocabulary), blocks))
-    np.maximum.at(model.peaks, (term, row // BLOCK_ROWS), weight)
+    cells, where = np.unique(term * blocks + row // BLOCK_ROWS, return_inverse=True)
+    highest = np.zeros(len(cells))
+    np.maximum.at(highest, where, weight)
+    tops = np.zeros(len(vocabulary))
+    np.maximum.at(tops, term, weight)
+    model = Model(
+        Terms(vocabulary), weights, postings, Lists.of(len(vocabulary), cells // blocks, cells % blocks, highest), tops,
+        Lists.of(len(vectors), row, term, weight), labels, mass, [ids[i] for i in order], np.zeros(1), np.zeros(1), 0.0,
+    )
     # Votes without the example itself: one neighbour more is asked for, and its own is left out.
     votes, voted, silent = [], [], []
     for i, (terms, weights) in enumerate(vectors):
