@@ -112,6 +112,8 @@ class Model:
     votes: np.ndarray
     scores: np.ndarray
     empty_score: float
+    # A query's weights by term while its cosines are worked out, zero otherwise.
+    scratch: np.ndarray | None = None
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
         return unit_vector(counts, self.weights)
@@ -151,11 +153,14 @@ class Model:
         """Whole cosines of examples that share a word with the query; the k largest, ties to the earlier example."""
         if not len(rows):
             return rows, np.zeros(0)
-        query = np.zeros(len(self.weights))
+        if self.scratch is None:
+            self.scratch = np.zeros(len(self.weights))
+        query = self.scratch
         query[terms] = weights
         at = self.examples.places(rows)
         begins = np.append(0, np.cumsum(self.examples.sizes(rows))[:-1])
         cosines = np.add.reduceat(query[self.examples.numbers[at]] * self.examples.weights[at], begins)
+        query[terms] = 0.0
         top = np.lexsort((rows, -cosines))[:k]
         return rows[top], cosines[top]
 
