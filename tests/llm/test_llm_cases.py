@@ -239,7 +239,9 @@ def test_nearest_examples_equal_brute_force():
     vocabulary = {str(i): i for i in range(61)}
     idf = rng.uniform(0.5, 4, 61)
     labels = (rng.random(400) < 0.3).astype(float)
-    model = toxicity.build(vocabulary, idf, list(range(400)), labels, counts, {0: 280, 1: 120})
+    row = np.repeat(np.arange(400), [len(c) for c in counts])
+    term, tf = np.array([(t, n) for c in counts for t, n in c.items()]).T
+    model = toxicity.build(vocabulary, idf, list(range(400)), labels, row, term, tf, {0: 280, 1: 120})
     dense = np.zeros((400, 61))
     for i, c in enumerate(counts):
         # Examples are indexed in another order; their ids say which is which.

@@ -48,9 +48,11 @@ NEIGHBOURS = 15
 # Examples of one block of the index.
 BLOCK_ROWS = 64
 # So many examples are finished from their own words; with more the next words are read.
-FINISHED = 128
-# Above what sums in another order can differ by.
-SLACK = 1e-9
+FINISHED = 64
+# Words of a query read at first; then twice as many at a time.
+FIRST_TERMS = 24
+# Above what sums of weights in single precision, as the postings hold them, can be wrong by.
+SLACK = 1e-6
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
 
@@ -61,9 +63,9 @@ class Terms:
     def __init__(self, vocabulary: dict[str, int]):
         self.vocabulary = vocabulary
 
-    def of(self, text: str) -> list[int]:
+    def of(self, text: str) -> Counter:
         known = self.vocabulary
-        return [known[w] for w in _WORDS(text.lower()) if w in known]
+        return Counter({known[w]: n for w, n in Counter(_WORDS(text.lower())).items() if w in known})
 
 
 @dataclass
@@ -116,7 +118,11 @@ class Model:
     scratch: np.ndarray | None = None
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        return unit_vector(counts, self.weights)
+        terms = np.fromiter(counts.keys(), dtype=np.int64, count=len(counts))
+        tf = np.fromiter(counts.values(), dtype=np.float64, count=len(counts))
+        values = (1 + np.log(tf)) * self.weights[terms]
+        length = np.sqrt((values * values).sum())
+        return (terms, values / length) if length > 0 else (terms[:0], values[:0])
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest examples with a cosine above 0 and their cosines, nearest first."""
@@ -126,7 +132,7 @@ class Model:
         by_add, factors = terms[order], weights[order]
         # What the words from each place on can add to an example at most.
         left = np.append(np.cumsum(adds[order][::-1])[::-1], 0.0)
-        sums, least, done, step = np.zeros(n), 0.0, 0, 8
+        sums, least, done, step = np.zeros(n), 0.0, 0, FIRST_TERMS
         rows = None
         while done < len(by_add) and rows is None:
             some = slice(done, done + step)
@@ -171,7 +177,7 @@ class Model:
         return float((near * self.labels[rows]).sum() / near.sum())
 
     def score(self, text: str) -> tuple[float, np.ndarray, np.ndarray]:
-        counts = Counter(self.terms.of(text))
+        counts = self.terms.of(text)
         rows, cosines = self.nearest(*self.vector(counts)) if counts else (np.zeros(0, np.int64), np.zeros(0))
         if not len(rows):
             return self.empty_score, rows, cosines
@@ -193,14 +199,6 @@ def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarr
     return points, np.repeat([p[0] for p in pools], [p[2] for p in pools])
 
 
-def unit_vector(counts: Counter, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    terms = np.fromiter(counts.keys(), dtype=np.int64, count=len(counts))
-    tf = np.fromiter(counts.values(), dtype=np.float64, count=len(counts))
-    values = (1 + np.log(tf)) * weights[terms]
-    length = np.sqrt((values * values).sum())
-    return (terms, values / length) if length > 0 else (terms[:0], values[:0])
-
-
 def dependence(toxic: np.ndarray, has: np.ndarray, positive: float, n: float) -> np.ndarray:
     """Log-likelihood ratio between a word's presence and the label: ``has`` of n examples hold it, ``toxic`` of them
     are among the ``positive``. Unlike chi-squared it holds for rare words too."""
@@ -223,7 +221,7 @@ def _term_counts(vocabulary: dict[str, int]):
         terms_of = Terms(vocabulary).of
         for batch in batches:
             for text in batch.column(0):
-                seen[list(set(terms_of(text.as_py())))] += 1
+                seen[list(terms_of(text.as_py()))] += 1
                 seen[-1] += 1
         held = np.flatnonzero(seen)
         terms = np.where(held == len(vocabulary), -1, held)
@@ -281,49 +279,55 @@ def fit(docs: DataFrame, labelled: DataFrame, id_column: str, text_column: str,
     coded = _entries(held["words"]).dictionary_encode()
     vocabulary = {w: i for i, w in enumerate(coded.dictionary.to_pylist())}
     terms, tf = coded.indices.to_numpy(zero_copy_only=False), _entries(held["tf"]).to_numpy(zero_copy_only=False)
-    ends = np.cumsum(held["number"].to_numpy()) if held.num_rows else np.zeros(0, np.int64)
-    counts = [
-        Counter(dict(zip(terms[b:e].tolist(), tf[b:e].tolist()))) for b, e in zip(np.append(0, ends[:-1]).astype(int), ends)
-    ]
-    labels = held["label"].to_numpy().astype(np.float64)
+    number, labels = held["number"].to_numpy(), held["label"].to_numpy().astype(np.float64)
+    ids = held["id"].to_pylist()
+    del coded, held
     counted = texts.select("__text").mapInArrow(_term_counts(vocabulary), "term int, n long")
     counted = counted.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(len(vocabulary) + 1)
     df[counted["term"].to_numpy()] = counted["n"].to_numpy()
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
     has = np.bincount(terms, minlength=len(vocabulary)).astype(np.float64)
-    toxic = np.bincount(terms, np.repeat(labels, held["number"].to_numpy()), len(vocabulary))
+    toxic = np.bincount(terms, np.repeat(labels, number), len(vocabulary))
     weights = idf * (dependence(toxic, has, labels.sum(), float(len(labels))) + LEAST)
-    return build(vocabulary, weights, held["id"].to_pylist(), labels, counts, shares)
+    return build(vocabulary, weights, ids, labels, np.repeat(np.arange(len(ids)), number), terms, tf, shares)
 
 
-def build(vocabulary, weights, ids, labels, counts, shares) -> Model:
-    """Index and calibration from the examples' term counts and the terms' weights."""
+def build(vocabulary, weights, ids, labels, row, term, tf, shares) -> Model:
+    """Index and calibration from the terms' weights and the examples' words: example, term and count of each."""
+    n = len(ids)
     drawn = {y: max(1, int((labels == y).sum())) for y in (0, 1)}
-    vectors = [unit_vector(c, weights) for c in counts]
-    strongest = [int(t[np.argmax(w)]) if len(t) else -1 for t, w in vectors]
+    weight = (1 + np.log(tf)) * weights[term]
+    length = np.sqrt(np.bincount(row, weight * weight, n))
+    weight = weight / length[row]
+    # The strongest term of each example is the last one of its terms by weight.
+    by_weight = np.lexsort((-term, weight, row))
+    last = np.flatnonzero(np.diff(row[by_weight], append=n))
+    strongest = np.full(n, -1)
+    strongest[row[by_weight][last]] = term[by_weight][last]
     order = np.argsort(strongest, kind="stable")
-    vectors, labels = [vectors[i] for i in order], labels[order]
+    place = np.empty(n, dtype=np.int64)
+    place[order] = np.arange(n)
+    row, labels = place[row], labels[order]
     mass = np.array([shares.get(int(y), 0) / drawn[int(y)] for y in labels])
-    term = np.concatenate([t for t, _ in vectors] or [np.zeros(0, np.int64)]).astype(np.int64)
-    row = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
-    weight = np.concatenate([w for _, w in vectors] or [np.zeros(0)])
-    postings = Lists.of(len(vocabulary), term, row, weight)
+    postings = Lists.of(len(vocabulary), term, row, weight.astype(np.float32))
     # One entry for each block a term occurs in.
-    blocks = max(1, -(-len(ids) // BLOCK_ROWS))
-    cells, where = np.unique(term * blocks + row // BLOCK_ROWS, return_inverse=True)
+    blocks = max(1, -(-n // BLOCK_ROWS))
+    cells, where = np.unique(term.astype(np.int64) * blocks + row // BLOCK_ROWS, return_inverse=True)
     highest = np.zeros(len(cells))
     np.maximum.at(highest, where, weight)
     tops = np.zeros(len(vocabulary))
     np.maximum.at(tops, term, weight)
+    examples = Lists.of(n, row, term, weight)
     model = Model(
-        Terms(vocabulary), weights, postings, Lists.of(len(vocabulary), cells // blocks, cells % blocks, highest), tops,
-        Lists.of(len(vectors), row, term, weight), labels, mass, [ids[i] for i in order], np.zeros(1), np.zeros(1), 0.0,
+        Terms(vocabulary), weights, postings, Lists.of(len(vocabulary), cells // blocks, cells % blocks, highest.astype(np.float32)), tops,
+        examples, labels, mass, [ids[i] for i in order], np.zeros(1), np.zeros(1), 0.0,
     )
     # Votes without the example itself: one neighbour more is asked for, and its own is left out.
     votes, voted, silent = [], [], []
-    for i, (terms, weights) in enumerate(vectors):
-        rows, cosines = model.nearest(terms, weights, NEIGHBOURS + 1)
+    for i in range(n):
+        own = slice(examples.starts[i], examples.starts[i + 1])
+        rows, cosines = model.nearest(examples.numbers[own].astype(np.int64), examples.weights[own], NEIGHBOURS + 1)
         other = rows != i
         rows, cosines = rows[other][:NEIGHBOURS], cosines[other][:NEIGHBOURS]
         if len(rows):
