@@ -502,3 +502,12 @@ def test_main_text_of_pages_not_trained_on():
             total += 1
             wrong += (main[node] >= 0.5) != truth[node]
     assert wrong / total < 0.02
+
+
+def test_unmatched_end_tags_take_linear_time():
+    import time
+
+    begin = time.process_time()
+    page = html_text.read("<p>" + "<span>x " * 30_000 + "</b>" * 30_000 + "</p><p>end</p>")
+    assert time.process_time() - begin < 10
+    assert sum(node.words for node in page.nodes) == 30_001

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -126,6 +127,8 @@ class Page(HTMLParser):
         self.segments: list[tuple[int, list[str]]] = []
         # Open elements: (name, node it opened or -1); the nodes among them; unseen and link elements open now.
         self.open: list[tuple[str, int]] = []
+        # How many elements of each name are open, so that an end tag without a start costs nothing.
+        self.held: Counter[str] = Counter()
         self.at = [0]
         self.unseen = 0
         self.links = 0
@@ -133,6 +136,7 @@ class Page(HTMLParser):
 
     def _push(self, name: str, node: int) -> None:
         self.open.append((name, node))
+        self.held[name] += 1
         self.numbers.append(self.number)
         if node >= 0:
             self.at.append(node)
@@ -142,6 +146,7 @@ class Page(HTMLParser):
 
     def _pop(self) -> None:
         name, node = self.open.pop()
+        self.held[name] -= 1
         self.numbers.pop()
         if node >= 0:
             self.at.pop()
@@ -151,6 +156,8 @@ class Page(HTMLParser):
 
     def _end(self, names, fences) -> None:
         """Close the innermost open element of ``names``, unless a fence stands before it."""
+        if not any(self.held[name] for name in names):
+            return
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] in names:
                 while len(self.open) > i + 1:
