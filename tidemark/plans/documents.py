@@ -71,11 +71,14 @@ def searchable_projection(fx: Fixtures) -> DataFrame:
 def notify_payload(fx: Fixtures) -> DataFrame:
     sent = notices.payloads(fx.item_fields.withColumn("Action", F.lit(fixed.ACTION_UPDATE)))
     classes = F.create_map(F.lit("ClassMapping"), F.array_join("classes", ","))
-    return (
-        long_form(sent, "language_fields").withColumn("place", F.lit("language"))
-        .unionByName(long_form(sent, "root_fields").withColumn("place", F.lit("root")))
-        .unionByName(long_form(sent.withColumn("c", classes), "c").withColumn("place", F.lit("root")))
-    )
+
+    def placed(m: Column, place: str) -> Column:
+        shown = F.transform(F.map_entries(m), lambda e: F.struct(e["key"].alias("name"), e["value"].alias("value"), F.lit(place).alias("place")))
+        return F.coalesce(shown, F.array())
+
+    # A payload is built once and shown whole.
+    parts = [placed(F.col("language_fields"), "language"), placed(F.col("root_fields"), "root"), placed(classes, "root")]
+    return sent.select("ID", "LanguageID", F.inline(F.concat(*parts)))
 
 
 def customer_documents(fx: Fixtures, affected: DataFrame | None = None) -> DataFrame:
