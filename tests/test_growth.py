@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import messages
 from tidemark.plans.fixtures import Fixtures
 
 
@@ -20,3 +21,30 @@ def test_message_fields_are_built_on_all_cores(spark, tmp_path):
     assert fields.count() == 1200
     used = fields.select(F.spark_partition_id().alias("p")).distinct().count()
     assert used >= spark.sparkContext.defaultParallelism
+
+
+def test_rows_meet_only_the_deletions_of_their_own_attributes(spark):
+    at = "struct<seq:bigint,event_id:bigint>"
+    said = spark.range(3000).select(
+        F.lit("attribute").alias("kind"), F.lit(None).cast("string").alias("item_type"), F.lit(None).cast("string").alias("field"),
+        F.col("id").alias("value"), F.struct(F.lit(50).cast("bigint").alias("seq"), F.col("id").alias("event_id")).alias("at"),
+    )
+    done = said.unionByName(said.limit(1).withColumn("value", F.lit(None).cast("bigint")))
+    rows = spark.createDataFrame(
+        [
+            (1, {"13:Value": "a", "13:FormattedValue": "b", "Label": "x"}, (10, 1)),
+            (2, {"13:Value": "a", "Label": "x"}, (90, 1)),
+            (3, {"13:Value": "a", "5000:Value": "kept"}, None),
+            (4, {"Label": "x"}, None),
+            (5, None, None),
+        ],
+        f"ID bigint, fields map<string,string>, {messages.AT} {at}",
+    )
+    left = messages.without_attributes(rows, done, "fields")
+    assert left.columns == rows.columns
+    assert {r.ID: r.fields for r in left.collect()} == {
+        1: {"Label": "x"}, 2: {"13:Value": "a", "Label": "x"}, 3: {"5000:Value": "kept"}, 4: {"Label": "x"}, 5: None,
+    }
+    # A table of all deletions laid against every key of every row would be a scalar of the plan.
+    assert "scalar-subquery" not in left._jdf.queryExecution().analyzed().toString()
+    assert left.select(F.col("fields")).count() == 5
