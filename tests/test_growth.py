@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import messages
+from tidemark.operators import assemble, messages
 from tidemark.plans.fixtures import Fixtures
 
 
@@ -48,3 +48,41 @@ def test_rows_meet_only_the_deletions_of_their_own_attributes(spark):
     # A table of all deletions laid against every key of every row would be a scalar of the plan.
     assert "scalar-subquery" not in left._jdf.queryExecution().analyzed().toString()
     assert left.select(F.col("fields")).count() == 5
+
+
+def assembled(spark):
+    """Item 1's class shows nested rows of attribute 191, item 2's does not."""
+    value = F.create_map(F.lit(11).cast("bigint"), F.struct(F.lit("v").alias("value"), F.lit("v").alias("formatted")))
+    items = spark.createDataFrame(
+        [(1, 2, "Customer", " 100 "), (2, 2, "Customer", " 200 "), (3, 2, "Order", " 100 ")],
+        "ID bigint, LanguageID bigint, item_type string, ClassMapping string",
+    ).withColumn("attrs", value)
+    columns = "ItemID bigint, ItemType string, LanguageID bigint, AttributeID bigint, ItemTableID bigint, _SubitemID bigint"
+    rows = [(i, "Customer", 2, 191, 10 * i, i) for i in (1, 2, 3)] + [(i, "Customer", 2, 192, 100 * i, 10 * i) for i in (1, 2, 3)]
+    tables = spark.createDataFrame(rows, columns)
+    refs = spark.createDataFrame(
+        [(i, "Customer", 2, 30, 7 * i, below, 5, "Part") for i in (1, 2) for below in (i, 10 * i, 100 * i)],
+        "ItemID bigint, SourceType string, LanguageID bigint, AttributeID bigint, ReferenceID bigint, _SubitemID bigint, "
+        "TargetID bigint, TargetType string",
+    )
+
+    def whole(df):
+        return df.select("*", F.lit(0).cast("bigint").alias("ClassID"), F.lit("").alias("ExternalKey"),
+                         F.lit(0).cast("bigint").alias("SortOrder"), value.alias("attrs"))
+
+    mapping = spark.createDataFrame([(100, 191), (200, 30)], "ClassID bigint, AttributeID bigint")
+    kinds = spark.createDataFrame([(191, 3), (30, 2)], "ID bigint, _TypeID int")
+    return items, mapping, kinds, whole(refs), whole(tables)
+
+
+def test_nested_rows_are_built_for_owners_that_show_them(spark, monkeypatch):
+    built, nest = [], assemble.with_nested_rows
+    monkeypatch.setattr(assemble, "with_nested_rows", lambda rows, refs, *a, **k: built.append((rows, refs)) or nest(rows, refs, *a, **k))
+    found = {r.ID: r for r in assemble.assembled_items(*assembled(spark)).collect()}
+    assert {r.ItemID for r in built[0][0].collect()} == {r.ItemID for r in built[0][1].collect()} == {1}
+    top = found[1].Subtable["191"][0]
+    assert (top.ItemTableID, [x.ReferenceID for x in top.Reference["30"]]) == (10, [7])
+    below = top.Subtable["192"][0]
+    assert (below.ItemTableID, [x.ReferenceID for x in below.Reference["30"]]) == (100, [7])
+    assert found[1].Reference is None and found[2].Subtable is None and found[3].Subtable is None
+    assert [x.ReferenceID for x in found[2].Reference["30"]] == [14]

@@ -102,17 +102,31 @@ def assembled_items(
         return with_class_values(rows, by_class)
 
     told = ["ExternalKey", "ClassID"]
-    refs, rows = below(references), below(subtables)
+    of_table = of_kind(fixed.KIND_SUBTABLE)
+    # Nested rows are read on, and built, for the owners that show a top row; of other owners none would be kept.
+    place = [c for c in ("ItemType", "SourceType", *OWNER, "AttributeID", "_SubitemID") if c in subtables.columns]
+    shown = cut_lineage(children_of_items(items, subtables.select(*place), of_table, columns).select(*place[:-2]).distinct())
+
+    def of_shown(rows: DataFrame) -> DataFrame:
+        typed = "item_type" in items.columns
+        mine, theirs = (next((c for c in ("SourceType", "ItemType") if c in df.columns), None) for df in (shown, rows))
+        kind = [F.col(mine).alias(theirs)] if typed and mine and theirs else []
+        owners = shown.select(*OWNER, *kind).distinct()
+        return rows.join(measured(owners), owners.columns, "left_semi")
+
+    refs = below(references)
+    rows = with_class_values(of_shown(subtables), by_class)
+    inside = of_shown(refs.where(F.col("_SubitemID") != F.col("ItemID")))
     targets = [*told, "TargetID", "TargetType", "attrs"]
-    top = with_nested_rows(rows, refs, limit, (*told, "attrs"), targets)
+    top = with_nested_rows(rows, inside, limit, (*told, "attrs"), targets)
     own_refs = gather_by_attribute(
         children_of_items(items, refs, of_kind(fixed.KIND_REFERENCE), columns), OWNER,
         F.struct("SortOrder", "ReferenceID", *targets), ["SortOrder", "ReferenceID"], "Reference", limit,
     ).drop("Reference_weight")
     own_rows = gather_by_attribute(
-        children_of_items(items, top, of_kind(fixed.KIND_SUBTABLE), columns), OWNER,
+        children_of_items(items, top, of_table, columns), OWNER,
         F.struct("SortOrder", "ItemTableID", "part", *told, "attrs", *HELD), ["SortOrder", "ItemTableID", "part"], "Subtable",
-        limit, F.col("weight"), hot=hot_keys(subtables.where(F.col("_SubitemID") == F.col("ItemID")).select(*OWNER), OWNER),
+        limit, F.col("weight"), hot=hot_keys(rows.where(F.col("_SubitemID") == F.col("ItemID")).select(*OWNER), OWNER),
     ).drop("Subtable_weight")
     children = own_refs.join(own_rows, [*OWNER, "part"], "full").withColumnRenamed("ItemID", "ID")
     whole = own.join(children, ["ID", "LanguageID"], "left").withColumn("part", F.coalesce("part", F.lit(0)))
