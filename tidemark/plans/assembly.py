@@ -272,19 +272,22 @@ def item_nested(fx: Fixtures) -> DataFrame:
 
         return F.coalesce(F.array_join(F.transform(by_number(m), one), ","), F.lit(""))
 
-    # One level after the other is unfolded: every row with the id of what it hangs below.
-    out, level = None, found.select("ID", F.col("ID").alias("below"), F.explode("Subtable").alias("__a", "rows"))
-    for number in range(1, 5):
-        level = level.select("ID", "below", F.explode("rows").alias("r"))
-        shown = level.select(
-            "ID", F.lit(number).cast("bigint").alias("level"), "r.ItemTableID", "below", pairs(F.col("r.attrs")).alias("vals"),
-            references(F.col("r.Reference")).alias("refs"),
-        )
-        out = shown if out is None else out.unionByName(shown)
-        if "Subtable" not in level.schema["r"].dataType.fieldNames():
-            break
-        level = level.select("ID", F.col("r.ItemTableID").alias("below"), F.explode("r.Subtable").alias("__a", "rows"))
-    return out
+    def unfolded(r: Column, kind, below: Column, number: int) -> Column:
+        """A row with the id of what it hangs below, and the rows below it in turn."""
+        own = F.array(F.struct(
+            F.lit(number).cast("bigint").alias("level"), r["ItemTableID"].alias("ItemTableID"), below.cast("bigint").alias("below"),
+            pairs(r["attrs"]).alias("vals"), references(r["Reference"]).alias("refs"),
+        ))
+        if number == 4 or "Subtable" not in kind.fieldNames():
+            return own
+        inner = F.flatten(F.coalesce(F.map_values(r["Subtable"]), F.array()))
+        deeper = kind["Subtable"].dataType.valueType.elementType
+        return F.concat(own, F.flatten(F.transform(inner, lambda c: unfolded(c, deeper, r["ItemTableID"], number + 1))))
+
+    # The items are assembled once and every row is unfolded where it lies.
+    kind = found.schema["Subtable"].dataType.valueType.elementType
+    tops = found.select("ID", F.explode(F.flatten(F.map_values("Subtable"))).alias("r"))
+    return tops.select("ID", F.inline(unfolded(F.col("r"), kind, F.col("ID"), 1)))
 
 
 @query(
