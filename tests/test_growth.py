@@ -86,3 +86,23 @@ def test_nested_rows_are_built_for_owners_that_show_them(spark, monkeypatch):
     assert (below.ItemTableID, [x.ReferenceID for x in below.Reference["30"]]) == (100, [7])
     assert found[1].Reference is None and found[2].Subtable is None and found[3].Subtable is None
     assert [x.ReferenceID for x in found[2].Reference["30"]] == [14]
+
+
+def test_messages_that_do_not_count_are_dropped_before_the_shuffle(spark):
+    at = f"{messages.AT} struct<seq:bigint,event_id:bigint>"
+    envelope = "m struct<Item:array<map<string,string>>,Reference:array<map<string,string>>,Subtable:array<map<string,string>>>"
+    said = [
+        ("T", "Item", i % 2 or None, 3 if i < 2 else 1, 100 + i, (i, i),
+         ([{"LanguageID": "0", "s": f"s{i}"}, {"LanguageID": "1", "v": f"a{i}"}] + [{"LanguageID": "2", "v": f"b{i}"}] * (i < 4), None, None))
+        for i in range(8)
+    ]
+    opened = spark.createDataFrame(said, f"item_type string, type string, ID bigint, Action int, InsertTime bigint, {at}, {envelope}")
+    rows, last = messages.language_rows(opened), messages.last_children(opened)
+    found = {(r.ID, r.LanguageID): (r.fields["v"], r.fields["s"], r._LastWritten, r._InsertTime, r._IsCreated) for r in rows.collect()}
+    assert found == {
+        (None, 1): ("a6", "s6", 106, 100, 0), (None, 2): ("b2", "s2", 102, 100, 0),
+        (1, 1): ("a7", "s7", 107, 101, 0), (1, 2): ("b3", "s3", 103, 101, 0),
+    }
+    assert {(r.ID, tuple(r.m.languages)) for r in last.collect()} == {(None, (1,)), (1, (1,))}
+    for df in (rows, last):
+        assert "WindowGroupLimit" in df._jdf.queryExecution().optimizedPlan().toString()
