@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemark.operators import assemble, messages
+from tidemark.operators.documents import build_documents
 from tidemark.plans.fixtures import Fixtures
 
 
@@ -106,3 +107,14 @@ def test_messages_that_do_not_count_are_dropped_before_the_shuffle(spark):
     assert {(r.ID, tuple(r.m.languages)) for r in last.collect()} == {(None, (1,)), (1, (1,))}
     for df in (rows, last):
         assert "WindowGroupLimit" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_affected_ids_are_worked_out_once(spark):
+    items = spark.createDataFrame([(1, 2, {"L": "a"}), (2, 2, {"L": "b"})], "ID bigint, LanguageID bigint, fields map<string,string>")
+    kinds = "ItemID bigint, LanguageID bigint, AttributeID bigint, {} bigint, _SubitemID bigint, SortOrder bigint, fields map<string,string>"
+    rows = spark.createDataFrame([(i, 2, 191, 10 * i, i, 0, {"v": "x"}) for i in (1, 2)], kinds.format("ItemTableID"))
+    refs = spark.createDataFrame([(i, 2, 30, 7 * i, i, 0, {"t": "x"}) for i in (1, 2)], kinds.format("ReferenceID"))
+    affected = spark.range(2, 40, 1, 3).select(F.col("id").alias("ID"))
+    docs = build_documents(items, refs, rows, affected=affected)
+    assert [(r.ID, r.Subtable["191"][0].ItemTableID, r.Reference["30"][0].ReferenceID) for r in docs.collect()] == [(2, 20, 14)]
+    assert "Range (" not in docs._jdf.queryExecution().optimizedPlan().toString()

@@ -12,6 +12,7 @@ from tidemark.functions.text import big_value, content_excerpt, html_text
 from tidemark.operators.assemble import OWNER, with_nested_rows
 from tidemark.operators.gather import PART_ROWS, gather_by_attribute
 from tidemark.operators.ordered import hot_keys
+from tidemark.session import cut_lineage
 
 
 def clean(fields: Column | str, html_fields: Sequence[str] = (), big_fields: Column | None = None) -> Column:
@@ -45,8 +46,9 @@ def build_documents(
     the store does not hold make no document.
     """
     if affected is not None:
-        # Before anything is built: only what hangs below an affected id is read on.
-        ids = affected.select("ID").distinct()
+        # Before anything is built: only what hangs below an affected id is read on. The ids are written, so their size is
+        # known when the joins are planned, and rows aren't shuffled to meet a list that can be broadcast.
+        ids = cut_lineage(affected.select("ID").distinct())
         owners = ids.select(F.col("ID").alias("ItemID"))
         items = items.join(ids, "ID", "left_semi")
         references = references.join(owners, "ItemID", "left_semi")
