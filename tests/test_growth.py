@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import assemble, messages
+from tidemark.operators import assemble, messages, ordered
 from tidemark.operators.documents import build_documents
 from tidemark.plans.fixtures import Fixtures
+from tidemark.session import configure
 
 
 def parts(spark, path, rows=400):
@@ -118,3 +119,36 @@ def test_affected_ids_are_worked_out_once(spark):
     docs = build_documents(items, refs, rows, affected=affected)
     assert [(r.ID, r.Subtable["191"][0].ItemTableID, r.Reference["30"][0].ReferenceID) for r in docs.collect()] == [(2, 20, 14)]
     assert "Range (" not in docs._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_keys_are_counted_in_bounded_groups(spark):
+    """A task that reads many keys holds counts of buckets, not of keys; keys that are hot are still all found."""
+    names = "k bigint, s string"
+    rows = spark.createDataFrame([(i, "x") for i in range(400)] + [(7, "x")] * 30 + [(None, None)] * 25 + [(9, None)] * 20, names)
+    found = {tuple(r) for r in ordered.hot_keys(rows, ["k", "s"], 20).collect()}
+    assert found == {(7, "x"), (None, None)}
+    none = ordered.hot_keys(rows, ["k", "s"], 31)
+    assert none.columns == ["__h_k", "__h_s"] and none.isEmpty()
+    written = []
+    many = spark.range(200_000, numPartitions=1).select(F.col("id").alias("k"))
+    cut = ordered.cut_lineage
+    try:
+        ordered.cut_lineage = lambda df: written.append(df) or cut(df)
+        ordered.hot_keys(many, ["k"])
+    finally:
+        ordered.cut_lineage = cut
+    # The only count is of buckets.
+    assert len(written) == 1 and "__h_k" not in written[0].columns
+    assert ordered.KEY_BUCKETS < 200_000
+
+
+def test_tasks_read_small_splits(spark, tmp_path):
+    """60 MB in one file, in row groups: a task that groups as it reads gets no more than 32 MB of it."""
+    rows = spark.range(6_000_000, numPartitions=1).select(F.xxhash64("id").alias("k"))
+    rows.write.option("parquet.block.size", 4 << 20).parquet(f"{tmp_path}/t.parquet")
+    held = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        assert Fixtures(configure(spark), str(tmp_path)).table("t").rdd.getNumPartitions() >= 2
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum") if held is None else spark.conf.set("spark.sql.files.minPartitionNum", held)
