@@ -1,8 +1,10 @@
 """Nesting keeps every row, however big an owner is."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tidemark.operators.assemble import with_nested_rows
+from tidemark.operators import places
+from tidemark.operators.assemble import by_level, with_nested_rows
 from tidemark.operators.documents import build_documents
 from tidemark.operators.gather import gather, in_parts
 
@@ -131,3 +133,28 @@ def test_nesting_brings_rows_to_their_owner_once(spark):
     plan = with_nested_rows(rows, refs)._jdf.queryExecution().executedPlan().toString()
     exchanges = [line for line in plan.splitlines() if "Exchange" in line]
     assert exchanges and all("hashpartitioning(ItemID" in line and "REPARTITION" in line for line in exchanges)
+
+
+def test_depths_found_at_the_owner_equal_those_found_level_by_level(spark):
+    """Repeated ids, circles, rows below nothing and nulls, with owners in several batches."""
+    mix = [(k % 7, 1 + k % 2, 191, k * 13 % 23, (k * 7 % 29) if k % 5 else k % 7, 0, None) for k in range(400)]
+    chain = [(50, 2, 191, 100 + i, 99 + i if i else 50, 0, None) for i in range(60)] * 2
+    odd = [(None, 2, 191, 1, 1, 0, None), (50, None, 191, 1, 50, 0, None), (50, 2, 191, None, 50, 0, None), (50, 2, 191, 5, None, 0, None)]
+    rows = spark.createDataFrame(mix + chain + odd, ROWS)
+    expected = set()
+    for i, level in enumerate(by_level(spark.createDataFrame(mix + chain[:12] + odd[:1], ROWS))):
+        expected |= {(*r, i) for r in level.collect()}
+    found = [tuple(r) for r in places.by_owner(rows).collect()]
+    assert len(found) == len(set(found))
+    assert {r for r in found if r[0] != 50 or r[4] < 12} == expected
+    assert sorted(r[2:] for r in found if r[0] == 50) == [(100 + i, 99 + i if i else 50, i) for i in range(60)]
+
+
+def test_owners_are_not_cut_when_depths_are_found(monkeypatch):
+    """Batches end inside owners; an owner longer than what is looked at in one go stays whole."""
+    monkeypatch.setattr(places, "PLACES", 4)
+    rows = [(o, 2, 10 + i, 9 + i if i else o, i == 0) for o, n in ((1, 3), (2, 17), (3, 1), (4, 5)) for i in range(n)]
+    names = ["ItemID", "LanguageID", "ItemTableID", "_SubitemID", "top"]
+    table = pa.table({n: pa.array(c) for n, c in zip(names, zip(*rows))})
+    out = pa.Table.from_batches(places._with_depths(iter(table.to_batches(max_chunksize=2)))).to_pylist()
+    assert [(r["ItemID"], r["ItemTableID"], r["depth"]) for r in out] == [(o, 10 + i, i) for o, n in ((1, 3), (2, 17), (3, 1), (4, 5)) for i in range(n)]

@@ -12,10 +12,10 @@ from tidemark.functions.maps import field_value
 from tidemark.operators import catalog
 from tidemark.operators.gather import PART_ROWS, gather_by_attribute
 from tidemark.operators.ordered import HOT_ROWS, hot_keys
+from tidemark.operators.places import OWNER, by_owner
 from tidemark.operators.sizes import measured
 from tidemark.session import cut_lineage
 
-OWNER = ["ItemID", "LanguageID"]
 HELD = ("Reference", "Subtable")
 
 
@@ -176,6 +176,7 @@ def with_nested_rows(
     payload: Sequence[str] = ("fields",),
     reference_payload: Sequence[str] = ("fields",),
     hot_rows: int = HOT_ROWS,
+    single: bool | None = None,
 ) -> DataFrame:
     """Top rows of nested tables, each with all the rows and references below it, however deep.
 
@@ -186,7 +187,8 @@ def with_nested_rows(
 
     Depths are found on the bare ids. Then every row travels once, to its owner, and levels are attached there from the
     deepest up, by joins and groupings on the owner and more. Owners of more than ``hot_rows`` rows are taken apart from
-    the others, level by level, so that none of them is gathered in one task.
+    the others, level by level, so that none of them is gathered in one task. Where no owner has more than ``limit`` rows
+    there is but one part and positions aren't looked at; ``single`` says so where the caller has counted.
     """
     base = rows.select(*OWNER, "AttributeID", "ItemTableID", "_SubitemID", "SortOrder", *payload)
     nested, owners = None, base.select(*OWNER)
@@ -195,26 +197,37 @@ def with_nested_rows(
             *OWNER, F.col("_SubitemID").alias("ItemTableID"), "AttributeID", "ReferenceID", "SortOrder", *reference_payload
         )
         owners = owners.unionByName(nested.select(*OWNER))
-    depth = None
-    for i, level in enumerate(by_level(base)):
-        numbered = level.withColumn("depth", F.lit(i))
-        depth, deepest = numbered if depth is None else depth.unionByName(numbered), i
+    hot = hot_keys(owners, OWNER, hot_rows)
+    few = None if hot.isEmpty() else measured(hot)
+    same = [F.col(k).eqNullSafe(F.col(f"__h_{k}")) for k in OWNER]
+    part = lambda df, how: None if df is None else df.join(few, same, how)
+    if few is None:
+        depth = by_owner(base)
+    else:
+        depth = by_owner(part(base, "left_anti"))
+        for i, level in enumerate(by_level(part(base, "left_semi"))):
+            depth = depth.unionByName(level.withColumn("depth", F.lit(i)))
+    depth = cut_lineage(depth)
+    deepest = depth.agg(F.max("depth")).first()[0] or 0
     base = base.join(depth, [*OWNER, "ItemTableID", "_SubitemID"])
     if nested is not None:
         nested = nested.join(depth.select(*OWNER, "ItemTableID", "depth").distinct(), [*OWNER, "ItemTableID"])
     names = (tuple(payload), tuple(reference_payload))
-    hot = hot_keys(owners, OWNER, hot_rows)
-    if hot.isEmpty():
-        return _built(base, nested, deepest, limit, *names, hot_rows, False)
-    few = measured(hot)
-    same = [F.col(k).eqNullSafe(F.col(f"__h_{k}")) for k in OWNER]
-    part = lambda df, how: None if df is None else df.join(few, same, how)
+    if few is None:
+        single = is_whole(owners, limit) if single is None else single
+        return _built(base, nested, deepest, limit, *names, hot_rows, False, single)
     return _built(part(base, "left_anti"), part(nested, "left_anti"), deepest, limit, *names, hot_rows, False).unionByName(
         _built(part(base, "left_semi"), part(nested, "left_semi"), deepest, limit, *names, hot_rows, None)
     )
 
 
-def _built(base, nested, deepest: int, limit: int, payload, reference_payload, hot_rows: int, hot: bool | None) -> DataFrame:
+def is_whole(owners: DataFrame, limit: int) -> bool:
+    """No owner has more than ``limit`` rows. Small limits are passed anyway, so nothing is counted for them."""
+    return limit >= PART_ROWS and hot_keys(owners, OWNER, limit).isEmpty()
+
+
+def _built(base, nested, deepest: int, limit: int, payload, reference_payload, hot_rows: int, hot: bool | None,
+           single: bool = False) -> DataFrame:
     """Levels attached from the deepest up. ``hot`` False: all of an owner's rows fit a task, so rows are brought to their
     owner once and nothing is written on the way. None: hot keys are looked for at each level, and each level is written."""
     key = [*OWNER, "ItemTableID"]
@@ -230,14 +243,14 @@ def _built(base, nested, deepest: int, limit: int, payload, reference_payload, h
         if nested is not None:
             own = at_owner(nested.where(F.col("depth") == i).drop("depth"))
             grouped.append(gather_by_attribute(own, key, item, ["SortOrder", "ReferenceID"], "Reference", limit,
-                                               hot=hot, hot_rows=hot_rows))
+                                               hot=hot, hot_rows=hot_rows, single=single))
         if held is not None:
             inside = [c for c in HELD if c in held.columns]
             below = held.withColumns({"RowID": F.col("ItemTableID"), "ItemTableID": F.col("_SubitemID")})
             row = F.struct("SortOrder", F.col("RowID").alias("ItemTableID"), "part", *payload, *inside)
             grouped.append(
                 gather_by_attribute(below, key, row, ["SortOrder", "RowID", "part"], "Subtable", limit, F.col("weight"),
-                                    ["SortOrder", "ItemTableID", "part"], hot, hot_rows)
+                                    ["SortOrder", "ItemTableID", "part"], hot, hot_rows, single)
             )
         held = _attach(level, grouped, key)
         if hot is None:

@@ -27,9 +27,13 @@ def in_parts(
     weight: Column | None = None,
     hot: DataFrame | bool | None = None,
     hot_rows: int = HOT_ROWS,
+    single: bool = False,
 ) -> DataFrame:
     """Rows with ``__part``. ``order`` must be total within an owner. ``hot`` are the owners to cut into chunks of
-    ``hot_rows``, where the caller has counted them on a narrower table; False if there are none."""
+    ``hot_rows``, where the caller has counted them on a narrower table; False if there are none. ``single``: the caller
+    knows that all of an owner's rows are one part."""
+    if single:
+        return df.withColumn("__part", F.lit(0))
     before = Running("__before", "sum", F.lit(1).cast("bigint") if weight is None else weight, before=True)
     placed = running(df, owner, [F.col(c) for c in order], None, before, hot=hot, limit=hot_rows)
     part = F.floor(F.coalesce("__before", F.lit(0)) / F.lit(limit)).cast("int")
@@ -75,6 +79,7 @@ def gather_by_attribute(
     fields: Sequence[str] | None = None,
     hot: DataFrame | bool | None = None,
     hot_rows: int = HOT_ROWS,
+    single: bool = False,
 ) -> DataFrame:
     """Rows of each owner as attribute → sorted array: (owner…, part, ``name``, ``name``_weight).
 
@@ -83,7 +88,7 @@ def gather_by_attribute(
     and the join of the result back to its owner.
     """
     weight = F.lit(1).cast("bigint") if weight is None else weight
-    rows = in_parts(df, owner, ["AttributeID", *by], limit, weight, hot, hot_rows)
+    rows = in_parts(df, owner, ["AttributeID", *by], limit, weight, hot, hot_rows, single)
     narrow = rows.select(
         *owner, "__part", F.col("AttributeID").cast("string").alias("__attribute"), item.alias("__item"),
         weight.alias("__weight"),
