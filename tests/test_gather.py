@@ -158,3 +158,11 @@ def test_owners_are_not_cut_when_depths_are_found(monkeypatch):
     table = pa.table({n: pa.array(c) for n, c in zip(names, zip(*rows))})
     out = pa.Table.from_batches(places._with_depths(iter(table.to_batches(max_chunksize=2)))).to_pylist()
     assert [(r["ItemID"], r["ItemTableID"], r["depth"]) for r in out] == [(o, 10 + i, i) for o, n in ((1, 3), (2, 17), (3, 1), (4, 5)) for i in range(n)]
+
+
+def test_positions_are_looked_at_only_where_parts_are_cut(spark):
+    rows, refs = tables(spark)
+    items = spark.createDataFrame([(1, 2, {"Label": "one"})], "ID bigint, LanguageID bigint, fields map<string,string>")
+    plans = [build_documents(items, refs, rows, limit=n)._jdf.queryExecution().optimizedPlan().toString() for n in (40, 10_000)]
+    assert ["Window" in p for p in plans] == [True, False]
+    assert places.by_owner(rows).count() == rows.count()

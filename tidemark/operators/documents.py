@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.maps import keep_keys, keep_paths, without_nulls
 from tidemark.functions.text import big_value, content_excerpt, html_text
-from tidemark.operators.assemble import OWNER, with_nested_rows
+from tidemark.operators.assemble import OWNER, is_whole, with_nested_rows
 from tidemark.operators.gather import PART_ROWS, gather_by_attribute
 from tidemark.operators.ordered import hot_keys
 from tidemark.session import cut_lineage
@@ -57,6 +57,8 @@ def build_documents(
     docs = items.select("ID", "LanguageID", clean("fields", html_fields, big).alias("fields"))
     refs = references.withColumn("fields", clean("fields", html_fields))
     rows = subtables.withColumn("fields", clean("fields", html_fields))
+    # What hangs below an item is counted once for all groupings.
+    single = is_whole(refs.select(*OWNER).unionByName(rows.select(*OWNER)), limit)
     own_refs = gather_by_attribute(
         refs.where(F.col("_SubitemID") == F.col("ItemID")),
         OWNER,
@@ -64,8 +66,10 @@ def build_documents(
         ["SortOrder", "ReferenceID"],
         "Reference",
         limit,
+        hot=False if single else None,
+        single=single,
     ).drop("Reference_weight")
-    top = with_nested_rows(rows, refs, limit)
+    top = with_nested_rows(rows, refs, limit, single=single)
     own_rows = gather_by_attribute(
         top,
         OWNER,
@@ -74,7 +78,8 @@ def build_documents(
         "Subtable",
         limit,
         F.col("weight"),
-        hot=hot_keys(rows.where(F.col("_SubitemID") == F.col("ItemID")).select(*OWNER), OWNER),
+        hot=False if single else hot_keys(rows.where(F.col("_SubitemID") == F.col("ItemID")).select(*OWNER), OWNER),
+        single=single,
     ).drop("Subtable_weight")
     children = own_refs.join(own_rows, [*OWNER, "part"], "full").withColumnRenamed("ItemID", "ID")
     whole = docs.join(children, ["ID", "LanguageID"], "left").withColumn("part", F.coalesce("part", F.lit(0)))
