@@ -152,3 +152,16 @@ def test_tasks_read_small_splits(spark, tmp_path):
         assert Fixtures(configure(spark), str(tmp_path)).table("t").rdd.getNumPartitions() >= 2
     finally:
         spark.conf.unset("spark.sql.files.minPartitionNum") if held is None else spark.conf.set("spark.sql.files.minPartitionNum", held)
+
+
+def test_shares_of_a_shuffle_do_not_grow_with_the_table(spark):
+    """Two partitions are asked for, but 60 MB are dealt to as many tasks as keep a task's share small."""
+    configure(spark)
+    held = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        rows = spark.range(4_000_000).select("id", F.xxhash64("id").alias("v"))
+        tasks = rows.repartition("id").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", held)
+    assert tasks >= 4
