@@ -298,6 +298,60 @@ def test_toxicity_neighbours_of_whole_texts(spark):
         assert np.allclose(near, want) and np.allclose([cosines[model.ids[r]] for r in rows], near)
 
 
+def test_words_of_a_slice_are_those_of_its_texts():
+    """Texts looked up together, in Latin-1 and beyond, have the words of each text by itself."""
+    from collections import Counter
+
+    points = "".join(chr(c) for c in range(0x3000) if not 0xD800 <= c < 0xE000)
+    texts = ["", "a b A-b_c1d", "\u00c9t\u00e9 \u00b5m x\u00b2 stra\u00dfe", "\u039f\u0394\u039f\u03a3 \u0130x \u017f", "", points[:256], points, " it\u2019s A \u2126\u212b", "\U0001d400b\U0001f600c"]
+    words = re.compile(r"[^\W\d_]+").findall
+    vocabulary = {w: i for i, w in enumerate(sorted({w for t in texts[1:] for w in words(t.lower())} - {"b"}))}
+    terms = toxicity.Terms(vocabulary)
+    want = [Counter({vocabulary[w]: n for w, n in Counter(words(t.lower())).items() if w in vocabulary}) for t in texts]
+    text, term, tf = terms.of_all(texts)
+    assert list(zip(text.tolist(), term.tolist(), tf.tolist())) == [(i, w, c[w]) for i, c in enumerate(want) for w in sorted(c)]
+    assert [terms.of(t) for t in texts] == want
+    assert not len(toxicity.Terms({}).of_all(texts)[0])
+
+
+@pytest.mark.parametrize(("long_lists", "finished"), [(0, 32), (40, 32), (512, 32), (40, 1)])
+def test_lists_of_frequent_words_are_read_for_many_texts_at_once(monkeypatch, long_lists, finished):
+    """The longest lists are read by a matrix product a slice, and the neighbours stay those of brute force."""
+    from collections import Counter
+
+    rng = np.random.default_rng(9)
+    monkeypatch.setattr(toxicity, "LONG_LISTS", long_lists)
+    monkeypatch.setattr(toxicity, "FINISHED", finished)
+    # The first three are alike, so ties occur.
+    counts = [Counter(rng.zipf(1.3, rng.integers(20, 300)).clip(1, 2000).tolist()) for _ in range(600)]
+    counts[1] = counts[2] = counts[0]
+    labels = (rng.random(600) < 0.3).astype(float)
+    row = np.repeat(np.arange(600), [len(c) for c in counts])
+    term, tf = np.array([(t, n) for c in counts for t, n in c.items()]).T
+    vocabulary = {f"w{'abcdefghij'[i // 1000]}{'abcdefghij'[i // 100 % 10]}{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i % 10]}": i for i in range(2001)}
+    model = toxicity.build(vocabulary, rng.uniform(0.01, 4, 2001), list(range(600)), labels, row, term, tf, {0: 420, 1: 180})
+    name = {i: w for w, i in vocabulary.items()}
+    texts = [" ".join(name[t] for t, n in c.items() for _ in range(n)) for c in counts[:300]] + [""]
+    dense = np.zeros((600, 2001))
+    for i, c in enumerate(counts):
+        terms, weights = model.vector(c)
+        dense[model.ids.index(i), terms] = weights
+    read = []
+    plain = toxicity.Lists.sums
+    monkeypatch.setattr(toxicity.Lists, "sums", lambda *a: (read.append(int(a[0].sizes(a[1]).sum())), plain(*a))[1])
+    found = list(model.score_all(texts))
+    entries = sum(int(model.postings.sizes(np.array(list(c), dtype=np.int64)).sum()) for c in counts[:300])
+    assert sum(read) < entries / 2 or long_lists < 512 or finished < 32
+    for c, (_, rows, cosines) in zip(counts[:300], found):
+        terms, weights = model.vector(c)
+        query = np.zeros(2001)
+        query[terms] = weights
+        want = dense @ query
+        top = np.lexsort((np.arange(600), -want.round(12)))[:15]
+        assert np.allclose(cosines, want[top]) and sorted(model.ids[r] for r in rows) == sorted(model.ids[r] for r in top)
+    assert found[-1][0] == model.empty_score and not len(found[-1][1])
+
+
 def test_quality_of_odd_rows(odd, spark):
     labels = spark.createDataFrame([(1, 1, 0), (3, 0, 0), (9, 0, 0), (6, 1, 0)], "doc_id long, quality int, toxic int")
     model = quality.fit(odd, labels, "doc_id", "text", "quality")

@@ -9,9 +9,13 @@ take no part in a text's length.
 
 Every document is a query on an inverted index of the examples. Examples are cut into blocks of ``BLOCK_ROWS``, those
 with the same strongest word together; the index keeps each word's largest weight, over all and in each block. Words are
-read in the order of what they can add. Once an example not met so far can't be among the k best any more, the block maxima
-of the words left bound every block: blocks below the k-th best sum are not opened, and the few examples that can still
-be among the k best get their whole cosine from their own words. The result is the exact top k.
+read in the order of what they can add for each entry of their lists. Once the words left can add little, only the examples
+that they can still lift to the k-th best sum are kept; if those are many, the block maxima of the words left bound every
+block, and blocks below that sum are not opened. The few that remain get their whole cosine from their own words. The
+result is the exact top k.
+Documents come in slices. The longest lists, at most ``LONG_LISTS``, are held as rows of a matrix too; documents with much
+to read in them get their sums over these lists from one matrix product a slice, and start from there. Words of a slice are
+found and looked up together, each different word once.
 Votes are weighted by nearness and turned into calibrated scores by isotonic regression on votes that leave each
 example's own label out, weighted back to the class shares of all labelled rows. The neighbours are the evidence.
 
@@ -32,6 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,14 +52,28 @@ LEAST = 0.01
 NEIGHBOURS = 15
 # Examples of one block of the index.
 BLOCK_ROWS = 64
-# So many examples are finished from their own words; with more the next words are read.
-FINISHED = 64
-# Words of a query read at first; then twice as many at a time.
-FIRST_TERMS = 24
-# Above what sums of weights in single precision, as the postings hold them, can be wrong by.
-SLACK = 1e-6
-
-_WORDS = re.compile(r"[^\W\d_]+").findall
+# So many examples are finished from their own words; with more the blocks are bounded, then the next words are read.
+FINISHED = 32
+# Words are read until those left can add this share of what all could; then this share of that, and so on.
+LEFT = 0.01
+# Lists that are held as rows of a matrix too, if an example in ``LONG_SHARE`` is in them.
+LONG_LISTS = 512
+LONG_SHARE = 16
+# Entries of a matrix product that take as long as one entry of a list.
+DENSE_SPEED = 256
+# Above twice what sums of ``LONG_LISTS`` products in single precision can be wrong by.
+SLACK = 1e-4
+# Documents, and characters in them, whose words are looked up together; queries of one matrix product.
+SLICE_ROWS = 1024
+SLICE_CHARS = 1 << 19
+QUERIES = 128
+
+_WORD = re.compile(r"[^\W\d_]+")
+_WORDS = _WORD.findall
+
+
+# Latin-1 in lower case; bytes that no word holds are spaces.
+_LATIN = bytes(ord(chr(b).lower()) if _WORDS(chr(b).lower()) else 32 for b in range(256))
 
 
 class Terms:
@@ -62,10 +81,75 @@ class Terms:
 
     def __init__(self, vocabulary: dict[str, int]):
         self.vocabulary = vocabulary
+        # By code point: whether words hold it. Worked out where a text needs it.
+        self.letters: np.ndarray | None = None
+
+    def __getstate__(self) -> tuple[str, np.ndarray]:
+        # Words hold no line ends; one text takes far less memory to write and read than its words.
+        return "\n".join(self.vocabulary), np.fromiter(self.vocabulary.values(), np.int64, len(self.vocabulary))
+
+    def __setstate__(self, state: tuple[str, np.ndarray]) -> None:
+        words, numbers = state
+        self.__init__(dict(zip(words.split("\n"), numbers.tolist())))
 
     def of(self, text: str) -> Counter:
-        known = self.vocabulary
-        return Counter({known[w]: n for w, n in Counter(_WORDS(text.lower())).items() if w in known})
+        _, terms, tf = self.of_all([text])
+        return Counter(dict(zip(terms.tolist(), tf.tolist())))
+
+    def of_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of the text, number of the term and count of each known word, by text and term."""
+        latin, wide = [], []
+        for text in texts:
+            try:
+                latin.append(text.encode("latin-1").translate(_LATIN))
+                wide.append(b"")
+            except UnicodeEncodeError:
+                latin.append(b"")
+                wide.append(text.lower().encode("utf-32-le"))
+        found = [self._known(np.frombuffer(b" ".join([*latin, b""]), np.uint8), latin, "latin-1")]
+        if any(wide):
+            found.append(self._known(np.frombuffer(b" \0\0\0".join([*wide, b""]), "<u4"), wide, "utf-32-le"))
+        keys, tf = np.unique(np.concatenate(found), return_counts=True)
+        return *np.divmod(keys, max(1, len(self.vocabulary))), tf
+
+    def _known(self, units: np.ndarray, texts: list[bytes], encoding: str) -> np.ndarray:
+        """Text and term, as one number, of each known word; ``units`` are the code points of all texts with a space
+        behind each."""
+        inside = units != 32 if encoding == "latin-1" else self._letters()[units]
+        edges = np.flatnonzero(np.diff(inside, prepend=False))
+        starts, sizes = edges[::2], np.diff(edges)[::2] * units.itemsize
+        ends = np.append(0, np.cumsum(sizes)).astype(np.int64)
+        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(units[inside])])
+        words = words.dictionary_encode()
+        # Different words as one text, which is quicker than one by one.
+        joined = pc.binary_join(
+            pa.LargeListArray.from_arrays(pa.array([0, len(words.dictionary)], pa.int64()), words.dictionary),
+            pa.scalar(" ".encode(encoding), pa.large_binary()),
+        )[0].as_py()
+        term_of = np.array([self.vocabulary.get(w, -1) for w in joined.decode(encoding).split()], dtype=np.int64)
+        term = term_of[words.indices.to_numpy()]
+        lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) // units.itemsize + 1
+        text = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(starts, np.append(0, np.cumsum(lengths)))))
+        held = term >= 0
+        return text[held] * max(1, len(self.vocabulary)) + term[held]
+
+    def _letters(self) -> np.ndarray:
+        if self.letters is None:
+            self.letters = np.zeros(0x110000, dtype=bool)
+            for found in _WORD.finditer("".join(map(chr, range(0x110000)))):
+                self.letters[slice(*found.span())] = True
+        return self.letters
+
+
+def _slices(batch: pa.RecordBatch, text_at: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """The batch in pieces with their texts."""
+    some, size, begin = [], 0, 0
+    for i, text in enumerate(batch.column(text_at), 1):
+        some.append(text.as_py() or "")
+        size += len(some[-1])
+        if len(some) == SLICE_ROWS or size >= SLICE_CHARS or i == batch.num_rows:
+            yield batch.slice(begin, len(some)), some
+            some, size, begin = [], 0, i
 
 
 @dataclass
@@ -79,8 +163,9 @@ class Lists:
     @classmethod
     def of(cls, count: int, lists: np.ndarray, numbers: np.ndarray, weights: np.ndarray) -> Lists:
         order = np.lexsort((numbers, lists))
-        starts = np.searchsorted(lists[order], np.arange(count + 1))
-        return cls(starts, numbers[order].astype(np.int32), weights[order])
+        starts = np.append(0, np.cumsum(np.bincount(lists, minlength=count)))
+        # Numbers take as few bytes as they can.
+        return cls(starts, numbers.astype(np.min_scalar_type(numbers.max(initial=0)))[order], weights[order])
 
     def sizes(self, chosen: np.ndarray) -> np.ndarray:
         return self.starts[chosen + 1] - self.starts[chosen]
@@ -116,33 +201,91 @@ class Model:
     empty_score: float
     # A query's weights by term while its cosines are worked out, zero otherwise.
     scratch: np.ndarray | None = None
+    # Row of each term in the matrix of long lists, -1 for others, and the matrix: weights by list and example.
+    long: tuple[np.ndarray, np.ndarray] | None = None
+
+    def __getstate__(self) -> dict:
+        # Tasks make their own.
+        return self.__dict__ | {"scratch": None, "long": None}
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
         terms = np.fromiter(counts.keys(), dtype=np.int64, count=len(counts))
         tf = np.fromiter(counts.values(), dtype=np.float64, count=len(counts))
+        return self.vectors(np.zeros(len(terms), dtype=np.int64), terms, tf, 1)[1:]
+
+    def vectors(self, query: np.ndarray, terms: np.ndarray, tf: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, term and weight of each entry of ``count`` queries' vectors."""
         values = (1 + np.log(tf)) * self.weights[terms]
-        length = np.sqrt((values * values).sum())
-        return (terms, values / length) if length > 0 else (terms[:0], values[:0])
+        length = np.sqrt(np.bincount(query, values * values, count))[query]
+        held = length > 0
+        return query[held], terms[held], values[held] / length[held]
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """The k nearest examples with a cosine above 0 and their cosines, nearest first."""
+    def _read_long(self, starts: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> dict[int, np.ndarray]:
+        """Sums over the long lists, for queries with so much in them that a matrix product is quicker."""
+        n = len(self.labels)
+        if self.long is None:
+            sizes = np.diff(self.postings.starts)
+            chosen = np.argsort(-sizes, kind="stable")[:LONG_LISTS]
+            chosen = chosen[sizes[chosen] * LONG_SHARE >= n]
+            place, matrix = np.full(len(sizes), -1), np.zeros((len(chosen), n), dtype=np.float32)
+            place[chosen] = np.arange(len(chosen))
+            at = self.postings.places(chosen)
+            matrix[np.repeat(place[chosen], sizes[chosen]), self.postings.numbers[at]] = self.postings.weights[at]
+            self.long = place, matrix
+        place, matrix = self.long
+        count = len(starts) - 1
+        inside = place[terms] >= 0
+        query, terms, weights = np.repeat(np.arange(count), np.diff(starts))[inside], terms[inside], weights[inside]
+        entries = np.bincount(query, self.postings.sizes(terms), count)
+        much = np.flatnonzero((entries > 0) & (entries * DENSE_SPEED >= matrix.size))
+        row = np.full(count, -1)
+        row[much] = np.arange(len(much))
+        inside = row[query] >= 0
+        factors = np.zeros((len(much), len(matrix)), dtype=np.float32)
+        factors[row[query[inside]], place[terms[inside]]] = weights[inside]
+        return dict(zip(much.tolist(), factors @ matrix))
+
+    def nearest_all(
+        self, starts: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of each query; the entries of query i lie from starts[i] to starts[i + 1]."""
+        for first in range(0, len(starts) - 1, QUERIES):
+            ends = starts[first : first + QUERIES + 1]
+            ends, some = ends - ends[0], slice(ends[0], ends[-1])
+            chosen, factors = terms[some].astype(np.int64), weights[some]
+            sums = self._read_long(ends, chosen, factors)
+            for i, (start, end) in enumerate(zip(ends[:-1], ends[1:])):
+                yield self.nearest(chosen[start:end], factors[start:end], k, sums.get(i))
+
+    def nearest(
+        self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS, sums: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The k nearest examples with a cosine above 0 and their cosines, nearest first; ``sums`` over the long lists,
+        where they are known."""
         n = len(self.labels)
-        adds = weights * self.tops[terms]
-        order = np.argsort(-adds, kind="stable")
-        by_add, factors = terms[order], weights[order]
+        if sums is None:
+            by_add, factors, sums = terms, weights, np.zeros(n)
+        else:
+            others = self.long[0][terms] < 0
+            by_add, factors, sums = terms[others], weights[others], sums.astype(np.float64)
+        adds = factors * self.tops[by_add]
+        order = np.argsort(-adds / np.maximum(self.postings.sizes(by_add), 1), kind="stable")
+        by_add, factors = by_add[order], factors[order]
         # What the words from each place on can add to an example at most.
         left = np.append(np.cumsum(adds[order][::-1])[::-1], 0.0)
-        sums, least, done, step = np.zeros(n), 0.0, 0, FIRST_TERMS
-        rows = None
-        while done < len(by_add) and rows is None:
-            some = slice(done, done + step)
-            sums += self.postings.sums(by_add[some], factors[some], n)
-            done, step = min(done + step, len(by_add)), step * 2
+        done, rest, rows = 0, min(left[0], 1.0), None
+        while rows is None:
+            rest *= LEFT
+            upto = min(max(done + 1, len(left) - np.searchsorted(left[::-1], rest, side="right")), len(by_add))
+            sums += self.postings.sums(by_add[done:upto], factors[done:upto], n)
+            done = upto
             least = np.partition(sums, n - k)[n - k] if n > k else 0.0
-            if done < len(by_add) and least > left[done] + SLACK:
-                rows = self._open(sums, by_add[done:], factors[done:], least)
-        if rows is None:
-            rows = np.flatnonzero((sums > 0) & (sums >= least - SLACK))
+            if done == len(by_add):
+                rows = np.flatnonzero((sums > 0) & (sums >= least - SLACK))
+            elif least > left[done] + SLACK:
+                rows = np.flatnonzero(sums >= least - left[done] - SLACK)
+                if len(rows) > FINISHED:
+                    rows = self._open(sums, by_add[done:], factors[done:], least)
         return self._finish(rows, terms, weights, k)
 
     def _open(self, sums: np.ndarray, terms: np.ndarray, factors: np.ndarray, least: float) -> np.ndarray | None:
@@ -163,9 +306,9 @@ class Model:
             self.scratch = np.zeros(len(self.weights))
         query = self.scratch
         query[terms] = weights
-        at = self.examples.places(rows)
-        begins = np.append(0, np.cumsum(self.examples.sizes(rows))[:-1])
-        cosines = np.add.reduceat(query[self.examples.numbers[at]] * self.examples.weights[at], begins)
+        own = zip(self.examples.starts[rows].tolist(), self.examples.starts[rows + 1].tolist())
+        numbers, by_term = self.examples.numbers, self.examples.weights
+        cosines = np.array([query.take(numbers[a:b]) @ by_term[a:b] for a, b in own])
         query[terms] = 0.0
         top = np.lexsort((rows, -cosines))[:k]
         return rows[top], cosines[top]
@@ -177,11 +320,16 @@ class Model:
         return float((near * self.labels[rows]).sum() / near.sum())
 
     def score(self, text: str) -> tuple[float, np.ndarray, np.ndarray]:
-        counts = self.terms.of(text)
-        rows, cosines = self.nearest(*self.vector(counts)) if counts else (np.zeros(0, np.int64), np.zeros(0))
-        if not len(rows):
-            return self.empty_score, rows, cosines
-        return float(np.interp(self.vote(rows, cosines), self.votes, self.scores)), rows, cosines
+        return next(self.score_all([text]))
+
+    def score_all(self, texts: list[str]) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+        """Score of each text, its nearest examples and their cosines."""
+        query, terms, weights = self.vectors(*self.terms.of_all(texts), len(texts))
+        for rows, cosines in self.nearest_all(np.searchsorted(query, np.arange(len(texts) + 1)), terms, weights):
+            if len(rows):
+                yield float(np.interp(self.vote(rows, cosines), self.votes, self.scores)), rows, cosines
+            else:
+                yield self.empty_score, rows, cosines
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -218,11 +366,11 @@ def _term_counts(vocabulary: dict[str, int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(len(vocabulary) + 1, dtype=np.int64)
-        terms_of = Terms(vocabulary).of
+        terms_of = Terms(vocabulary).of_all
         for batch in batches:
-            for text in batch.column(0):
-                seen[list(terms_of(text.as_py()))] += 1
-                seen[-1] += 1
+            for _, texts in _slices(batch, 0):
+                seen[:-1] += np.bincount(terms_of(texts)[1], minlength=len(vocabulary))
+                seen[-1] += len(texts)
         held = np.flatnonzero(seen)
         terms = np.where(held == len(vocabulary), -1, held)
         yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int32()), pa.array(seen[held])], names=["term", "n"])
@@ -282,6 +430,7 @@ def fit(docs: DataFrame, labelled: DataFrame, id_column: str, text_column: str,
     number, labels = held["number"].to_numpy(), held["label"].to_numpy().astype(np.float64)
     ids = held["id"].to_pylist()
     del coded, held
+    pa.default_memory_pool().release_unused()
     counted = texts.select("__text").mapInArrow(_term_counts(vocabulary), "term int, n long")
     counted = counted.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(len(vocabulary) + 1)
@@ -290,7 +439,24 @@ def fit(docs: DataFrame, labelled: DataFrame, id_column: str, text_column: str,
     has = np.bincount(terms, minlength=len(vocabulary)).astype(np.float64)
     toxic = np.bincount(terms, np.repeat(labels, number), len(vocabulary))
     weights = idf * (dependence(toxic, has, labels.sum(), float(len(labels))) + LEAST)
-    return build(vocabulary, weights, ids, labels, np.repeat(np.arange(len(ids)), number), terms, tf, shares)
+    return build(vocabulary, weights, ids, labels, np.repeat(np.arange(len(ids), dtype=np.int32), number), terms, tf, shares)
+
+
+def _strongest(n: int, row: np.ndarray, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Of each example, the last one of its terms by weight; -1 without terms."""
+    by_weight = np.lexsort((-term, weight, row))
+    last = np.flatnonzero(np.diff(row[by_weight], append=n))
+    strongest = np.full(n, -1)
+    strongest[row[by_weight][last]] = term[by_weight][last]
+    return strongest
+
+
+def _peaks(count: int, blocks: int, row: np.ndarray, term: np.ndarray, weight: np.ndarray) -> Lists:
+    """By term one entry for each block it occurs in, with the largest weight there."""
+    cells, where = np.unique(term.astype(np.int64) * blocks + row // BLOCK_ROWS, return_inverse=True)
+    highest = np.zeros(len(cells))
+    np.maximum.at(highest, where, weight)
+    return Lists.of(count, cells // blocks, cells % blocks, highest.astype(np.float32))
 
 
 def build(vocabulary, weights, ids, labels, row, term, tf, shares) -> Model:
@@ -300,34 +466,23 @@ def build(vocabulary, weights, ids, labels, row, term, tf, shares) -> Model:
     weight = (1 + np.log(tf)) * weights[term]
     length = np.sqrt(np.bincount(row, weight * weight, n))
     weight = weight / length[row]
-    # The strongest term of each example is the last one of its terms by weight.
-    by_weight = np.lexsort((-term, weight, row))
-    last = np.flatnonzero(np.diff(row[by_weight], append=n))
-    strongest = np.full(n, -1)
-    strongest[row[by_weight][last]] = term[by_weight][last]
-    order = np.argsort(strongest, kind="stable")
-    place = np.empty(n, dtype=np.int64)
+    order = np.argsort(_strongest(n, row, term, weight), kind="stable")
+    place = np.empty(n, dtype=np.int32)
     place[order] = np.arange(n)
     row, labels = place[row], labels[order]
     mass = np.array([shares.get(int(y), 0) / drawn[int(y)] for y in labels])
     postings = Lists.of(len(vocabulary), term, row, weight.astype(np.float32))
-    # One entry for each block a term occurs in.
-    blocks = max(1, -(-n // BLOCK_ROWS))
-    cells, where = np.unique(term.astype(np.int64) * blocks + row // BLOCK_ROWS, return_inverse=True)
-    highest = np.zeros(len(cells))
-    np.maximum.at(highest, where, weight)
+    peaks = _peaks(len(vocabulary), max(1, -(-n // BLOCK_ROWS)), row, term, weight)
     tops = np.zeros(len(vocabulary))
     np.maximum.at(tops, term, weight)
     examples = Lists.of(n, row, term, weight)
     model = Model(
-        Terms(vocabulary), weights, postings, Lists.of(len(vocabulary), cells // blocks, cells % blocks, highest.astype(np.float32)), tops,
-        examples, labels, mass, [ids[i] for i in order], np.zeros(1), np.zeros(1), 0.0,
+        Terms(vocabulary), weights, postings, peaks, tops, examples, labels, mass, [ids[i] for i in order], np.zeros(1), np.zeros(1), 0.0,
     )
+    del row, weight
     # Votes without the example itself: one neighbour more is asked for, and its own is left out.
     votes, voted, silent = [], [], []
-    for i in range(n):
-        own = slice(examples.starts[i], examples.starts[i + 1])
-        rows, cosines = model.nearest(examples.numbers[own].astype(np.int64), examples.weights[own], NEIGHBOURS + 1)
+    for i, (rows, cosines) in enumerate(model.nearest_all(examples.starts, examples.numbers, examples.weights, NEIGHBOURS + 1)):
         other = rows != i
         rows, cosines = rows[other][:NEIGHBOURS], cosines[other][:NEIGHBOURS]
         if len(rows):
@@ -335,6 +490,7 @@ def build(vocabulary, weights, ids, labels, row, term, tf, shares) -> Model:
             voted.append(i)
         else:
             silent.append(i)
+    model.scratch = model.long = None
     if voted:
         # Half an observation of either class at the ends keeps scores inside 0 and 1.
         x = np.concatenate([votes, [0.0, 1.0]])
@@ -348,23 +504,26 @@ def build(vocabulary, weights, ids, labels, row, term, tf, shares) -> Model:
 
 
 def _scorer(model: Model | None, text_at: int):
+    evidence = pa.struct([("id", pa.string()), ("cosine", pa.float64()), ("label", pa.int32())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if model is not None:
+            ids, labels = pa.array([str(i) for i in model.ids], pa.string()), model.labels.astype(np.int32)
         for batch in batches:
-            scores, near = [], []
-            for text in batch.column(text_at):
+            for part, texts in _slices(batch, text_at):
                 if model is None:
-                    score, rows, cosines = 0.0, (), ()
+                    scores, near = [0.0] * len(texts), pa.array([[]] * len(texts), pa.list_(evidence))
                 else:
-                    score, rows, cosines = model.score(text.as_py() or "")
-                scores.append(score)
-                near.append(
-                    [{"id": str(model.ids[r]), "cosine": float(c), "label": int(model.labels[r])} for r, c in zip(rows, cosines)]
+                    scores, rows, cosines = zip(*model.score_all(texts))
+                    ends = np.cumsum([0, *map(len, rows)])
+                    rows = np.concatenate(rows)
+                    entries = [ids.take(pa.array(rows)), pa.array(np.concatenate(cosines)), pa.array(labels[rows])]
+                    entries = pa.StructArray.from_arrays(entries, fields=list(evidence))
+                    near = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(scores, pa.float64()), near],
+                    names=[*batch.schema.names, "score", "evidence"],
                 )
-            evidence = pa.array(near, pa.list_(pa.struct([("id", pa.string()), ("cosine", pa.float64()), ("label", pa.int32())])))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores, pa.float64()), evidence],
-                names=[*batch.schema.names, "score", "evidence"],
-            )
 
     return run
 
