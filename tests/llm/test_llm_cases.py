@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import tracemalloc
+import weakref
 
 import numpy as np
 import pytest
@@ -565,3 +567,97 @@ def test_unmatched_end_tags_take_linear_time():
     page = html_text.read("<p>" + "<span>x " * 30_000 + "</b>" * 30_000 + "</p><p>end</p>")
     assert time.process_time() - begin < 10
     assert sum(node.words for node in page.nodes) == 30_001
+
+
+def test_components_end_with_stars(spark, monkeypatch):
+    """Links that are stars take no round, others no round beyond the one that makes them stars; roots are the least nodes."""
+    from tidemark.llm import links
+
+    written = []
+    plain = links.cut_lineage
+    monkeypatch.setattr(links, "cut_lineage", lambda df: (written.append(1), plain(df))[1])
+    rng = random.Random(4)
+    path = [(i, i + 1) for i in range(40)]
+    stars = [(9, 2), (7, 2), (7, 2), (5, -1), (6, 6)]
+    tangle = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)]
+    for pairs, most in ((stars, 1), ([], 1), ([(3, 2), (2, 1)], 2), (path, 8), (tangle, 8)):
+        root = {x: x for p in pairs for x in p if p[0] != p[1]}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in pairs:
+            if a != b:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+        written.clear()
+        got = links.components(spark.createDataFrame(pairs, "a long, b long")).collect()
+        assert sorted(map(tuple, got)) == sorted((x, find(x)) for x in root)
+        assert len(written) <= most
+
+
+def held_mb():
+    """Memory of this process alone, without mapped files."""
+    with open("/proc/self/smaps_rollup") as f:
+        return sum(int(line.split()[1]) for line in f if line.startswith("Pss_Anon:")) / 1024
+
+
+def test_freed_memory_goes_back():
+    """Also where a small piece above what was freed is still held, which keeps it from going by itself."""
+    from tidemark.llm.common import release_memory
+
+    release_memory()
+    before = held_mb()
+    pieces = [bytes(60_000) for _ in range(2000)] + [b"x" * 600]
+    pieces = [p for p in map(bytearray, pieces)]
+    assert held_mb() - before > 100
+    del pieces[:-1]
+    release_memory()
+    assert held_mb() - before < 20
+
+
+def test_index_of_toxicity_is_built_in_little_more_than_it_takes():
+    """Block maxima come from the lists as they lie: no sort of all entries, which took 75 bytes an entry at the peak."""
+    rng = np.random.default_rng(8)
+    n, words, each = 2000, 60_000, 300
+    row = np.repeat(np.arange(n, dtype=np.int32), each)
+    term = np.concatenate([rng.choice(words, each, replace=False) for _ in range(n)]).astype(np.int32)
+    tf, labels = rng.integers(1, 4, len(term)).astype(np.int32), (np.arange(n) % 2).astype(float)
+    vocabulary, weights = {f"w{i}": i for i in range(words)}, rng.uniform(0.1, 3, words)
+    tracemalloc.start()
+    try:
+        model = toxicity.build(vocabulary, weights, list(range(n)), labels, row, term, tf, {0: n // 2, 1: n // 2})
+        assert tracemalloc.get_traced_memory()[1] < 55 * len(term)
+    finally:
+        tracemalloc.stop()
+    # The maxima, one by one.
+    lists, blocks = model.postings, {}
+    for t in range(0, words, 50):
+        for k in range(lists.starts[t], lists.starts[t + 1]):
+            at = (t, int(lists.numbers[k]) // toxicity.BLOCK_ROWS)
+            blocks[at] = max(blocks.get(at, 0.0), lists.weights[k])
+    peaks = model.peaks
+    for t in range(0, words, 50):
+        a, b = peaks.starts[t], peaks.starts[t + 1]
+        assert {(t, int(x)): w for x, w in zip(peaks.numbers[a:b], peaks.weights[a:b])} == {k: w for k, w in blocks.items() if k[0] == t}
+
+
+def test_the_driver_keeps_no_model_of_toxicity(spark, make_docs, monkeypatch):
+    """What fitting freed goes back before the model is written for the tasks, and the model once it is."""
+    models, held = [], []
+    plain, build = toxicity.release_memory, toxicity.build
+
+    def built(*args):
+        model = build(*args)
+        models.append(weakref.ref(model))
+        return model
+
+    monkeypatch.setattr(toxicity, "build", built)
+    monkeypatch.setattr(toxicity, "release_memory", lambda: (held.append(models[-1]() is not None), plain()))
+    docs = make_docs([(i, f"word{'ab'[i % 2]} other text") for i in range(20)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    kept = toxicity.reject_toxic(docs, labels, F.lit(True))
+    assert held == [True, False]
+    assert {r.doc_id % 2 for r in kept.collect()} == {0}

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +42,14 @@ def remainder(id_column: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(id_column.cast("string"), F.lit(""))), F.lit(modulus))
 
 
+def release_memory() -> None:
+    """Give the system back what this process has freed; the allocators keep it otherwise, for as long as the driver runs."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+    if trim:
+        trim(0)
+
+
 def ordered_position(df: DataFrame, keys: list[str], name: str, rows_per_chunk: int = CHUNK_ROWS) -> DataFrame:
     """``df`` with ``name``: 0, 1, 2, ... along ``keys``, at any size.
 

@@ -1,8 +1,9 @@
 """Connected components of links between longs, by alternating large-star and small-star rounds.
 
 Every round is two map-side combined minima and two joins; its links are written to the shared folder, so the plan stays
-flat and a lost executor rereads files. A round that changes nothing ends the loop. A node's links are never gathered:
-the minimum of a hub is combined map-side and joined back, and AQE splits the hub's partition in that join.
+flat and a lost executor rereads files. The loop ends once every node has one link and what it links to has none: the
+components are stars then, and another round would change nothing. A node's links are never gathered: the minimum of a
+hub is combined map-side and joined back, and AQE splits the hub's partition in that join.
 """
 
 from __future__ import annotations
@@ -30,15 +31,16 @@ def _star(links: DataFrame, larger: bool) -> DataFrame:
     return moved.where(F.col("a") != F.col("b")).distinct()
 
 
+def _ups(links: DataFrame) -> DataFrame:
+    """Every node in ``links`` and the least and largest of what it links to; a node that is linked to counts as its own."""
+    own = F.struct(F.col("b").alias("node"), F.col("b").alias("up"))
+    ends = links.select(F.inline(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("up")), own)))
+    return ends.groupBy("node").agg(F.min("up").alias("least"), F.max("up").alias("largest"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``root``, the least node of its component, for every node in ``links`` (columns a and b)."""
     now = cut_lineage(links.select("a", "b").where(F.col("a") != F.col("b")).distinct())
-    before = None
-    while True:
-        signature = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if signature == before:
-            break
-        before = signature
+    while _ups(now).agg(F.max(F.col("least") != F.col("largest"))).first()[0]:
         now = cut_lineage(_star(_star(now, True), False))
-    roots = now.select(F.col("b")).distinct().select(F.col("b").alias("node"), F.col("b").alias("root"))
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
+    return _ups(now).select("node", F.col("least").alias("root"))

@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import free_name, whole_text
+from tidemark.llm.common import free_name, release_memory, whole_text
 from tidemark.session import cut_lineage
 
 # Labelled rows of each class that may become examples.
@@ -439,7 +439,11 @@ def fit(docs: DataFrame, labelled: DataFrame, id_column: str, text_column: str,
     has = np.bincount(terms, minlength=len(vocabulary)).astype(np.float64)
     toxic = np.bincount(terms, np.repeat(labels, number), len(vocabulary))
     weights = idf * (dependence(toxic, has, labels.sum(), float(len(labels))) + LEAST)
-    return build(vocabulary, weights, ids, labels, np.repeat(np.arange(len(ids), dtype=np.int32), number), terms, tf, shares)
+    model = build(vocabulary, weights, ids, labels, np.repeat(np.arange(len(ids), dtype=np.int32), number), terms, tf, shares)
+    # What building took and the model doesn't hold goes before the model is written for the tasks.
+    del counted, df, has, idf, number, terms, tf, toxic
+    release_memory()
+    return model
 
 
 def _strongest(n: int, row: np.ndarray, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -451,12 +455,15 @@ def _strongest(n: int, row: np.ndarray, term: np.ndarray, weight: np.ndarray) ->
     return strongest
 
 
-def _peaks(count: int, blocks: int, row: np.ndarray, term: np.ndarray, weight: np.ndarray) -> Lists:
+def _peaks(postings: Lists) -> Lists:
     """By term one entry for each block it occurs in, with the largest weight there."""
-    cells, where = np.unique(term.astype(np.int64) * blocks + row // BLOCK_ROWS, return_inverse=True)
-    highest = np.zeros(len(cells))
-    np.maximum.at(highest, where, weight)
-    return Lists.of(count, cells // blocks, cells % blocks, highest.astype(np.float32))
+    blocks = postings.numbers.astype(np.int32) // BLOCK_ROWS
+    change = np.diff(blocks, prepend=blocks[:1]) != 0
+    change[postings.starts[:-1][np.diff(postings.starts) > 0]] = True
+    first = np.flatnonzero(change)
+    highest = np.maximum.reduceat(postings.weights, first) if len(first) else postings.weights
+    held = blocks[first]
+    return Lists(np.searchsorted(first, postings.starts), held.astype(np.min_scalar_type(held.max(initial=0))), highest)
 
 
 def build(vocabulary, weights, ids, labels, row, term, tf, shares) -> Model:
@@ -472,7 +479,7 @@ def build(vocabulary, weights, ids, labels, row, term, tf, shares) -> Model:
     row, labels = place[row], labels[order]
     mass = np.array([shares.get(int(y), 0) / drawn[int(y)] for y in labels])
     postings = Lists.of(len(vocabulary), term, row, weight.astype(np.float32))
-    peaks = _peaks(len(vocabulary), max(1, -(-n // BLOCK_ROWS)), row, term, weight)
+    peaks = _peaks(postings)
     tops = np.zeros(len(vocabulary))
     np.maximum.at(tops, term, weight)
     examples = Lists.of(n, row, term, weight)
@@ -542,6 +549,8 @@ def score(docs: DataFrame, model: Model | None, text_column: str = "text", score
 def reject_toxic(docs: DataFrame, labels: DataFrame, training: Column, limit: float = 0.5, id_column: str = "doc_id",
                  text_column: str = "text", label_column: str = "toxic") -> DataFrame:
     """The rows of ``docs`` whose score is below ``limit``; ``training`` says which label rows may be learnt from."""
-    model = fit(docs, labels.where(training), id_column, text_column, label_column)
     mark, evidence = free_name(docs, "__score"), free_name(docs, "__evidence")
-    return score(docs, model, text_column, mark, evidence).where(F.col(mark) < limit).select(*docs.columns)
+    scored = score(docs, fit(docs, labels.where(training), id_column, text_column, label_column), text_column, mark, evidence)
+    # The tasks have the model; the driver keeps none.
+    release_memory()
+    return scored.where(F.col(mark) < limit).select(*docs.columns)
