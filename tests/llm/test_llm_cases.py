@@ -5,6 +5,7 @@ import random
 import re
 import tracemalloc
 import weakref
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -570,12 +571,19 @@ def test_unmatched_end_tags_take_linear_time():
 
 
 def test_components_end_with_stars(spark, monkeypatch):
-    """Links that are stars take no round, others no round beyond the one that makes them stars; roots are the least nodes."""
+    """Links that are stars take no round, others no round beyond the one that makes them stars; roots are the least nodes.
+    Of what the rounds write only the last stays."""
     from tidemark.llm import links
 
     written = []
     plain = links.cut_lineage
-    monkeypatch.setattr(links, "cut_lineage", lambda df: (written.append(1), plain(df))[1])
+
+    def kept(df):
+        out = plain(df)
+        written.append(Path(out.inputFiles()[0].removeprefix("file:")).parent)
+        return out
+
+    monkeypatch.setattr(links, "cut_lineage", kept)
     rng = random.Random(4)
     path = [(i, i + 1) for i in range(40)]
     stars = [(9, 2), (7, 2), (7, 2), (5, -1), (6, 6)]
@@ -596,6 +604,7 @@ def test_components_end_with_stars(spark, monkeypatch):
         got = links.components(spark.createDataFrame(pairs, "a long, b long")).collect()
         assert sorted(map(tuple, got)) == sorted((x, find(x)) for x in root)
         assert len(written) <= most
+        assert [p.exists() for p in written] == [False] * (len(written) - 1) + [True]
 
 
 def held_mb():

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import discard
 from tidemark.session import cut_lineage
 
 
@@ -42,5 +43,7 @@ def components(links: DataFrame) -> DataFrame:
     """``node`` and ``root``, the least node of its component, for every node in ``links`` (columns a and b)."""
     now = cut_lineage(links.select("a", "b").where(F.col("a") != F.col("b")).distinct())
     while _ups(now).agg(F.max(F.col("least") != F.col("largest"))).first()[0]:
-        now = cut_lineage(_star(_star(now, True), False))
+        before, now = now, cut_lineage(_star(_star(now, True), False))
+        # What a round read, shuffled and broadcast goes before the next, so the driver doesn't gather it over the rounds.
+        discard(before)
     return _ups(now).select("node", F.col("least").alias("root"))
