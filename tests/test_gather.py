@@ -3,10 +3,11 @@
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tidemark.operators import places
+from tidemark.operators import assemble, places
 from tidemark.operators.assemble import by_level, with_nested_rows
 from tidemark.operators.documents import build_documents
 from tidemark.operators.gather import gather, in_parts
+from tidemark.session import configure, cut_by_key
 
 ROWS = "ItemID bigint, LanguageID bigint, AttributeID bigint, ItemTableID bigint, _SubitemID bigint, SortOrder bigint, fields map<string,string>"
 REFS = "ItemID bigint, LanguageID bigint, AttributeID bigint, ReferenceID bigint, _SubitemID bigint, SortOrder bigint, fields map<string,string>"
@@ -166,3 +167,45 @@ def test_positions_are_looked_at_only_where_parts_are_cut(spark):
     plans = [build_documents(items, refs, rows, limit=n)._jdf.queryExecution().optimizedPlan().toString() for n in (40, 10_000)]
     assert ["Window" in p for p in plans] == [True, False]
     assert places.by_owner(rows).count() == rows.count()
+
+
+def test_documents_travel_once_and_are_not_written_on_the_way(spark, monkeypatch):
+    """Rows and references are shuffled to their item and stay; finished trees don't travel, whatever the languages."""
+    rows, refs = tables(spark)
+    written, cut = [], assemble.cut_lineage
+    monkeypatch.setattr(assemble, "cut_lineage", lambda df: written.append(df) or cut(df))
+    items = spark.createDataFrame([(1, {"Label": "one"}), (2, {"Label": "two"}), (2, {"Label": "twice"}), (3, None), (None, {})],
+                                  "ID bigint, fields map<string,string>")
+    one, many = F.lit(2).cast("bigint"), F.when(F.col("ID") < 9, 2).cast("bigint")
+    found = []
+    for language in (one, many):
+        docs = build_documents(items.withColumn("LanguageID", language), refs, rows)
+        found.append(sorted((str(r) for r in docs.collect() if r.ID), key=str))
+        lines = [x for x in docs._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].splitlines() if "Exchange " in x]
+        kept = [x for x in lines if "REPARTITION_BY_NUM" in x]
+        assert kept and all("hashpartitioning(ItemID" in x for x in kept)
+        # The items come to the trees.
+        assert len(lines) == len(kept) + 1
+    assert found[0] == found[1] and len(found[0]) == 4
+    assert not [df for df in written if "fields" in df.columns]
+
+
+def test_rows_cut_by_key_are_met_without_a_shuffle(spark):
+    configure(spark)
+    rows = spark.range(100).select((F.col("id") % 10).alias("ItemID"), F.col("id").alias("v"))
+    stored = cut_by_key(rows, ["ItemID"], 4)
+    joined = rows.repartition(4, "ItemID").join(stored.withColumnRenamed("v", "w").hint("shuffle_hash"), "ItemID")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 1000 and sorted(map(tuple, stored.collect())) == sorted(map(tuple, rows.collect()))
+    assert plan.count("Exchange ") == 1 and "REPARTITION_BY_NUM" in plan
+    assert not [t.name for t in spark.catalog.listTables() if "cut" in t.name]
+
+
+def test_items_hot_in_all_their_languages_give_the_same(spark):
+    """No language of item 1 has 40 rows, all of them have 60: it goes level by level, and nothing else changes."""
+    rows = [(i, n, 191, 100 * n + k, i, k, {"v": str(k)}) for i in (1, 2) for n in range(1, 4) for k in range(1 + 4 * (i == 1))]
+    rows += [(1, n, 192, 1000 * n + k, 100 * n + k % 5, k, {"v": str(k)}) for n in range(1, 4) for k in range(15)]
+    rows = spark.createDataFrame(rows, ROWS)
+    plain = {(r["ItemID"], r["ItemTableID"]): r for r in with_nested_rows(rows).collect()}
+    split = {(r["ItemID"], r["ItemTableID"]): r for r in with_nested_rows(rows, hot_rows=40).collect()}
+    assert split == plain and len(plain) == 18 and sum(r["weight"] for r in plain.values()) == rows.count()

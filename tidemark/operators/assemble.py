@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,12 +11,14 @@ from tidemark import fixed
 from tidemark.functions.maps import field_value
 from tidemark.operators import catalog
 from tidemark.operators.gather import PART_ROWS, gather_by_attribute
-from tidemark.operators.ordered import HOT_ROWS, hot_keys
-from tidemark.operators.places import OWNER, by_owner
+from tidemark.operators.ordered import HOT_ROWS, bucket_counts, hot_keys
+from tidemark.operators.places import ITEM, OWNER, by_owner
 from tidemark.operators.sizes import measured
-from tidemark.session import cut_lineage
+from tidemark.session import cut_by_key, cut_lineage
 
 HELD = ("Reference", "Subtable")
+# Rows of one task where they are dealt by item.
+SHARE_ROWS = 1 << 19
 
 
 def children_of_items(
@@ -177,6 +179,7 @@ def with_nested_rows(
     reference_payload: Sequence[str] = ("fields",),
     hot_rows: int = HOT_ROWS,
     single: bool | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Top rows of nested tables, each with all the rows and references below it, however deep.
 
@@ -185,10 +188,11 @@ def with_nested_rows(
     (attribute → rows), ``weight`` (rows held) and ``part``: a row with more than ``limit`` rows and references below it
     comes in several parts, which repeat its own columns and hold the rows below in turn.
 
-    Depths are found on the bare ids. Then every row travels once, to its owner, and levels are attached there from the
-    deepest up, by joins and groupings on the owner and more. Owners of more than ``hot_rows`` rows are taken apart from
-    the others, level by level, so that none of them is gathered in one task. Where no owner has more than ``limit`` rows
-    there is but one part and positions aren't looked at; ``single`` says so where the caller has counted.
+    Depths are found on the bare ids and stored by item. Then every row travels once, to its item, where it meets its
+    depth, and levels are attached there from the deepest up, by joins and groupings on the owner and more. Items of more
+    than ``hot_rows`` rows are taken apart from the others, level by level, so that none of them is gathered in one task.
+    Where no owner has more than ``limit`` rows there is but one part and positions aren't looked at; ``single`` says so
+    where the caller has counted, and ``counts`` are the ``item_counts`` of these rows, or of more.
     """
     base = rows.select(*OWNER, "AttributeID", "ItemTableID", "_SubitemID", "SortOrder", *payload)
     nested, owners = None, base.select(*OWNER)
@@ -197,52 +201,92 @@ def with_nested_rows(
             *OWNER, F.col("_SubitemID").alias("ItemTableID"), "AttributeID", "ReferenceID", "SortOrder", *reference_payload
         )
         owners = owners.unionByName(nested.select(*OWNER))
-    hot = hot_keys(owners, OWNER, hot_rows)
+    counts = item_counts(owners) if counts is None else counts
+    hot = hot_keys(owners, ITEM, hot_rows, counts)
     few = None if hot.isEmpty() else measured(hot)
-    same = [F.col(k).eqNullSafe(F.col(f"__h_{k}")) for k in OWNER]
-    part = lambda df, how: None if df is None else df.join(few, same, how)
+    same = [F.col(k).eqNullSafe(F.col(f"__h_{k}")) for k in ITEM]
+    part = lambda df, how: None if df is None or few is None else df.join(few, same, how)
+    many, many_nested, levels = part(base, "left_semi"), part(nested, "left_semi"), []
     if few is None:
-        depth = by_owner(base)
+        single = is_whole(owners, limit, counts) if single is None else single
     else:
-        depth = by_owner(part(base, "left_anti"))
-        for i, level in enumerate(by_level(part(base, "left_semi"))):
-            depth = depth.unionByName(level.withColumn("depth", F.lit(i)))
-    depth = cut_lineage(depth)
-    deepest = depth.agg(F.max("depth")).first()[0] or 0
-    base = base.join(depth, [*OWNER, "ItemTableID", "_SubitemID"])
-    if nested is not None:
-        nested = nested.join(depth.select(*OWNER, "ItemTableID", "depth").distinct(), [*OWNER, "ItemTableID"])
+        base, nested, single = part(base, "left_anti"), part(nested, "left_anti"), False
+        levels = by_level(many)
+    shares = item_shares(counts)
+    depth = cut_by_key(by_owner(base, shares), ITEM, shares)
+    deepest = max(depth.agg(F.max("depth")).first()[0] or 0, len(levels) - 1)
     names = (tuple(payload), tuple(reference_payload))
+    built = _built(*_levels_at_item(base, nested, depth, shares), deepest, limit, *names, hot_rows, False, single)
     if few is None:
-        single = is_whole(owners, limit) if single is None else single
-        return _built(base, nested, deepest, limit, *names, hot_rows, False, single)
-    return _built(part(base, "left_anti"), part(nested, "left_anti"), deepest, limit, *names, hot_rows, False).unionByName(
-        _built(part(base, "left_semi"), part(nested, "left_semi"), deepest, limit, *names, hot_rows, None)
-    )
+        return built
+    return built.unionByName(_built(*_levels_stored(many, many_nested, levels), deepest, limit, *names, hot_rows, None))
 
 
-def is_whole(owners: DataFrame, limit: int) -> bool:
+def is_whole(owners: DataFrame, limit: int, counts: DataFrame | None = None) -> bool:
     """No owner has more than ``limit`` rows. Small limits are passed anyway, so nothing is counted for them."""
-    return limit >= PART_ROWS and hot_keys(owners, OWNER, limit).isEmpty()
+    if limit < PART_ROWS:
+        return False
+    items = hot_keys(owners, ITEM, limit, counts)
+    return items.isEmpty() or hot_keys(owners.join(measured(items), F.col("ItemID").eqNullSafe(F.col("__h_ItemID")), "left_semi"), OWNER, limit).isEmpty()
+
+
+def item_counts(owners: DataFrame) -> DataFrame:
+    """Rows by bucket of their item, in whatever language."""
+    return bucket_counts(owners, ITEM)
+
+
+def item_shares(counts: DataFrame) -> int:
+    """Tasks that rows are dealt to by their item: about ``SHARE_ROWS`` rows each."""
+    rows = counts.agg(F.sum("count")).first()[0] or 0
+    return max(counts.sparkSession.sparkContext.defaultParallelism, -(-rows // SHARE_ROWS))
+
+
+def to_items(df: DataFrame, shares: int) -> DataFrame:
+    """Rows brought to their item. All its languages lie together: where a table has but one, its joins are on the item alone."""
+    return df.repartition(shares, *ITEM)
+
+
+def _levels_at_item(base: DataFrame, nested: DataFrame | None, depth: DataFrame, shares: int):
+    """Functions of a depth, for the rows and the references on it. Rows are brought to their item by one shuffle, which all
+    depths read; ``depth`` lies there already, and those of one depth are held in memory while rows pass."""
+
+    def at_item(df: DataFrame, key: list[str], places: Callable[[DataFrame], DataFrame]):
+        placed = to_items(df, shares)
+        return lambda i: placed.join(places(depth.where(F.col("depth") == i)).hint("shuffle_hash"), key)
+
+    key = [*OWNER, "ItemTableID"]
+    rows = at_item(base, [*key, "_SubitemID"], lambda df: df.drop("depth"))
+    return rows, None if nested is None else at_item(nested, key, lambda df: df.select(*key).distinct())
+
+
+def _levels_stored(base: DataFrame, nested: DataFrame | None, levels: list[DataFrame]):
+    """The same for hot owners, whose rows are written with their depth."""
+    key = [*OWNER, "ItemTableID"]
+    depth = None
+    for i, level in enumerate(levels):
+        told = level.withColumn("depth", F.lit(i))
+        depth = told if depth is None else depth.unionByName(told)
+    depth = cut_lineage(depth)
+
+    def stored(df: DataFrame):
+        written = cut_lineage(df)
+        return lambda i: written.where(F.col("depth") == i).drop("depth")
+
+    rows = stored(base.join(depth, [*key, "_SubitemID"]))
+    return rows, None if nested is None else stored(nested.join(depth.select(*key, "depth").distinct(), key))
 
 
-def _built(base, nested, deepest: int, limit: int, payload, reference_payload, hot_rows: int, hot: bool | None,
+def _built(rows_on, references_on, deepest: int, limit: int, payload, reference_payload, hot_rows: int, hot: bool | None,
            single: bool = False) -> DataFrame:
-    """Levels attached from the deepest up. ``hot`` False: all of an owner's rows fit a task, so rows are brought to their
-    owner once and nothing is written on the way. None: hot keys are looked for at each level, and each level is written."""
+    """Levels attached from the deepest up. ``hot`` False: all of an owner's rows fit a task, so rows were brought to their
+    item once and nothing is written on the way. None: hot keys are looked for at each level, and each level is written."""
     key = [*OWNER, "ItemTableID"]
-    at_owner = (lambda df: df.repartition(*OWNER)) if hot is False else (lambda df: df)
-    base = cut_lineage(base)
-    if nested is not None:
-        nested = cut_lineage(nested)
     item = F.struct("SortOrder", "ReferenceID", *reference_payload)
     held = None
     for i in range(deepest, -1, -1):
-        level = at_owner(base.where(F.col("depth") == i).drop("depth"))
         grouped = []
-        if nested is not None:
-            own = at_owner(nested.where(F.col("depth") == i).drop("depth"))
-            grouped.append(gather_by_attribute(own, key, item, ["SortOrder", "ReferenceID"], "Reference", limit,
+        if references_on is not None:
+            grouped.append(gather_by_attribute(references_on(i), key, item, ["SortOrder", "ReferenceID"], "Reference", limit,
                                                hot=hot, hot_rows=hot_rows, single=single))
         if held is not None:
             inside = [c for c in HELD if c in held.columns]
@@ -252,7 +296,7 @@ def _built(base, nested, deepest: int, limit: int, payload, reference_payload, h
                 gather_by_attribute(below, key, row, ["SortOrder", "RowID", "part"], "Subtable", limit, F.col("weight"),
                                     ["SortOrder", "ItemTableID", "part"], hot, hot_rows, single)
             )
-        held = _attach(level, grouped, key)
+        held = _attach(rows_on(i), grouped, key)
         if hot is None:
             held = cut_lineage(held)
     if "Subtable" not in held.columns:
@@ -262,16 +306,23 @@ def _built(base, nested, deepest: int, limit: int, payload, reference_payload, h
     return held
 
 
-def _attach(rows: DataFrame, grouped: list[DataFrame], key: list[str]) -> DataFrame:
-    """Rows with what is grouped below them: one row for each part of either, and one for a row that holds nothing."""
-    if not grouped:
-        return rows.withColumns({"part": F.lit(0), "weight": F.lit(1).cast("bigint")})
-    # Parts of a number meet by a grouping, which leaves rows where they are, as a full join would not.
+def met(grouped: list[DataFrame], key: list[str]) -> DataFrame:
+    """What is grouped below the same keys, side by side: one row for each part of any.
+
+    Parts of a number meet by a grouping, which leaves rows where they are, as a full join would not."""
     parts = grouped[0]
     for further in grouped[1:]:
         both = parts.unionByName(further, allowMissingColumns=True)
         told = [c for c in both.columns if c not in (*key, "part")]
         parts = both.groupBy(*key, "part").agg(*[F.first(c, ignorenulls=True).alias(c) for c in told])
+    return parts
+
+
+def _attach(rows: DataFrame, grouped: list[DataFrame], key: list[str]) -> DataFrame:
+    """Rows with what is grouped below them: one row for each part of either, and one for a row that holds nothing."""
+    if not grouped:
+        return rows.withColumns({"part": F.lit(0), "weight": F.lit(1).cast("bigint")})
+    parts = met(grouped, key)
     weights = [c for c in parts.columns if c.endswith("_weight")]
     # The grouped side holds whole subtrees: merge, never broadcast it.
     joined = rows.join(parts.hint("merge"), key, "left")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.maps import keep_keys, keep_paths, without_nulls
 from tidemark.functions.text import big_value, content_excerpt, html_text
-from tidemark.operators.assemble import OWNER, is_whole, with_nested_rows
+from tidemark.operators.assemble import OWNER, is_whole, item_counts, item_shares, met, to_items, with_nested_rows
 from tidemark.operators.gather import PART_ROWS, gather_by_attribute
 from tidemark.operators.ordered import hot_keys
 from tidemark.session import cut_lineage
@@ -58,9 +58,13 @@ def build_documents(
     refs = references.withColumn("fields", clean("fields", html_fields))
     rows = subtables.withColumn("fields", clean("fields", html_fields))
     # What hangs below an item is counted once for all groupings.
-    single = is_whole(refs.select(*OWNER).unionByName(rows.select(*OWNER)), limit)
+    below = refs.select(*OWNER).unionByName(rows.select(*OWNER))
+    counts = item_counts(below)
+    single = is_whole(below, limit, counts)
+    own = refs.where(F.col("_SubitemID") == F.col("ItemID"))
     own_refs = gather_by_attribute(
-        refs.where(F.col("_SubitemID") == F.col("ItemID")),
+        # Brought to their items as the rows are, so what is grouped here meets what is built there.
+        to_items(own, item_shares(counts)),
         OWNER,
         F.struct("SortOrder", "ReferenceID", "fields"),
         ["SortOrder", "ReferenceID"],
@@ -69,7 +73,7 @@ def build_documents(
         hot=False if single else None,
         single=single,
     ).drop("Reference_weight")
-    top = with_nested_rows(rows, refs, limit, single=single)
+    top = with_nested_rows(rows, refs, limit, single=single, counts=counts)
     own_rows = gather_by_attribute(
         top,
         OWNER,
@@ -81,7 +85,8 @@ def build_documents(
         hot=False if single else hot_keys(rows.where(F.col("_SubitemID") == F.col("ItemID")).select(*OWNER), OWNER),
         single=single,
     ).drop("Subtable_weight")
-    children = own_refs.join(own_rows, [*OWNER, "part"], "full").withColumnRenamed("ItemID", "ID")
+    # Trees stay where they were built: the items travel to them.
+    children = met([own_refs, own_rows], OWNER).withColumnRenamed("ItemID", "ID").hint("merge")
     whole = docs.join(children, ["ID", "LanguageID"], "left").withColumn("part", F.coalesce("part", F.lit(0)))
     # The first document of an item has its fields, further ones only the children that continue it.
     fields = F.when(F.col("part") == 0, F.col("fields")).otherwise(F.create_map().cast("map<string,string>"))

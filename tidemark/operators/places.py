@@ -15,19 +15,21 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 OWNER = ["ItemID", "LanguageID"]
+# All languages of an item are brought together.
+ITEM = OWNER[:1]
 # Places whose depths are found at a time; an owner's are never cut.
 PLACES = 1 << 18
 
 
-def by_owner(rows: DataFrame) -> DataFrame:
+def by_owner(rows: DataFrame, shares: int | None = None) -> DataFrame:
     """Places of nested-table rows with their ``depth``, as ``assemble.by_level`` finds them, where each
     owner's places fit a task.
 
-    The bare ids travel once, to their owner, and all levels are followed there.
+    The bare ids travel once, to their item (in ``shares`` tasks, if given), and all levels are followed there.
     """
     places = [*OWNER, "ItemTableID", "_SubitemID"]
     known = rows.select(*places, (F.col("_SubitemID") == F.col("ItemID")).alias("top")).dropna(subset=places)
-    placed = known.repartition(*OWNER).sortWithinPartitions(*places)
+    placed = known.repartition(*[shares] * (shares is not None), *ITEM).sortWithinPartitions(*places)
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in known.select(*places).schema)
     return placed.mapInArrow(_with_depths, f"{kinds}, depth int")
 
