@@ -209,3 +209,16 @@ def test_items_hot_in_all_their_languages_give_the_same(spark):
     plain = {(r["ItemID"], r["ItemTableID"]): r for r in with_nested_rows(rows).collect()}
     split = {(r["ItemID"], r["ItemTableID"]): r for r in with_nested_rows(rows, hot_rows=40).collect()}
     assert split == plain and len(plain) == 18 and sum(r["weight"] for r in plain.values()) == rows.count()
+
+
+def test_sorted_rows_are_grouped_as_they_come(spark):
+    """At their item, rows of one part are sorted once: no grouping holds groups by hash or sorts for itself."""
+    configure(spark)
+    rows, refs = tables(spark)
+    df = with_nested_rows(rows, refs)
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert "ObjectHashAggregate" not in plan
+    # A sort a grouping (references on three levels, rows on two) and one for the rows of each level, which the joins share.
+    assert plan.count("- Sort [") <= 8
+    shuffled = rows.unionByName(rows.where("ItemID < 0")).orderBy(F.rand(7))
+    assert {r["ItemTableID"]: r for r in with_nested_rows(shuffled, refs).collect()} == {r["ItemTableID"]: r for r in df.collect()}

@@ -296,7 +296,7 @@ def _built(rows_on, references_on, deepest: int, limit: int, payload, reference_
                 gather_by_attribute(below, key, row, ["SortOrder", "RowID", "part"], "Subtable", limit, F.col("weight"),
                                     ["SortOrder", "ItemTableID", "part"], hot, hot_rows, single)
             )
-        held = _attach(rows_on(i), grouped, key)
+        held = _attach(rows_on(i), grouped, key, single)
         if hot is None:
             held = cut_lineage(held)
     if "Subtable" not in held.columns:
@@ -318,19 +318,26 @@ def met(grouped: list[DataFrame], key: list[str]) -> DataFrame:
     return parts
 
 
-def _attach(rows: DataFrame, grouped: list[DataFrame], key: list[str]) -> DataFrame:
-    """Rows with what is grouped below them: one row for each part of either, and one for a row that holds nothing."""
+def attached(rows: DataFrame, grouped: list[DataFrame], key: list[str], single: bool = False) -> DataFrame:
+    """Rows with what is grouped below them: one row for each part of any, and one for a row that holds nothing.
+
+    ``single``: all parts are 0, so each group meets its row by a join of its own, and nothing is copied to meet others."""
+    # The grouped side holds whole subtrees: merge, never broadcast it.
+    for g in [x.drop("part") for x in grouped] if single else [met(grouped, key)]:
+        rows = rows.join(g.hint("merge"), key, "left")
+    return rows.withColumn("part", F.lit(0) if single else F.coalesce("part", F.lit(0)))
+
+
+def _attach(rows: DataFrame, grouped: list[DataFrame], key: list[str], single: bool) -> DataFrame:
     if not grouped:
         return rows.withColumns({"part": F.lit(0), "weight": F.lit(1).cast("bigint")})
-    parts = met(grouped, key)
-    weights = [c for c in parts.columns if c.endswith("_weight")]
-    # The grouped side holds whole subtrees: merge, never broadcast it.
-    joined = rows.join(parts.hint("merge"), key, "left")
+    joined = attached(rows, grouped, key, single)
     weight = F.lit(1).cast("bigint")
-    for c in weights:
-        weight = weight + F.coalesce(c, F.lit(0))
-    held = [c for c in HELD if c in parts.columns]
-    return joined.select(*rows.columns, F.coalesce("part", F.lit(0)).alias("part"), weight.alias("weight"), *held)
+    for c in joined.columns:
+        if c.endswith("_weight") and c not in rows.columns:
+            weight = weight + F.coalesce(c, F.lit(0))
+    held = [c for c in HELD if c in joined.columns]
+    return joined.select(*rows.columns, "part", weight.alias("weight"), *held)
 
 
 def with_base_rows(view_items: DataFrame, view_rows: DataFrame, base_rows: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.maps import keep_keys, keep_paths, without_nulls
 from tidemark.functions.text import big_value, content_excerpt, html_text
-from tidemark.operators.assemble import OWNER, is_whole, item_counts, item_shares, met, to_items, with_nested_rows
+from tidemark.operators.assemble import OWNER, attached, is_whole, item_counts, item_shares, to_items, with_nested_rows
 from tidemark.operators.gather import PART_ROWS, gather_by_attribute
 from tidemark.operators.ordered import hot_keys
 from tidemark.session import cut_lineage
@@ -86,8 +86,8 @@ def build_documents(
         single=single,
     ).drop("Subtable_weight")
     # Trees stay where they were built: the items travel to them.
-    children = met([own_refs, own_rows], OWNER).withColumnRenamed("ItemID", "ID").hint("merge")
-    whole = docs.join(children, ["ID", "LanguageID"], "left").withColumn("part", F.coalesce("part", F.lit(0)))
+    children = [df.withColumnRenamed("ItemID", "ID") for df in (own_refs, own_rows)]
+    whole = attached(docs, children, ["ID", "LanguageID"], single)
     # The first document of an item has its fields, further ones only the children that continue it.
     fields = F.when(F.col("part") == 0, F.col("fields")).otherwise(F.create_map().cast("map<string,string>"))
     return whole.select("ID", "LanguageID", fields.alias("fields"), "part", "Reference", "Subtable")

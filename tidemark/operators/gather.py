@@ -89,14 +89,21 @@ def gather_by_attribute(
     """
     weight = F.lit(1).cast("bigint") if weight is None else weight
     rows = in_parts(df, owner, ["AttributeID", *by], limit, weight, hot, hot_rows, single)
+    # A single part needs no number to group by.
+    key = list(owner) if single else [*owner, "__part"]
     narrow = rows.select(
-        *owner, "__part", F.col("AttributeID").cast("string").alias("__attribute"), item.alias("__item"),
-        weight.alias("__weight"),
+        *key, F.col("AttributeID").cast("string").alias("__attribute"), item.alias("__item"), weight.alias("__weight")
     )
-    lists = narrow.groupBy(*owner, "__part", "__attribute").agg(
+    if single:
+        # An owner's rows lie in one task: sorted once, both groupings and the join to the owner read them as they come.
+        narrow = narrow.sortWithinPartitions(*key, "__attribute", *[F.col("__item")[c] for c in fields or by])
+    lists = narrow.groupBy(*key, "__attribute").agg(
         sorted_list(F.col("__item"), fields or by).alias("__rows"), F.sum("__weight").alias("__w")
     )
-    return lists.groupBy(*owner, "__part").agg(
+    # Said, not done again: lists come in that order.
+    held = (lists.sortWithinPartitions(*key) if single else lists).groupBy(*key).agg(
         F.map_from_entries(F.collect_list(F.struct("__attribute", "__rows"))).alias(name),
         F.sum("__w").alias(f"{name}_weight"),
-    ).select(*owner, F.col("__part").alias("part"), name, f"{name}_weight")
+    )
+    part = F.lit(0) if single else F.col("__part")
+    return held.select(*owner, part.alias("part"), name, f"{name}_weight")
